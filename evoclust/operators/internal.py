@@ -95,14 +95,14 @@ def _pair_block_fn(P: int, k: int, d: int):
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame({"row_id": pd.Series([], dtype="int64"), "sol": pd.Series([], dtype=object), "s": pd.Series([], dtype=object)})
         XL = np.stack(left["x"].to_numpy()).astype(np.float64)
-        XR = np.stack(right["x"].to_numpy()).astype(np.float64)
+        XR = np.stack(right["rx"].to_numpy()).astype(np.float64)
         mu = XR.mean(axis=0)
         XL, XR = XL - mu, XR - mu
         d2 = (np.einsum("ij,ij->i", XL, XL)[:, None] + np.einsum("ij,ij->i", XR, XR)[None, :]) - 2.0 * (XL @ XR.T)
         D = np.sqrt(np.maximum(d2, 0.0))
-        same = left["row_id"].to_numpy()[:, None] == right["row_id"].to_numpy()[None, :]
+        same = left["row_id"].to_numpy()[:, None] == right["rid"].to_numpy()[None, :]
         D[same] = 0.0
-        labR = np.stack(right["sol"].to_numpy()).astype(np.int64).reshape(len(right), P)
+        labR = np.stack(right["rsol"].to_numpy()).astype(np.int64).reshape(len(right), P)
         out = np.empty((len(left), P * k))
         rows = np.arange(len(right))
         for p in range(P):
@@ -121,7 +121,9 @@ def exact_distance_sums(pts: DataFrame, P: int, k: int, d: int, n: int, block_ro
     blocks = F.lit(list(range(B))) if B > 1 else F.array(F.lit(0))
     base = pts.select("row_id", "x", "sol", F.pmod(F.xxhash64("row_id"), F.lit(B)).cast("int").alias("b"))
     left = base.select(F.col("b").alias("bi"), F.explode(blocks).alias("bj"), "row_id", "x", "sol")
-    right = base.select(F.explode(blocks).alias("bi"), F.col("b").alias("bj"), "row_id", "x", "sol")
+    # the right side gets fresh column names: both sides come from one plan
+    right = base.select(F.explode(blocks).alias("bi"), F.col("b").alias("bj"), F.col("row_id").alias("rid"),
+                        F.col("x").alias("rx"), F.col("sol").alias("rsol"))
     sums = (
         left.groupBy("bi", "bj")
         .cogroup(right.groupBy("bi", "bj"))

@@ -18,7 +18,8 @@ import pyarrow as pa
 # Upper bound for centres/statistics captured in a kernel closure.
 MAX_CLOSURE_BYTES = 256 * 1024 * 1024
 
-PARTIAL_SCHEMA = "chrom int, c int, n bigint, s array<double>, q double, e double"
+# long form: row j = -1 carries (n, q, e) of a cluster, rows j >= 0 its sum per dimension
+PARTIAL_SCHEMA = "chrom int, c int, j int, n bigint, v double, q double, e double"
 SIL_PARTIAL_SCHEMA = "chrom int, s double, m bigint"
 
 
@@ -125,16 +126,20 @@ def partial_stats_fn(spec: KernelSpec):
         pp, cc = np.nonzero(n)
         if len(pp) == 0:
             return
+        m = len(pp)
+        jj = np.concatenate([np.full(m, -1), np.tile(np.arange(d), m)]).astype(np.int32)
+        zeros = np.zeros(m * d)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(pp.astype(np.int32)),
-                pa.array(cc.astype(np.int32)),
-                pa.array(n[pp, cc]),
-                list_array(S[pp, cc], pa.float64()),
-                pa.array(Q[pp, cc]),
-                pa.array(E[pp, cc]),
+                pa.array(np.concatenate([pp, np.repeat(pp, d)]).astype(np.int32)),
+                pa.array(np.concatenate([cc, np.repeat(cc, d)]).astype(np.int32)),
+                pa.array(jj),
+                pa.array(np.concatenate([n[pp, cc], np.zeros(m * d, dtype=np.int64)])),
+                pa.array(np.concatenate([np.zeros(m), S[pp, cc].reshape(-1)])),
+                pa.array(np.concatenate([Q[pp, cc], zeros])),
+                pa.array(np.concatenate([E[pp, cc], zeros])),
             ],
-            names=["chrom", "c", "n", "s", "q", "e"],
+            names=["chrom", "c", "j", "n", "v", "q", "e"],
         )
 
     return run

@@ -30,13 +30,10 @@ def dimension(points: DataFrame) -> int:
     return int(row["d"])
 
 
-def combine_partials(partials: DataFrame, d: int) -> DataFrame:
-    """A1 reduce side: merge per-partition partial statistics per (chrom, c)."""
-    return partials.groupBy("chrom", "c").agg(
-        F.sum("n").alias("n"),
-        F.array(*[F.sum(F.col("s")[j]) for j in range(d)]).alias("s"),
-        F.sum("q").alias("q"),
-        F.sum("e").alias("e"),
+def combine_partials(partials: DataFrame) -> DataFrame:
+    """A1 reduce side: merge per-partition partial statistics per (chrom, c, j)."""
+    return partials.groupBy("chrom", "c", "j").agg(
+        F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("q").alias("q"), F.sum("e").alias("e")
     )
 
 
@@ -71,16 +68,23 @@ def run_stats(points: DataFrame, spec: K.KernelSpec) -> Stats:
     """One distributed pass: kernel partials + groupBy merge, P*k rows collected."""
     K.check_broadcast(*(a for a in (spec.centers, spec.own_centers) if a is not None))
     partials = points.mapInArrow(K.partial_stats_fn(spec), K.PARTIAL_SCHEMA)
-    rows = combine_partials(partials, spec.d).collect()
+    # at most P*k*(d+1) rows: the size of the centres themselves
+    tbl = combine_partials(partials).toArrow()
     n = np.zeros((spec.P, spec.k), dtype=np.int64)
     S = np.zeros((spec.P, spec.k, spec.d))
     Q = np.zeros((spec.P, spec.k))
     E = np.zeros((spec.P, spec.k))
-    for r in rows:
-        p, c = r["chrom"], r["c"]
-        if not (0 <= c < spec.k):
-            raise ValueError(f"label {c} outside 0..{spec.k - 1}")
-        n[p, c], S[p, c], Q[p, c], E[p, c] = r["n"], r["s"], r["q"], r["e"]
+    if tbl.num_rows:
+        p = tbl.column("chrom").to_numpy()
+        c = tbl.column("c").to_numpy()
+        j = tbl.column("j").to_numpy()
+        if c.min() < 0 or c.max() >= spec.k:
+            raise ValueError(f"labels outside 0..{spec.k - 1}")
+        head = j < 0
+        n[p[head], c[head]] = tbl.column("n").to_numpy()[head]
+        Q[p[head], c[head]] = tbl.column("q").to_numpy()[head]
+        E[p[head], c[head]] = tbl.column("e").to_numpy()[head]
+        S[p[~head], c[~head], j[~head]] = tbl.column("v").to_numpy()[~head]
     return Stats(n, S, Q, E, spec.shift)
 
 

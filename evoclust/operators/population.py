@@ -126,9 +126,9 @@ def init_population(points: DataFrame, P: int, k: int, seed: int = 0, kind: str
     spec = K.KernelSpec(P, k, d, shift, centers=centres)
     schema = T.StructType(base.schema.fields + [T.StructField("sol", T.ArrayType(T.IntegerType()))])
     df = cut_lineage(base.mapInArrow(K.relabel_fn(spec, base_cols(base)), schema))
-    n = df.count()
     lab_spec = K.KernelSpec(P, k, d, shift, own_centers=centres, sol_col="sol")
     st = run_stats(df, lab_spec)
+    n = int(st.n[0].sum())
     fit = fitness_of(df, st, lab_spec, kind, block_rows)
     return Population(df, centres, st, fit, n, shift)
 

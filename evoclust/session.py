@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,9 +33,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder (survives executor loss)."""
+    """Materialise ``df`` to the reliable checkpoint folder (survives executor loss).
+
+    The plan is persisted first, so writing the checkpoint reads the cached
+    blocks instead of computing the plan a second time.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> SparkSession:

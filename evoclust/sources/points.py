@@ -132,8 +132,9 @@ def read_abalone(spark: SparkSession, path: str, with_sex: bool = True) -> DataF
     return lines.select(F.col("idx").alias("row_id"), F.col("idx").alias("pos"), x.alias("x"), label.cast("int").alias("label"))
 
 
-def with_pos(points: DataFrame, order_col: str = "row_id", num_partitions: int | None = None) -> DataFrame:
-    """Add dense ``pos`` 0..n-1 in ``order_col`` order, fully distributed.
+def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None = None) -> DataFrame:
+    """Add dense ``pos`` 0..n-1 in ``order_col`` order (a name or a list of
+    columns), fully distributed.
 
     Range-partition and sort by ``order_col`` once (materialised, so both
     passes see the same partitions), count rows per partition (one row per
@@ -144,7 +145,8 @@ def with_pos(points: DataFrame, order_col: str = "row_id", num_partitions: int |
     if "pos" in points.columns:
         points = points.drop("pos")
     n_parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = cut_lineage(points.repartitionByRange(n_parts, order_col).sortWithinPartitions(order_col))
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    ranged = cut_lineage(points.repartitionByRange(n_parts, *order).sortWithinPartitions(*order))
     counts = {
         r["pid"]: r["n"]
         for r in ranged.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -165,5 +167,21 @@ def with_pos(points: DataFrame, order_col: str = "row_id", num_partitions: int |
             yield pa.RecordBatch.from_arrays(list(b.columns) + [pos], names=list(b.schema.names) + ["pos"])
 
     out = ranged.mapInArrow(number, schema)
-    front = ["row_id", "pos"]
+    front = [c for c in ("row_id", "pos") if c in out.columns]
     return out.select(*front, *[c for c in out.columns if c not in front])
+
+
+def points_by_position(df: DataFrame, feature_cols: Sequence[str], label_col: str | None = None,
+                       num_partitions: int | None = None) -> DataFrame:
+    """Points from a table without a key: ``row_id = pos``, numbered in the order
+    of the feature values (rows equal in every feature are interchangeable)."""
+    cols = [F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(feature_cols)]
+    if label_col is not None:
+        cols.append(F.col(label_col).alias("_label"))
+    base = df.select(*cols)
+    order = [f"_f{i}" for i in range(len(feature_cols))] + (["_label"] if label_col is not None else [])
+    numbered = with_pos(base, order, num_partitions)
+    out = [F.col("pos").alias("row_id"), "pos", F.array(*[f"_f{i}" for i in range(len(feature_cols))]).alias("x")]
+    if label_col is not None:
+        out.append(F.col("_label").alias("label"))
+    return numbered.select(*out)
