@@ -147,6 +147,7 @@ class GeneticKMeans:
     elite: int = 5
     block_rows: int = DEFAULT_BLOCK_ROWS
     track_ari: bool = True
+    checkpoint_every: int = 5  # reliable checkpoint of the labels every N generations
     _log: list = field(default_factory=list, repr=False)
 
     def _check(self):
@@ -284,6 +285,7 @@ class GeneticKMeans:
         pop = init_population(points, self.population, self.k, self.seed, self.fitness, self.block_rows)
         self._logpop(0, "init", pop.fitness)
         fit_h, sse_h, ari_h, cen_h = [], [], [], []
+        cached = None
         for gen in range(1, self.generations + 1):
             src = select_survivors(pop.fitness, self.survival, self.seed, gen, self.elite)
             pop = pop.take(src)
@@ -292,7 +294,12 @@ class GeneticKMeans:
             self._logpop(gen, "crossover", pop.fitness)
             if self.mutation_rate > 0:
                 pop = mutate(pop, self.mutation_rate, self.seed, gen)
-            pop, _ = kmo(pop, self.kmo, self.fitness, self.block_rows)
+            reliable = gen % max(self.checkpoint_every, 1) == 0 or gen == self.generations
+            previous = cached
+            pop, _ = kmo(pop, self.kmo, self.fitness, self.block_rows, checkpoint=reliable)
+            cached = None if reliable else pop.df
+            if previous is not None:
+                previous.unpersist()
             self._logpop(gen, "kmo", pop.fitness)
             best = rank_order(pop.fitness)[0]
             fit_h.append(float(pop.fitness[best]))

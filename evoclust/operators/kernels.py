@@ -53,9 +53,16 @@ def list_array(values: np.ndarray, pa_type) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1), type=pa_type))
 
 
+# elements of the (n, k, d) difference tensor computed in one vectorised step
+_BROADCAST_ELEMS = 1 << 22
+
+
 def sq_dists(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     """``(n, k)`` squared distances, summed difference by difference (no
     ``|x|^2 - 2xc + |c|^2`` cancellation), so argmin ties resolve like SQL."""
+    if X.shape[0] * C.shape[0] * X.shape[1] <= _BROADCAST_ELEMS:
+        diff = X[:, None, :] - C[None, :, :]
+        return np.einsum("ikd,ikd->ik", diff, diff)
     out = np.empty((X.shape[0], C.shape[0]))
     for c in range(C.shape[0]):
         diff = X - C[c]
@@ -206,6 +213,41 @@ def relabel_fn(spec: KernelSpec, keep: list[str], out_col: str = "sol"):
     return run
 
 
+def top_k_fn(P: int, k: int):
+    """R1 map side: per partition and chromosome, the k rows with the smallest
+    ``(u[p], row_id)``.  Only k candidates per chromosome are held, so memory
+    does not grow with the partition; the merge sees partitions*P*k rows."""
+
+    def run(batches):
+        best = [None] * P  # per chrom: (u, row_id, x) of at most k rows
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            U = matrix(b, "u", P)
+            rid = b.column(b.schema.get_field_index("row_id")).to_numpy()
+            xcol = b.column(b.schema.get_field_index("x")).flatten().to_numpy(zero_copy_only=False)
+            X = xcol.astype(np.float64).reshape(n, -1)
+            for p in range(P):
+                u, r, x = U[:, p], rid, X
+                if best[p] is not None:
+                    u = np.concatenate([best[p][0], u])
+                    r = np.concatenate([best[p][1], r])
+                    x = np.concatenate([best[p][2], x])
+                order = np.lexsort((r, u))[:k]
+                best[p] = (u[order], r[order], x[order].copy())
+        for p in range(P):
+            if best[p] is None:
+                continue
+            u, r, x = best[p]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(u), p, dtype=np.int32)), pa.array(u), pa.array(r), list_array(x, pa.float64())],
+                names=["chrom", "u", "row_id", "x"],
+            )
+
+    return run
+
+
 def predict_fn(centers: np.ndarray, d: int, keep: list[str]):
     """K8: nearest final centre and squared distance, one chromosome."""
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,8 +162,18 @@ def mutate(pop: Population, rate: float, seed: int, gen: int) -> Population:
     return Population(df, centres, st, pop.fitness.copy(), pop.n, pop.shift)
 
 
+def materialize(df: DataFrame, reliable: bool) -> DataFrame:
+    """Compute ``df`` once: a reliable checkpoint (lineage cut, survives executor
+    loss) or a persisted copy (lineage kept back to the last checkpoint)."""
+    if reliable:
+        return cut_lineage(df)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    return cached
+
+
 def kmo(pop: Population, accept: str = "better", kind: str = "squared",
-        block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[Population, np.ndarray]:
+        block_rows: int = DEFAULT_BLOCK_ROWS, checkpoint: bool = True) -> tuple[Population, np.ndarray]:
     """G9 (``accept="better"``) / G10 (``accept="always"``): one k-means step per slot.
 
     Pass 1 labels every point by the slot's centres and aggregates the
@@ -200,7 +211,7 @@ def kmo(pop: Population, accept: str = "better", kind: str = "squared",
     within = held.Q - np.einsum("pkd,pkd->pk", held.S, held.S) / np.where(held.n > 0, held.n, 1)
     held.E = np.where(held.n > 0, np.maximum(within, 0.0), 0.0)
     spec = K.KernelSpec(P, k, d, pop.shift, centers=pop.centers, sol_col="sol", reassign=take)
-    df = cut_lineage(pop.df.mapInArrow(K.relabel_fn(spec, base_cols(pop.df)), pop.df.schema))
+    df = materialize(pop.df.mapInArrow(K.relabel_fn(spec, base_cols(pop.df)), pop.df.schema), checkpoint)
     return Population(df, centres, held, fitness, pop.n, pop.shift), take
 
 

@@ -1,38 +1,38 @@
 """Seeded choice of k distinct rows as initial centres.
 
-Each chromosome ``chrom`` ranks rows by ``u(seed, chrom, row_id)`` (R0) and
-keeps the k smallest: ``orderBy(u).limit(k)`` plans as a per-partition top-k
-followed by a merge of ``partitions x k`` rows, never a full sort.
+Each chromosome ``chrom`` ranks rows by ``u(seed, tag, chrom, row_id)`` (R0)
+and keeps the k smallest: a per-partition top-k followed by a merge of
+``partitions x P x k`` rows, never a sort of the table.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evoclust.functions.vector import uniform
+from evoclust.operators import kernels as K
 
 
 def sample_centers(points: DataFrame, k: int, seed: int = 0, chrom: int | list[int] = 0, tag: str = "init") -> DataFrame:
-    """Initial centres ``(chrom, c, row_id, cx)``; ``c`` numbers the draws in order."""
+    """Initial centres ``(chrom, c, row_id, cx)``; ``c`` numbers the draws in order.
+
+    One pass for all chromosomes: the JVM computes the P hash draws per row,
+    a per-partition kernel keeps each chromosome's k smallest, and a window
+    over those ``partitions x P x k`` rows picks the final k per chromosome.
+    """
     chroms = [chrom] if isinstance(chrom, int) else list(chrom)
-    parts = []
-    for ch in chroms:
-        u = uniform(seed, tag, ch)
-        top = (
-            points.select("row_id", "x", u.alias("u"))
-            .orderBy("u", "row_id")
-            .limit(k)
-            .select(F.lit(ch).alias("chrom"), "row_id", F.col("x").alias("cx"), "u")
-        )
-        parts.append(top)
-    drawn = reduce(DataFrame.unionByName, parts)
-    # at most P*k rows: numbering them is a window over a tiny table
+    us = F.array(*[uniform(seed, tag, ch) for ch in chroms]).alias("u")
+    base = points.select(F.col("row_id").cast("bigint").alias("row_id"), F.col("x").cast("array<double>").alias("x"), us)
+    schema = "chrom int, u double, row_id bigint, x array<double>"
+    cand = base.mapInArrow(K.top_k_fn(len(chroms), k), schema)
     w = Window.partitionBy("chrom").orderBy("u", "row_id")
-    return drawn.select("chrom", (F.row_number().over(w) - 1).cast("int").alias("c"), "row_id", "cx")
+    ranked = cand.select("chrom", "row_id", "x", "u", (F.row_number().over(w) - 1).cast("int").alias("c"))
+    ids = F.array(*[F.lit(ch) for ch in chroms])
+    return ranked.filter(F.col("c") < k).select(
+        ids[F.col("chrom")].cast("int").alias("chrom"), "c", "row_id", F.col("x").alias("cx")
+    )
 
 
 def centers_array(centers: DataFrame, P: int, k: int, d: int) -> np.ndarray:
