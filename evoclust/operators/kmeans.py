@@ -111,7 +111,7 @@ def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFra
         centers = np.array([r["cx"] for r in rows], dtype=np.float64)
     C = np.asarray(centers, dtype=np.float64)
     K.check_broadcast(C)
-    keep = keep or [c for c in points.columns]
+    keep = keep or [c for c in points.columns if c not in ("cluster", "d2")]
     schema = T.StructType(points.select(*keep).schema.fields + [T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
     return points.mapInArrow(K.predict_fn(C, C.shape[1], keep), schema)
 

@@ -134,6 +134,21 @@ def init_population(points: DataFrame, P: int, k: int, seed: int = 0, kind: str
     return Population(df, centres, st, fit, n, shift)
 
 
+def from_labels(points: DataFrame, centers: np.ndarray, kind: str = "squared",
+                block_rows: int = DEFAULT_BLOCK_ROWS) -> Population:
+    """A population from given labels: ``points(row_id, pos, x, sol ARRAY<INT>)``
+    and per-slot centres ``(P, k, d)``; statistics and fitness are computed."""
+    C = np.asarray(centers, dtype=np.float64)
+    P, k, d = C.shape
+    K.check_broadcast(C)
+    shift = C.reshape(-1, d).mean(axis=0)
+    df = points.select(*base_cols(points), F.col("sol").cast("array<int>").alias("sol"))
+    spec = K.KernelSpec(P, k, d, shift, own_centers=C, sol_col="sol")
+    st = run_stats(df, spec)
+    fit = fitness_of(df, st, spec, kind, block_rows)
+    return Population(df, C, st, fit, int(st.n[0].sum()), shift)
+
+
 def cluster_sizes(pop: Population) -> DataFrame:
     """``(chrom, c, n)`` from the statistics held for the population."""
     spark = pop.df.sparkSession

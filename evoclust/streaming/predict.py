@@ -17,6 +17,6 @@ def assign_stream(points: DataFrame, centers) -> DataFrame:
     """
     C = np.asarray(centers, dtype=np.float64)
     K.check_broadcast(C)
-    keep = list(points.columns)
-    schema = T.StructType(points.schema.fields + [T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
+    keep = [c for c in points.columns if c not in ("cluster", "d2")]
+    schema = T.StructType([points.schema[c] for c in keep] + [T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
     return points.mapInArrow(K.predict_fn(C, C.shape[1], keep), schema)
