@@ -23,13 +23,15 @@ def _pairs(cnt: Column) -> Column:
     return c * (c - 1.0) / 2.0
 
 
-def pair_counts(df: DataFrame, label: str = "label", cluster: str = "cluster") -> DataFrame:
-    """One row ``(T, A, B, NP, rows)``: pairs together in both, in the same label,
-    in the same cluster, all pairs, and the row count."""
+def pair_counts(df: DataFrame, label: str = "label", cluster: str = "cluster", with_agreement: bool = False) -> DataFrame:
+    """One row ``(T, A, B, NP, rows[, agree])``: pairs together in both, in the
+    same label, in the same cluster, all pairs, the row count (and the rows
+    whose cluster id equals their label id)."""
     g = df.select(F.col(label).alias("l"), F.col(cluster).alias("k")).groupingSets(
         [["l", "k"], ["l"], ["k"], []], "l", "k"
     ).agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("gid"))
-    return g.agg(
+    extra = [F.sum(F.when((F.col("gid") == 0) & (F.col("l") == F.col("k")), F.col("cnt")).otherwise(0)).alias("agree")]
+    return g.agg(*(extra if with_agreement else []),
         F.sum(F.when(F.col("gid") == 0, _pairs(F.col("cnt")))).alias("T"),
         F.sum(F.when(F.col("gid") == 1, _pairs(F.col("cnt")))).alias("A"),
         F.sum(F.when(F.col("gid") == 2, _pairs(F.col("cnt")))).alias("B"),

@@ -8,6 +8,8 @@
   blocks and emits per-point, per-cluster distance sums, never the pairs.
 * ``davies_bouldin`` (E7): centroids and scatter per cluster, then the k x k
   cluster-pair ratios evaluated in one row of k structs (k bounded).
+* ``sse`` / ``cluster_scatter`` (A5, A10): statistics passes, no join, so a hot
+  cluster never concentrates rows in one task.
 """
 
 from __future__ import annotations
@@ -20,34 +22,71 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evoclust.functions.vector import dist, sq_dist
+from evoclust.functions.vector import dist
 from evoclust.operators import kernels as K
-from evoclust.operators.kmeans import Stats, cluster_stats, dimension, run_stats
+from evoclust.operators.kmeans import Stats, dimension, run_stats
 
 DEFAULT_BLOCK_ROWS = 2048
 
 
-def sse(df: DataFrame, cluster: str = "cluster", centers: DataFrame | None = None) -> DataFrame:
-    """A5: total squared distance to the assigned centre (member means when no centres given)."""
+def _labelled(df: DataFrame, cluster: str) -> DataFrame:
+    return df.select("row_id", "x", F.array(F.col(cluster).cast("int")).alias("sol"))
+
+
+def label_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, int, int]:
+    """One pass: per-cluster ``n``, sums and sums of squares of a labelling; (stats, k, d)."""
+    d = dimension(df)
+    k = _k_of(df, cluster)
+    shift = np.asarray(df.select("x").first()["x"], dtype=np.float64)
+    return run_stats(_labelled(df, cluster), K.KernelSpec(1, k, d, shift, sol_col="sol")), k, d
+
+
+def sse(df: DataFrame, cluster: str = "cluster", centers=None) -> DataFrame:
+    """A5: total squared distance to the assigned centre.
+
+    Without centres the member means are used and the closed form
+    ``sum_c (Q_c - |S_c|^2 / n_c)`` of one statistics pass gives it; with
+    centres (``(k, d)`` array) one pass sums the distances.  No join, so a
+    cluster holding a third of the rows costs nothing extra.
+    """
+    spark = df.sparkSession
     if centers is None:
-        centers = cluster_stats(df, cluster).select("c", F.col("center").alias("cx"))
-    cen = F.broadcast(centers.select(F.col("c").alias("_c"), "cx"))
-    j = df.join(cen, F.col(cluster) == F.col("_c"))
-    return j.agg(F.sum(sq_dist("x", "cx")).alias("sse"))
+        st, _, _ = label_stats(df, cluster)
+        value = float(st.sse_to_means()[0])
+    else:
+        C = np.asarray(centers, dtype=np.float64)
+        K.check_broadcast(C)
+        spec = K.KernelSpec(1, C.shape[0], C.shape[1], C.mean(axis=0), own_centers=C[None], sol_col="sol")
+        value = float(run_stats(_labelled(df, cluster), spec).E.sum())
+    return spark.createDataFrame([(value,)], "sse double")
+
+
+def scatter_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, np.ndarray, np.ndarray]:
+    """A10 on the driver: stats, centroids ``(k, d)`` and scatter ``(k,)``
+    (mean Euclidean distance of members to their centroid): two passes."""
+    st, k, d = label_stats(df, cluster)
+    cen = st.means(np.zeros((1, k, d)))[0]
+    spec = K.KernelSpec(1, k, d, st.shift, own_centers=cen[None], sol_col="sol", root_e=True)
+    root = run_stats(_labelled(df, cluster), spec)
+    n = st.n[0]
+    scatter = np.where(n > 0, root.E[0] / np.where(n > 0, n, 1), 0.0)
+    return st, cen, scatter
 
 
 def cluster_scatter(df: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """A10: ``(c, n, center, scatter)``; scatter = mean Euclidean distance of members to their centroid."""
-    stats = cluster_stats(df, cluster).select("c", "n", "center")
-    cen = F.broadcast(stats.select(F.col("c").alias("_c"), "center"))
-    s = df.join(cen, F.col(cluster) == F.col("_c")).groupBy(F.col("_c").alias("c")).agg(
-        F.avg(dist("x", "center")).alias("scatter")
-    )
-    return stats.join(s, "c")
+    """A10: ``(c, n, center, scatter)`` for the non-empty clusters."""
+    st, cen, scatter = scatter_stats(df, cluster)
+    rows = [(int(c), int(st.n[0, c]), [float(v) for v in cen[c]], float(scatter[c]))
+            for c in range(cen.shape[0]) if st.n[0, c] > 0]
+    return df.sparkSession.createDataFrame(rows, "c int, n bigint, center array<double>, scatter double")
 
 
 def davies_bouldin(df: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """Mean over clusters of max_j (S_i + S_j) / d(c_i, c_j)."""
+    """Mean over clusters of max_j (S_i + S_j) / d(c_i, c_j).
+
+    The k cluster rows are folded into one row of k structs (k is bounded by
+    the clustering, not by the data) and the k x k ratios are evaluated there.
+    """
     sc = cluster_scatter(df, cluster)
     one = sc.agg(F.collect_list(F.struct("c", "center", "scatter")).alias("cl"))
 
@@ -61,11 +100,14 @@ def davies_bouldin(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     return one.select((total / F.size("cl")).alias("davies_bouldin"))
 
 
-def _label_stats(df: DataFrame, cluster: str, k: int, d: int) -> tuple[Stats, DataFrame]:
-    pts = df.select("row_id", "x", F.array(F.col(cluster).cast("int")).alias("sol"))
-    shift = np.asarray(df.select("x").first()["x"], dtype=np.float64)
-    spec = K.KernelSpec(1, k, d, shift, sol_col="sol")
-    return run_stats(pts, spec), pts
+def davies_bouldin_value(cen: np.ndarray, scatter: np.ndarray, n: np.ndarray) -> float:
+    """E7 from centroids and scatters already on the driver (k x d numbers)."""
+    used = np.nonzero(n > 0)[0]
+    ratios = []
+    for i in used:
+        r = [(scatter[i] + scatter[j]) / np.sqrt(((cen[i] - cen[j]) ** 2).sum()) for j in used if j != i]
+        ratios.append(max(r))
+    return float(np.mean(ratios))
 
 
 def _k_of(df: DataFrame, cluster: str) -> int:
@@ -75,11 +117,10 @@ def _k_of(df: DataFrame, cluster: str) -> int:
     return int(row["hi"]) + 1
 
 
-def silhouette_squared(df: DataFrame, cluster: str = "cluster") -> DataFrame:
+def silhouette_squared(df: DataFrame, cluster: str = "cluster", stats: tuple | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance (closed form)."""
-    d = dimension(df)
-    k = _k_of(df, cluster)
-    st, pts = _label_stats(df, cluster, k, d)
+    st, k, d = stats or label_stats(df, cluster)
+    pts = _labelled(df, cluster)
     if (st.n[0] > 0).sum() < 2:
         raise ValueError("silhouette needs at least 2 non-empty clusters")
     spec = K.KernelSpec(1, k, d, st.shift, sol_col="sol")

@@ -23,13 +23,13 @@ PARTIAL_SCHEMA = "chrom int, c int, j int, n bigint, v double, q double, e doubl
 SIL_PARTIAL_SCHEMA = "chrom int, s double, m bigint"
 
 
-def check_broadcast(*arrays: np.ndarray, limit: int = MAX_CLOSURE_BYTES) -> int:
+def check_broadcast(*arrays: np.ndarray, limit: int | None = None) -> int:
+    limit = MAX_CLOSURE_BYTES if limit is None else limit
     size = int(sum(np.asarray(a).nbytes for a in arrays))
     if size > limit:
         raise ValueError(
             f"centres/statistics need {size} bytes, above the {limit} byte bound for "
-            "shipping them to every task; fit fewer chromosomes per pass (chunk_size) "
-            "or reduce k*d"
+            "shipping them to every task: one chromosome's k x d centres must fit"
         )
     return size
 
@@ -89,6 +89,13 @@ class KernelSpec:
     own_centers: np.ndarray | None = None  # (P, k, d): labels from sol, e = distance to own centre
     sol_col: str | None = None  # labels come from this ARRAY<INT> column when centers is None
     reassign: np.ndarray | None = None  # (P,) bool: which slots take nearest-centre labels
+    root_e: bool = False  # accumulate Euclidean (not squared) distances in e
+
+    def chunk(self, lo: int, hi: int, sol_col: str | None = None) -> "KernelSpec":
+        """The same pass restricted to slots lo..hi-1 (``sol`` already sliced)."""
+        pick = lambda a: None if a is None else a[lo:hi]
+        return KernelSpec(hi - lo, self.k, self.d, self.shift, pick(self.centers), pick(self.own_centers),
+                          sol_col or self.sol_col, pick(self.reassign), self.root_e)
 
 
 def _labels(spec: KernelSpec, batch: pa.RecordBatch, X: np.ndarray):
@@ -105,6 +112,8 @@ def _labels(spec: KernelSpec, batch: pa.RecordBatch, X: np.ndarray):
                 e = np.einsum("ij,ij->i", diff, diff)
             else:
                 e = np.zeros(X.shape[0])
+        if spec.root_e:
+            e = np.sqrt(e)
         yield p, lab, e
 
 
@@ -197,16 +206,23 @@ def silhouette_partial_fn(spec: KernelSpec, n: np.ndarray, S: np.ndarray, Q: np.
     return run
 
 
-def relabel_fn(spec: KernelSpec, keep: list[str], out_col: str = "sol"):
-    """Per-row labels for all slots: nearest centre where ``reassign`` (or
-    everywhere when there is no ``sol`` yet), else the labels held."""
+def relabel_fn(P: int, k: int, d: int, centers: np.ndarray, lo: int, reassign: np.ndarray | None,
+               keep: list[str], sol_col: str | None, out_col: str = "sol"):
+    """Per-row labels: slots ``lo .. lo+len(centers)-1`` take the nearest of their
+    centres (where ``reassign``); every other slot keeps the label held in
+    ``sol_col`` (0 when there is none yet).  Only this chunk's centres are held."""
 
     def run(batches):
         for b in batches:
-            X = matrix(b, "x", spec.d)
-            labs = np.zeros((b.num_rows, spec.P), dtype=np.int32)
-            for p, lab, _ in _labels(spec, b, X):
-                labs[:, p] = lab
+            X = matrix(b, "x", d)
+            if sol_col is not None and sol_col in b.schema.names:
+                labs = matrix(b, sol_col, P, np.int32).copy()
+            else:
+                labs = np.zeros((b.num_rows, P), dtype=np.int32)
+            for i in range(centers.shape[0]):
+                p = lo + i
+                if reassign is None or reassign[p]:
+                    labs[:, p] = nearest(X, centers[i])[0]
             cols = [b.column(b.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(cols + [list_array(labs, pa.int32())], names=keep + [out_col])
 

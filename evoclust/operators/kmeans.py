@@ -64,9 +64,23 @@ class Stats:
         return Stats(self.n[src], self.S[src], self.Q[src], self.E[src], self.shift)
 
 
-def run_stats(points: DataFrame, spec: K.KernelSpec) -> Stats:
-    """One distributed pass: kernel partials + groupBy merge, P*k rows collected."""
-    K.check_broadcast(*(a for a in (spec.centers, spec.own_centers) if a is not None))
+def _chunks(spec: K.KernelSpec, per_slot_bytes: int) -> list[tuple[int, int]]:
+    """Slot ranges whose closure data stays under the broadcast bound."""
+    if per_slot_bytes > K.MAX_CLOSURE_BYTES:
+        K.check_broadcast(np.zeros(per_slot_bytes // 8 + 1))  # raises with the explanation
+    step = max(1, K.MAX_CLOSURE_BYTES // max(per_slot_bytes, 1))
+    return [(lo, min(lo + step, spec.P)) for lo in range(0, spec.P, step)]
+
+
+def _slice_sol(points: DataFrame, spec: K.KernelSpec, lo: int, hi: int) -> tuple[DataFrame, K.KernelSpec]:
+    if spec.sol_col is None or (lo == 0 and hi == spec.P):
+        return points, spec.chunk(lo, hi)
+    cols = [c for c in points.columns if c != spec.sol_col]
+    sliced = points.select(*cols, F.slice(spec.sol_col, lo + 1, hi - lo).alias(spec.sol_col))
+    return sliced, spec.chunk(lo, hi)
+
+
+def _stats_pass(points: DataFrame, spec: K.KernelSpec) -> Stats:
     partials = points.mapInArrow(K.partial_stats_fn(spec), K.PARTIAL_SCHEMA)
     # at most P*k*(d+1) rows: the size of the centres themselves
     tbl = combine_partials(partials).toArrow()
@@ -88,19 +102,57 @@ def run_stats(points: DataFrame, spec: K.KernelSpec) -> Stats:
     return Stats(n, S, Q, E, spec.shift)
 
 
+def run_stats(points: DataFrame, spec: K.KernelSpec) -> Stats:
+    """One distributed pass: kernel partials + groupBy merge, P*k*(d+1) rows collected.
+
+    Centres travel in the task closure; when P*k*d exceeds the bound the
+    slots are split over several passes, each under it.
+    """
+    per_slot = spec.k * spec.d * 8 * sum(a is not None for a in (spec.centers, spec.own_centers))
+    parts = []
+    for lo, hi in _chunks(spec, per_slot):
+        pts, sub = _slice_sol(points, spec, lo, hi)
+        parts.append(_stats_pass(pts, sub))
+    if len(parts) == 1:
+        return parts[0]
+    return Stats(*(np.concatenate([getattr(s, f) for s in parts]) for f in ("n", "S", "Q", "E")), spec.shift)
+
+
 def run_silhouette(points: DataFrame, spec: K.KernelSpec, stats: Stats) -> np.ndarray:
     """E6 for every chromosome slot in one pass; -1 where fewer than 2 clusters are used (Q13)."""
-    K.check_broadcast(stats.S, *(a for a in (spec.centers,) if a is not None))
-    part = points.mapInArrow(K.silhouette_partial_fn(spec, stats.n, stats.S, stats.Q), K.SIL_PARTIAL_SCHEMA)
-    rows = part.groupBy("chrom").agg(F.sum("s").alias("s"), F.sum("m").alias("m")).collect()
+    per_slot = spec.k * spec.d * 8 * (1 + (spec.centers is not None))
     fit = np.full(spec.P, -1.0)
-    for r in rows:
-        if r["m"]:
-            fit[r["chrom"]] = r["s"] / r["m"]
+    for lo, hi in _chunks(spec, per_slot):
+        pts, sub = _slice_sol(points, spec, lo, hi)
+        part = pts.mapInArrow(
+            K.silhouette_partial_fn(sub, stats.n[lo:hi], stats.S[lo:hi], stats.Q[lo:hi]), K.SIL_PARTIAL_SCHEMA
+        )
+        for r in part.groupBy("chrom").agg(F.sum("s").alias("s"), F.sum("m").alias("m")).collect():
+            if r["m"]:
+                fit[lo + r["chrom"]] = r["s"] / r["m"]
     used = (stats.n > 0).sum(axis=1)
     return np.where(used >= 2, fit, -1.0)
 
 
+def relabel(points: DataFrame, centers: np.ndarray, keep: list[str], sol_col: str | None = "sol",
+            reassign: np.ndarray | None = None) -> DataFrame:
+    """``keep`` columns plus ``sol ARRAY<INT>[P]``: nearest-centre labels for the
+    slots in ``reassign`` (all when None), held labels elsewhere.  Slots are
+    split into chained narrow passes when the centres exceed the bound."""
+    P, k, d = centers.shape
+    per_slot = k * d * 8
+    spec = K.KernelSpec(P, k, d, np.zeros(d))
+    out = points
+    fields = [points.schema[c] for c in keep] + [T.StructField("sol", T.ArrayType(T.IntegerType()))]
+    for lo, hi in _chunks(spec, per_slot):
+        src_sol = sol_col if lo == 0 else "sol"
+        cols = keep + ([src_sol] if src_sol and src_sol in out.columns and src_sol not in keep else [])
+        out = out.select(*cols).mapInArrow(
+            K.relabel_fn(P, k, d, centers[lo:hi], lo, reassign, keep, src_sol), T.StructType(fields)
+        )
+    return out
+
+
 def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFrame:
     """Nearest centre ``cluster`` (ties to the lowest id) and its ``d2``.
 

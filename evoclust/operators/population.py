@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from evoclust.functions.vector import uniform
 from evoclust.operators import kernels as K
 from evoclust.operators.internal import DEFAULT_BLOCK_ROWS, exact_silhouette_partials
-from evoclust.operators.kmeans import Stats, run_silhouette, run_stats
+from evoclust.operators.kmeans import Stats, relabel, run_silhouette, run_stats
 from evoclust.operators.sampling import centers_array, sample_centers
 from evoclust.session import cut_lineage
 
@@ -122,11 +122,8 @@ def init_population(points: DataFrame, P: int, k: int, seed: int = 0, kind: str
     base = points.select(*base_cols(points))
     d = len(base.select("x").first()["x"])
     centres = centers_array(sample_centers(base, k, seed, list(range(P))), P, k, d)
-    K.check_broadcast(centres)
     shift = centres.reshape(-1, d).mean(axis=0)
-    spec = K.KernelSpec(P, k, d, shift, centers=centres)
-    schema = T.StructType(base.schema.fields + [T.StructField("sol", T.ArrayType(T.IntegerType()))])
-    df = cut_lineage(base.mapInArrow(K.relabel_fn(spec, base_cols(base)), schema))
+    df = cut_lineage(relabel(base, centres, base_cols(base), sol_col=None))
     lab_spec = K.KernelSpec(P, k, d, shift, own_centers=centres, sol_col="sol")
     st = run_stats(df, lab_spec)
     n = int(st.n[0].sum())
@@ -140,7 +137,6 @@ def from_labels(points: DataFrame, centers: np.ndarray, kind: str = "squared",
     and per-slot centres ``(P, k, d)``; statistics and fitness are computed."""
     C = np.asarray(centers, dtype=np.float64)
     P, k, d = C.shape
-    K.check_broadcast(C)
     shift = C.reshape(-1, d).mean(axis=0)
     df = points.select(*base_cols(points), F.col("sol").cast("array<int>").alias("sol"))
     spec = K.KernelSpec(P, k, d, shift, own_centers=C, sol_col="sol")
@@ -203,7 +199,7 @@ def kmo(pop: Population, accept: str = "better", kind: str = "squared",
         cand = run_stats(pop.df, cand_spec)
         cand_fit = fitness_of(pop.df, cand, cand_spec, kind, block_rows)
     else:
-        cand_df = pop.df.mapInArrow(K.relabel_fn(cand_spec, base_cols(pop.df)), pop.df.schema)
+        cand_df = relabel(pop.df, pop.centers, base_cols(pop.df))
         lab_spec = K.KernelSpec(P, k, d, pop.shift, sol_col="sol")
         cand = run_stats(cand_df, lab_spec)
         cand_fit = fitness_of(cand_df, cand, lab_spec, kind, block_rows)
@@ -225,8 +221,7 @@ def kmo(pop: Population, accept: str = "better", kind: str = "squared",
     # SSE of the held labels against the new centres (= their means): closed form
     within = held.Q - np.einsum("pkd,pkd->pk", held.S, held.S) / np.where(held.n > 0, held.n, 1)
     held.E = np.where(held.n > 0, np.maximum(within, 0.0), 0.0)
-    spec = K.KernelSpec(P, k, d, pop.shift, centers=pop.centers, sol_col="sol", reassign=take)
-    df = materialize(pop.df.mapInArrow(K.relabel_fn(spec, base_cols(pop.df)), pop.df.schema), checkpoint)
+    df = materialize(relabel(pop.df, pop.centers, base_cols(pop.df), reassign=take), checkpoint)
     return Population(df, centres, held, fitness, pop.n, pop.shift), take
 
 

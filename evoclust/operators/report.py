@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evoclust.operators.external import ari_expr, fm_expr, pair_counts, pair_jaccard_expr
-from evoclust.operators.internal import davies_bouldin, silhouette_exact, silhouette_squared, sse
+from evoclust.operators.internal import davies_bouldin_value, scatter_stats, silhouette_exact, silhouette_squared
 
 # Report lines in the reference's order and wording.
 REPORT_LINES = (
@@ -24,36 +22,38 @@ REPORT_LINES = (
 )
 
 
-def _metric(df: DataFrame, col: str, name: str, kind: str) -> DataFrame:
-    return df.select(F.lit(name).alias("metric"), F.lit(kind).alias("kind"), F.col(col).cast("double").alias("value"))
-
-
 def evaluate(df: DataFrame, label: str = "label", cluster: str = "cluster", silhouette: str = "squared",
              time_ms: float | None = None, with_sse: bool = True) -> DataFrame:
     """``metrics(metric, kind, value)`` for a labelled clustering ``(row_id, x, label, cluster)``.
 
-    External indices come from one grouping-sets aggregation; internal ones
-    from the cluster statistics (Q12: ``kind`` says external / internal).
+    Passes: one grouping-sets aggregation for every external index (label
+    agreement included), one statistics pass (SSE in closed form, centroids),
+    one scatter pass (Davies-Bouldin) and one silhouette pass.  Q12: ``kind``
+    says external / internal.
     """
     spark = df.sparkSession
-    pc = pair_counts(df, label, cluster).select(
-        ari_expr().alias("ari"), fm_expr().alias("fm"), pair_jaccard_expr().alias("pj")
-    )
-    agree = df.agg(F.avg((F.col(label) == F.col(cluster)).cast("double")).alias("v"))
-    parts = [
-        _metric(pc, "ari", "ari", "external"),
-        _metric(agree, "v", "label_agreement", "external"),
-        _metric(pc, "fm", "fowlkes_mallows", "external"),
-        _metric(pc, "pj", "pair_jaccard", "external"),
+    pc = pair_counts(df, label, cluster, with_agreement=True).select(
+        ari_expr().alias("ari"), F.col("agree") / F.col("rows"), fm_expr().alias("fm"), pair_jaccard_expr().alias("pj")
+    ).first()
+    st, cen, scatter = scatter_stats(df, cluster)
+    k, d = cen.shape
+    if silhouette == "exact":
+        sil = silhouette_exact(df, cluster).first()[0]
+    else:
+        sil = silhouette_squared(df, cluster, stats=(st, k, d)).first()[0]
+    rows = [
+        ("ari", "external", float(pc[0])),
+        ("label_agreement", "external", float(pc[1])),
+        ("fowlkes_mallows", "external", float(pc[2])),
+        ("pair_jaccard", "external", float(pc[3])),
+        ("silhouette", "internal", float(sil)),
+        ("davies_bouldin", "internal", davies_bouldin_value(cen, scatter, st.n[0])),
     ]
-    sil = silhouette_exact(df, cluster) if silhouette == "exact" else silhouette_squared(df, cluster)
-    parts.append(_metric(sil, sil.columns[0], "silhouette", "internal"))
-    parts.append(_metric(davies_bouldin(df, cluster), "davies_bouldin", "davies_bouldin", "internal"))
     if with_sse:
-        parts.append(_metric(sse(df, cluster), "sse", "sse", "internal"))
+        rows.append(("sse", "internal", float(st.sse_to_means()[0])))
     if time_ms is not None:
-        parts.append(spark.createDataFrame([("time_ms", "run", float(time_ms))], "metric string, kind string, value double"))
-    return reduce(DataFrame.unionByName, parts)
+        rows.append(("time_ms", "run", float(time_ms)))
+    return spark.createDataFrame(rows, "metric string, kind string, value double")
 
 
 def format_report(metrics: DataFrame) -> str:

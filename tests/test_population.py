@@ -112,3 +112,23 @@ def test_fit_options_validated():
         GeneticKMeans(pairing="star")._check()
     with pytest.raises(ValueError):
         GeneticKMeans(population=10, crossover=1.0)._check()
+
+
+def test_chunked_passes_give_the_same_population(spark, monkeypatch):
+    """Above the broadcast bound the slots are split over several passes: same result."""
+    from evoclust.operators import kernels as K
+
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    whole = init_population(pts, 3, 4, seed=5)
+    w2, wt = kmo(whole, "always", checkpoint=False)
+    monkeypatch.setattr(K, "MAX_CLOSURE_BYTES", 2 * 4 * 64 * 8 + 100)  # one or two chromosomes per pass
+    parts = init_population(pts, 3, 4, seed=5)
+    p2, pt = kmo(parts, "always", checkpoint=False)
+    assert np.allclose(whole.fitness, parts.fitness) and np.allclose(w2.fitness, p2.fitness)
+    assert (whole.stats.n == parts.stats.n).all() and np.allclose(w2.centers, p2.centers)
+    a = sorted((r["row_id"], tuple(r["sol"])) for r in w2.df.select("row_id", "sol").collect())
+    b = sorted((r["row_id"], tuple(r["sol"])) for r in p2.df.select("row_id", "sol").collect())
+    assert a == b
+    monkeypatch.setattr(K, "MAX_CLOSURE_BYTES", 100)  # not even one chromosome fits
+    with pytest.raises(ValueError):
+        init_population(pts, 3, 4, seed=5)
