@@ -148,6 +148,7 @@ class GeneticKMeans:
     block_rows: int = DEFAULT_BLOCK_ROWS
     track_ari: bool = True
     checkpoint_every: int = 5  # reliable checkpoint of the labels every N generations
+    fuse: bool = True  # 3 passes per generation instead of 6 (when the options allow)
     _log: list = field(default_factory=list, repr=False)
 
     def _check(self):
@@ -266,6 +267,101 @@ class GeneticKMeans:
             return pop
         return self._crossover_step(pop, pairs, cuts, gen, 0)
 
+    # ------------------------------------------------------------ fused generation
+
+    def _can_fuse(self) -> bool:
+        return (self.fuse and self.pairing == "disjoint" and self.second_child == "aligned"
+                and self.child_centers == "means" and self.fitness == "squared" and self.mutation_rate == 0)
+
+    def _generation_fused(self, pop: Population, gen: int, track: bool, after_first_pass, reliable: bool):
+        """Crossover + KMO of one generation in three passes (see ``operators.fused``)."""
+        from evoclust.operators.fused import (
+            CONT_CAND,
+            CONT_HELD,
+            ari_from_cells,
+            candidates_and_contingency_fn,
+            children_and_candidates_fn,
+            run_fused,
+        )
+        from evoclust.operators.kmeans import Stats, relabel, run_stats
+        from evoclust.operators.population import materialize
+
+        P, k, d, shift = pop.P, pop.k, pop.d, pop.shift
+        ranks = crossover_ranks(P, self.crossover, self.seed, gen)
+        pairs = self._pairs(ranks)
+        cuts = [cut_point(pop.n, self.seed, gen, i) for i in range(len(pairs))]
+        child_cols = []
+        for (a, b), cut in zip(pairs, cuts):
+            child_cols += [child_slot(a, b, cut), child_slot(b, a, cut)]
+        m2 = len(child_cols)
+        parent_cols = [F.col("sol")[p] for p in range(P)]
+
+        # pass A: statistics of the children (materialises the previous relabel)
+        if m2:
+            frame_a = pop.df.select("row_id", "x", F.array(*child_cols).alias("sol"))
+            cst = run_stats(frame_a, K.KernelSpec(m2, k, d, shift, sol_col="sol"))
+            after_first_pass()
+            child_centres = cst.means(np.repeat(pop.centers[:1], m2, axis=0))
+        else:
+            cst = Stats(np.zeros((0, k), dtype=np.int64), np.zeros((0, k, d)), np.zeros((0, k)), np.zeros((0, k)), shift)
+            child_centres = np.zeros((0, k, d))
+        all_centres = np.concatenate([pop.centers, child_centres])
+        K.check_broadcast(all_centres, cst.S)
+
+        # pass B: children fitness + candidate statistics of every possible slot content
+        frame_b = pop.df.select("row_id", "x", F.array(*parent_cols, *child_cols).alias("sol"))
+        cand_all, sil, _ = run_fused(
+            frame_b, children_and_candidates_fn(P, m2, k, d, shift, cst.n, cst.S, cst.Q, all_centres), P + m2, k, d, shift
+        )
+        if not m2:
+            after_first_pass()
+        child_fit = np.array([sil[i][0] / sil[i][1] if sil.get(i, (0, 0))[1] else -1.0 for i in range(m2)])
+        child_fit = np.where((cst.n > 0).sum(axis=1) >= 2, child_fit, -1.0)
+
+        # family competition on the driver
+        src = list(range(P))
+        fit = list(pop.fitness) + list(child_fit)
+        for i, (a, b) in enumerate(pairs):
+            cand = [a, b, P + 2 * i, P + 2 * i + 1]
+            win = family_competition([fit[c] for c in cand])
+            new_a, new_b = cand[win[0]], cand[win[1]]
+            src[a], src[b] = new_a, new_b
+        held = Stats(
+            np.concatenate([pop.stats.n, cst.n])[src], np.concatenate([pop.stats.S, cst.S])[src],
+            np.concatenate([pop.stats.Q, cst.Q])[src], np.concatenate([pop.stats.E, cst.E])[src], shift,
+        )
+        fitness = np.array([fit[s] for s in src])
+        centres = all_centres[src]
+        self._logpop(gen, "crossover", fitness)
+        slot_cols = [parent_cols[s] if s < P else child_cols[s - P] for s in src]
+        frame_c = pop.df.select(*base_cols(pop.df), F.array(*slot_cols).alias("sol"))
+
+        # pass C: candidate fitness + contingency for the ARI
+        cand = cand_all.take(src)
+        _, sil, cont = run_fused(
+            frame_c, candidates_and_contingency_fn(P, k, d, shift, centres, cand.n, cand.S, cand.Q, track), P, k, d, shift
+        )
+        cand_fit = np.array([sil[p][0] / sil[p][1] if sil.get(p, (0, 0))[1] else -1.0 for p in range(P)])
+        cand_fit = np.where((cand.n > 0).sum(axis=1) >= 2, cand_fit, -1.0)
+        take = cand_fit > fitness if self.kmo == "better" else np.ones(P, dtype=bool)
+        kept = Stats(
+            np.where(take[:, None], cand.n, held.n), np.where(take[:, None, None], cand.S, held.S),
+            np.where(take[:, None], cand.Q, held.Q), np.zeros((P, k)), shift,
+        )
+        within = kept.Q - np.einsum("pkd,pkd->pk", kept.S, kept.S) / np.where(kept.n > 0, kept.n, 1)
+        kept.E = np.where(kept.n > 0, np.maximum(within, 0.0), 0.0)
+        new_fit = np.where(take, cand_fit, fitness)
+        new_centres = kept.means(centres)
+        df = relabel(frame_c, centres, base_cols(frame_c), reassign=take)
+        df = materialize(df, True) if reliable else df.persist(StorageLevel.MEMORY_AND_DISK)
+        new = Population(df, new_centres, kept, new_fit, pop.n, shift)
+        ari = None
+        if track:
+            best = rank_order(new_fit)[0]
+            kind = CONT_CAND if take[best] else CONT_HELD
+            ari = ari_from_cells({(lab, c): n for (kd, ch, lab, c), n in cont.items() if kd == kind and ch == best})
+        return new, ari
+
     # ------------------------------------------------------------ fit
 
     def _logpop(self, gen: int, stage: str, fitness):
@@ -285,11 +381,38 @@ class GeneticKMeans:
         pop = init_population(points, self.population, self.k, self.seed, self.fitness, self.block_rows)
         self._logpop(0, "init", pop.fitness)
         fit_h, sse_h, ari_h, cen_h = [], [], [], []
-        cached = None
+        cached = older = None
+        fused = self._can_fuse()
         for gen in range(1, self.generations + 1):
             src = select_survivors(pop.fitness, self.survival, self.seed, gen, self.elite)
             pop = pop.take(src)
             self._logpop(gen, "selection", pop.fitness)
+            if fused:
+                # ``cached`` (this generation's input) is computed lazily by the
+                # first pass below from ``older``, which can go right after it
+                reliable = gen % max(self.checkpoint_every, 1) == 0 or gen == self.generations
+                release = [older] if older is not None else []
+
+                def after_first_pass(release=release):
+                    for df in release:
+                        df.unpersist()
+                    release.clear()
+
+                pop, ari = self._generation_fused(pop, gen, track, after_first_pass, reliable)
+                after_first_pass()
+                if reliable:  # the new labels are on reliable storage: drop every cache
+                    if cached is not None:
+                        cached.unpersist()
+                    older, cached = None, None
+                else:
+                    older, cached = cached, pop.df
+                self._logpop(gen, "kmo", pop.fitness)
+                best = rank_order(pop.fitness)[0]
+                fit_h.append(float(pop.fitness[best]))
+                sse_h.append(float(pop.sse()[best]))
+                cen_h.append(pop.centers[best].copy())
+                ari_h.append(ari)
+                continue
             pop = self.crossover_population(pop, gen)
             self._logpop(gen, "crossover", pop.fitness)
             if self.mutation_rate > 0:

@@ -132,3 +132,18 @@ def test_chunked_passes_give_the_same_population(spark, monkeypatch):
     monkeypatch.setattr(K, "MAX_CLOSURE_BYTES", 100)  # not even one chromosome fits
     with pytest.raises(ValueError):
         init_population(pts, 3, 4, seed=5)
+
+
+def test_fused_generations_equal_unfused(spark):
+    """The 3-pass generation takes the same decisions as the 6-pass one."""
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    kw = dict(population=6, k=5, generations=3, seed=4, checkpoint_every=2)
+    a = GeneticKMeans(fuse=True, **kw).fit(pts)
+    b = GeneticKMeans(fuse=False, **kw).fit(pts)
+    assert np.allclose(a.fitness_history, b.fitness_history, atol=1e-12)
+    assert np.allclose(a.sse_history, b.sse_history, rtol=1e-9)
+    assert np.allclose(a.ari_history, b.ari_history, atol=1e-12)
+    assert np.allclose(a.population.fitness, b.population.fitness, atol=1e-12)
+    la = sorted((r["row_id"], r["cluster"]) for r in a.labels().collect())
+    lb = sorted((r["row_id"], r["cluster"]) for r in b.labels().collect())
+    assert la == lb
