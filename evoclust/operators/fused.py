@@ -36,10 +36,8 @@ class _Acc:
         self.E = np.zeros((P, k))
 
     def add(self, p, lab, Xs, sq, e, k):
-        onehot = np.zeros((Xs.shape[0], k))
-        onehot[np.arange(Xs.shape[0]), lab] = 1.0
         self.n[p] += np.bincount(lab, minlength=k)[:k]
-        self.S[p] += onehot.T @ Xs
+        self.S[p] += K.cluster_sums(lab, Xs, k)
         self.Q[p] += np.bincount(lab, weights=sq, minlength=k)[:k]
         self.E[p] += np.bincount(lab, weights=e, minlength=k)[:k]
 
@@ -146,7 +144,9 @@ def candidates_and_contingency_fn(P: int, k: int, d: int, shift, centres, cand_n
             Xs = X - shift
             sq = np.einsum("ij,ij->i", Xs, Xs)
             held = K.matrix(b, "sol", P, np.int64)
-            lab_col = b.column(b.schema.get_field_index("label")).to_numpy(zero_copy_only=False) if with_label else None
+            if with_label:
+                lab_col = b.column(b.schema.get_field_index("label")).to_numpy(zero_copy_only=False)
+                values, code = np.unique(lab_col.astype(np.int64), return_inverse=True)
             for p in range(P):
                 cand, _ = K.nearest(X, centres[p])
                 s = _sil_values(Xs, sq, cand, cand_n[p], mS[p], mQ[p])
@@ -154,11 +154,10 @@ def candidates_and_contingency_fn(P: int, k: int, d: int, shift, centres, cand_n
                 s_cnt[p] += X.shape[0]
                 if with_label:
                     for kind, labs in ((CONT_CAND, cand), (CONT_HELD, held[:, p])):
-                        pairs, cnt = np.unique(np.stack([lab_col.astype(np.int64), labs.astype(np.int64)]), axis=1,
-                                               return_counts=True)
-                        for (lv, cv), c in zip(pairs.T, cnt):
-                            key = (kind, p, int(cv), int(lv))
-                            cont[key] = cont.get(key, 0) + int(c)
+                        cells = np.bincount(code * k + labs, minlength=len(values) * k)
+                        for cell in np.nonzero(cells)[0]:
+                            key = (kind, p, int(cell % k), int(values[cell // k]))
+                            cont[key] = cont.get(key, 0) + int(cells[cell])
         parts = [_scalar_rows(SIL, np.arange(P), np.full(P, -1), np.zeros(P), s_cnt, s_sum)]
         if cont:
             keys = np.array(list(cont.keys()))

@@ -53,23 +53,34 @@ def list_array(values: np.ndarray, pa_type) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1), type=pa_type))
 
 
-# elements of the (n, k, d) difference tensor computed in one vectorised step
-_BROADCAST_ELEMS = 1 << 22
-
-
 def sq_dists(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     """``(n, k)`` squared distances, summed difference by difference (no
-    ``|x|^2 - 2xc + |c|^2`` cancellation), so argmin ties resolve like SQL."""
-    if X.shape[0] * C.shape[0] * X.shape[1] <= _BROADCAST_ELEMS:
-        diff = X[:, None, :] - C[None, :, :]
-        return np.einsum("ikd,ikd->ik", diff, diff)
-    out = np.empty((X.shape[0], C.shape[0]))
-    for c in range(C.shape[0]):
+    ``|x|^2 - 2xc + |c|^2`` cancellation), so argmin ties resolve like SQL.
+    Loops over the shorter of dimensions and centres."""
+    n, d = X.shape
+    k = C.shape[0]
+    out = np.zeros((n, k))
+    if d <= k:
+        for j in range(d):
+            t = X[:, j, None] - C[None, :, j]
+            out += t * t
+        return out
+    for c in range(k):
         diff = X - C[c]
         out[:, c] = np.einsum("ij,ij->i", diff, diff)
     return out
 
 
+def cluster_sums(lab: np.ndarray, Xs: np.ndarray, k: int) -> np.ndarray:
+    """``(k, d)`` sums of the rows of ``Xs`` per label."""
+    d = Xs.shape[1]
+    if d <= 16:
+        return np.stack([np.bincount(lab, weights=Xs[:, j], minlength=k)[:k] for j in range(d)], axis=1)
+    onehot = np.zeros((Xs.shape[0], k))
+    onehot[np.arange(Xs.shape[0]), lab] = 1.0
+    return onehot.T @ Xs
+
+
 def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest centre (lowest id on ties) and its squared distance."""
     D = sq_dists(X, C)
@@ -133,10 +144,8 @@ def partial_stats_fn(spec: KernelSpec):
             Xs = X - spec.shift
             sq = np.einsum("ij,ij->i", Xs, Xs)
             for p, lab, e in _labels(spec, b, X):
-                onehot = np.zeros((X.shape[0], k))
-                onehot[np.arange(X.shape[0]), lab] = 1.0
                 n[p] += np.bincount(lab, minlength=k)[:k]
-                S[p] += onehot.T @ Xs
+                S[p] += cluster_sums(lab, Xs, k)
                 Q[p] += np.bincount(lab, weights=sq, minlength=k)[:k]
                 E[p] += np.bincount(lab, weights=e, minlength=k)[:k]
         pp, cc = np.nonzero(n)
