@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from evoclust.functions.vector import dist
 from evoclust.operators import kernels as K
-from evoclust.operators.kmeans import Stats, dimension, run_stats
+from evoclust.operators.kmeans import Stats, run_stats
 
 DEFAULT_BLOCK_ROWS = 2048
 
@@ -33,11 +33,20 @@ def _labelled(df: DataFrame, cluster: str) -> DataFrame:
     return df.select("row_id", "x", F.array(F.col(cluster).cast("int")).alias("sol"))
 
 
+def _shape(df: DataFrame, cluster: str) -> tuple[int, int, np.ndarray]:
+    """k (largest id + 1), d and one data point (the shift), in one small job."""
+    r = df.agg(
+        F.min(cluster).alias("lo"), F.max(cluster).alias("hi"), F.first("x", ignorenulls=True).alias("x")
+    ).first()
+    if r["lo"] is None or r["lo"] < 0:
+        raise ValueError("cluster ids must be non-negative integers")
+    x = np.asarray(r["x"], dtype=np.float64)
+    return int(r["hi"]) + 1, len(x), x
+
+
 def label_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, int, int]:
     """One pass: per-cluster ``n``, sums and sums of squares of a labelling; (stats, k, d)."""
-    d = dimension(df)
-    k = _k_of(df, cluster)
-    shift = np.asarray(df.select("x").first()["x"], dtype=np.float64)
+    k, d, shift = _shape(df, cluster)
     return run_stats(_labelled(df, cluster), K.KernelSpec(1, k, d, shift, sol_col="sol")), k, d
 
 
@@ -110,13 +119,6 @@ def davies_bouldin_value(cen: np.ndarray, scatter: np.ndarray, n: np.ndarray) ->
     return float(np.mean(ratios))
 
 
-def _k_of(df: DataFrame, cluster: str) -> int:
-    row = df.agg(F.min(cluster).alias("lo"), F.max(cluster).alias("hi")).first()
-    if row["lo"] is None or row["lo"] < 0:
-        raise ValueError("cluster ids must be non-negative integers")
-    return int(row["hi"]) + 1
-
-
 def silhouette_squared(df: DataFrame, cluster: str = "cluster", stats: tuple | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance (closed form)."""
     st, k, d = stats or label_stats(df, cluster)
@@ -220,8 +222,7 @@ def silhouette_exact(df: DataFrame, cluster: str = "cluster", block_rows: int =
 
     Raises unless 2 <= number of distinct labels <= n - 1 (library rule).
     """
-    d = dimension(df)
-    k = _k_of(df, cluster)
+    k, d, _ = _shape(df, cluster)
     counts = {r["c"]: r["n"] for r in df.groupBy(F.col(cluster).alias("c")).count().withColumnRenamed("count", "n").collect()}
     n = np.zeros((1, k), dtype=np.int64)
     for c, v in counts.items():

@@ -75,13 +75,15 @@ def drop_feature(points: DataFrame, index: int) -> DataFrame:
 
 
 def _numbered_lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
-    """Non-blank text lines with their dense 0-based line number.
+    """Non-blank text lines with their dense 0-based line number, JVM side.
 
-    ``zipWithIndex`` is Spark's distributed dense numbering (one small count
-    job, then a narrow map); file order is the identity of a point in CSV data.
+    ``monotonically_increasing_id`` follows the order of the input splits
+    (file order for one file) but is neither dense nor recomputation-proof;
+    ``with_pos`` materialises it once on reliable storage and turns it into
+    a dense rank.  No line goes through Python.
     """
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    numbered = lines.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1])).toDF("value string, idx bigint")
+    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("_seq", F.monotonically_increasing_id())
+    numbered = with_pos(lines, "_seq").select("value", F.col("pos").alias("idx"))
     if header:
         numbered = numbered.filter(F.col("idx") > 0).withColumn("idx", F.col("idx") - 1)
     return numbered
