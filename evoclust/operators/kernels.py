@@ -273,6 +273,37 @@ def top_k_fn(P: int, k: int):
     return run
 
 
+def merge_top_k_fn(k: int):
+    """R1 merge step: rows ``(chrom, u, row_id, x)``; keeps each chromosome's k
+    smallest ``(u, row_id)`` among the partitions coalesced into this task."""
+
+    def run(batches):
+        best = {}
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            ch = b.column(0).to_numpy()
+            u = b.column(1).to_numpy()
+            r = b.column(2).to_numpy()
+            X = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            for c in np.unique(ch):
+                sel = ch == c
+                uu, rr, xx = u[sel], r[sel], X[sel]
+                if c in best:
+                    uu = np.concatenate([best[c][0], uu])
+                    rr = np.concatenate([best[c][1], rr])
+                    xx = np.concatenate([best[c][2], xx])
+                order = np.lexsort((rr, uu))[:k]
+                best[c] = (uu[order], rr[order], xx[order].copy())
+        for c, (uu, rr, xx) in best.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(uu), c, dtype=np.int32)), pa.array(uu), pa.array(rr), list_array(xx, pa.float64())],
+                names=["chrom", "u", "row_id", "x"],
+            )
+
+    return run
+
+
 def predict_fn(centers: np.ndarray, d: int, keep: list[str]):
     """K8: nearest final centre and squared distance, one chromosome."""
 

@@ -56,3 +56,12 @@ def test_labels_in_range(spark):
     m = KMeansLloyd(k=7, n_iter=2, seed=1).fit(pts)
     r = m.transform(pts).agg(F.min("cluster"), F.max("cluster")).collect()[0]
     assert 0 <= r[0] and r[1] < 7
+
+
+def test_sample_tree_merge_equals_direct(spark):
+    from evoclust.operators.sampling import sample_centers
+
+    pts = embedding_points(spark, SF_SMALL).repartition(40)
+    direct = sorted(tuple(r) for r in sample_centers(pts, 6, 9, [0, 1]).select("chrom", "c", "row_id").collect())
+    tree = sorted(tuple(r) for r in sample_centers(pts, 6, 9, [0, 1], fan_in=3).select("chrom", "c", "row_id").collect())
+    assert direct == tree and len(direct) == 12
