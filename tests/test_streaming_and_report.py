@@ -46,3 +46,20 @@ def test_projection(spark):
     # the projected points are centred
     m = proj.filter("kind = 'point'").agg(F.avg("pc1"), F.avg("pc2")).collect()[0]
     assert abs(m[0]) < 1e-9 and abs(m[1]) < 1e-9
+
+
+def test_projection_matches_numpy_eigen(spark):
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(60, 3)) @ np.array([[3.0, 0.5, 0.1], [0.0, 1.0, 0.3], [0.0, 0.0, 0.2]]) + 50.0
+    rows = [(i, [float(v) for v in X[i]]) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id bigint, x array<double>").repartition(3)
+    C = X[:2]
+    got = project(df, centers=C)
+    Xc = X - X.mean(axis=0)
+    w, V = np.linalg.eigh(np.cov(Xc.T))
+    V = V[:, np.argsort(w)[::-1][:2]]
+    V = V * np.sign(V[np.abs(V).argmax(axis=0), range(2)])
+    pts = {r["id"]: (r["pc1"], r["pc2"]) for r in got.filter("kind = 'point'").collect()}
+    cen = {r["id"]: (r["pc1"], r["pc2"]) for r in got.filter("kind = 'center'").collect()}
+    assert np.allclose([pts[i] for i in range(60)], Xc @ V, atol=1e-8)
+    assert np.allclose([cen[i] for i in range(2)], (C - X.mean(axis=0)) @ V, atol=1e-8)
