@@ -22,6 +22,10 @@ from evoclust.operators import kernels as K
 from evoclust.operators.sampling import centers_array, sample_centers
 
 
+# a centre table is collected only up to this many rows (its bytes are checked too)
+MAX_CENTRES = 1_000_000
+
+
 def dimension(points: DataFrame) -> int:
     """Vector length (read from one row)."""
     row = points.select(F.size("x").alias("d")).first()
@@ -159,8 +163,10 @@ def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFra
     ``centers`` is a ``(k, d)`` array or a ``(c, cx)`` DataFrame of k rows.
     """
     if isinstance(centers, DataFrame):
-        rows = centers.select("c", "cx").orderBy("c").collect()
-        centers = np.array([r["cx"] for r in rows], dtype=np.float64)
+        rows = centers.select("c", "cx").limit(MAX_CENTRES + 1).collect()
+        if len(rows) > MAX_CENTRES:
+            raise ValueError(f"more than {MAX_CENTRES} centres: not a centre table")
+        centers = np.array([r["cx"] for r in sorted(rows, key=lambda r: r["c"])], dtype=np.float64)
     C = np.asarray(centers, dtype=np.float64)
     K.check_broadcast(C)
     keep = keep or [c for c in points.columns if c not in ("cluster", "d2")]

@@ -65,3 +65,21 @@ def test_sample_tree_merge_equals_direct(spark):
     direct = sorted(tuple(r) for r in sample_centers(pts, 6, 9, [0, 1]).select("chrom", "c", "row_id").collect())
     tree = sorted(tuple(r) for r in sample_centers(pts, 6, 9, [0, 1], fan_in=3).select("chrom", "c", "row_id").collect())
     assert direct == tree and len(direct) == 12
+
+
+def test_agrees_with_spark_ml_on_separated_blobs(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    from evoclust.operators.external import adjusted_rand
+
+    rng = np.random.default_rng(2)
+    centres = np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0], [10.0, 10.0]])
+    X = np.concatenate([c + rng.normal(scale=0.5, size=(50, 2)) for c in centres])
+    rows = [(i, [float(v) for v in X[i]]) for i in range(len(X))]
+    pts = spark.createDataFrame(rows, "row_id bigint, x array<double>").repartition(4)
+    ours = KMeansLloyd(k=4, n_iter=10, seed=1).fit(pts).transform(pts).select("row_id", "cluster")
+    ml = KMeans(k=4, seed=1, featuresCol="v", predictionCol="label").fit(pts.withColumn("v", array_to_vector("x")))
+    theirs = ml.transform(pts.withColumn("v", array_to_vector("x"))).select("row_id", F.col("label").cast("int"))
+    both = ours.join(theirs, "row_id")
+    assert adjusted_rand(both).collect()[0][0] == pytest.approx(1.0)
