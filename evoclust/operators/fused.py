@@ -169,15 +169,19 @@ def candidates_and_contingency_fn(P: int, k: int, d: int, shift, centres, cand_n
     return run
 
 
-def run_fused(df: DataFrame, fn, P: int, k: int, d: int, shift):
-    """Run one fused pass; returns (stats for the STATS rows, silhouette sums, contingency dict)."""
-    rows = (
-        df.mapInArrow(fn, FUSED_SCHEMA)
-        .groupBy("kind", "chrom", "c", "j", "lab")
-        .agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("q").alias("q"), F.sum("e").alias("e"))
-        .toArrow()
-    )
+def run_fused(df: DataFrame, fn, P: int, k: int, d: int, shift, labels: int = 0):
+    """Run one fused pass; returns (stats for the STATS rows, silhouette sums, contingency dict).
+
+    ``labels`` bounds the distinct label values (contingency rows), for the
+    choice between a driver-side and a shuffled merge of the partial rows."""
+    from evoclust.operators.kmeans import merge_partials, num_partitions
+
+    bound = num_partitions(df) * (P * k * (d + 1) + P + 2 * P * k * max(labels, 0))
+    rows = merge_partials(df.mapInArrow(fn, FUSED_SCHEMA), ["kind", "chrom", "c", "j", "lab"],
+                          ["n", "v", "q", "e"], bound)
     col = {name: rows.column(name).to_numpy() for name in rows.column_names}
+    if rows.num_rows == 0:
+        col = {name: np.zeros(0, dtype=np.int64) for name in ("kind", "chrom", "c", "j", "lab", "n", "v", "q", "e")}
     kind = col["kind"]
     st = Stats(np.zeros((P, k), dtype=np.int64), np.zeros((P, k, d)), np.zeros((P, k)), np.zeros((P, k)), shift)
     sel = kind == STATS

@@ -339,7 +339,8 @@ class GeneticKMeans:
         # pass C: candidate fitness + contingency for the ARI
         cand = cand_all.take(src)
         _, sil, cont = run_fused(
-            frame_c, candidates_and_contingency_fn(P, k, d, shift, centres, cand.n, cand.S, cand.Q, track), P, k, d, shift
+            frame_c, candidates_and_contingency_fn(P, k, d, shift, centres, cand.n, cand.S, cand.Q, track), P, k, d, shift,
+            labels=self._n_labels if track else 0,
         )
         cand_fit = np.array([sil[p][0] / sil[p][1] if sil.get(p, (0, 0))[1] else -1.0 for p in range(P)])
         cand_fit = np.where((cand.n > 0).sum(axis=1) >= 2, cand_fit, -1.0)
@@ -383,6 +384,8 @@ class GeneticKMeans:
         fit_h, sse_h, ari_h, cen_h = [], [], [], []
         cached = older = None
         fused = self._can_fuse()
+        # distinct labels bound the contingency rows of the fused pass (small; one job)
+        self._n_labels = points.select("label").distinct().count() if track and fused else 0
         for gen in range(1, self.generations + 1):
             src = select_survivors(pop.fitness, self.survival, self.seed, gen, self.elite)
             pop = pop.take(src)

@@ -34,6 +34,38 @@ def dimension(points: DataFrame) -> int:
     return int(row["d"])
 
 
+# partial rows small enough to merge on the driver without a shuffle stage
+DIRECT_PARTIAL_ROWS = 1_000_000
+
+
+def merge_partials(partials: DataFrame, keys: list[str], values: list[str], bound_rows: int):
+    """Merged partial rows as an Arrow table.
+
+    ``bound_rows`` is the most rows the map side can emit (partitions x slots x
+    clusters x ...).  Under ``DIRECT_PARTIAL_ROWS`` they are summed on the
+    driver with NumPy (no shuffle stage); above it a ``groupBy`` merges them.
+    """
+    if bound_rows <= DIRECT_PARTIAL_ROWS:
+        import pyarrow as pa
+
+        tbl = partials.toArrow()
+        if tbl.num_rows == 0:
+            return tbl
+        key_arrays = [tbl.column(k).to_numpy() for k in keys]
+        uniq, inv = np.unique(np.stack(key_arrays, axis=1), axis=0, return_inverse=True)
+        inv = inv.reshape(-1)
+        cols = [pa.array(uniq[:, i].astype(key_arrays[i].dtype)) for i in range(len(keys))]
+        for v in values:
+            arr = tbl.column(v).to_numpy()
+            cols.append(pa.array(np.bincount(inv, weights=arr, minlength=len(uniq)).astype(arr.dtype)))
+        return pa.table(cols, names=keys + values)
+    return partials.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values]).toArrow()
+
+
+def num_partitions(df: DataFrame) -> int:
+    return df.rdd.getNumPartitions()
+
+
 def combine_partials(partials: DataFrame) -> DataFrame:
     """A1 reduce side: merge per-partition partial statistics per (chrom, c, j)."""
     return partials.groupBy("chrom", "c", "j").agg(
@@ -86,8 +118,9 @@ def _slice_sol(points: DataFrame, spec: K.KernelSpec, lo: int, hi: int) -> tuple
 
 def _stats_pass(points: DataFrame, spec: K.KernelSpec) -> Stats:
     partials = points.mapInArrow(K.partial_stats_fn(spec), K.PARTIAL_SCHEMA)
-    # at most P*k*(d+1) rows: the size of the centres themselves
-    tbl = combine_partials(partials).toArrow()
+    bound = num_partitions(points) * spec.P * spec.k * (spec.d + 1)
+    # merged: at most P*k*(d+1) rows, the size of the centres themselves
+    tbl = merge_partials(partials, ["chrom", "c", "j"], ["n", "v", "q", "e"], bound)
     n = np.zeros((spec.P, spec.k), dtype=np.int64)
     S = np.zeros((spec.P, spec.k, spec.d))
     Q = np.zeros((spec.P, spec.k))
@@ -131,9 +164,10 @@ def run_silhouette(points: DataFrame, spec: K.KernelSpec, stats: Stats) -> np.nd
         part = pts.mapInArrow(
             K.silhouette_partial_fn(sub, stats.n[lo:hi], stats.S[lo:hi], stats.Q[lo:hi]), K.SIL_PARTIAL_SCHEMA
         )
-        for r in part.groupBy("chrom").agg(F.sum("s").alias("s"), F.sum("m").alias("m")).collect():
-            if r["m"]:
-                fit[lo + r["chrom"]] = r["s"] / r["m"]
+        tbl = merge_partials(part, ["chrom"], ["s", "m"], num_partitions(pts) * (hi - lo))
+        for ch, sm, m in zip(*(tbl.column(c).to_numpy() for c in ("chrom", "s", "m"))):
+            if m:
+                fit[lo + int(ch)] = sm / m
     used = (stats.n > 0).sum(axis=1)
     return np.where(used >= 2, fit, -1.0)
 
