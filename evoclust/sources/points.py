@@ -134,6 +134,23 @@ def read_abalone(spark: SparkSession, path: str, with_sex: bool = True) -> DataF
     return lines.select(F.col("idx").alias("row_id"), F.col("idx").alias("pos"), x.alias("x"), label.cast("int").alias("label"))
 
 
+def target_partitions(df: DataFrame, min_bytes: int = 1 << 20, max_bytes: int = 128 << 20) -> int:
+    """Partitions for a point table from the optimizer's size estimate: none
+    smaller than ``min_bytes`` (tiny tables get few tasks), none larger than
+    ``max_bytes``, and at least the cluster's parallelism when the data allow."""
+    fallback = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no estimate: fall back to the shuffle setting
+        return fallback
+    if size <= 0 or size >= 1 << 60:  # Spark reports "unknown" as a huge default
+        return fallback
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    by_min = -(-size // min_bytes)
+    by_max = -(-size // max_bytes)
+    return int(max(1, min(max(cores, by_max), by_min, 1 << 20)))
+
+
 def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None = None) -> DataFrame:
     """Add dense ``pos`` 0..n-1 in ``order_col`` order (a name or a list of
     columns), fully distributed.
@@ -146,7 +163,7 @@ def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None =
     spark = points.sparkSession
     if "pos" in points.columns:
         points = points.drop("pos")
-    n_parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n_parts = num_partitions or target_partitions(points)
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     ranged = cut_lineage(points.repartitionByRange(n_parts, *order).sortWithinPartitions(*order))
     counts = {
