@@ -82,10 +82,34 @@ def cluster_sums(lab: np.ndarray, Xs: np.ndarray, k: int) -> np.ndarray:
 
 
 def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the nearest centre (lowest id on ties) and its squared distance."""
-    D = sq_dists(X, C)
-    lab = np.argmin(D, axis=1)
-    return lab.astype(np.int32), D[np.arange(X.shape[0]), lab]
+    """Index of the nearest centre (lowest id on ties) and its squared distance.
+
+    Fast path: ``|x|^2 + |c|^2 - 2 x.c`` by BLAS on data centred on the
+    centres' mean.  Rows whose best and second-best distances are closer than
+    a generous bound of that formula's rounding error are recomputed by exact
+    difference sums, so the labels equal the exact computation; the returned
+    distance is always the exact one.
+    """
+    n, k = X.shape[0], C.shape[0]
+    if k == 1 or n == 0:
+        lab = np.zeros(n, dtype=np.int32)
+    else:
+        mu = C.mean(axis=0)
+        Xc, Cc = X - mu, C - mu
+        x2 = np.einsum("ij,ij->i", Xc, Xc)
+        c2 = np.einsum("ij,ij->i", Cc, Cc)
+        D = x2[:, None] + c2[None, :] - 2.0 * (Xc @ Cc.T)
+        lab = np.argmin(D, axis=1)
+        rows = np.arange(n)
+        best = D[rows, lab]
+        D[rows, lab] = np.inf
+        second = D.min(axis=1)
+        risky = (second - best) <= 1e-8 * (x2 + c2.max()) + 1e-300
+        if risky.any():
+            lab[risky] = np.argmin(sq_dists(X[risky], C), axis=1)
+        lab = lab.astype(np.int32)
+    diff = X - C[lab]
+    return lab, np.einsum("ij,ij->i", diff, diff)
 
 
 @dataclass

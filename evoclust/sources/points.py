@@ -134,7 +134,7 @@ def read_abalone(spark: SparkSession, path: str, with_sex: bool = True) -> DataF
     return lines.select(F.col("idx").alias("row_id"), F.col("idx").alias("pos"), x.alias("x"), label.cast("int").alias("label"))
 
 
-def target_partitions(df: DataFrame, min_bytes: int = 1 << 20, max_bytes: int = 128 << 20) -> int:
+def target_partitions(df: DataFrame, min_bytes: int = 512 << 10, max_bytes: int = 128 << 20) -> int:
     """Partitions for a point table from the optimizer's size estimate: none
     smaller than ``min_bytes`` (tiny tables get few tasks), none larger than
     ``max_bytes``, and at least the cluster's parallelism when the data allow."""

@@ -83,3 +83,19 @@ def test_agrees_with_spark_ml_on_separated_blobs(spark):
     theirs = ml.transform(pts.withColumn("v", array_to_vector("x"))).select("row_id", F.col("label").cast("int"))
     both = ours.join(theirs, "row_id")
     assert adjusted_rand(both).collect()[0][0] == pytest.approx(1.0)
+
+
+def test_fast_nearest_equals_exact_difference_sums():
+    from evoclust.operators.kernels import nearest, sq_dists
+
+    rng = np.random.default_rng(1)
+    for trial in range(60):
+        n, d, k = 500, int(rng.integers(1, 70)), int(rng.integers(2, 30))
+        scale = 10.0 ** int(rng.integers(-3, 6))
+        X = rng.normal(size=(n, d)) * scale + rng.normal() * scale * 10
+        C = X[rng.integers(0, n, size=k)]
+        X[:20] = C[rng.integers(0, k, 20)]  # exact hits and ties
+        lab, e = nearest(X, C)
+        D = sq_dists(X, C)
+        assert (lab == np.argmin(D, axis=1)).all()
+        assert np.allclose(e, D[np.arange(n), lab], rtol=1e-12, atol=0)
