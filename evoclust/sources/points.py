@@ -75,15 +75,11 @@ def drop_feature(points: DataFrame, index: int) -> DataFrame:
 
 
 def _numbered_lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
-    """Non-blank text lines with their dense 0-based line number, JVM side.
-
-    ``monotonically_increasing_id`` follows the order of the input splits
-    (file order for one file) but is neither dense nor recomputation-proof;
-    ``with_pos`` materialises it once on reliable storage and turns it into
-    a dense rank.  No line goes through Python.
-    """
-    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("_seq", F.monotonically_increasing_id())
-    numbered = with_pos(lines, "_seq").select("value", F.col("pos").alias("idx"))
+    """Non-blank text lines with their dense 0-based line number (file order of
+    the input splits), counted and numbered JVM side / in Arrow batches; no
+    line goes through Python objects."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    numbered = with_pos(lines, None).select("value", F.col("pos").alias("idx"))
     if header:
         numbered = numbered.filter(F.col("idx") > 0).withColumn("idx", F.col("idx") - 1)
     return numbered
@@ -151,30 +147,23 @@ def target_partitions(df: DataFrame, min_bytes: int = 512 << 10, max_bytes: int
     return int(max(1, min(max(cores, by_max), by_min, 1 << 20)))
 
 
-def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None = None) -> DataFrame:
-    """Add dense ``pos`` 0..n-1 in ``order_col`` order (a name or a list of
-    columns), fully distributed.
+def _number_partitions(df: DataFrame) -> DataFrame:
+    """``pos`` = rows before this partition + index inside it.
 
-    Range-partition and sort by ``order_col`` once (materialised, so both
-    passes see the same partitions), count rows per partition (one row per
-    partition reaches the driver), then number rows inside each partition
-    from its offset.  No single-partition window, no ``monotonically_increasing_id``.
+    Needs a plan whose partitions and row order are the same on every
+    computation (a file scan with narrow operators, or reliable checkpoint
+    data): one job counts rows per partition (one row per partition reaches
+    the driver), a narrow ``mapInArrow`` numbers them.
     """
-    spark = points.sparkSession
-    if "pos" in points.columns:
-        points = points.drop("pos")
-    n_parts = num_partitions or target_partitions(points)
-    order = [order_col] if isinstance(order_col, str) else list(order_col)
-    ranged = cut_lineage(points.repartitionByRange(n_parts, *order).sortWithinPartitions(*order))
     counts = {
         r["pid"]: r["n"]
-        for r in ranged.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in df.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect()
     }
     offsets, acc = {}, 0
     for pid in sorted(counts):
         offsets[pid] = acc
         acc += counts[pid]
-    schema = T.StructType(ranged.schema.fields + [T.StructField("pos", T.LongType())])
+    schema = T.StructType(df.schema.fields + [T.StructField("pos", T.LongType())])
 
     def number(batches):
         from pyspark import TaskContext
@@ -185,21 +174,43 @@ def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None =
             start += b.num_rows
             yield pa.RecordBatch.from_arrays(list(b.columns) + [pos], names=list(b.schema.names) + ["pos"])
 
-    out = ranged.mapInArrow(number, schema)
+    return df.mapInArrow(number, schema)
+
+
+def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None = None) -> DataFrame:
+    """Add dense ``pos`` 0..n-1, fully distributed.
+
+    ``order_col`` (a name or a list of columns): range-partition and sort by
+    it once, materialised on reliable storage so that counting and numbering
+    see the same partitions.  ``order_col=None``: input order (file order of
+    a scan) — no shuffle, no sort, no checkpoint; the rows are then spread
+    over ``num_partitions`` (size-aware by default) by a range partition on
+    ``pos``.  No single-partition window, no ``monotonically_increasing_id``.
+    """
+    if "pos" in points.columns:
+        points = points.drop("pos")
+    n_parts = num_partitions or target_partitions(points)
+    if order_col is None:
+        numbered = _number_partitions(points)
+        if n_parts > 1:
+            numbered = numbered.repartitionByRange(n_parts, "pos")
+        out = numbered
+    else:
+        order = [order_col] if isinstance(order_col, str) else list(order_col)
+        out = _number_partitions(cut_lineage(points.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)))
     front = [c for c in ("row_id", "pos") if c in out.columns]
     return out.select(*front, *[c for c in out.columns if c not in front])
 
 
 def points_by_position(df: DataFrame, feature_cols: Sequence[str], label_col: str | None = None,
                        num_partitions: int | None = None) -> DataFrame:
-    """Points from a table without a key: ``row_id = pos``, numbered in the order
-    of the feature values (rows equal in every feature are interchangeable)."""
+    """Points from a table without a key: ``row_id = pos``, numbered in input
+    (file) order without a shuffle."""
     cols = [F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(feature_cols)]
     if label_col is not None:
         cols.append(F.col(label_col).alias("_label"))
     base = df.select(*cols)
-    order = [f"_f{i}" for i in range(len(feature_cols))] + (["_label"] if label_col is not None else [])
-    numbered = with_pos(base, order, num_partitions)
+    numbered = with_pos(base, None, num_partitions)
     out = [F.col("pos").alias("row_id"), "pos", F.array(*[f"_f{i}" for i in range(len(feature_cols))]).alias("x")]
     if label_col is not None:
         out.append(F.col("_label").alias("label"))

@@ -4,6 +4,8 @@ import os
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+
 from evoclust.sources.points import (
     drop_feature,
     parse_vector,
@@ -65,6 +67,14 @@ def test_with_pos_is_dense_and_ordered(spark):
     df = spark.range(0, 1000, 3).select((F.col("id") * 7 % 1001).alias("row_id"), F.array(F.lit(1.0)).alias("x"))
     out = with_pos(df.repartition(5)).orderBy("row_id").collect()
     assert [r["pos"] for r in out] == list(range(len(out)))
-    keyless = spark.createDataFrame([(2.0, 1.0), (1.0, 5.0), (2.0, 1.0)], "a double, b double")
-    got = points_by_position(keyless, ["a", "b"]).orderBy("pos").collect()
-    assert [r["x"] for r in got] == [[1.0, 5.0], [2.0, 1.0], [2.0, 1.0]]
+    keyless = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    got = points_by_position(keyless, feats, num_partitions=3)
+    assert got.rdd.getNumPartitions() == 3
+    rows = got.orderBy("pos").collect()
+    assert [r["pos"] for r in rows] == list(range(6000)) and all(r["row_id"] == r["pos"] for r in rows)
+    # input order: the n-th row of the file gets pos n, on every computation
+    first = keyless.select(*feats).limit(5).collect()
+    assert [r["x"] for r in rows[:5]] == [[float(v) for v in f] for f in first]
+    again = sorted((r["pos"], tuple(r["x"])) for r in got.collect())
+    assert again == [(r["pos"], tuple(r["x"])) for r in rows]
