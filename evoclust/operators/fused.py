@@ -169,6 +169,36 @@ def candidates_and_contingency_fn(P: int, k: int, d: int, shift, centres, cand_n
     return run
 
 
+def scatter_and_silhouette_fn(k: int, d: int, shift, n, S, Q):
+    """One labelling (``sol`` of length 1): per cluster the sum of Euclidean
+    distances to the member mean (scatter, in ``e``) and the squared
+    silhouette sum, in one pass (E6 + A10 of the report)."""
+    mS, mQ = _means(n[None], S[None], Q[None])
+    cen = np.where(n[:, None] > 0, S / np.where(n > 0, n, 1)[:, None], 0.0)  # shifted centroids
+
+    def run(batches):
+        root = np.zeros(k)
+        s_sum, s_cnt = 0.0, 0
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            Xs = K.matrix(b, "x", d) - shift
+            sq = np.einsum("ij,ij->i", Xs, Xs)
+            lab = K.matrix(b, "sol", 1, np.int64)[:, 0].astype(np.int32)
+            diff = Xs - cen[lab]
+            root += np.bincount(lab, weights=np.sqrt(np.einsum("ij,ij->i", diff, diff)), minlength=k)[:k]
+            s = _sil_values(Xs, sq, lab, n, mS[0], mQ[0])
+            s_sum += float(s.sum())
+            s_cnt += b.num_rows
+        used = np.nonzero(root > 0)[0]
+        m = len(used)
+        scat = [np.full(m, STATS), np.zeros(m), used, np.full(m, -1), np.zeros(m), np.zeros(m, dtype=np.int64),
+                np.zeros(m), np.zeros(m), root[used]]
+        yield _emit([scat, _scalar_rows(SIL, [0], [-1], [0], [s_cnt], [s_sum])])
+
+    return run
+
+
 def run_fused(df: DataFrame, fn, P: int, k: int, d: int, shift, labels: int = 0):
     """Run one fused pass; returns (stats for the STATS rows, silhouette sums, contingency dict).
 

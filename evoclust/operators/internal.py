@@ -29,7 +29,7 @@ from evoclust.operators.kmeans import Stats, run_stats
 DEFAULT_BLOCK_ROWS = 2048
 
 
-def _labelled(df: DataFrame, cluster: str) -> DataFrame:
+def labelled(df: DataFrame, cluster: str) -> DataFrame:
     return df.select("row_id", "x", F.array(F.col(cluster).cast("int")).alias("sol"))
 
 
@@ -47,7 +47,7 @@ def _shape(df: DataFrame, cluster: str) -> tuple[int, int, np.ndarray]:
 def label_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, int, int]:
     """One pass: per-cluster ``n``, sums and sums of squares of a labelling; (stats, k, d)."""
     k, d, shift = _shape(df, cluster)
-    return run_stats(_labelled(df, cluster), K.KernelSpec(1, k, d, shift, sol_col="sol")), k, d
+    return run_stats(labelled(df, cluster), K.KernelSpec(1, k, d, shift, sol_col="sol")), k, d
 
 
 def sse(df: DataFrame, cluster: str = "cluster", centers=None) -> DataFrame:
@@ -66,7 +66,7 @@ def sse(df: DataFrame, cluster: str = "cluster", centers=None) -> DataFrame:
         C = np.asarray(centers, dtype=np.float64)
         K.check_broadcast(C)
         spec = K.KernelSpec(1, C.shape[0], C.shape[1], C.mean(axis=0), own_centers=C[None], sol_col="sol")
-        value = float(run_stats(_labelled(df, cluster), spec).E.sum())
+        value = float(run_stats(labelled(df, cluster), spec).E.sum())
     return spark.createDataFrame([(value,)], "sse double")
 
 
@@ -76,7 +76,7 @@ def scatter_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, np.nd
     st, k, d = label_stats(df, cluster)
     cen = st.means(np.zeros((1, k, d)))[0]
     spec = K.KernelSpec(1, k, d, st.shift, own_centers=cen[None], sol_col="sol", root_e=True)
-    root = run_stats(_labelled(df, cluster), spec)
+    root = run_stats(labelled(df, cluster), spec)
     n = st.n[0]
     scatter = np.where(n > 0, root.E[0] / np.where(n > 0, n, 1), 0.0)
     return st, cen, scatter
@@ -122,7 +122,7 @@ def davies_bouldin_value(cen: np.ndarray, scatter: np.ndarray, n: np.ndarray) ->
 def silhouette_squared(df: DataFrame, cluster: str = "cluster", stats: tuple | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance (closed form)."""
     st, k, d = stats or label_stats(df, cluster)
-    pts = _labelled(df, cluster)
+    pts = labelled(df, cluster)
     if (st.n[0] > 0).sum() < 2:
         raise ValueError("silhouette needs at least 2 non-empty clusters")
     spec = K.KernelSpec(1, k, d, st.shift, sol_col="sol")

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evoclust.operators.external import ari_expr, fm_expr, pair_counts, pair_jaccard_expr
-from evoclust.operators.internal import davies_bouldin_value, scatter_stats, silhouette_exact, silhouette_squared
+import numpy as np
+
+from evoclust.operators.fused import run_fused, scatter_and_silhouette_fn
+from evoclust.operators.internal import (
+    davies_bouldin_value,
+    label_stats,
+    labelled,
+    scatter_stats,
+    silhouette_exact,
+)
 
 # Report lines in the reference's order and wording.
 REPORT_LINES = (
@@ -35,12 +44,20 @@ def evaluate(df: DataFrame, label: str = "label", cluster: str = "cluster", silh
     pc = pair_counts(df, label, cluster, with_agreement=True).select(
         ari_expr().alias("ari"), F.col("agree") / F.col("rows"), fm_expr().alias("fm"), pair_jaccard_expr().alias("pj")
     ).first()
-    st, cen, scatter = scatter_stats(df, cluster)
-    k, d = cen.shape
     if silhouette == "exact":
+        st, cen, scatter = scatter_stats(df, cluster)
         sil = silhouette_exact(df, cluster).first()[0]
     else:
-        sil = silhouette_squared(df, cluster, stats=(st, k, d)).first()[0]
+        # statistics pass, then scatter and squared silhouette in one more pass
+        st, k, d = label_stats(df, cluster)
+        if (st.n[0] > 0).sum() < 2:
+            raise ValueError("silhouette needs at least 2 non-empty clusters")
+        cen = st.means(np.zeros((1, k, d)))[0]
+        fn = scatter_and_silhouette_fn(k, d, st.shift, st.n[0], st.S[0], st.Q[0])
+        part, sums, _ = run_fused(labelled(df, cluster), fn, 1, k, d, st.shift)
+        n = st.n[0]
+        scatter = np.where(n > 0, part.E[0] / np.where(n > 0, n, 1), 0.0)
+        sil = sums[0][0] / sums[0][1]
     rows = [
         ("ari", "external", float(pc[0])),
         ("label_agreement", "external", float(pc[1])),
