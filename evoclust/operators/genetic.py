@@ -379,10 +379,12 @@ class GeneticKMeans:
         if label_col is not None and label_col != "label":
             points = points.withColumnRenamed(label_col, "label")
         track = label_col is not None and self.track_ari
-        pop = init_population(points, self.population, self.k, self.seed, self.fitness, self.block_rows)
+        pop = init_population(points, self.population, self.k, self.seed, self.fitness, self.block_rows,
+                              reliable=self.generations == 0)
         self._logpop(0, "init", pop.fitness)
         fit_h, sse_h, ari_h, cen_h = [], [], [], []
-        cached = older = None
+        older = None
+        cached = pop.df if self.generations else None  # released once a later frame is computed
         fused = self._can_fuse()
         # distinct labels bound the contingency rows of the fused pass (small; one job)
         self._n_labels = points.select("label").distinct().count() if track and fused else 0

@@ -116,14 +116,17 @@ def evaluate_slots(base: DataFrame, cols: list[Column], k: int, d: int, shift: n
 
 
 def init_population(points: DataFrame, P: int, k: int, seed: int = 0, kind: str = "squared",
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> Population:
+                    block_rows: int = DEFAULT_BLOCK_ROWS, reliable: bool = True) -> Population:
     """P chromosomes, each k sampled centres (R1 with tag = chrom) and
-    nearest-centre labels, all slots filled in one materialised pass."""
+    nearest-centre labels, all slots filled in one pass.  ``reliable=False``
+    persists the labels lazily (the statistics pass computes them) and leaves
+    the checkpoint to the caller's schedule."""
     base = points.select(*base_cols(points))
     d = len(base.select("x").first()["x"])
     centres = centers_array(sample_centers(base, k, seed, list(range(P))), P, k, d)
     shift = centres.reshape(-1, d).mean(axis=0)
-    df = cut_lineage(relabel(base, centres, base_cols(base), sol_col=None))
+    labels = relabel(base, centres, base_cols(base), sol_col=None)
+    df = cut_lineage(labels) if reliable else labels.persist(StorageLevel.MEMORY_AND_DISK)
     lab_spec = K.KernelSpec(P, k, d, shift, own_centers=centres, sol_col="sol")
     st = run_stats(df, lab_spec)
     n = int(st.n[0].sum())
