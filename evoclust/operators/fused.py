@@ -7,9 +7,10 @@ Pass B  children fitness  +  k-means candidate statistics of every slot a
 Pass C  candidate fitness  +  label x cluster contingency of the candidate and
         held labels of every slot (the ARI of the best chromosome).
 
-Every pass is one ``mapInArrow`` kernel whose rows are merged by one
-``groupBy`` over ``(kind, chrom, c, j, lab)``; the same NumPy arithmetic as
-the single-purpose kernels is used, so decisions equal the unfused path.
+Every pass is one ``mapInArrow`` kernel whose partial rows are merged over
+``(kind, chrom, c, j, lab)`` (on the driver when provably few, else by a
+``groupBy``); the same NumPy arithmetic as the single-purpose kernels is
+used, so decisions equal the unfused path.
 """
 
 from __future__ import annotations
