@@ -19,7 +19,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from evoclust.operators.genetic import GeneticKMeans  # noqa: E402
 from evoclust.operators.internal import silhouette_exact  # noqa: E402

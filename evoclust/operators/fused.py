@@ -18,7 +18,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from evoclust.operators import kernels as K
 from evoclust.operators.kmeans import Stats

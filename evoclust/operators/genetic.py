@@ -27,7 +27,6 @@ from evoclust.operators.population import (
     Population,
     base_cols,
     child_slot,
-    evaluate_slots,
     init_population,
     kmo,
     mutate,

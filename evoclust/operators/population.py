@@ -16,7 +16,6 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from evoclust.functions.vector import uniform
 from evoclust.operators import kernels as K
