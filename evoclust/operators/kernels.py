@@ -125,12 +125,13 @@ class KernelSpec:
     sol_col: str | None = None  # labels come from this ARRAY<INT> column when centers is None
     reassign: np.ndarray | None = None  # (P,) bool: which slots take nearest-centre labels
     root_e: bool = False  # accumulate Euclidean (not squared) distances in e
+    e_col: str | None = None  # with labels from sol: e read from this column
 
     def chunk(self, lo: int, hi: int, sol_col: str | None = None) -> "KernelSpec":
         """The same pass restricted to slots lo..hi-1 (``sol`` already sliced)."""
         pick = lambda a: None if a is None else a[lo:hi]
         return KernelSpec(hi - lo, self.k, self.d, self.shift, pick(self.centers), pick(self.own_centers),
-                          sol_col or self.sol_col, pick(self.reassign), self.root_e)
+                          sol_col or self.sol_col, pick(self.reassign), self.root_e, self.e_col)
 
 
 def _labels(spec: KernelSpec, batch: pa.RecordBatch, X: np.ndarray):
@@ -145,6 +146,8 @@ def _labels(spec: KernelSpec, batch: pa.RecordBatch, X: np.ndarray):
             if spec.own_centers is not None:
                 diff = X - spec.own_centers[p][lab]
                 e = np.einsum("ij,ij->i", diff, diff)
+            elif spec.e_col is not None:
+                e = batch.column(batch.schema.get_field_index(spec.e_col)).to_numpy(zero_copy_only=False)
             else:
                 e = np.zeros(X.shape[0])
         if spec.root_e:
@@ -328,6 +331,29 @@ def merge_top_k_fn(k: int):
     return run
 
 
+def block_nearest_fn(block: np.ndarray, lo: int, d: int, keep: list[str], first: bool):
+    """Nearest centre over centre blocks: this pass holds centres ``lo ..
+    lo+len(block)-1`` only and updates the running ``(_bc, _bd)`` of each row.
+    Exact distances are compared with ``<``, so ties keep the lower id."""
+
+    def run(batches):
+        for b in batches:
+            X = matrix(b, "x", d)
+            lab, e = nearest(X, block)
+            lab = lab.astype(np.int64) + lo
+            if not first:
+                pc = b.column(b.schema.get_field_index("_bc")).to_numpy(zero_copy_only=False)
+                pd_ = b.column(b.schema.get_field_index("_bd")).to_numpy(zero_copy_only=False)
+                better = e < pd_
+                lab = np.where(better, lab, pc)
+                e = np.where(better, e, pd_)
+            cols = [b.column(b.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(lab.astype(np.int32)), pa.array(e)],
+                                             names=keep + ["_bc", "_bd"])
+
+    return run
+
+
 def predict_fn(centers: np.ndarray, d: int, keep: list[str]):
     """K8: nearest final centre and squared distance, one chromosome."""
 

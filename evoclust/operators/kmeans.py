@@ -191,6 +191,35 @@ def relabel(points: DataFrame, centers: np.ndarray, keep: list[str], sol_col: st
     return out
 
 
+def block_nearest(points: DataFrame, C: np.ndarray, keep: list[str]) -> DataFrame:
+    """``keep`` + ``(_bc, _bd)``: nearest of centres too many to ship at once.
+
+    The centres are cut into blocks under the broadcast bound; each block is
+    one chained narrow pass that holds only its block and keeps the running
+    best, so the labels equal a single pass over all centres.
+    """
+    k, d = C.shape
+    per_block = max(1, K.MAX_CLOSURE_BYTES // (d * 8))
+    fields = [points.schema[c] for c in keep] + [
+        T.StructField("_bc", T.IntegerType()), T.StructField("_bd", T.DoubleType())]
+    out = points.select(*keep)
+    for lo in range(0, k, per_block):
+        src = out if lo == 0 else out.select(*keep, "_bc", "_bd")
+        out = src.mapInArrow(K.block_nearest_fn(C[lo:lo + per_block], lo, d, keep, lo == 0), T.StructType(fields))
+    return out
+
+
+def stats_by_centres(points: DataFrame, C: np.ndarray, shift: np.ndarray) -> Stats:
+    """A1/A5 of the nearest-centre labels of one chromosome: one pass, or
+    centre blocks plus one statistics pass when the centres exceed the bound."""
+    k, d = C.shape
+    if C.nbytes <= K.MAX_CLOSURE_BYTES:
+        return run_stats(points, K.KernelSpec(1, k, d, shift, centers=C[None]))
+    lab = block_nearest(points.select("row_id", "x"), C, ["row_id", "x"])
+    framed = lab.select("row_id", "x", F.array("_bc").alias("sol"), "_bd")
+    return run_stats(framed, K.KernelSpec(1, k, d, shift, sol_col="sol", e_col="_bd"))
+
+
 def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFrame:
     """Nearest centre ``cluster`` (ties to the lowest id) and its ``d2``.
 
@@ -202,19 +231,23 @@ def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFra
             raise ValueError(f"more than {MAX_CENTRES} centres: not a centre table")
         centers = np.array([r["cx"] for r in sorted(rows, key=lambda r: r["c"])], dtype=np.float64)
     C = np.asarray(centers, dtype=np.float64)
-    K.check_broadcast(C)
     keep = keep or [c for c in points.columns if c not in ("cluster", "d2")]
+    if C.nbytes > K.MAX_CLOSURE_BYTES:
+        out = block_nearest(points, C, keep)
+        return out.select(*keep, F.col("_bc").alias("cluster"), F.col("_bd").alias("d2"))
     schema = T.StructType(points.select(*keep).schema.fields + [T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
     return points.mapInArrow(K.predict_fn(C, C.shape[1], keep), schema)
 
 
 def own_center_distance(assigned: DataFrame, centers: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Squared distance of each point to its own centre, by an equi-join on the
-    cluster id against the k-row centre table (broadcast after a size check)."""
+    cluster id against the k-row centre table: broadcast when its size is under
+    the bound, else a shuffle join (AQE splits a cluster holding many rows)."""
     k = centers.count()
     d = len(centers.select("cx").first()["cx"]) if k else 0
-    K.check_broadcast(np.zeros((k, d)))
-    cen = F.broadcast(centers.select(F.col("c").alias(cluster), "cx"))
+    cen = centers.select(F.col("c").alias(cluster), "cx")
+    if k * d * 8 <= K.MAX_CLOSURE_BYTES:
+        cen = F.broadcast(cen)
     return assigned.join(cen, cluster).withColumn("d2", sq_dist("x", "cx")).drop("cx")
 
 
@@ -275,9 +308,7 @@ class KMeansModel:
 
     def sse(self, points: DataFrame) -> float:
         """Q2: SSE of labels redrawn with the final centres."""
-        d = self.centers.shape[1]
-        spec = K.KernelSpec(1, self.k, d, self.centers.mean(axis=0), centers=self.centers[None])
-        return float(run_stats(points.select("row_id", "x"), spec).E.sum())
+        return float(stats_by_centres(points.select("row_id", "x"), self.centers, self.centers.mean(axis=0)).E.sum())
 
 
 @dataclass
@@ -299,13 +330,11 @@ class KMeansLloyd:
                 C = np.asarray(self.init_centers, dtype=np.float64).copy()
             else:
                 C = centers_array(sample_centers(pts, self.k, self.seed), 1, self.k, d)[0]
-            K.check_broadcast(C)
             init = C.copy()
             shift = C.mean(axis=0)
             sse_hist, shift_hist, cen_hist = [], [], [C.copy()]
             for _ in range(self.n_iter):
-                spec = K.KernelSpec(1, self.k, d, shift, centers=C[None])
-                st = run_stats(pts, spec)
+                st = stats_by_centres(pts, C, shift)
                 new = st.means(C[None])[0]
                 moved = float(((new - C) ** 2).sum())
                 sse_hist.append(float(st.E.sum()))

@@ -99,3 +99,18 @@ def test_fast_nearest_equals_exact_difference_sums():
         D = sq_dists(X, C)
         assert (lab == np.argmin(D, axis=1)).all()
         assert np.allclose(e, D[np.arange(n), lab], rtol=1e-12, atol=0)
+
+
+def test_centres_above_the_bound_use_blocks(spark, monkeypatch):
+    """k x d over the broadcast bound: chained centre blocks give the same fit."""
+    from evoclust.operators import kernels as K
+
+    pts = embedding_points(spark, SF_SMALL)
+    whole = KMeansLloyd(k=12, n_iter=3, seed=6).fit(pts)
+    a = sorted((r["row_id"], r["cluster"], round(r["d2"], 12)) for r in whole.transform(pts).collect())
+    monkeypatch.setattr(K, "MAX_CLOSURE_BYTES", 5 * 64 * 8)  # five centres per pass
+    blocks = KMeansLloyd(k=12, n_iter=3, seed=6).fit(pts)
+    b = sorted((r["row_id"], r["cluster"], round(r["d2"], 12)) for r in blocks.transform(pts).collect())
+    assert np.allclose(whole.centers, blocks.centers) and np.allclose(whole.sse_history, blocks.sse_history)
+    assert a == b
+    assert blocks.sse(pts) == pytest.approx(whole.sse(pts))
