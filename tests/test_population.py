@@ -147,3 +147,16 @@ def test_fused_generations_equal_unfused(spark):
     la = sorted((r["row_id"], r["cluster"]) for r in a.labels().collect())
     lb = sorted((r["row_id"], r["cluster"]) for r in b.labels().collect())
     assert la == lb
+
+
+def test_fit_with_exact_fitness(spark):
+    """fitness="exact" (E5 as fitness, block pairs) runs end to end and the
+    best chromosome's fitness equals the public exact silhouette of its labels."""
+    from evoclust.operators.internal import silhouette_exact
+
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    m = GeneticKMeans(population=3, k=4, generations=2, seed=3, fitness="exact", block_rows=128).fit(pts)
+    h = m.fitness_history
+    assert all(b >= a - 1e-12 for a, b in zip(h, h[1:]))
+    lab = m.labels().join(pts.select("row_id", "x"), "row_id")
+    assert silhouette_exact(lab).collect()[0][0] == pytest.approx(m.fitness, abs=1e-9)
