@@ -183,16 +183,18 @@ def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None =
     ``order_col`` (a name or a list of columns): range-partition and sort by
     it once, materialised on reliable storage so that counting and numbering
     see the same partitions.  ``order_col=None``: input order (file order of
-    a scan) — no shuffle, no sort, no checkpoint; the rows are then spread
-    over ``num_partitions`` (size-aware by default) by a range partition on
-    ``pos``.  No single-partition window, no ``monotonically_increasing_id``.
+    a scan) — no sort, no checkpoint; only when the scan has fewer splits
+    than ``num_partitions`` (size-aware by default) are the rows spread by a
+    range partition on ``pos``.  No single-partition window, no ``monotonically_increasing_id``.
     """
     if "pos" in points.columns:
         points = points.drop("pos")
     n_parts = num_partitions or target_partitions(points)
     if order_col is None:
         numbered = _number_partitions(points)
-        if n_parts > 1:
+        # spread rows only when the scan has fewer splits than wanted (small
+        # inputs); a large scan already has enough partitions: no shuffle
+        if n_parts > 1 and points.rdd.getNumPartitions() < n_parts:
             numbered = numbered.repartitionByRange(n_parts, "pos")
         out = numbered
     else:
