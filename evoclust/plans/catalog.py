@@ -328,6 +328,13 @@ def g11_fit(spark, sf_dir):
     return model.history()
 
 
+def g11_fit_one_generation(spark, sf_dir):
+    model = GeneticKMeans(population=P, k=K, generations=1, seed=SEED).fit(embedding_points(spark, sf_dir, pos=True))
+    return model.history().select(
+        F.col("gen").cast("bigint").alias("gen"), _r("fitness").alias("fitness"), _r("sse").alias("sse"), _r("ari").alias("ari")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s_points_from_columns": s_points_from_columns,
     "s_parse_vector_text": s_parse_vector_text,
@@ -369,4 +376,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "g10_kmo_always": g10_kmo_always,
     "d1_pca_2d": d1_pca_2d,
     "g11_fit": g11_fit,
+    "g11_fit_one_generation": g11_fit_one_generation,
 }

@@ -179,6 +179,63 @@ kids AS (
   JOIN posn n ON n.row_id = pa.row_id)"""
 
 
+def _one_generation() -> str:
+    """G11, generation 1 with the default options: selection, one disjoint pair
+    crossed at the first cut, family competition, guarded k-means step."""
+    P1 = P - 1
+    return f"""{_select_slots("silo")},
+slotlab AS (SELECT s.slot, p.row_id, p.c FROM sel s JOIN pop p ON p.chrom = s.chrom),
+slotcen AS (SELECT s.slot, c.c, c.j, c.v FROM sel s JOIN pcen c ON c.chrom = s.chrom),
+ranks AS (SELECT r, row_number() OVER (ORDER BY u, r) - 1 AS ord FROM (
+  SELECT r, (('0x' || substr(md5('{SEED}|rank|1|' || CAST(r AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0) AS u
+  FROM range(0, {P1}) t(r))),
+duo AS (SELECT (SELECT r FROM ranks WHERE ord = 0) AS a, (SELECT r FROM ranks WHERE ord = 1) AS b),
+cut AS (SELECT {_cut(0)} AS cut),
+kid AS (
+  SELECT 100 AS chrom, la.row_id, CASE WHEN n.pos < (SELECT cut FROM cut) THEN la.c ELSE lb.c END AS c
+  FROM slotlab la JOIN slotlab lb ON lb.row_id = la.row_id JOIN posn n ON n.row_id = la.row_id
+  WHERE la.slot = (SELECT a FROM duo) AND lb.slot = (SELECT b FROM duo)
+  UNION ALL
+  SELECT 101, la.row_id, CASE WHEN n.pos < (SELECT cut FROM cut) THEN lb.c ELSE la.c END
+  FROM slotlab la JOIN slotlab lb ON lb.row_id = la.row_id JOIN posn n ON n.row_id = la.row_id
+  WHERE la.slot = (SELECT a FROM duo) AND lb.slot = (SELECT b FROM duo)),
+{_silhouette("kid", True, "ksil")},
+allfit AS (SELECT slot AS src, fitness FROM sel UNION ALL SELECT chrom, fitness FROM ksil),
+comp AS (
+  SELECT 0 AS idx, (SELECT a FROM duo) AS src UNION ALL SELECT 1, (SELECT b FROM duo)
+  UNION ALL SELECT 2, 100 UNION ALL SELECT 3, 101),
+win AS (SELECT c.src, row_number() OVER (ORDER BY f.fitness DESC, c.idx) - 1 AS place
+        FROM comp c JOIN allfit f USING (src)),
+holdsrc AS (
+  SELECT s.slot, CASE WHEN s.slot = (SELECT a FROM duo) THEN (SELECT src FROM win WHERE place = 0)
+                      WHEN s.slot = (SELECT b FROM duo) THEN (SELECT src FROM win WHERE place = 1)
+                      ELSE s.slot END AS src
+  FROM sel s),
+held AS (SELECT h.slot AS chrom, l.row_id, l.c FROM holdsrc h JOIN
+         (SELECT slot AS src, row_id, c FROM slotlab UNION ALL SELECT chrom, row_id, c FROM kid) l ON l.src = h.src),
+hf AS (SELECT h.slot AS chrom, f.fitness FROM holdsrc h JOIN allfit f ON f.src = h.src),
+kidmeans AS (
+  SELECT k.chrom AS src, k.c, p.j, avg(p.v) AS v FROM kid k JOIN lp p USING (row_id) GROUP BY k.chrom, k.c, p.j
+  UNION ALL
+  SELECT kk.chrom, sc.c, sc.j, sc.v FROM (SELECT DISTINCT chrom FROM kid) kk, slotcen sc
+  WHERE sc.slot = 0 AND NOT EXISTS (SELECT 1 FROM kid k2 WHERE k2.chrom = kk.chrom AND k2.c = sc.c)),
+hc AS (SELECT h.slot AS chrom, c.c, c.j, c.v FROM holdsrc h JOIN
+       (SELECT slot AS src, c, j, v FROM slotcen UNION ALL SELECT src, c, j, v FROM kidmeans) c ON c.src = h.src),
+cand_d AS (SELECT m.chrom, p.row_id, m.c, sum((p.v - m.v) * (p.v - m.v)) AS d2 FROM lp p JOIN hc m ON m.j = p.j
+           GROUP BY m.chrom, p.row_id, m.c),
+cand AS (SELECT chrom, row_id, m.c AS c FROM (SELECT chrom, row_id, min({{'d': d2, 'c': c}}) AS m FROM cand_d GROUP BY chrom, row_id)),
+{_silhouette("cand", True, "csil")},
+acc AS (SELECT h.chrom, c.fitness > h.fitness AS take,
+               CASE WHEN c.fitness > h.fitness THEN c.fitness ELSE h.fitness END AS fit
+        FROM hf h JOIN csil c USING (chrom)),
+fin AS (SELECT h.chrom, h.row_id, CASE WHEN a.take THEN c.c ELSE h.c END AS c
+        FROM held h JOIN cand c USING (chrom, row_id) JOIN acc a USING (chrom)),
+best AS (SELECT chrom, fit FROM acc ORDER BY fit DESC, chrom LIMIT 1),
+bl AS (SELECT row_id, c FROM fin WHERE chrom = (SELECT chrom FROM best)),
+{_sse_to_means("fin", "fsse")},
+{_pair_counts("bl")}"""
+
+
 # ------------------------------------------------------------------ statements
 
 def statements() -> dict[str, str]:
@@ -330,4 +387,8 @@ held AS (SELECT p.chrom, p.row_id, CASE WHEN {take} THEN c2.c ELSE p.c END AS c
             f"SELECT a.chrom::BIGINT AS chrom, ({take})::BOOLEAN AS accepted, {_r(fit_expr)} AS fitness, {_r('h.sse')} AS sse "
             "FROM acc a JOIN hsse h USING (chrom)"
         )
+    q["g11_fit_one_generation"] = _with(*base, pop, _silhouette("pop", True, "silo"), _one_generation()) + (
+        f"SELECT 1::BIGINT AS gen, {_r('(SELECT fit FROM best)')} AS fitness, "
+        f"{_r('(SELECT sse FROM fsse WHERE chrom = (SELECT chrom FROM best))')} AS sse, {_r(ARI)} AS ari FROM pc"
+    )
     return q
