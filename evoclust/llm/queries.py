@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, sharding, url_filter
+from . import decontaminate, line_dedup, sharding, simhash, url_filter
 
 QUERIES = {
+    "op2_simhash": simhash.op2_simhash,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_sharding": sharding.op4_sharding,
     "op6_line_dedup": line_dedup.op6_line_dedup,
