@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, sharding, simhash, url_filter
+from . import decontaminate, line_dedup, mixing, sharding, simhash, topk, url_filter
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_sharding": sharding.op4_sharding,
+    "op5_mixing": mixing.op5_mixing,
     "op6_line_dedup": line_dedup.op6_line_dedup,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_topk": topk.op9_topk,
 }
 ORACLE = {
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op4_sharding": sharding.oracle(),
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op8_url_filter": url_filter.OP8_SQL,
+    "op9_topk": topk.OP9_SQL,
 }
