@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, mixing, sharding, simhash, topk, url_filter
+from . import decontaminate, line_dedup, mixing, sharding, simhash, token_output, topk, url_filter
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op5_mixing": mixing.op5_mixing,
     "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op7_token_output": token_output.op7_token_output,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_topk": topk.op9_topk,
 }
