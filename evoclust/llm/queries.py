@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, mixing, sharding, simhash, token_output, topk, url_filter
+from . import decontaminate, language_id, line_dedup, mixing, sharding, simhash, token_output, topk, url_filter
 
 QUERIES = {
+    "op10_language_id": language_id.op10_language_id,
     "op2_simhash": simhash.op2_simhash,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_sharding": sharding.op4_sharding,
