@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, line_dedup, mixing, sharding, simhash, token_output, topk, url_filter
+from . import decontaminate, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, token_output, topk, url_filter
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op10_language_id": language_id.op10_language_id,
     "op2_simhash": simhash.op2_simhash,
     "op3_decontaminate": decontaminate.op3_decontaminate,
