@@ -141,10 +141,10 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = S
     buckets = F.ceil(F.col("n") / leaf_rows).cast("int")
     key = F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("tk").cast("string"),
                       F.coalesce("source", F.lit("")))
-    factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    factor = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = sized.join(goal, F.col("source").eqNullSafe(F.col("__source"))).select(
         "id", "tk", "source", "size", "source_size", "target", F.floor(factor).cast("int").alias("whole"),
-        F.when(F.col("size") > 0, factor - F.floor(factor)).otherwise(0.0).alias("p"), buckets.alias("buckets"),
+        (factor - F.floor(factor)).alias("p"), buckets.alias("buckets"),
         F.md5(key).cast("binary").alias("key"), F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull()).alias("source_key"),
     ).withColumn("bucket", F.pmod(F.xxhash64("key"), F.col("buckets")).cast("int"))
     finished, level, top = [], 0, 1
