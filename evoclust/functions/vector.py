@@ -26,15 +26,6 @@ def dist(x, y) -> Column:
     return F.sqrt(sq_dist(x, y))
 
 
-def sq_norm(x) -> Column:
-    return F.aggregate(F.transform(_col(x), lambda a: a * a), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def as_double_array(c) -> Column:
-    """Cast ARRAY<FLOAT>/ARRAY<INT> to ARRAY<DOUBLE> (exact widening)."""
-    return _col(c).cast("array<double>")
-
-
 def uniform(seed: int, *tags, row_id="row_id") -> Column:
     """A uniform [0, 1) value that is a pure function of (seed, tags, row_id).
 
@@ -47,6 +38,13 @@ def uniform(seed: int, *tags, row_id="row_id") -> Column:
     return F.conv(h, 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def uniform_key(seed: int, *tags, row_id="row_id") -> Column:
+    """The first 60 bits of the hash behind :func:`uniform` as a long: the same
+    order, and ties in the 32 bits of the draw are all but excluded."""
+    parts = [F.lit(str(seed))] + [F.lit(str(t)) for t in tags] + [_col(row_id).cast("string")]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("bigint")
+
+
 def uniform_scalar(seed: int, *tags) -> float:
     """Driver-side twin of :func:`uniform` for scalar draws (cuts, ranks, fillers)."""
     key = "|".join(str(p) for p in (seed, *tags))

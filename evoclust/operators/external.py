@@ -1,10 +1,9 @@
 """External quality indices (E1-E4, A7, A8): agreement of a clustering with known labels.
 
-All pair-counting indices come from ONE aggregation with grouping sets over
-``(label, cluster)``: the contingency cells, the label margins, the cluster
-margins and the total.  Partial aggregation runs map side, so a label or
-cluster holding a third of all rows costs nothing extra; only
-``#labels x #clusters`` cells are shuffled.
+All pair-counting indices come from the contingency cells: one aggregation of
+the rows with map-side partials (a label or cluster holding a third of all
+rows costs nothing extra), then grouping sets over the cells alone for the
+label margins, the cluster margins and the total.
 """
 
 from __future__ import annotations
@@ -27,9 +26,9 @@ def pair_counts(df: DataFrame, label: str = "label", cluster: str = "cluster", w
     """One row ``(T, A, B, NP, rows[, agree])``: pairs together in both, in the
     same label, in the same cluster, all pairs, the row count (and the rows
     whose cluster id equals their label id)."""
-    g = df.select(F.col(label).alias("l"), F.col(cluster).alias("k")).groupingSets(
-        [["l", "k"], ["l"], ["k"], []], "l", "k"
-    ).agg(F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("gid"))
+    cells = contingency(df, label, cluster).select(F.col("label").alias("l"), F.col("cluster").alias("k"), "n")
+    g = cells.groupingSets([["l", "k"], ["l"], ["k"], []], "l", "k").agg(
+        F.sum("n").alias("cnt"), F.grouping_id().alias("gid"))
     extra = [F.sum(F.when((F.col("gid") == 0) & (F.col("l") == F.col("k")), F.col("cnt")).otherwise(0)).alias("agree")]
     return g.agg(*(extra if with_agreement else []),
         F.sum(F.when(F.col("gid") == 0, _pairs(F.col("cnt")))).alias("T"),

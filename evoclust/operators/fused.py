@@ -4,177 +4,66 @@ Pass A  children statistics (and, lazily, the previous generation's relabel).
 Pass B  children fitness  +  k-means candidate statistics of every slot a
         generation can end with (P parents and 2m children), computed
         speculatively so the KMO step needs no pass of its own.
-Pass C  candidate fitness  +  label x cluster contingency of the candidate and
-        held labels of every slot (the ARI of the best chromosome).
+Pass C  candidate fitness of every slot.
 
-Every pass is one ``mapInArrow`` kernel whose partial rows are merged over
-``(kind, chrom, c, j, lab)`` (on the driver when provably few, else by a
-``groupBy``); the same NumPy arithmetic as the single-purpose kernels is
-used, so decisions equal the unfused path.
+Every pass is one ``mapInArrow`` kernel over the shared statistics of
+:mod:`evoclust.operators.kernels`, so decisions equal the unfused path.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
 
 from evoclust.operators import kernels as K
-from evoclust.operators.kmeans import Stats
-
-FUSED_SCHEMA = "kind int, chrom int, c int, j int, lab int, n bigint, v double, q double, e double"
-STATS, SIL, CONT_CAND, CONT_HELD = 0, 1, 2, 3
-
-
-class _Acc:
-    """Per-partition accumulators for P slots."""
-
-    def __init__(self, P: int, k: int, d: int):
-        self.n = np.zeros((P, k), dtype=np.int64)
-        self.S = np.zeros((P, k, d))
-        self.Q = np.zeros((P, k))
-        self.E = np.zeros((P, k))
-
-    def add(self, p, lab, Xs, sq, e, k):
-        self.n[p] += np.bincount(lab, minlength=k)[:k]
-        self.S[p] += K.cluster_sums(lab, Xs, k)
-        self.Q[p] += np.bincount(lab, weights=sq, minlength=k)[:k]
-        self.E[p] += np.bincount(lab, weights=e, minlength=k)[:k]
-
-    def rows(self, d: int, chrom_offset: int = 0):
-        pp, cc = np.nonzero(self.n)
-        m = len(pp)
-        if m == 0:
-            return []
-        z = np.zeros(m * d)
-        return [
-            np.full(m * (d + 1), STATS, dtype=np.int32),
-            np.concatenate([pp, np.repeat(pp, d)]).astype(np.int32) + chrom_offset,
-            np.concatenate([cc, np.repeat(cc, d)]).astype(np.int32),
-            np.concatenate([np.full(m, -1), np.tile(np.arange(d), m)]).astype(np.int32),
-            np.zeros(m * (d + 1), dtype=np.int32),
-            np.concatenate([self.n[pp, cc], np.zeros(m * d, dtype=np.int64)]),
-            np.concatenate([np.zeros(m), self.S[pp, cc].reshape(-1)]),
-            np.concatenate([self.Q[pp, cc], z]),
-            np.concatenate([self.E[pp, cc], z]),
-        ]
-
-
-def _sil_values(Xs, x2, lab, n, mean_S, mean_Q):
-    """Per-point squared silhouette (same arithmetic as ``silhouette_partial_fn``)."""
-    rows = np.arange(Xs.shape[0])
-    md = x2[:, None] + mean_Q[None, :] - 2.0 * (Xs @ mean_S.T)
-    md = np.maximum(md, 0.0)
-    md[:, n == 0] = np.inf
-    n_own = n[lab]
-    own = md[rows, lab]
-    a = np.where(n_own > 1, own * n_own / np.maximum(n_own - 1, 1), 0.0)
-    md[rows, lab] = np.inf
-    bb = md.min(axis=1)
-    denom = np.maximum(a, bb)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return np.where((n_own > 1) & np.isfinite(bb) & (denom > 0), (bb - a) / denom, 0.0)
-
-
-def _means(n, S, Q):
-    safe = np.where(n > 0, n, 1).astype(np.float64)
-    return S / safe[:, :, None], Q / safe
-
-
-def _emit(parts):
-    cols = [np.concatenate([p[i] for p in parts]) for i in range(9)]
-    types = [np.int32] * 5 + [np.int64, np.float64, np.float64, np.float64]
-    names = ["kind", "chrom", "c", "j", "lab", "n", "v", "q", "e"]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, types)], names=names)
-
-
-def _scalar_rows(kind, chrom, c, lab, n, v):
-    m = len(chrom)
-    return [np.full(m, kind), np.asarray(chrom), np.asarray(c), np.full(m, -2), np.asarray(lab),
-            np.asarray(n, dtype=np.int64), np.asarray(v, dtype=np.float64), np.zeros(m), np.zeros(m)]
-
-
-def children_and_candidates_fn(P: int, m2: int, k: int, d: int, shift, child_n, child_S, child_Q, centres):
+
+
+def children_and_candidates_fn(P: int, m2: int, k: int, d: int, child, centres):
     """Pass B: ``sol`` holds P parent slots then m2 child slots.  Emits the
     children's silhouette sums and candidate statistics of all P + m2 slots
-    (labels = nearest of that slot's centres)."""
-    mS, mQ = _means(child_n, child_S, child_Q)
+    (labels = nearest of that slot's centres); ``child``: the children's Stats."""
     tot = P + m2
 
     def run(batches):
-        acc = _Acc(tot, k, d)
-        s_sum = np.zeros(m2)
-        s_cnt = np.zeros(m2, dtype=np.int64)
+        acc = K.Moments(tot, k, d)
+        s_sum, s_cnt = np.zeros(m2), np.zeros(m2, dtype=np.int64)
         for b in batches:
             if b.num_rows == 0:
                 continue
             X = K.matrix(b, "x", d)
-            Xs = X - shift
-            sq = np.einsum("ij,ij->i", Xs, Xs)
             sol = K.matrix(b, "sol", tot, np.int64)
             for i in range(m2):
-                s = _sil_values(Xs, sq, sol[:, P + i].astype(np.int32), child_n[i], mS[i], mQ[i])
-                s_sum[i] += s.sum()
+                s_sum[i] += K.sil_values(X, sol[:, P + i], child.n[i], child.M[i], child.W[i]).sum()
                 s_cnt[i] += X.shape[0]
             for p in range(tot):
                 lab, e = K.nearest(X, centres[p])
-                acc.add(p, lab, Xs, sq, e, k)
-        parts = [r for r in [acc.rows(d)] if r]
-        if m2:
-            parts.append(_scalar_rows(SIL, np.arange(m2), np.full(m2, -1), np.zeros(m2), s_cnt, s_sum))
-        if parts:
-            yield _emit(parts)
+                acc.add(p, lab, X, e)
+        yield K.parts_batch([acc.part(), K.sil_part(s_cnt, s_sum)])
 
     return run
 
 
-def candidates_and_contingency_fn(P: int, k: int, d: int, shift, centres, cand_n, cand_S, cand_Q, with_label: bool):
-    """Pass C: silhouette of every slot's candidate labels (nearest centre) from
-    the candidate statistics, and label x cluster counts of candidate and held labels."""
-    mS, mQ = _means(cand_n, cand_S, cand_Q)
+def candidates_fn(P: int, k: int, d: int, centres, cand):
+    """Pass C: silhouette of every slot's candidate labels (nearest centre) from the candidate Stats."""
 
     def run(batches):
-        s_sum = np.zeros(P)
-        s_cnt = np.zeros(P, dtype=np.int64)
-        cont = {}
+        s_sum, s_cnt = np.zeros(P), np.zeros(P, dtype=np.int64)
         for b in batches:
             if b.num_rows == 0:
                 continue
             X = K.matrix(b, "x", d)
-            Xs = X - shift
-            sq = np.einsum("ij,ij->i", Xs, Xs)
-            held = K.matrix(b, "sol", P, np.int64)
-            if with_label:
-                lab_col = b.column(b.schema.get_field_index("label")).to_numpy(zero_copy_only=False)
-                values, code = np.unique(lab_col.astype(np.int64), return_inverse=True)
             for p in range(P):
-                cand, _ = K.nearest(X, centres[p])
-                s = _sil_values(Xs, sq, cand, cand_n[p], mS[p], mQ[p])
-                s_sum[p] += s.sum()
+                lab, _ = K.nearest(X, centres[p])
+                s_sum[p] += K.sil_values(X, lab, cand.n[p], cand.M[p], cand.W[p]).sum()
                 s_cnt[p] += X.shape[0]
-                if with_label:
-                    for kind, labs in ((CONT_CAND, cand), (CONT_HELD, held[:, p])):
-                        cells = np.bincount(code * k + labs, minlength=len(values) * k)
-                        for cell in np.nonzero(cells)[0]:
-                            key = (kind, p, int(cell % k), int(values[cell // k]))
-                            cont[key] = cont.get(key, 0) + int(cells[cell])
-        parts = [_scalar_rows(SIL, np.arange(P), np.full(P, -1), np.zeros(P), s_cnt, s_sum)]
-        if cont:
-            keys = np.array(list(cont.keys()))
-            vals = np.array(list(cont.values()))
-            parts.append([keys[:, 0], keys[:, 1], keys[:, 2], np.full(len(keys), -3), keys[:, 3], vals,
-                          np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys))])
-        yield _emit(parts)
+        yield K.parts_batch([K.sil_part(s_cnt, s_sum)])
 
     return run
 
 
-def scatter_and_silhouette_fn(k: int, d: int, shift, n, S, Q):
+def scatter_and_silhouette_fn(k: int, d: int, n, M, W):
     """One labelling (``sol`` of length 1): per cluster the sum of Euclidean
     distances to the member mean (scatter, in ``e``) and the squared
     silhouette sum, in one pass (E6 + A10 of the report)."""
-    mS, mQ = _means(n[None], S[None], Q[None])
-    cen = np.where(n[:, None] > 0, S / np.where(n > 0, n, 1)[:, None], 0.0)  # shifted centroids
 
     def run(batches):
         root = np.zeros(k)
@@ -182,69 +71,15 @@ def scatter_and_silhouette_fn(k: int, d: int, shift, n, S, Q):
         for b in batches:
             if b.num_rows == 0:
                 continue
-            Xs = K.matrix(b, "x", d) - shift
-            sq = np.einsum("ij,ij->i", Xs, Xs)
-            lab = K.matrix(b, "sol", 1, np.int64)[:, 0].astype(np.int32)
-            diff = Xs - cen[lab]
-            root += np.bincount(lab, weights=np.sqrt(np.einsum("ij,ij->i", diff, diff)), minlength=k)[:k]
-            s = _sil_values(Xs, sq, lab, n, mS[0], mQ[0])
-            s_sum += float(s.sum())
+            X = K.matrix(b, "x", d)
+            lab = K.matrix(b, "sol", 1, np.int64)[:, 0]
+            diff = X - M[lab]
+            root += np.bincount(lab, weights=np.sqrt(np.einsum("ij,ij->i", diff, diff)), minlength=k)
+            s_sum += float(K.sil_values(X, lab, n, M, W).sum())
             s_cnt += b.num_rows
         used = np.nonzero(root > 0)[0]
-        m = len(used)
-        scat = [np.full(m, STATS), np.zeros(m), used, np.full(m, -1), np.zeros(m), np.zeros(m, dtype=np.int64),
-                np.zeros(m), np.zeros(m), root[used]]
-        yield _emit([scat, _scalar_rows(SIL, [0], [-1], [0], [s_cnt], [s_sum])])
+        m, z = len(used), np.zeros(len(used))
+        scatter = [np.full(m, K.STATS), z, used, np.full(m, -1), z, z, z, root[used]]
+        yield K.parts_batch([scatter, K.sil_part(np.array([s_cnt]), np.array([s_sum]))])
 
     return run
-
-
-def run_fused(df: DataFrame, fn, P: int, k: int, d: int, shift, labels: int = 0):
-    """Run one fused pass; returns (stats for the STATS rows, silhouette sums, contingency dict).
-
-    ``labels`` bounds the distinct label values (contingency rows), for the
-    choice between a driver-side and a shuffled merge of the partial rows."""
-    from evoclust.operators.kmeans import merge_partials, num_partitions
-
-    bound = num_partitions(df) * (P * k * (d + 1) + P + 2 * P * k * max(labels, 0))
-    rows = merge_partials(df.mapInArrow(fn, FUSED_SCHEMA), ["kind", "chrom", "c", "j", "lab"],
-                          ["n", "v", "q", "e"], bound)
-    col = {name: rows.column(name).to_numpy() for name in rows.column_names}
-    if rows.num_rows == 0:
-        col = {name: np.zeros(0, dtype=np.int64) for name in ("kind", "chrom", "c", "j", "lab", "n", "v", "q", "e")}
-    kind = col["kind"]
-    st = Stats(np.zeros((P, k), dtype=np.int64), np.zeros((P, k, d)), np.zeros((P, k)), np.zeros((P, k)), shift)
-    sel = kind == STATS
-    if sel.any():
-        p, c, j = col["chrom"][sel], col["c"][sel], col["j"][sel]
-        head = j < 0
-        st.n[p[head], c[head]] = col["n"][sel][head]
-        st.Q[p[head], c[head]] = col["q"][sel][head]
-        st.E[p[head], c[head]] = col["e"][sel][head]
-        st.S[p[~head], c[~head], j[~head]] = col["v"][sel][~head]
-    sil = {}
-    sel = kind == SIL
-    for ch, n, v in zip(col["chrom"][sel], col["n"][sel], col["v"][sel]):
-        sil[int(ch)] = (float(v), int(n))
-    cont = {}
-    sel = (kind == CONT_CAND) | (kind == CONT_HELD)
-    for kd, ch, c, lab, n in zip(kind[sel], col["chrom"][sel], col["c"][sel], col["lab"][sel], col["n"][sel]):
-        cont[(int(kd), int(ch), int(lab), int(c))] = int(n)
-    return st, sil, cont
-
-
-def ari_from_cells(cells: dict) -> float:
-    """E2 from ``{(label, cluster): n}`` (a handful of cells on the driver)."""
-    n = np.array(list(cells.values()), dtype=np.float64)
-    if n.size == 0:
-        return 1.0
-    labs = np.array([k[0] for k in cells])
-    clus = np.array([k[1] for k in cells])
-    comb = lambda v: v * (v - 1) / 2.0
-    T = comb(n).sum()
-    A = sum(comb(n[labs == v].sum()) for v in np.unique(labs))
-    B = sum(comb(n[clus == v].sum()) for v in np.unique(clus))
-    N = comb(n.sum())
-    E = A * B / N if N > 0 else 0.0
-    den = (A + B) / 2.0 - E
-    return 1.0 if den == 0 else float((T - E) / den)

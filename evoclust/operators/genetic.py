@@ -21,16 +21,20 @@ from pyspark.sql import functions as F
 from evoclust.functions.vector import uniform_scalar
 from evoclust.operators import kernels as K
 from evoclust.operators.external import ari_expr, pair_counts
+from evoclust.operators.fused import candidates_fn, children_and_candidates_fn
 from evoclust.operators.internal import DEFAULT_BLOCK_ROWS
-from evoclust.operators.kmeans import assign
+from evoclust.operators.kmeans import Stats, assign, relabel, run_parts, run_stats
 from evoclust.operators.population import (
     Population,
     base_cols,
     child_slot,
+    fitness_of,
     init_population,
     kmo,
+    materialize,
     mutate,
-    rotated_child,
+    rotated_genes,
+    rotated_slot,
 )
 from evoclust.operators.sampling import centers_array, sample_centers
 from evoclust.sources.points import with_pos
@@ -129,6 +133,9 @@ class GeneticKMeans:
     ``second_child="rotate"`` (Q7), ``child_centers="random"`` (Q6),
     ``kmo="always"`` (G10).  ``fitness="exact"`` uses the O(n^2) Euclidean
     silhouette (E5); the default is its closed-form squared variant (E6).
+
+    One chromosome's k x d centres must fit the bound of
+    :func:`evoclust.operators.kernels.check_broadcast`; all P together need not.
     """
 
     population: int = 10
@@ -178,80 +185,49 @@ class GeneticKMeans:
         return [(ranks[i], ranks[i + 1]) for i in range(0, m - 1, 2)]
 
     def _child_frame(self, pop: Population, pairs, cuts) -> tuple[DataFrame, list]:
-        """A frame whose ``sol`` holds two children per pair."""
+        """A frame and the columns on it that hold two children per pair."""
         if self.second_child == "aligned":
             cols = []
             for (a, b), cut in zip(pairs, cuts):
                 cols += [child_slot(a, b, cut), child_slot(b, a, cut)]
-            return pop.df.select("row_id", "x", F.array(*cols).alias("sol")), cols
-        df = pop.df
-        names = []
+            return pop.df, cols
+        cols = []
         for i, ((a, b), cut) in enumerate(zip(pairs, cuts)):
-            df = df.withColumn(f"_c{i}a", child_slot(a, b, cut))
-            df = rotated_child(df, a, b, cut, pop.n, out=f"_c{i}b")
-            names += [f"_c{i}a", f"_c{i}b"]
-        return df.select("row_id", "x", F.array(*[F.col(c) for c in names]).alias("sol")), names
+            cols += [child_slot(a, b, cut), rotated_slot(i, a, b, cut, pop.n)]
+        return rotated_genes(pop.df, cuts, pop.n), cols
 
-    def _child_centres(self, pop: Population, stats, gen: int, step: int) -> np.ndarray:
+    def _child_centres(self, pop: Population, stats, pairs, gen: int, step: int) -> np.ndarray:
+        """Means of the children's labels; an empty cluster takes the first parent's centre."""
         if self.child_centers == "means":
-            return stats.means(np.repeat(pop.centers[:1], stats.n.shape[0], axis=0))
+            return stats.means(np.repeat(pop.centers[[a for a, _ in pairs]], 2, axis=0))
         P2 = stats.n.shape[0]
         cen = sample_centers(pop.df, self.k, self.seed, list(range(P2)), tag=f"child{gen}.{step}")
         return centers_array(cen, P2, self.k, pop.d)
 
     def _crossover_step(self, pop: Population, pairs, cuts, gen: int, step: int) -> Population:
-        frame, _ = self._child_frame(pop, pairs, cuts)
-        frame = frame.persist(StorageLevel.MEMORY_AND_DISK) if self.second_child == "rotate" else frame
+        frame, child_cols = self._child_frame(pop, pairs, cuts)
+        rotate = self.second_child == "rotate"
+        if rotate:
+            frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            st, fit = evaluate_slots_frame(frame, 2 * len(pairs), self.k, pop.d, pop.shift, self.fitness, self.block_rows)
+            children = frame.select("row_id", "x", F.array(*child_cols).alias("sol"))
+            st, fit = evaluate_slots_frame(children, 2 * len(pairs), self.k, pop.d, self.fitness, self.block_rows)
+            centres = self._child_centres(pop, st, pairs, gen, step)
+            src = list(range(pop.P))
+            fits = list(pop.fitness) + list(fit)
+            for i, (a, b) in enumerate(pairs):
+                cand = [a, b, pop.P + 2 * i, pop.P + 2 * i + 1]
+                win = family_competition([fits[c] for c in cand])
+                src[a], src[b] = cand[win[0]], cand[win[1]]
+            cols = [F.col("sol")[p] for p in range(pop.P)] + child_cols
+            df = frame.select(*base_cols(pop.df), F.array(*[cols[c] for c in src]).alias("sol"))
+            if rotate:
+                df = materialize(df, True)  # a step adds a join: its plan must not nest in the next
         finally:
-            if self.second_child == "rotate":
+            if rotate:
                 frame.unpersist()
-        centres = self._child_centres(pop, st, gen, step)
-        src_cols = [F.col("sol")[p] for p in range(pop.P)]
-        new_centres = pop.centers.copy()
-        new_fit = pop.fitness.copy()
-        n, S, Q, E = pop.stats.n.copy(), pop.stats.S.copy(), pop.stats.Q.copy(), pop.stats.E.copy()
-        child_cols = []
-        if self.second_child == "aligned":
-            for (a, b), cut in zip(pairs, cuts):
-                child_cols += [child_slot(a, b, cut), child_slot(b, a, cut)]
-        for i, (a, b) in enumerate(pairs):
-            fits = [pop.fitness[a], pop.fitness[b], fit[2 * i], fit[2 * i + 1]]
-            win = family_competition(fits)
-            for slot, w in zip((a, b), win):
-                if w < 2:
-                    src = (a, b)[w]
-                    src_cols[slot] = F.col("sol")[src]
-                    new_centres[slot] = pop.centers[src]
-                    new_fit[slot] = pop.fitness[src]
-                    n[slot], S[slot], Q[slot], E[slot] = pop.stats.n[src], pop.stats.S[src], pop.stats.Q[src], pop.stats.E[src]
-                else:
-                    ci = 2 * i + (w - 2)
-                    if self.second_child == "aligned":
-                        src_cols[slot] = child_cols[ci]
-                    else:
-                        src_cols[slot] = None  # rotated children are materialised below
-                    new_centres[slot] = centres[ci]
-                    new_fit[slot] = fit[ci]
-                    n[slot], S[slot], Q[slot], E[slot] = st.n[ci], st.S[ci], st.Q[ci], st.E[ci]
-        if any(c is None for c in src_cols):
-            # rotate mode: keep child genes as columns, then rebuild sol
-            df = pop.df
-            for i, ((a, b), cut) in enumerate(zip(pairs, cuts)):
-                df = df.withColumn(f"_c{i}a", child_slot(a, b, cut))
-                df = rotated_child(df, a, b, cut, pop.n, out=f"_c{i}b")
-            for i, (a, b) in enumerate(pairs):
-                fits = [pop.fitness[a], pop.fitness[b], fit[2 * i], fit[2 * i + 1]]
-                for slot, w in zip((a, b), family_competition(fits)):
-                    if w >= 2:
-                        src_cols[slot] = F.col(f"_c{i}{'ab'[w - 2]}")
-            df = df.select(*base_cols(pop.df), F.array(*src_cols).alias("sol"))
-        else:
-            df = pop.df.select(*base_cols(pop.df), F.array(*src_cols).alias("sol"))
-        from evoclust.operators.kmeans import Stats
-
-        return Population(df, new_centres, Stats(n, S, Q, E, pop.shift), new_fit, pop.n, pop.shift)
+        both = Stats.join([pop.stats, st])
+        return Population(df, np.concatenate([pop.centers, centres])[src], both.take(src), np.array(fits)[src], pop.n)
 
     def crossover_population(self, pop: Population, gen: int) -> Population:
         """G6/G7."""
@@ -268,24 +244,16 @@ class GeneticKMeans:
 
     # ------------------------------------------------------------ fused generation
 
-    def _can_fuse(self) -> bool:
+    def _can_fuse(self, d: int) -> bool:
+        """Fused passes hold the centres and statistics of all parents and children at once."""
+        slots = self.population + 2 * (int(self.crossover * self.population) // 2)
         return (self.fuse and self.pairing == "disjoint" and self.second_child == "aligned"
-                and self.child_centers == "means" and self.fitness == "squared" and self.mutation_rate == 0)
+                and self.child_centers == "means" and self.fitness == "squared" and self.mutation_rate == 0
+                and 2 * slots * self.k * d * 8 <= K.MAX_CLOSURE_BYTES)
 
-    def _generation_fused(self, pop: Population, gen: int, track: bool, after_first_pass, reliable: bool):
+    def _generation_fused(self, pop: Population, gen: int, after_first_pass, reliable: bool):
         """Crossover + KMO of one generation in three passes (see ``operators.fused``)."""
-        from evoclust.operators.fused import (
-            CONT_CAND,
-            CONT_HELD,
-            ari_from_cells,
-            candidates_and_contingency_fn,
-            children_and_candidates_fn,
-            run_fused,
-        )
-        from evoclust.operators.kmeans import Stats, relabel, run_stats
-        from evoclust.operators.population import materialize
-
-        P, k, d, shift = pop.P, pop.k, pop.d, pop.shift
+        P, k, d = pop.P, pop.k, pop.d
         ranks = crossover_ranks(P, self.crossover, self.seed, gen)
         pairs = self._pairs(ranks)
         cuts = [cut_point(pop.n, self.seed, gen, i) for i in range(len(pairs))]
@@ -298,20 +266,16 @@ class GeneticKMeans:
         # pass A: statistics of the children (materialises the previous relabel)
         if m2:
             frame_a = pop.df.select("row_id", "x", F.array(*child_cols).alias("sol"))
-            cst = run_stats(frame_a, K.KernelSpec(m2, k, d, shift, sol_col="sol"))
+            cst = run_stats(frame_a, K.KernelSpec(m2, k, d, sol_col="sol"))
             after_first_pass()
-            child_centres = cst.means(np.repeat(pop.centers[:1], m2, axis=0))
+            all_centres = np.concatenate([pop.centers, self._child_centres(pop, cst, pairs, gen, 0)])
         else:
-            cst = Stats(np.zeros((0, k), dtype=np.int64), np.zeros((0, k, d)), np.zeros((0, k)), np.zeros((0, k)), shift)
-            child_centres = np.zeros((0, k, d))
-        all_centres = np.concatenate([pop.centers, child_centres])
-        K.check_broadcast(all_centres, cst.S)
+            cst, all_centres = Stats.empty(0, k, d), pop.centers
+        K.check_broadcast(all_centres, cst.M)
 
         # pass B: children fitness + candidate statistics of every possible slot content
         frame_b = pop.df.select("row_id", "x", F.array(*parent_cols, *child_cols).alias("sol"))
-        cand_all, sil, _ = run_fused(
-            frame_b, children_and_candidates_fn(P, m2, k, d, shift, cst.n, cst.S, cst.Q, all_centres), P + m2, k, d, shift
-        )
+        cand_all, sil = run_parts(frame_b, children_and_candidates_fn(P, m2, k, d, cst, all_centres), P + m2, k, d)
         if not m2:
             after_first_pass()
         child_fit = np.array([sil[i][0] / sil[i][1] if sil.get(i, (0, 0))[1] else -1.0 for i in range(m2)])
@@ -323,50 +287,46 @@ class GeneticKMeans:
         for i, (a, b) in enumerate(pairs):
             cand = [a, b, P + 2 * i, P + 2 * i + 1]
             win = family_competition([fit[c] for c in cand])
-            new_a, new_b = cand[win[0]], cand[win[1]]
-            src[a], src[b] = new_a, new_b
-        held = Stats(
-            np.concatenate([pop.stats.n, cst.n])[src], np.concatenate([pop.stats.S, cst.S])[src],
-            np.concatenate([pop.stats.Q, cst.Q])[src], np.concatenate([pop.stats.E, cst.E])[src], shift,
-        )
+            src[a], src[b] = cand[win[0]], cand[win[1]]
+        held = Stats.join([pop.stats, cst]).take(src)
         fitness = np.array([fit[s] for s in src])
         centres = all_centres[src]
         self._logpop(gen, "crossover", fitness)
         slot_cols = [parent_cols[s] if s < P else child_cols[s - P] for s in src]
         frame_c = pop.df.select(*base_cols(pop.df), F.array(*slot_cols).alias("sol"))
 
-        # pass C: candidate fitness + contingency for the ARI
+        # pass C: candidate fitness
         cand = cand_all.take(src)
-        _, sil, cont = run_fused(
-            frame_c, candidates_and_contingency_fn(P, k, d, shift, centres, cand.n, cand.S, cand.Q, track), P, k, d, shift,
-            labels=self._n_labels if track else 0,
-        )
+        _, sil = run_parts(frame_c.select("row_id", "x"), candidates_fn(P, k, d, centres, cand), P, k, d)
         cand_fit = np.array([sil[p][0] / sil[p][1] if sil.get(p, (0, 0))[1] else -1.0 for p in range(P)])
         cand_fit = np.where((cand.n > 0).sum(axis=1) >= 2, cand_fit, -1.0)
         take = cand_fit > fitness if self.kmo == "better" else np.ones(P, dtype=bool)
-        kept = Stats(
-            np.where(take[:, None], cand.n, held.n), np.where(take[:, None, None], cand.S, held.S),
-            np.where(take[:, None], cand.Q, held.Q), np.zeros((P, k)), shift,
-        )
-        within = kept.Q - np.einsum("pkd,pkd->pk", kept.S, kept.S) / np.where(kept.n > 0, kept.n, 1)
-        kept.E = np.where(kept.n > 0, np.maximum(within, 0.0), 0.0)
+        kept = Stats(np.where(take[:, None], cand.n, held.n), np.where(take[:, None, None], cand.M, held.M),
+                     np.where(take[:, None], cand.W, held.W), np.zeros((P, k)))
+        kept.E = kept.W.copy()
         new_fit = np.where(take, cand_fit, fitness)
-        new_centres = kept.means(centres)
         df = relabel(frame_c, centres, base_cols(frame_c), reassign=take)
         df = materialize(df, True) if reliable else df.persist(StorageLevel.MEMORY_AND_DISK)
-        new = Population(df, new_centres, kept, new_fit, pop.n, shift)
-        ari = None
-        if track:
-            best = rank_order(new_fit)[0]
-            kind = CONT_CAND if take[best] else CONT_HELD
-            ari = ari_from_cells({(lab, c): n for (kd, ch, lab, c), n in cont.items() if kd == kind and ch == best})
-        return new, ari
+        return Population(df, kept.means(centres), kept, new_fit, pop.n)
 
     # ------------------------------------------------------------ fit
 
     def _logpop(self, gen: int, stage: str, fitness):
         self._log += [(gen, stage, int(p), float(f)) for p, f in enumerate(fitness)]
 
+    def _record(self, pop: Population, gen: int, track: bool, fit_h, sse_h, ari_h, cen_h) -> None:
+        """Fitness, SSE, centres and (from its contingency cells) the ARI of the best slot."""
+        self._logpop(gen, "kmo", pop.fitness)
+        best = rank_order(pop.fitness)[0]
+        fit_h.append(float(pop.fitness[best]))
+        sse_h.append(float(pop.sse()[best]))
+        cen_h.append(pop.centers[best].copy())
+        ari = None
+        if track:
+            lab = pop.df.select("label", F.col("sol")[best].alias("cluster"))
+            ari = float(pair_counts(lab, "label", "cluster").select(ari_expr().alias("a")).first()["a"])
+        ari_h.append(ari)
+
     def fit(self, points: DataFrame, label_col: str | None = "label") -> GeneticKMeansModel:
         """Run the generations on ``points(row_id, [pos], x, [label])``."""
         self._check()
@@ -384,9 +344,7 @@ class GeneticKMeans:
         fit_h, sse_h, ari_h, cen_h = [], [], [], []
         older = None
         cached = pop.df if self.generations else None  # released once a later frame is computed
-        fused = self._can_fuse()
-        # distinct labels bound the contingency rows of the fused pass (small; one job)
-        self._n_labels = points.select("label").distinct().count() if track and fused else 0
+        fused = self._can_fuse(pop.d)
         for gen in range(1, self.generations + 1):
             src = select_survivors(pop.fitness, self.survival, self.seed, gen, self.elite)
             pop = pop.take(src)
@@ -402,7 +360,7 @@ class GeneticKMeans:
                         df.unpersist()
                     release.clear()
 
-                pop, ari = self._generation_fused(pop, gen, track, after_first_pass, reliable)
+                pop = self._generation_fused(pop, gen, after_first_pass, reliable)
                 after_first_pass()
                 if reliable:  # the new labels are on reliable storage: drop every cache
                     if cached is not None:
@@ -410,42 +368,25 @@ class GeneticKMeans:
                     older, cached = None, None
                 else:
                     older, cached = cached, pop.df
-                self._logpop(gen, "kmo", pop.fitness)
-                best = rank_order(pop.fitness)[0]
-                fit_h.append(float(pop.fitness[best]))
-                sse_h.append(float(pop.sse()[best]))
-                cen_h.append(pop.centers[best].copy())
-                ari_h.append(ari)
+                self._record(pop, gen, track, fit_h, sse_h, ari_h, cen_h)
                 continue
             pop = self.crossover_population(pop, gen)
             self._logpop(gen, "crossover", pop.fitness)
             if self.mutation_rate > 0:
-                pop = mutate(pop, self.mutation_rate, self.seed, gen)
+                pop = mutate(pop, self.mutation_rate, self.seed, gen, self.fitness, self.block_rows)
             reliable = gen % max(self.checkpoint_every, 1) == 0 or gen == self.generations
             previous = cached
             pop, _ = kmo(pop, self.kmo, self.fitness, self.block_rows, checkpoint=reliable)
             cached = None if reliable else pop.df
             if previous is not None:
                 previous.unpersist()
-            self._logpop(gen, "kmo", pop.fitness)
-            best = rank_order(pop.fitness)[0]
-            fit_h.append(float(pop.fitness[best]))
-            sse_h.append(float(pop.sse()[best]))
-            cen_h.append(pop.centers[best].copy())
-            if track:
-                lab = pop.df.select("label", F.col("sol")[best].alias("cluster"))
-                ari_h.append(float(pair_counts(lab, "label", "cluster").select(ari_expr().alias("a")).first()["a"]))
-            else:
-                ari_h.append(None)
+            self._record(pop, gen, track, fit_h, sse_h, ari_h, cen_h)
         best = rank_order(pop.fitness)[0]
         return GeneticKMeansModel(pop, best, fit_h, sse_h, ari_h, cen_h, list(self._log))
 
 
-def evaluate_slots_frame(frame: DataFrame, P: int, k: int, d: int, shift, kind: str, block_rows: int):
+def evaluate_slots_frame(frame: DataFrame, P: int, k: int, d: int, kind: str, block_rows: int):
     """Stats + fitness for the P ``sol`` slots of ``frame`` (children of a crossover)."""
-    from evoclust.operators.kmeans import run_stats
-    from evoclust.operators.population import fitness_of
-
-    spec = K.KernelSpec(P, k, d, shift, sol_col="sol")
+    spec = K.KernelSpec(P, k, d, sol_col="sol")
     st = run_stats(frame, spec)
     return st, fitness_of(frame, st, spec, kind, block_rows)

@@ -3,11 +3,12 @@
 * ``silhouette_squared`` (E6): closed form from per-cluster statistics,
   O(n k d), two passes; equals Spark ML's ``ClusteringEvaluator``.
 * ``silhouette_exact`` (E5): Euclidean, O(n^2) by nature.  Points are hashed
-  into B balanced blocks; every (block_i, block_j) pair is one cogroup task
-  that multiplies a distance block with one-hot labels, so a task holds two
-  blocks and emits per-point, per-cluster distance sums, never the pairs.
+  into B balanced blocks of up to ``DEFAULT_BLOCK_ROWS`` rows; every unordered
+  pair of blocks is one task that tiles its distances, multiplies them with
+  one-hot labels and emits distance sums per point and cluster for both
+  blocks, never the pairs.
 * ``davies_bouldin`` (E7): centroids and scatter per cluster, then the k x k
-  cluster-pair ratios evaluated in one row of k structs (k bounded).
+  cluster-pair ratios on the driver, which holds the k centroids anyway.
 * ``sse`` / ``cluster_scatter`` (A5, A10): statistics passes, no join, so a hot
   cluster never concentrates rows in one task.
 """
@@ -22,156 +23,164 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evoclust.functions.vector import dist
 from evoclust.operators import kernels as K
-from evoclust.operators.kmeans import Stats, run_stats
+from evoclust.operators.kmeans import Stats, run_parts, run_stats
 
-DEFAULT_BLOCK_ROWS = 2048
+DEFAULT_BLOCK_ROWS = 32_768
+TILE = 1024
 
 
 def labelled(df: DataFrame, cluster: str) -> DataFrame:
     return df.select("row_id", "x", F.array(F.col(cluster).cast("int")).alias("sol"))
 
 
-def _shape(df: DataFrame, cluster: str) -> tuple[int, int, np.ndarray]:
-    """k (largest id + 1), d and one data point (the shift), in one small job."""
-    r = df.agg(
-        F.min(cluster).alias("lo"), F.max(cluster).alias("hi"), F.first("x", ignorenulls=True).alias("x")
-    ).first()
+def _shape(df: DataFrame, cluster: str) -> tuple[int, int]:
+    """k (largest id + 1) and d, in one small job."""
+    r = df.agg(F.min(cluster).alias("lo"), F.max(cluster).alias("hi"), F.first(F.size("x")).alias("d")).first()
     if r["lo"] is None or r["lo"] < 0:
         raise ValueError("cluster ids must be non-negative integers")
-    x = np.asarray(r["x"], dtype=np.float64)
-    return int(r["hi"]) + 1, len(x), x
+    return int(r["hi"]) + 1, int(r["d"])
+
+
+def dense_clusters(df: DataFrame, cluster: str) -> DataFrame:
+    """``df`` with the ids of ``cluster`` numbered 0..k-1 in order where they are sparse
+    (hashes, keys), so that statistics of k clusters take k places."""
+    ids = df.select(F.col(cluster).cast("long").alias("_id")).distinct()
+    r = ids.agg(F.count("_id").alias("k"), F.max("_id").alias("hi"), F.min("_id").alias("lo")).first()
+    if not r["k"] or r["lo"] < 0 or r["hi"] < 2 * r["k"] + 64:
+        return df
+    # one row per cluster, of which the driver holds k x d statistics later
+    K.check_broadcast(np.zeros((0, 1)), limit=K.MAX_CLOSURE_BYTES - 16 * r["k"])
+    numbered = df.sparkSession.createDataFrame(
+        [(x["_id"], i) for i, x in enumerate(ids.where("_id is not null").orderBy("_id").collect())], "_id long, _dense int")
+    return df.join(F.broadcast(numbered), F.col(cluster) == F.col("_id")).withColumn(cluster, F.col("_dense")).drop("_id", "_dense")
 
 
 def label_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, int, int]:
-    """One pass: per-cluster ``n``, sums and sums of squares of a labelling; (stats, k, d)."""
-    k, d, shift = _shape(df, cluster)
-    return run_stats(labelled(df, cluster), K.KernelSpec(1, k, d, shift, sol_col="sol")), k, d
+    """One pass: per-cluster count, mean and squared distances to it; (stats, k, d)."""
+    k, d = _shape(df, cluster)
+    return run_stats(labelled(df, cluster), K.KernelSpec(1, k, d, sol_col="sol")), k, d
 
 
 def sse(df: DataFrame, cluster: str = "cluster", centers=None) -> DataFrame:
     """A5: total squared distance to the assigned centre.
 
-    Without centres the member means are used and the closed form
-    ``sum_c (Q_c - |S_c|^2 / n_c)`` of one statistics pass gives it; with
-    centres (``(k, d)`` array) one pass sums the distances.  No join, so a
-    cluster holding a third of the rows costs nothing extra.
+    Without centres the member means are used, whose squared distances one
+    statistics pass gives; with centres (``(k, d)`` array) one pass sums the
+    distances.  No join, so a cluster holding a third of the rows costs
+    nothing extra.
     """
     spark = df.sparkSession
     if centers is None:
-        st, _, _ = label_stats(df, cluster)
+        st, _, _ = label_stats(dense_clusters(df, cluster), cluster)
         value = float(st.sse_to_means()[0])
     else:
         C = np.asarray(centers, dtype=np.float64)
         K.check_broadcast(C)
-        spec = K.KernelSpec(1, C.shape[0], C.shape[1], C.mean(axis=0), own_centers=C[None], sol_col="sol")
+        spec = K.KernelSpec(1, C.shape[0], C.shape[1], own_centers=C[None], sol_col="sol")
         value = float(run_stats(labelled(df, cluster), spec).E.sum())
     return spark.createDataFrame([(value,)], "sse double")
 
 
-def scatter_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, np.ndarray, np.ndarray]:
-    """A10 on the driver: stats, centroids ``(k, d)`` and scatter ``(k,)``
-    (mean Euclidean distance of members to their centroid): two passes."""
+def scatter_stats(df: DataFrame, cluster: str = "cluster") -> tuple[Stats, np.ndarray]:
+    """A10 on the driver: stats and scatter ``(k,)`` (mean Euclidean distance of
+    members to their centroid): two passes."""
     st, k, d = label_stats(df, cluster)
-    cen = st.means(np.zeros((1, k, d)))[0]
-    spec = K.KernelSpec(1, k, d, st.shift, own_centers=cen[None], sol_col="sol", root_e=True)
+    spec = K.KernelSpec(1, k, d, own_centers=st.M, sol_col="sol", root_e=True)
     root = run_stats(labelled(df, cluster), spec)
-    n = st.n[0]
-    scatter = np.where(n > 0, root.E[0] / np.where(n > 0, n, 1), 0.0)
-    return st, cen, scatter
+    return st, root.E[0] / np.maximum(st.n[0], 1)
 
 
 def cluster_scatter(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     """A10: ``(c, n, center, scatter)`` for the non-empty clusters."""
-    st, cen, scatter = scatter_stats(df, cluster)
-    rows = [(int(c), int(st.n[0, c]), [float(v) for v in cen[c]], float(scatter[c]))
-            for c in range(cen.shape[0]) if st.n[0, c] > 0]
+    st, scatter = scatter_stats(df, cluster)
+    rows = [(int(c), int(st.n[0, c]), [float(v) for v in st.M[0, c]], float(scatter[c]))
+            for c in range(len(scatter)) if st.n[0, c] > 0]
     return df.sparkSession.createDataFrame(rows, "c int, n bigint, center array<double>, scatter double")
 
 
 def davies_bouldin(df: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """Mean over clusters of max_j (S_i + S_j) / d(c_i, c_j).
-
-    The k cluster rows are folded into one row of k structs (k is bounded by
-    the clustering, not by the data) and the k x k ratios are evaluated there.
-    """
-    sc = cluster_scatter(df, cluster)
-    one = sc.agg(F.collect_list(F.struct("c", "center", "scatter")).alias("cl"))
-
-    def worst(ci):
-        others = F.filter("cl", lambda cj: cj["c"] != ci["c"])
-        ratios = F.transform(others, lambda cj: (ci["scatter"] + cj["scatter"]) / dist(ci["center"], cj["center"]))
-        return F.array_max(ratios)
-
-    r = F.transform("cl", worst)
-    total = F.aggregate(r, F.lit(0.0), lambda a, v: a + v)
-    return one.select((total / F.size("cl")).alias("davies_bouldin"))
+    """Mean over clusters of max_j (S_i + S_j) / d(c_i, c_j)."""
+    st, scatter = scatter_stats(dense_clusters(df, cluster), cluster)
+    value = davies_bouldin_value(st.M[0], scatter, st.n[0])
+    return df.sparkSession.createDataFrame([(value,)], "davies_bouldin double")
 
 
 def davies_bouldin_value(cen: np.ndarray, scatter: np.ndarray, n: np.ndarray) -> float:
-    """E7 from centroids and scatters already on the driver (k x d numbers)."""
+    """E7 from centroids and scatters on the driver, one cluster against all at a
+    time.  Coincident centroids give no ratio (0), a single cluster gives 0."""
     used = np.nonzero(n > 0)[0]
-    ratios = []
-    for i in used:
-        r = [(scatter[i] + scatter[j]) / np.sqrt(((cen[i] - cen[j]) ** 2).sum()) for j in used if j != i]
-        ratios.append(max(r))
-    return float(np.mean(ratios))
+    C, S = cen[used], scatter[used]
+    worst = []
+    for i in range(len(used)):
+        gap = np.sqrt(((C - C[i]) ** 2).sum(axis=1))
+        worst.append(np.where(gap > 0, (S + S[i]) / np.where(gap > 0, gap, 1.0), 0.0).max())
+    return float(np.mean(worst)) if worst else 0.0
 
 
-def silhouette_squared(df: DataFrame, cluster: str = "cluster", stats: tuple | None = None) -> DataFrame:
+def silhouette_squared(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Mean silhouette with squared Euclidean distance (closed form)."""
-    st, k, d = stats or label_stats(df, cluster)
-    pts = labelled(df, cluster)
+    df = dense_clusters(df, cluster)
+    st, k, d = label_stats(df, cluster)
     if (st.n[0] > 0).sum() < 2:
         raise ValueError("silhouette needs at least 2 non-empty clusters")
-    spec = K.KernelSpec(1, k, d, st.shift, sol_col="sol")
-    part = pts.mapInArrow(K.silhouette_partial_fn(spec, st.n, st.S, st.Q), K.SIL_PARTIAL_SCHEMA)
-    return part.agg((F.sum("s") / F.sum("m")).alias("silhouette_squared"))
+    fn = K.silhouette_partial_fn(K.KernelSpec(1, k, d, sol_col="sol"), st.n, st.M, st.W)
+    s, m = run_parts(labelled(df, cluster), fn, 1, k, d)[1][0]
+    return df.sparkSession.createDataFrame([(s / m,)], "silhouette_squared double")
 
 
 # ---------------------------------------------------------------- exact (E5)
 
 
-def _pair_block_fn(P: int, k: int, d: int):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"row_id": pd.Series([], dtype="int64"), "sol": pd.Series([], dtype=object), "s": pd.Series([], dtype=object)})
-        XL = np.stack(left["x"].to_numpy()).astype(np.float64)
-        XR = np.stack(right["rx"].to_numpy()).astype(np.float64)
-        mu = XR.mean(axis=0)
-        XL, XR = XL - mu, XR - mu
-        d2 = (np.einsum("ij,ij->i", XL, XL)[:, None] + np.einsum("ij,ij->i", XR, XR)[None, :]) - 2.0 * (XL @ XR.T)
-        D = np.sqrt(np.maximum(d2, 0.0))
-        same = left["row_id"].to_numpy()[:, None] == right["rid"].to_numpy()[None, :]
-        D[same] = 0.0
-        labR = np.stack(right["rsol"].to_numpy()).astype(np.int64).reshape(len(right), P)
-        out = np.empty((len(left), P * k))
-        rows = np.arange(len(right))
+def _pair_sums_fn(P: int, k: int, d: int):
+    """One unordered pair of blocks: rows (side, row_id, x, sol) of block ``lo`` (side 0)
+    and block ``hi`` (side 1, none when they are the same block)."""
+
+    def onehot(sol: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(sol), P * k))
         for p in range(P):
-            onehot = np.zeros((len(right), k))
-            onehot[rows, labR[:, p]] = 1.0
-            out[:, p * k:(p + 1) * k] = D @ onehot
-        return pd.DataFrame({"row_id": left["row_id"].to_numpy(), "sol": left["sol"], "s": list(out)})
+            out[np.arange(len(sol)), p * k + sol[:, p]] = 1.0
+        return out
+
+    def run(table: pa.Table) -> pa.Table:
+        t = table.combine_chunks()
+        side = t.column("side").to_numpy()
+        batch = t.to_batches()[0]
+        X, sol = K.matrix(batch, "x", d), K.matrix(batch, "sol", P, np.int64)
+        H = onehot(sol)
+        a, b = np.nonzero(side == 0)[0], np.nonzero(side == 1)[0]
+        S = np.zeros((len(X), P * k))
+        one = t.column("bi")[0].as_py() == t.column("bj")[0].as_py()
+        right = a if one else b
+        for i in range(0, len(a), TILE):
+            r = a[i:i + TILE]
+            for j in range(i if one else 0, len(right), TILE):
+                q = right[j:j + TILE]
+                D = np.sqrt(np.maximum(K.centre_distances(X[r], X[q]), 0.0))
+                S[r] += D @ H[q]
+                if not one or j > i:
+                    S[q] += D.T @ H[r]
+        lists = [K.list_array(S, pa.float64())]
+        return pa.table([t.column("row_id"), t.column("sol"), *lists], names=["row_id", "sol", "s"])
 
     return run
 
 
 def exact_distance_sums(pts: DataFrame, P: int, k: int, d: int, n: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """J2 without materialising pairs: ``(row_id, sol, s)`` where ``s[p*k + c]`` is the
-    sum of Euclidean distances from the point to the members of cluster c of slot p."""
-    B = max(1, math.ceil(n / block_rows))
-    blocks = F.lit(list(range(B))) if B > 1 else F.array(F.lit(0))
+    sum of Euclidean distances from the point to the members of cluster c of slot p.
+
+    B blocks give B(B+1)/2 tasks; each point is sent to the B pairs of its
+    block and comes back with its sums, n x B rows either way.  A task holds
+    two blocks with their sums: the block shrinks with the width of a row.
+    """
+    rows = max(256, min(block_rows, (64 << 20) // (8 * (d + 2 * P * k))))
+    B = max(1, math.ceil(n / rows), min(pts.sparkSession.sparkContext.defaultParallelism, n // 512))
     base = pts.select("row_id", "x", "sol", F.pmod(F.xxhash64("row_id"), F.lit(B)).cast("int").alias("b"))
-    left = base.select(F.col("b").alias("bi"), F.explode(blocks).alias("bj"), "row_id", "x", "sol")
-    # the right side gets fresh column names: both sides come from one plan
-    right = base.select(F.explode(blocks).alias("bi"), F.col("b").alias("bj"), F.col("row_id").alias("rid"),
-                        F.col("x").alias("rx"), F.col("sol").alias("rsol"))
-    sums = (
-        left.groupBy("bi", "bj")
-        .cogroup(right.groupBy("bi", "bj"))
-        .applyInPandas(_pair_block_fn(P, k, d), "row_id bigint, sol array<int>, s array<double>")
-    )
+    pairs = base.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(B - 1)))).select(
+        F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"),
+        F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "row_id", "x", "sol")
+    sums = pairs.groupBy("bi", "bj").applyInArrow(_pair_sums_fn(P, k, d), "row_id bigint, sol array<int>, s array<double>")
     # every copy of a point carries the same labels: max() just keeps them
     return sums.groupBy("row_id").agg(
         F.max("sol").alias("sol"), F.array(*[F.sum(F.col("s")[i]) for i in range(P * k)]).alias("s")
@@ -201,35 +210,31 @@ def _exact_partial_fn(P: int, k: int, n: np.ndarray):
                     sil = np.where((n_own > 1) & np.isfinite(bb) & (den > 0), (bb - a) / den, 0.0)
                 tot[p] += sil.sum()
                 cnt[p] += b.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(P, dtype=np.int32)), pa.array(tot), pa.array(cnt)], names=["chrom", "s", "m"]
-        )
+        yield K.parts_batch([K.sil_part(cnt, tot)])
 
     return run
 
 
-def exact_silhouette_partials(pts: DataFrame, P: int, k: int, d: int, n: np.ndarray, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Per-chromosome ``(chrom, s, m)`` partial sums of the exact silhouette."""
+def exact_silhouettes(pts: DataFrame, P: int, k: int, d: int, n: np.ndarray,
+                      block_rows: int = DEFAULT_BLOCK_ROWS) -> dict[int, tuple[float, int]]:
+    """``{slot: (sum, points)}`` of the exact silhouette."""
     total = int(n[0].sum())
+    if pts.select(F.col("row_id")).distinct().count() != total:
+        raise ValueError("row_id must be unique: points that share one would be merged")
     sums = exact_distance_sums(pts, P, k, d, total, block_rows)
-    return sums.mapInArrow(_exact_partial_fn(P, k, n), K.SIL_PARTIAL_SCHEMA).groupBy("chrom").agg(
-        F.sum("s").alias("s"), F.sum("m").alias("m")
-    )
+    return run_parts(sums, _exact_partial_fn(P, k, n), P, k, d)[1]
 
 
 def silhouette_exact(df: DataFrame, cluster: str = "cluster", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """E5: exact mean silhouette with Euclidean distance over the whole table.
 
-    Raises unless 2 <= number of distinct labels <= n - 1 (library rule).
+    Raises unless 2 <= number of distinct labels <= n - 1 (library rule), and
+    when ``row_id`` repeats.
     """
-    k, d, _ = _shape(df, cluster)
-    counts = {r["c"]: r["n"] for r in df.groupBy(F.col(cluster).alias("c")).count().withColumnRenamed("count", "n").collect()}
-    n = np.zeros((1, k), dtype=np.int64)
-    for c, v in counts.items():
-        n[0, c] = v
-    used = int((n[0] > 0).sum())
-    if used < 2 or used > n.sum() - 1:
+    df = dense_clusters(df, cluster)
+    st, k, d = label_stats(df, cluster)
+    used = int((st.n[0] > 0).sum())
+    if used < 2 or used > st.n.sum() - 1:
         raise ValueError(f"silhouette needs 2 <= distinct labels <= n-1, got {used}")
-    pts = df.select("row_id", "x", F.array(F.col(cluster).cast("int")).alias("sol"))
-    part = exact_silhouette_partials(pts, 1, k, d, n, block_rows)
-    return part.select((F.col("s") / F.col("m")).alias("silhouette_exact"))
+    s, m = exact_silhouettes(labelled(df, cluster), 1, k, d, st.n, block_rows)[0]
+    return df.sparkSession.createDataFrame([(s / m,)], "silhouette_exact double")

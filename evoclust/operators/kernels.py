@@ -18,9 +18,11 @@ import pyarrow as pa
 # Upper bound for centres/statistics captured in a kernel closure.
 MAX_CLOSURE_BYTES = 256 * 1024 * 1024
 
-# long form: row j = -1 carries (n, q, e) of a cluster, rows j >= 0 its sum per dimension
-PARTIAL_SCHEMA = "chrom int, c int, j int, n bigint, v double, q double, e double"
-SIL_PARTIAL_SCHEMA = "chrom int, s double, m bigint"
+# One row layout for every partial result.  STATS rows: j = -1 carries (n, sum of
+# squared distances to the member mean in q, sum of e) of a cluster, j >= 0 the
+# member mean of dimension j in v with its weight n.  SIL rows: count n, sum v.
+PART_SCHEMA = "kind int, chrom int, c int, j int, n bigint, v double, q double, e double"
+STATS, SIL = 0, 1
 
 
 def check_broadcast(*arrays: np.ndarray, limit: int | None = None) -> int:
@@ -40,10 +42,13 @@ def matrix(batch: pa.RecordBatch, name: str, width: int, dtype=np.float64) -> np
     n = batch.num_rows
     if n == 0:
         return np.zeros((0, width), dtype=dtype)
-    flat = col.flatten().to_numpy(zero_copy_only=False)
-    if flat.size != n * width:
-        raise ValueError(f"column {name!r}: expected {width} values per row")
-    return flat.astype(dtype, copy=False).reshape(n, width)
+    flat = col.flatten()
+    if col.null_count or flat.null_count or not (np.diff(col.offsets.to_numpy()) == width).all():
+        raise ValueError(f"column {name!r}: expected {width} values per row, none null")
+    out = flat.to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(n, width)
+    if out.dtype.kind == "f" and not np.isfinite(out).all():
+        raise ValueError(f"column {name!r}: values must be finite")
+    return out
 
 
 def list_array(values: np.ndarray, pa_type) -> pa.Array:
@@ -112,6 +117,79 @@ def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lab, np.einsum("ij,ij->i", diff, diff)
 
 
+def centre_distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """``(n, k)`` squared distances: BLAS on centred data; every entry that is
+    small against what was subtracted is recomputed by differences."""
+    mu = C.mean(axis=0)
+    Xc, Cc = X - mu, C - mu
+    x2 = np.einsum("ij,ij->i", Xc, Xc)
+    c2 = np.einsum("ij,ij->i", Cc, Cc)
+    D = x2[:, None] + c2[None, :] - 2.0 * (Xc @ Cc.T)
+    i, c = np.nonzero(D <= 1e-4 * (x2[:, None] + c2[None, :]))
+    step = max(1, (1 << 22) // max(1, X.shape[1]))
+    for at in range(0, len(i), step):
+        r, q = i[at:at + step], c[at:at + step]
+        diff = X[r] - C[q]
+        D[r, q] = np.einsum("ij,ij->i", diff, diff)
+    return D
+
+
+def parts_batch(parts: list) -> pa.RecordBatch:
+    """Column lists (kind, chrom, c, j, n, v, q, e) to one batch of ``PART_SCHEMA``."""
+    cols = [np.concatenate([np.asarray(p[i]) for p in parts]) for i in range(8)]
+    types = [np.int32] * 4 + [np.int64] + [np.float64] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, types)],
+                                      names=["kind", "chrom", "c", "j", "n", "v", "q", "e"])
+
+
+def sil_part(n: np.ndarray, s: np.ndarray) -> list:
+    """SIL rows: points and silhouette sum per slot."""
+    m = len(n)
+    return [np.full(m, SIL), np.arange(m), np.full(m, -1), np.full(m, -2), n, s, np.zeros(m), np.zeros(m)]
+
+
+class Moments:
+    """Mergeable statistics of P labellings: count, mean and squared distances to
+    the mean per cluster, combined by the pairwise update (nothing cancels when
+    the data lie far from the origin or clusters far from each other)."""
+
+    def __init__(self, P: int, k: int, d: int):
+        self.k, self.d = k, d
+        self.n = np.zeros((P, k), dtype=np.int64)
+        self.M = np.zeros((P, k, d))
+        self.W = np.zeros((P, k))
+        self.E = np.zeros((P, k))
+
+    def add(self, p: int, lab: np.ndarray, X: np.ndarray, e: np.ndarray) -> None:
+        k = self.k
+        if lab.size and (lab.min() < 0 or lab.max() >= k):
+            raise ValueError(f"labels outside 0..{k - 1}")
+        n = np.bincount(lab, minlength=k)
+        mean = cluster_sums(lab, X, k) / np.maximum(n, 1)[:, None]
+        diff = X - mean[lab]
+        within = np.bincount(lab, weights=np.einsum("ij,ij->i", diff, diff), minlength=k)
+        delta = np.where((n > 0)[:, None], mean - self.M[p], 0.0)
+        total = np.maximum(self.n[p] + n, 1)
+        self.W[p] += within + np.einsum("ij,ij->i", delta, delta) * self.n[p] * n / total
+        self.M[p] += delta * (n / total)[:, None]
+        self.n[p] += n
+        self.E[p] += np.bincount(lab, weights=e, minlength=k)
+
+    def part(self) -> list:
+        """STATS rows of the used clusters."""
+        pp, cc = np.nonzero(self.n)
+        m, d = len(pp), self.d
+        z = np.zeros(m * d)
+        return [
+            np.full(m * (d + 1), STATS),
+            np.concatenate([pp, np.repeat(pp, d)]), np.concatenate([cc, np.repeat(cc, d)]),
+            np.concatenate([np.full(m, -1), np.tile(np.arange(d), m)]),
+            np.concatenate([self.n[pp, cc], np.repeat(self.n[pp, cc], d)]),
+            np.concatenate([np.zeros(m), self.M[pp, cc].reshape(-1)]),
+            np.concatenate([self.W[pp, cc], z]), np.concatenate([self.E[pp, cc], z]),
+        ]
+
+
 @dataclass
 class KernelSpec:
     """What a pass over the point table needs to know."""
@@ -119,7 +197,6 @@ class KernelSpec:
     P: int
     k: int
     d: int
-    shift: np.ndarray  # (d,) subtracted before sums of squares (numerical stability)
     centers: np.ndarray | None = None  # (P, k, d): labels = nearest centre, e = distance to it
     own_centers: np.ndarray | None = None  # (P, k, d): labels from sol, e = distance to own centre
     sol_col: str | None = None  # labels come from this ARRAY<INT> column when centers is None
@@ -130,7 +207,7 @@ class KernelSpec:
     def chunk(self, lo: int, hi: int, sol_col: str | None = None) -> "KernelSpec":
         """The same pass restricted to slots lo..hi-1 (``sol`` already sliced)."""
         pick = lambda a: None if a is None else a[lo:hi]
-        return KernelSpec(hi - lo, self.k, self.d, self.shift, pick(self.centers), pick(self.own_centers),
+        return KernelSpec(hi - lo, self.k, self.d, pick(self.centers), pick(self.own_centers),
                           sol_col or self.sol_col, pick(self.reassign), self.root_e, self.e_col)
 
 
@@ -156,88 +233,52 @@ def _labels(spec: KernelSpec, batch: pa.RecordBatch, X: np.ndarray):
 
 
 def partial_stats_fn(spec: KernelSpec):
-    """A1/A5 map side: per partition, per (chrom, c): n, sum(x - shift), sum |x - shift|^2, sum e."""
+    """A1/A5 map side: the moments of every (chrom, c) in a partition."""
 
     def run(batches):
-        P, k, d = spec.P, spec.k, spec.d
-        n = np.zeros((P, k), dtype=np.int64)
-        S = np.zeros((P, k, d))
-        Q = np.zeros((P, k))
-        E = np.zeros((P, k))
+        acc = Moments(spec.P, spec.k, spec.d)
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            X = matrix(b, "x", d)
-            Xs = X - spec.shift
-            sq = np.einsum("ij,ij->i", Xs, Xs)
-            for p, lab, e in _labels(spec, b, X):
-                n[p] += np.bincount(lab, minlength=k)[:k]
-                S[p] += cluster_sums(lab, Xs, k)
-                Q[p] += np.bincount(lab, weights=sq, minlength=k)[:k]
-                E[p] += np.bincount(lab, weights=e, minlength=k)[:k]
-        pp, cc = np.nonzero(n)
-        if len(pp) == 0:
-            return
-        m = len(pp)
-        jj = np.concatenate([np.full(m, -1), np.tile(np.arange(d), m)]).astype(np.int32)
-        zeros = np.zeros(m * d)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([pp, np.repeat(pp, d)]).astype(np.int32)),
-                pa.array(np.concatenate([cc, np.repeat(cc, d)]).astype(np.int32)),
-                pa.array(jj),
-                pa.array(np.concatenate([n[pp, cc], np.zeros(m * d, dtype=np.int64)])),
-                pa.array(np.concatenate([np.zeros(m), S[pp, cc].reshape(-1)])),
-                pa.array(np.concatenate([Q[pp, cc], zeros])),
-                pa.array(np.concatenate([E[pp, cc], zeros])),
-            ],
-            names=["chrom", "c", "j", "n", "v", "q", "e"],
-        )
+            if b.num_rows:
+                X = matrix(b, "x", spec.d)
+                for p, lab, e in _labels(spec, b, X):
+                    acc.add(p, lab, X, e)
+        yield parts_batch([acc.part()])
 
     return run
 
 
-def silhouette_partial_fn(spec: KernelSpec, n: np.ndarray, S: np.ndarray, Q: np.ndarray):
-    """E6 map side: squared-Euclidean silhouette of every point from cluster
-    statistics of its own labelling, summed per chromosome and partition.
+def sil_values(X: np.ndarray, lab: np.ndarray, n: np.ndarray, mean: np.ndarray, within: np.ndarray) -> np.ndarray:
+    """E6 per point: squared-Euclidean silhouette from the statistics of a labelling.
 
-    Mean squared distance from x to the members of cluster c is
-    ``|x|^2 + Q_c/n_c - 2 x.S_c/n_c`` (all shifted); the own cluster is
-    rescaled by ``n/(n-1)`` to leave the point itself out, singletons score 0.
+    The mean squared distance from x to the members of cluster c is
+    ``|x - mean_c|^2 + W_c/n_c``; the own cluster is rescaled by ``n/(n-1)`` to
+    leave the point itself out, singletons score 0.
     """
-    safe_n = np.where(n > 0, n, 1).astype(np.float64)
-    mean_S = S / safe_n[:, :, None]
-    mean_Q = Q / safe_n
+    rows, used = np.arange(X.shape[0]), np.nonzero(n > 0)[0]
+    md = np.full((X.shape[0], len(n)), np.inf)
+    md[:, used] = centre_distances(X, mean[used]) + (within[used] / n[used])[None, :]
+    n_own = n[lab]
+    own = md[rows, lab]
+    a = np.where(n_own > 1, own * n_own / np.maximum(n_own - 1, 1), 0.0)
+    md[rows, lab] = np.inf
+    b = md.min(axis=1)
+    denom = np.maximum(a, b)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where((n_own > 1) & np.isfinite(b) & (denom > 0), (b - a) / denom, 0.0)
+
+
+def silhouette_partial_fn(spec: KernelSpec, n: np.ndarray, M: np.ndarray, W: np.ndarray):
+    """E6 map side: silhouette sums of every slot's own labelling per partition."""
 
     def run(batches):
-        P, k, d = spec.P, spec.k, spec.d
-        tot = np.zeros(P)
-        cnt = np.zeros(P, dtype=np.int64)
+        tot, cnt = np.zeros(spec.P), np.zeros(spec.P, dtype=np.int64)
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            X = matrix(b, "x", d)
-            Xs = X - spec.shift
-            x2 = np.einsum("ij,ij->i", Xs, Xs)
-            rows = np.arange(X.shape[0])
-            for p, lab, _ in _labels(spec, b, X):
-                md = x2[:, None] + mean_Q[p][None, :] - 2.0 * (Xs @ mean_S[p].T)
-                md = np.maximum(md, 0.0)
-                md[:, n[p] == 0] = np.inf
-                n_own = n[p][lab]
-                own = md[rows, lab]
-                a = np.where(n_own > 1, own * n_own / np.maximum(n_own - 1, 1), 0.0)
-                md[rows, lab] = np.inf
-                bb = md.min(axis=1)
-                denom = np.maximum(a, bb)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    s = np.where((n_own > 1) & np.isfinite(bb) & (denom > 0), (bb - a) / denom, 0.0)
-                tot[p] += s.sum()
-                cnt[p] += X.shape[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(P, dtype=np.int32)), pa.array(tot), pa.array(cnt)],
-            names=["chrom", "s", "m"],
-        )
+            if b.num_rows:
+                X = matrix(b, "x", spec.d)
+                for p, lab, _ in _labels(spec, b, X):
+                    tot[p] += sil_values(X, lab, n[p], M[p], W[p]).sum()
+                    cnt[p] += X.shape[0]
+        yield parts_batch([sil_part(cnt, tot)])
 
     return run
 
@@ -276,7 +317,7 @@ def top_k_fn(P: int, k: int):
             n = b.num_rows
             if n == 0:
                 continue
-            U = matrix(b, "u", P)
+            U = matrix(b, "u", P, np.int64)
             rid = b.column(b.schema.get_field_index("row_id")).to_numpy()
             xcol = b.column(b.schema.get_field_index("x")).flatten().to_numpy(zero_copy_only=False)
             X = xcol.astype(np.float64).reshape(n, -1)

@@ -1,9 +1,9 @@
 """Lloyd k-means as a driver loop of distributed passes.
 
 Per iteration one job: the kernel assigns every point to its nearest centre
-and pre-aggregates ``(c, n, sum, sumsq, sse)`` per partition (map-side
-combine); a ``groupBy(chrom, c)`` merges at most ``partitions x k`` rows and k
-rows reach the driver.  The point table is persisted once; centres travel in
+and pre-aggregates count, mean, squared distances to the mean and SSE per
+cluster and partition (map-side combine); one exchange on the cluster merges
+at most ``partitions x k x (d+1)`` rows and k x (d+1) reach the driver.  The point table is persisted once; centres travel in
 the task closure after a size check.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +22,8 @@ from evoclust.operators import kernels as K
 from evoclust.operators.sampling import centers_array, sample_centers
 
 
-# a centre table is collected only up to this many rows (its bytes are checked too)
-MAX_CENTRES = 1_000_000
+# copies of the centre table in a shuffle join on the cluster id
+SALTS = 16
 
 
 def dimension(points: DataFrame) -> int:
@@ -34,70 +34,67 @@ def dimension(points: DataFrame) -> int:
     return int(row["d"])
 
 
-# partial rows small enough to merge on the driver without a shuffle stage
-DIRECT_PARTIAL_ROWS = 1_000_000
-
-
-def merge_partials(partials: DataFrame, keys: list[str], values: list[str], bound_rows: int):
-    """Merged partial rows as an Arrow table.
-
-    ``bound_rows`` is the most rows the map side can emit (partitions x slots x
-    clusters x ...).  Under ``DIRECT_PARTIAL_ROWS`` they are summed on the
-    driver with NumPy (no shuffle stage); above it a ``groupBy`` merges them.
-    """
-    if bound_rows <= DIRECT_PARTIAL_ROWS:
-        import pyarrow as pa
-
-        tbl = partials.toArrow()
-        if tbl.num_rows == 0:
-            return tbl
-        key_arrays = [tbl.column(k).to_numpy() for k in keys]
-        uniq, inv = np.unique(np.stack(key_arrays, axis=1), axis=0, return_inverse=True)
-        inv = inv.reshape(-1)
-        cols = [pa.array(uniq[:, i].astype(key_arrays[i].dtype)) for i in range(len(keys))]
-        for v in values:
-            arr = tbl.column(v).to_numpy()
-            cols.append(pa.array(np.bincount(inv, weights=arr, minlength=len(uniq)).astype(arr.dtype)))
-        return pa.table(cols, names=keys + values)
-    return partials.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values]).toArrow()
-
-
-def num_partitions(df: DataFrame) -> int:
-    return df.rdd.getNumPartitions()
-
-
-def combine_partials(partials: DataFrame) -> DataFrame:
-    """A1 reduce side: merge per-partition partial statistics per (chrom, c, j)."""
-    return partials.groupBy("chrom", "c", "j").agg(
-        F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("q").alias("q"), F.sum("e").alias("e")
-    )
-
-
 @dataclass
 class Stats:
     """Per (chrom, c) statistics on the driver: P*k*(d+3) numbers."""
 
     n: np.ndarray  # (P, k) int
-    S: np.ndarray  # (P, k, d) sums of shifted points
-    Q: np.ndarray  # (P, k) sums of squared shifted norms
+    M: np.ndarray  # (P, k, d) member means
+    W: np.ndarray  # (P, k) sums of squared distances to the member mean
     E: np.ndarray  # (P, k) sums of squared distance to the reference centres
-    shift: np.ndarray
+
+    @staticmethod
+    def empty(P: int, k: int, d: int) -> "Stats":
+        return Stats(np.zeros((P, k), dtype=np.int64), np.zeros((P, k, d)), np.zeros((P, k)), np.zeros((P, k)))
 
     def means(self, fallback: np.ndarray) -> np.ndarray:
         """A2: mean per cluster; an empty cluster keeps its previous centre (Q1)."""
-        safe = np.where(self.n > 0, self.n, 1)[:, :, None]
-        m = self.S / safe + self.shift
-        return np.where(self.n[:, :, None] > 0, m, fallback)
+        return np.where(self.n[:, :, None] > 0, self.M, fallback)
 
     def sse_to_means(self) -> np.ndarray:
-        """A5 closed form: SSE of each chromosome against its own cluster means."""
-        safe = np.where(self.n > 0, self.n, 1)
-        within = self.Q - np.einsum("pkd,pkd->pk", self.S, self.S) / safe
-        return np.where(self.n > 0, np.maximum(within, 0.0), 0.0).sum(axis=1)
+        """A5: SSE of each chromosome against its own cluster means."""
+        return self.W.sum(axis=1)
 
     def take(self, src) -> "Stats":
         src = np.asarray(src)
-        return Stats(self.n[src], self.S[src], self.Q[src], self.E[src], self.shift)
+        return Stats(self.n[src], self.M[src], self.W[src], self.E[src])
+
+    @staticmethod
+    def join(parts: list["Stats"]) -> "Stats":
+        return Stats(*(np.concatenate([getattr(s, f) for s in parts]) for f in ("n", "M", "W", "E")))
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """Partial rows of ``K.PART_SCHEMA`` merged over partitions: one exchange.
+
+    Counts and sums add; means combine by weight, and their squared distances
+    to the combined mean are the between part of the squared deviations (in q).
+    """
+    keys = ["kind", "chrom", "c", "j"]
+    w = Window.partitionBy(*keys)
+    mean = F.when((F.col("kind") == K.STATS) & (F.col("j") >= 0) & (F.col("n") > 0),
+                  F.sum(F.col("n") * F.col("v")).over(w) / F.sum("n").over(w))
+    between = F.coalesce(F.col("n") * (F.col("v") - F.col("m")) * (F.col("v") - F.col("m")), F.lit(0.0))
+    return parts.withColumn("m", mean).groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.coalesce(F.max("m"), F.sum("v")).alias("v"),
+        (F.sum("q") + F.sum(between)).alias("q"), F.sum("e").alias("e"))
+
+
+def run_parts(df: DataFrame, fn, P: int, k: int, d: int) -> tuple[Stats, dict[int, tuple[float, int]]]:
+    """One pass: statistics and silhouette sums ``{slot: (sum, points)}``; at most
+    P*k*(d+1) merged rows reach the driver, the size of the centres themselves."""
+    tbl = merge_parts(df.mapInArrow(fn, K.PART_SCHEMA)).toArrow()
+    col = {name: tbl.column(name).to_numpy() for name in tbl.column_names}
+    st = Stats.empty(P, k, d)
+    sel = col["kind"] == K.STATS
+    p, c, j = (col[x][sel] for x in ("chrom", "c", "j"))
+    head = j < 0
+    st.n[p[head], c[head]] = col["n"][sel][head]
+    st.E[p[head], c[head]] = col["e"][sel][head]
+    st.M[p[~head], c[~head], j[~head]] = col["v"][sel][~head]
+    np.add.at(st.W, (p, c), col["q"][sel])
+    sel = col["kind"] == K.SIL
+    return st, {int(a): (float(v), int(n)) for a, v, n in zip(col["chrom"][sel], col["v"][sel], col["n"][sel])}
 
 
 def _chunks(spec: K.KernelSpec, per_slot_bytes: int) -> list[tuple[int, int]]:
@@ -116,31 +113,8 @@ def _slice_sol(points: DataFrame, spec: K.KernelSpec, lo: int, hi: int) -> tuple
     return sliced, spec.chunk(lo, hi)
 
 
-def _stats_pass(points: DataFrame, spec: K.KernelSpec) -> Stats:
-    partials = points.mapInArrow(K.partial_stats_fn(spec), K.PARTIAL_SCHEMA)
-    bound = num_partitions(points) * spec.P * spec.k * (spec.d + 1)
-    # merged: at most P*k*(d+1) rows, the size of the centres themselves
-    tbl = merge_partials(partials, ["chrom", "c", "j"], ["n", "v", "q", "e"], bound)
-    n = np.zeros((spec.P, spec.k), dtype=np.int64)
-    S = np.zeros((spec.P, spec.k, spec.d))
-    Q = np.zeros((spec.P, spec.k))
-    E = np.zeros((spec.P, spec.k))
-    if tbl.num_rows:
-        p = tbl.column("chrom").to_numpy()
-        c = tbl.column("c").to_numpy()
-        j = tbl.column("j").to_numpy()
-        if c.min() < 0 or c.max() >= spec.k:
-            raise ValueError(f"labels outside 0..{spec.k - 1}")
-        head = j < 0
-        n[p[head], c[head]] = tbl.column("n").to_numpy()[head]
-        Q[p[head], c[head]] = tbl.column("q").to_numpy()[head]
-        E[p[head], c[head]] = tbl.column("e").to_numpy()[head]
-        S[p[~head], c[~head], j[~head]] = tbl.column("v").to_numpy()[~head]
-    return Stats(n, S, Q, E, spec.shift)
-
-
 def run_stats(points: DataFrame, spec: K.KernelSpec) -> Stats:
-    """One distributed pass: kernel partials + groupBy merge, P*k*(d+1) rows collected.
+    """One distributed pass: kernel partials, one merge, P*k*(d+1) rows collected.
 
     Centres travel in the task closure; when P*k*d exceeds the bound the
     slots are split over several passes, each under it.
@@ -149,10 +123,8 @@ def run_stats(points: DataFrame, spec: K.KernelSpec) -> Stats:
     parts = []
     for lo, hi in _chunks(spec, per_slot):
         pts, sub = _slice_sol(points, spec, lo, hi)
-        parts.append(_stats_pass(pts, sub))
-    if len(parts) == 1:
-        return parts[0]
-    return Stats(*(np.concatenate([getattr(s, f) for s in parts]) for f in ("n", "S", "Q", "E")), spec.shift)
+        parts.append(run_parts(pts, K.partial_stats_fn(sub), sub.P, sub.k, sub.d)[0])
+    return parts[0] if len(parts) == 1 else Stats.join(parts)
 
 
 def run_silhouette(points: DataFrame, spec: K.KernelSpec, stats: Stats) -> np.ndarray:
@@ -161,13 +133,10 @@ def run_silhouette(points: DataFrame, spec: K.KernelSpec, stats: Stats) -> np.nd
     fit = np.full(spec.P, -1.0)
     for lo, hi in _chunks(spec, per_slot):
         pts, sub = _slice_sol(points, spec, lo, hi)
-        part = pts.mapInArrow(
-            K.silhouette_partial_fn(sub, stats.n[lo:hi], stats.S[lo:hi], stats.Q[lo:hi]), K.SIL_PARTIAL_SCHEMA
-        )
-        tbl = merge_partials(part, ["chrom"], ["s", "m"], num_partitions(pts) * (hi - lo))
-        for ch, sm, m in zip(*(tbl.column(c).to_numpy() for c in ("chrom", "s", "m"))):
+        fn = K.silhouette_partial_fn(sub, stats.n[lo:hi], stats.M[lo:hi], stats.W[lo:hi])
+        for p, (s, m) in run_parts(pts, fn, sub.P, sub.k, sub.d)[1].items():
             if m:
-                fit[lo + int(ch)] = sm / m
+                fit[lo + p] = s / m
     used = (stats.n > 0).sum(axis=1)
     return np.where(used >= 2, fit, -1.0)
 
@@ -179,7 +148,7 @@ def relabel(points: DataFrame, centers: np.ndarray, keep: list[str], sol_col: st
     split into chained narrow passes when the centres exceed the bound."""
     P, k, d = centers.shape
     per_slot = k * d * 8
-    spec = K.KernelSpec(P, k, d, np.zeros(d))
+    spec = K.KernelSpec(P, k, d)
     out = points
     fields = [points.schema[c] for c in keep] + [T.StructField("sol", T.ArrayType(T.IntegerType()))]
     for lo, hi in _chunks(spec, per_slot):
@@ -209,15 +178,15 @@ def block_nearest(points: DataFrame, C: np.ndarray, keep: list[str]) -> DataFram
     return out
 
 
-def stats_by_centres(points: DataFrame, C: np.ndarray, shift: np.ndarray) -> Stats:
+def stats_by_centres(points: DataFrame, C: np.ndarray) -> Stats:
     """A1/A5 of the nearest-centre labels of one chromosome: one pass, or
     centre blocks plus one statistics pass when the centres exceed the bound."""
     k, d = C.shape
     if C.nbytes <= K.MAX_CLOSURE_BYTES:
-        return run_stats(points, K.KernelSpec(1, k, d, shift, centers=C[None]))
+        return run_stats(points, K.KernelSpec(1, k, d, centers=C[None]))
     lab = block_nearest(points.select("row_id", "x"), C, ["row_id", "x"])
     framed = lab.select("row_id", "x", F.array("_bc").alias("sol"), "_bd")
-    return run_stats(framed, K.KernelSpec(1, k, d, shift, sol_col="sol", e_col="_bd"))
+    return run_stats(framed, K.KernelSpec(1, k, d, sol_col="sol", e_col="_bd"))
 
 
 def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFrame:
@@ -226,9 +195,7 @@ def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFra
     ``centers`` is a ``(k, d)`` array or a ``(c, cx)`` DataFrame of k rows.
     """
     if isinstance(centers, DataFrame):
-        rows = centers.select("c", "cx").limit(MAX_CENTRES + 1).collect()
-        if len(rows) > MAX_CENTRES:
-            raise ValueError(f"more than {MAX_CENTRES} centres: not a centre table")
+        rows = centers.select("c", "cx").collect()
         centers = np.array([r["cx"] for r in sorted(rows, key=lambda r: r["c"])], dtype=np.float64)
     C = np.asarray(centers, dtype=np.float64)
     keep = keep or [c for c in points.columns if c not in ("cluster", "d2")]
@@ -242,13 +209,18 @@ def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFra
 def own_center_distance(assigned: DataFrame, centers: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Squared distance of each point to its own centre, by an equi-join on the
     cluster id against the k-row centre table: broadcast when its size is under
-    the bound, else a shuffle join (AQE splits a cluster holding many rows)."""
+    the bound; else a shuffle join on (cluster, salt), the salt taken from the
+    row and the centres copied to each salt, so a cluster with many rows is spread."""
     k = centers.count()
     d = len(centers.select("cx").first()["cx"]) if k else 0
     cen = centers.select(F.col("c").alias(cluster), "cx")
     if k * d * 8 <= K.MAX_CLOSURE_BYTES:
-        cen = F.broadcast(cen)
-    return assigned.join(cen, cluster).withColumn("d2", sq_dist("x", "cx")).drop("cx")
+        joined = assigned.join(F.broadcast(cen), cluster)
+    else:
+        salted = assigned.withColumn("_salt", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int"))
+        copies = cen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(copies, [cluster, "_salt"]).drop("_salt")
+    return joined.withColumn("d2", sq_dist("x", "cx")).drop("cx")
 
 
 def cluster_stats(df: DataFrame, cluster: str = "cluster", x: str = "x", d: int | None = None) -> DataFrame:
@@ -308,7 +280,7 @@ class KMeansModel:
 
     def sse(self, points: DataFrame) -> float:
         """Q2: SSE of labels redrawn with the final centres."""
-        return float(stats_by_centres(points.select("row_id", "x"), self.centers, self.centers.mean(axis=0)).E.sum())
+        return float(stats_by_centres(points.select("row_id", "x"), self.centers).E.sum())
 
 
 @dataclass
@@ -323,7 +295,10 @@ class KMeansLloyd:
 
     def fit(self, points: DataFrame) -> KMeansModel:
         spark = points.sparkSession
-        pts = points.select("row_id", "x").persist(StorageLevel.MEMORY_AND_DISK)
+        held = points.is_cached  # the caller keeps the points: no second copy
+        pts = points.select("row_id", "x")
+        if not held:
+            pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             d = dimension(pts)
             if self.init_centers is not None:
@@ -331,10 +306,9 @@ class KMeansLloyd:
             else:
                 C = centers_array(sample_centers(pts, self.k, self.seed), 1, self.k, d)[0]
             init = C.copy()
-            shift = C.mean(axis=0)
             sse_hist, shift_hist, cen_hist = [], [], [C.copy()]
             for _ in range(self.n_iter):
-                st = stats_by_centres(pts, C, shift)
+                st = stats_by_centres(pts, C)
                 new = st.means(C[None])[0]
                 moved = float(((new - C) ** 2).sum())
                 sse_hist.append(float(st.E.sum()))
@@ -345,4 +319,5 @@ class KMeansLloyd:
                     break
             return KMeansModel(C, init, sse_hist, shift_hist, cen_hist, spark)
         finally:
-            pts.unpersist()
+            if not held:
+                pts.unpersist()

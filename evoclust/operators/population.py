@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from evoclust.functions.vector import uniform
 from evoclust.operators import kernels as K
-from evoclust.operators.internal import DEFAULT_BLOCK_ROWS, exact_silhouette_partials
+from evoclust.operators.internal import DEFAULT_BLOCK_ROWS, exact_silhouettes
 from evoclust.operators.kmeans import Stats, relabel, run_silhouette, run_stats
 from evoclust.operators.sampling import centers_array, sample_centers
 from evoclust.session import cut_lineage
@@ -37,7 +37,6 @@ class Population:
     stats: Stats  # statistics of the labels held in sol
     fitness: np.ndarray  # (P,)
     n: int
-    shift: np.ndarray
 
     @property
     def P(self) -> int:
@@ -59,7 +58,7 @@ class Population:
         """A population whose slot p is a copy of slot src[p] (lazy)."""
         src = [int(s) for s in src]
         df = self.df.select(*base_cols(self.df), F.array(*[F.col("sol")[s] for s in src]).alias("sol"))
-        return Population(df, self.centers[src].copy(), self.stats.take(src), self.fitness[src].copy(), self.n, self.shift)
+        return Population(df, self.centers[src].copy(), self.stats.take(src), self.fitness[src].copy(), self.n)
 
 
 def slots(cols: list[Column]) -> Column:
@@ -71,17 +70,29 @@ def child_slot(a: int, b: int, cut: int, pos="pos") -> Column:
     return F.when(F.col(pos) < F.lit(cut), F.col("sol")[a]).otherwise(F.col("sol")[b])
 
 
-def rotated_child(df: DataFrame, a: int, b: int, cut: int, n: int, out: str = "child") -> DataFrame:
-    """Q7 parity: child = ``a[cut:] + b[:cut]`` by position, genes move rows.
+def rotated_genes(df: DataFrame, cuts: list[int], n: int, out: str = "_rot") -> DataFrame:
+    """``df`` with ``out ARRAY<ARRAY<INT>>``: for each cut the ``sol`` of the row ``cut`` positions on.
 
-    Row at pos i takes the gene of pos ``(i + cut) mod n`` from ``a`` while
-    ``i < n - cut`` and from ``b`` afterwards: a shift equi-join on ``pos``.
+    Every row sends its genes once to each target position; one shuffle
+    gathers them by position, however many pairs there are.
     """
-    src = df.select(F.col("pos").alias("src_pos"), F.col("sol")[a].alias("ga"), F.col("sol")[b].alias("gb"))
-    j = df.withColumn("src_pos", F.pmod(F.col("pos") + F.lit(cut), F.lit(n))).join(src, "src_pos")
-    return j.withColumn(out, F.when(F.col("pos") < F.lit(n - cut), F.col("ga")).otherwise(F.col("gb"))).drop(
-        "src_pos", "ga", "gb"
-    )
+    sent = df.select("pos", "sol").select(F.explode(F.array(*[
+        F.struct(F.pmod(F.col("pos") - F.lit(cut), F.lit(n)).alias("to"), F.lit(i).alias("i"), F.col("sol"))
+        for i, cut in enumerate(cuts)])).alias("s")).select("s.*")
+    gathered = sent.groupBy(F.col("to").alias("_to")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "sol"))), lambda s: s["sol"]).alias(out))
+    return df.join(gathered, F.col("pos") == F.col("_to")).drop("_to")
+
+
+def rotated_slot(i: int, a: int, b: int, cut: int, n: int, genes: str = "_rot") -> Column:
+    """Q7 parity: child = ``a[cut:] + b[:cut]`` by position, from the genes of cut ``i``."""
+    g = F.col(genes)[i]
+    return F.when(F.col("pos") < F.lit(n - cut), g[a]).otherwise(g[b])
+
+
+def rotated_child(df: DataFrame, a: int, b: int, cut: int, n: int, out: str = "child") -> DataFrame:
+    """One rotated child: the row at pos i takes the gene of pos ``(i + cut) mod n``."""
+    return rotated_genes(df, [cut], n).withColumn(out, rotated_slot(0, a, b, cut, n)).drop("_rot")
 
 
 def fitness_of(df: DataFrame, stats: Stats, spec: K.KernelSpec, kind: str = "squared",
@@ -94,21 +105,21 @@ def fitness_of(df: DataFrame, stats: Stats, spec: K.KernelSpec, kind: str = "squ
     if spec.sol_col is None:
         raise ValueError("exact fitness needs materialised labels")
     P, k = spec.P, spec.k
-    rows = exact_silhouette_partials(df.select("row_id", "x", spec.sol_col), P, k, spec.d, stats.n, block_rows).collect()
+    sums = exact_silhouettes(df.select("row_id", "x", spec.sol_col), P, k, spec.d, stats.n, block_rows)
     fit = np.full(P, -1.0)
-    for r in rows:
-        if r["m"]:
-            fit[r["chrom"]] = r["s"] / r["m"]
+    for p, (s, m) in sums.items():
+        if m:
+            fit[p] = s / m
     used = (stats.n > 0).sum(axis=1)
     return np.where(used >= 2, fit, -1.0)
 
 
-def evaluate_slots(base: DataFrame, cols: list[Column], k: int, d: int, shift: np.ndarray,
+def evaluate_slots(base: DataFrame, cols: list[Column], k: int, d: int,
                    own_centers: np.ndarray | None = None, kind: str = "squared",
                    block_rows: int = DEFAULT_BLOCK_ROWS) -> tuple[Stats, np.ndarray]:
     """Statistics and fitness of the label vectors ``cols`` (one stats pass + one fitness pass)."""
     df = base.select("row_id", "x", slots(cols).alias("sol"))
-    spec = K.KernelSpec(len(cols), k, d, shift, own_centers=own_centers, sol_col="sol")
+    spec = K.KernelSpec(len(cols), k, d, own_centers=own_centers, sol_col="sol")
     st = run_stats(df, spec)
     fit = fitness_of(df, st, spec, kind, block_rows)
     return st, fit
@@ -123,14 +134,13 @@ def init_population(points: DataFrame, P: int, k: int, seed: int = 0, kind: str
     base = points.select(*base_cols(points))
     d = len(base.select("x").first()["x"])
     centres = centers_array(sample_centers(base, k, seed, list(range(P))), P, k, d)
-    shift = centres.reshape(-1, d).mean(axis=0)
     labels = relabel(base, centres, base_cols(base), sol_col=None)
     df = cut_lineage(labels) if reliable else labels.persist(StorageLevel.MEMORY_AND_DISK)
-    lab_spec = K.KernelSpec(P, k, d, shift, own_centers=centres, sol_col="sol")
+    lab_spec = K.KernelSpec(P, k, d, own_centers=centres, sol_col="sol")
     st = run_stats(df, lab_spec)
     n = int(st.n[0].sum())
     fit = fitness_of(df, st, lab_spec, kind, block_rows)
-    return Population(df, centres, st, fit, n, shift)
+    return Population(df, centres, st, fit, n)
 
 
 def from_labels(points: DataFrame, centers: np.ndarray, kind: str = "squared",
@@ -139,12 +149,11 @@ def from_labels(points: DataFrame, centers: np.ndarray, kind: str = "squared",
     and per-slot centres ``(P, k, d)``; statistics and fitness are computed."""
     C = np.asarray(centers, dtype=np.float64)
     P, k, d = C.shape
-    shift = C.reshape(-1, d).mean(axis=0)
     df = points.select(*base_cols(points), F.col("sol").cast("array<int>").alias("sol"))
-    spec = K.KernelSpec(P, k, d, shift, own_centers=C, sol_col="sol")
+    spec = K.KernelSpec(P, k, d, own_centers=C, sol_col="sol")
     st = run_stats(df, spec)
     fit = fitness_of(df, st, spec, kind, block_rows)
-    return Population(df, C, st, fit, int(st.n[0].sum()), shift)
+    return Population(df, C, st, fit, int(st.n[0].sum()))
 
 
 def cluster_sizes(pop: Population) -> DataFrame:
@@ -165,14 +174,15 @@ def mutation_slot(p: int, sizes: np.ndarray, rate: float, seed: int, gen: int) -
     return F.when(hit, draw.cast("int")).otherwise(F.col("sol")[p])
 
 
-def mutate(pop: Population, rate: float, seed: int, gen: int) -> Population:
-    """Mutate every slot, then recompute centres from the new labels."""
+def mutate(pop: Population, rate: float, seed: int, gen: int, kind: str = "squared",
+           block_rows: int = DEFAULT_BLOCK_ROWS) -> Population:
+    """Mutate every slot, then recompute centres and fitness from the new labels."""
     cols = [mutation_slot(p, pop.stats.n[p], rate, seed, gen) for p in range(pop.P)]
     df = pop.df.select(*base_cols(pop.df), slots(cols).alias("sol"))
-    spec = K.KernelSpec(pop.P, pop.k, pop.d, pop.shift, sol_col="sol")
+    spec = K.KernelSpec(pop.P, pop.k, pop.d, sol_col="sol")
     st = run_stats(df, spec)
-    centres = st.means(pop.centers)
-    return Population(df, centres, st, pop.fitness.copy(), pop.n, pop.shift)
+    st.E = st.W.copy()  # the centres are the means
+    return Population(df, st.means(pop.centers), st, fitness_of(df, st, spec, kind, block_rows), pop.n)
 
 
 def materialize(df: DataFrame, reliable: bool) -> DataFrame:
@@ -196,13 +206,13 @@ def kmo(pop: Population, accept: str = "better", kind: str = "squared",
     ``sol`` is materialised once and checkpointed.
     """
     P, k, d = pop.P, pop.k, pop.d
-    cand_spec = K.KernelSpec(P, k, d, pop.shift, centers=pop.centers)
+    cand_spec = K.KernelSpec(P, k, d, centers=pop.centers)
     if kind == "squared":
         cand = run_stats(pop.df, cand_spec)
         cand_fit = fitness_of(pop.df, cand, cand_spec, kind, block_rows)
     else:
         cand_df = relabel(pop.df, pop.centers, base_cols(pop.df))
-        lab_spec = K.KernelSpec(P, k, d, pop.shift, sol_col="sol")
+        lab_spec = K.KernelSpec(P, k, d, sol_col="sol")
         cand = run_stats(cand_df, lab_spec)
         cand_fit = fitness_of(cand_df, cand, lab_spec, kind, block_rows)
     if accept == "better":
@@ -213,18 +223,15 @@ def kmo(pop: Population, accept: str = "better", kind: str = "squared",
         raise ValueError(f"accept must be 'better' or 'always', got {accept!r}")
     held = Stats(
         np.where(take[:, None], cand.n, pop.stats.n),
-        np.where(take[:, None, None], cand.S, pop.stats.S),
-        np.where(take[:, None], cand.Q, pop.stats.Q),
+        np.where(take[:, None, None], cand.M, pop.stats.M),
+        np.where(take[:, None], cand.W, pop.stats.W),
         np.zeros((P, k)),
-        pop.shift,
     )
     fitness = np.where(take, cand_fit, pop.fitness)
     centres = held.means(pop.centers)
-    # SSE of the held labels against the new centres (= their means): closed form
-    within = held.Q - np.einsum("pkd,pkd->pk", held.S, held.S) / np.where(held.n > 0, held.n, 1)
-    held.E = np.where(held.n > 0, np.maximum(within, 0.0), 0.0)
+    held.E = held.W.copy()  # the new centres are the means of the held labels
     df = materialize(relabel(pop.df, pop.centers, base_cols(pop.df), reassign=take), checkpoint)
-    return Population(df, centres, held, fitness, pop.n, pop.shift), take
+    return Population(df, centres, held, fitness, pop.n), take
 
 
 def rescale_fitness(fitness: np.ndarray, c: float = 2.0) -> np.ndarray:

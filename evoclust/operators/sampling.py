@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evoclust.functions.vector import uniform
+from evoclust.functions.vector import uniform_key
 from evoclust.operators import kernels as K
 
 
@@ -19,21 +19,23 @@ def sample_centers(points: DataFrame, k: int, seed: int = 0, chrom: int | list[i
                    fan_in: int = 256) -> DataFrame:
     """Initial centres ``(chrom, c, row_id, cx)``; ``c`` numbers the draws in order.
 
-    One pass for all chromosomes: the JVM computes the P hash draws per row,
-    a per-partition kernel keeps each chromosome's k smallest, coalesced
-    groups of at most ``fan_in`` partitions merge them again (no shuffle) until
-    few are left, and a window over the survivors picks the final k.
+    One pass for all chromosomes: the JVM computes the P hash draws per row, a
+    kernel keeps each chromosome's k smallest in every input partition, and
+    levels of at most ``fan_in`` of those partitions merge them again, each
+    level behind an exchange of P x k candidates a partition, so the scan
+    keeps all its tasks.  A window over the survivors picks the final k.
+    Equal 32-bit draws are ordered by the rest of the same hash.
     """
     chroms = [chrom] if isinstance(chrom, int) else list(chrom)
-    us = F.array(*[uniform(seed, tag, ch) for ch in chroms]).alias("u")
+    us = F.array(*[uniform_key(seed, tag, ch) for ch in chroms]).alias("u")
     base = points.select(F.col("row_id").cast("bigint").alias("row_id"), F.col("x").cast("array<double>").alias("x"), us)
-    schema = "chrom int, u double, row_id bigint, x array<double>"
+    schema = "chrom int, u bigint, row_id bigint, x array<double>"
     cand = base.mapInArrow(K.top_k_fn(len(chroms), k), schema)
     # tree merge: no task ever sees more than fan_in x P x k candidates
     parts = points.rdd.getNumPartitions()
     while parts > fan_in:
         parts = -(-parts // fan_in)
-        cand = cand.coalesce(parts).mapInArrow(K.merge_top_k_fn(k), schema)
+        cand = cand.repartition(parts, F.xxhash64("row_id", "chrom")).mapInArrow(K.merge_top_k_fn(k), schema)
     w = Window.partitionBy("chrom").orderBy("u", "row_id")
     ranked = cand.select("chrom", "row_id", "x", "u", (F.row_number().over(w) - 1).cast("int").alias("c"))
     ids = F.array(*[F.lit(ch) for ch in chroms])

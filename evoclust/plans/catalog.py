@@ -283,7 +283,7 @@ def g7_crossover_rotated(spark, sf_dir):
 def g7_family_competition(spark, sf_dir):
     pop = _population(spark, sf_dir)
     cut = cut_point(pop.n, SEED, 1, 0)
-    _, fit = evaluate_slots(pop.df, [child_slot(0, 1, cut), child_slot(1, 0, cut)], K, pop.d, pop.shift)
+    _, fit = evaluate_slots(pop.df, [child_slot(0, 1, cut), child_slot(1, 0, cut)], K, pop.d)
     fits = [pop.fitness[0], pop.fitness[1], fit[0], fit[1]]
     rows = [(place, int(w), float(fits[w])) for place, w in enumerate(family_competition(fits))]
     df = spark.createDataFrame(rows, "place bigint, candidate bigint, fitness double")

@@ -218,7 +218,7 @@ kidmeans AS (
   SELECT k.chrom AS src, k.c, p.j, avg(p.v) AS v FROM kid k JOIN lp p USING (row_id) GROUP BY k.chrom, k.c, p.j
   UNION ALL
   SELECT kk.chrom, sc.c, sc.j, sc.v FROM (SELECT DISTINCT chrom FROM kid) kk, slotcen sc
-  WHERE sc.slot = 0 AND NOT EXISTS (SELECT 1 FROM kid k2 WHERE k2.chrom = kk.chrom AND k2.c = sc.c)),
+  WHERE sc.slot = (SELECT a FROM duo) AND NOT EXISTS (SELECT 1 FROM kid k2 WHERE k2.chrom = kk.chrom AND k2.c = sc.c)),
 hc AS (SELECT h.slot AS chrom, c.c, c.j, c.v FROM holdsrc h JOIN
        (SELECT slot AS src, c, j, v FROM slotcen UNION ALL SELECT src, c, j, v FROM kidmeans) c ON c.src = h.src),
 cand_d AS (SELECT m.chrom, p.row_id, m.c, sum((p.v - m.v) * (p.v - m.v)) AS d2 FROM lp p JOIN hc m ON m.j = p.j
@@ -326,7 +326,7 @@ def statements() -> dict[str, str]:
         f"SELECT 'label_agreement', 'external', {_r('avg(CASE WHEN t.label = a.c THEN 1.0 ELSE 0.0 END)')} FROM a1 a JOIN pts t USING (row_id) UNION ALL "
         f"SELECT 'fowlkes_mallows', 'external', {_r(FM)} FROM pc UNION ALL "
         f"SELECT 'pair_jaccard', 'external', {_r(PJ)} FROM pc UNION ALL "
-        f"SELECT 'silhouette', 'internal', {_r('fitness')} FROM sil UNION ALL "
+        f"SELECT 'silhouette_squared', 'internal', {_r('fitness')} FROM sil UNION ALL "
         f"SELECT 'davies_bouldin', 'internal', {_r('davies_bouldin')} FROM db UNION ALL "
         f"SELECT 'sse', 'internal', {_r('sse')} FROM sse1"
     )
