@@ -13,6 +13,7 @@ from evoclust.sources.points import (
     points_from_columns,
     read_abalone,
     read_iris,
+    read_named_csv,
     read_numeric_csv,
     recode,
     with_pos,
@@ -62,6 +63,7 @@ __all__ = [
     "purity",
     "read_abalone",
     "read_iris",
+    "read_named_csv",
     "read_numeric_csv",
     "recode",
     "sample_centers",

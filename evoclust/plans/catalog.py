@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evoclust.operators import external as X
@@ -29,10 +29,11 @@ from evoclust.operators.population import (
 from evoclust.operators.projection import label_centers, project
 from evoclust.operators.report import evaluate
 from evoclust.operators.sampling import centers_array, sample_centers
-from evoclust.plans.params import ITERS, K, MUT_RATE, P, SEED
+from evoclust.plans.params import ITERS, K, MUT_RATE, OFFSET, P, SEED
 from evoclust.sources.points import (
     drop_feature,
     parse_vector,
+    points_by_position,
     points_from_array,
     points_from_columns,
     recode,
@@ -100,9 +101,8 @@ def p_recode_label(spark, sf_dir):
 def p_nominal_code(spark, sf_dir):
     cust = _table(spark, sf_dir, "customer")
     seg = cust.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
-    # the distinct values of a nominal column are few: numbered alphabetically
-    names = sorted(r["segment"] for r in seg.select("segment").collect())
-    return seg.select("segment", _b(recode("segment", {s: i for i, s in enumerate(names)})).alias("code"), "n")
+    # alphabetical rank over the table of distinct values, one row each
+    return seg.select("segment", _b(F.row_number().over(Window.orderBy("segment")) - 1).alias("code"), "n")
 
 
 def p_drop_feature(spark, sf_dir):
@@ -323,16 +323,70 @@ def d1_pca_2d(spark, sf_dir):
     return project(a, centers=C, label_centres=label_centers(pts))
 
 
+def d1_pca_part(spark, sf_dir):
+    pts = points_from_columns(_table(spark, sf_dir, "part"), "p_partkey", ["p_size", "p_retailprice"])
+    return project(pts).select("id", F.round("pc1", 3).alias("pc1"), F.round("pc2", 3).alias("pc2"))
+
+
+def _history(spark, sf_dir, generations, **options):
+    pts = embedding_points(spark, sf_dir, pos=True)
+    model = GeneticKMeans(population=P, k=K, generations=generations, seed=SEED, **options).fit(pts)
+    return model.history().select(_b("gen").alias("gen"), _r("fitness").alias("fitness"), _r("sse").alias("sse"), _r("ari").alias("ari"))
+
+
 def g11_fit(spark, sf_dir):
-    model = GeneticKMeans(population=P, k=K, generations=3, seed=SEED).fit(embedding_points(spark, sf_dir, pos=True))
-    return model.history()
+    return _history(spark, sf_dir, 3)
 
 
 def g11_fit_one_generation(spark, sf_dir):
+    return _history(spark, sf_dir, 1)
+
+
+def g11_fit_mutation(spark, sf_dir):
+    return _history(spark, sf_dir, 2, mutation_rate=MUT_RATE)
+
+
+def g11_fit_always(spark, sf_dir):
+    return _history(spark, sf_dir, 2, kmo="always")
+
+
+def g15_population_log(spark, sf_dir):
     model = GeneticKMeans(population=P, k=K, generations=1, seed=SEED).fit(embedding_points(spark, sf_dir, pos=True))
-    return model.history().select(
-        F.col("gen").cast("bigint").alias("gen"), _r("fitness").alias("fitness"), _r("sse").alias("sse"), _r("ari").alias("ari")
-    )
+    return model.population_log().select(_b("gen").alias("gen"), "stage", _b("chrom").alias("chrom"), _r("fitness").alias("fitness"))
+
+
+def g3_fitness_exact(spark, sf_dir):
+    pop = init_population(embedding_points(spark, sf_dir, pos=True), P, K, SEED, kind="exact")
+    return _per_chrom(spark, pop.fitness, "fitness")
+
+
+def e8_report_exact(spark, sf_dir):
+    m = evaluate(_assigned(spark, sf_dir), silhouette="exact")
+    return m.select("metric", "kind", _r("value").alias("value"))
+
+
+def _off_centre(spark, sf_dir) -> DataFrame:
+    """``part`` far from the origin, with a small cluster far from all others."""
+    part = _table(spark, sf_dir, "part").withColumn(
+        "cluster", F.when(F.col("p_partkey") % 997 == 1, 3).otherwise(F.col("p_size") % 3))
+    price = F.col("p_retailprice") + F.lit(OFFSET)
+    part = part.withColumn("a", F.when(F.col("cluster") == 3, price * 100).otherwise(price))
+    return points_from_columns(part.withColumn("label", F.col("cluster")), "p_partkey", ["a", "p_size"], "label").withColumnRenamed(
+        "label", "cluster")
+
+
+def a5_sse_offset(spark, sf_dir):
+    return I.sse(_off_centre(spark, sf_dir)).select(F.round("sse", 3).alias("sse"))
+
+
+def e6_silhouette_offset(spark, sf_dir):
+    return I.silhouette_squared(_off_centre(spark, sf_dir)).select(_r("silhouette_squared").alias("silhouette_squared"))
+
+
+def s_points_by_position(spark, sf_dir):
+    pts = points_by_position(_table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return pts.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("pos").alias("n_pos"), F.min("pos").alias("first"),
+                   F.max("pos").alias("last"), F.round(F.sum(F.col("x")[0]), 2).alias("quantity"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -377,4 +431,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d1_pca_2d": d1_pca_2d,
     "g11_fit": g11_fit,
     "g11_fit_one_generation": g11_fit_one_generation,
+    "g11_fit_mutation": g11_fit_mutation,
+    "g11_fit_always": g11_fit_always,
+    "g15_population_log": g15_population_log,
+    "g3_fitness_exact": g3_fitness_exact,
+    "e8_report_exact": e8_report_exact,
+    "a5_sse_offset": a5_sse_offset,
+    "e6_silhouette_offset": e6_silhouette_offset,
+    "s_points_by_position": s_points_by_position,
+    "d1_pca_part": d1_pca_part,
 }

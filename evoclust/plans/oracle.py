@@ -8,8 +8,10 @@ vectors ``lp(row_id, j, v)``, Lloyd steps unrolled as CTEs, seeded draws by
 
 from __future__ import annotations
 
+import re
+
 from evoclust.functions.vector import uniform_sql
-from evoclust.plans.params import ITERS, K, MUT_RATE, P, SEED
+from evoclust.plans.params import ITERS, K, MUT_RATE, OFFSET, P, SEED
 
 
 def _u(*tags, row_id="row_id") -> str:
@@ -149,12 +151,12 @@ def _population() -> str:
     return ",\n".join(parts)
 
 
-def _select_slots(fit: str) -> str:
+def _select_slots(fit: str, gen: int = 1) -> str:
     """Ranks by fitness; keep int(P*0.8); fill from the top min(5, P)."""
     keep = int(P * 0.8)
     top = min(5, P)
     fills = " UNION ALL ".join(
-        f"SELECT {i} AS k, (SELECT chrom FROM rk WHERE r = LEAST(CAST(floor({_us('fill', 1, i)} * {top}) AS BIGINT), {top - 1})) AS chrom"
+        f"SELECT {i} AS k, (SELECT chrom FROM rk WHERE r = LEAST(CAST(floor({_us('fill', gen, i)} * {top}) AS BIGINT), {top - 1})) AS chrom"
         for i in range(keep, P)
     )
     src = f"SELECT r AS k, chrom FROM rk WHERE r < {keep}" + (f" UNION ALL {fills}" if fills else "")
@@ -164,8 +166,8 @@ sel AS (SELECT row_number() OVER (ORDER BY f.fitness DESC, s.k) - 1 AS slot, s.c
         FROM src s JOIN {fit} f USING (chrom))"""
 
 
-def _cut(i: int = 0) -> str:
-    return f"(1 + LEAST(CAST(floor({_us('cut', 1, i)} * ((SELECT count(*) FROM pts) - 2)) AS BIGINT), (SELECT count(*) FROM pts) - 3))"
+def _cut(i: int = 0, gen: int = 1) -> str:
+    return f"(1 + LEAST(CAST(floor({_us('cut', gen, i)} * ((SELECT count(*) FROM pts) - 2)) AS BIGINT), (SELECT count(*) FROM pts) - 3))"
 
 
 def _children(a: int, b: int) -> str:
@@ -179,18 +181,27 @@ kids AS (
   JOIN posn n ON n.row_id = pa.row_id)"""
 
 
-def _one_generation() -> str:
-    """G11, generation 1 with the default options: selection, one disjoint pair
-    crossed at the first cut, family competition, guarded k-means step."""
+# tables of one generation; a later one gets a suffix of its own
+_GENERATION = ("rk src sel slotlab slotcen ranks duo cut kid ksil ksil_pair ksil_per ksil_pt ksil_pv allfit comp win holdsrc "
+               "held hf kidmeans hc crossed crossedfit crossedcen grid sizes bounds draws msil msil_pair msil_per msil_pt msil_pv "
+               "cand_d cand csil csil_pair csil_per csil_pt csil_pv acc fin fincen finfit best bl fsse fsse_m ct pc").split()
+
+
+def _one_generation(gen: int = 1, kmo: str = "better", mutation: float = 0.0) -> str:
+    """G11, one generation: selection, one disjoint pair crossed at the first cut,
+    family competition, with a rate the mutation, k-means step (guarded or not).
+    The first starts from ``pop``, ``pcen`` and ``silo``, a later one from the one before."""
     P1 = P - 1
-    return f"""{_select_slots("silo")},
-slotlab AS (SELECT s.slot, p.row_id, p.c FROM sel s JOIN pop p ON p.chrom = s.chrom),
-slotcen AS (SELECT s.slot, c.c, c.j, c.v FROM sel s JOIN pcen c ON c.chrom = s.chrom),
+    fit0, pop0, cen0 = ("silo", "pop", "pcen") if gen == 1 else (f"{t}_{gen - 1}" for t in ("finfit", "fin", "fincen"))
+    take = "c.fitness > h.fitness" if kmo == "better" else "TRUE"
+    text = f"""{_select_slots(fit0, gen)},
+slotlab AS (SELECT s.slot, p.row_id, p.c FROM sel s JOIN {pop0} p ON p.chrom = s.chrom),
+slotcen AS (SELECT s.slot, c.c, c.j, c.v FROM sel s JOIN {cen0} c ON c.chrom = s.chrom),
 ranks AS (SELECT r, row_number() OVER (ORDER BY u, r) - 1 AS ord FROM (
-  SELECT r, (('0x' || substr(md5('{SEED}|rank|1|' || CAST(r AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0) AS u
+  SELECT r, (('0x' || substr(md5('{SEED}|rank|{gen}|' || CAST(r AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0) AS u
   FROM range(0, {P1}) t(r))),
 duo AS (SELECT (SELECT r FROM ranks WHERE ord = 0) AS a, (SELECT r FROM ranks WHERE ord = 1) AS b),
-cut AS (SELECT {_cut(0)} AS cut),
+cut AS (SELECT {_cut(0, gen)} AS cut),
 kid AS (
   SELECT 100 AS chrom, la.row_id, CASE WHEN n.pos < (SELECT cut FROM cut) THEN la.c ELSE lb.c END AS c
   FROM slotlab la JOIN slotlab lb ON lb.row_id = la.row_id JOIN posn n ON n.row_id = la.row_id
@@ -211,29 +222,66 @@ holdsrc AS (
                       WHEN s.slot = (SELECT b FROM duo) THEN (SELECT src FROM win WHERE place = 1)
                       ELSE s.slot END AS src
   FROM sel s),
-held AS (SELECT h.slot AS chrom, l.row_id, l.c FROM holdsrc h JOIN
+crossed AS (SELECT h.slot AS chrom, l.row_id, l.c FROM holdsrc h JOIN
          (SELECT slot AS src, row_id, c FROM slotlab UNION ALL SELECT chrom, row_id, c FROM kid) l ON l.src = h.src),
-hf AS (SELECT h.slot AS chrom, f.fitness FROM holdsrc h JOIN allfit f ON f.src = h.src),
+crossedfit AS (SELECT h.slot AS chrom, f.fitness FROM holdsrc h JOIN allfit f ON f.src = h.src),
 kidmeans AS (
   SELECT k.chrom AS src, k.c, p.j, avg(p.v) AS v FROM kid k JOIN lp p USING (row_id) GROUP BY k.chrom, k.c, p.j
   UNION ALL
   SELECT kk.chrom, sc.c, sc.j, sc.v FROM (SELECT DISTINCT chrom FROM kid) kk, slotcen sc
   WHERE sc.slot = (SELECT a FROM duo) AND NOT EXISTS (SELECT 1 FROM kid k2 WHERE k2.chrom = kk.chrom AND k2.c = sc.c)),
-hc AS (SELECT h.slot AS chrom, c.c, c.j, c.v FROM holdsrc h JOIN
+crossedcen AS (SELECT h.slot AS chrom, c.c, c.j, c.v FROM holdsrc h JOIN
        (SELECT slot AS src, c, j, v FROM slotcen UNION ALL SELECT src, c, j, v FROM kidmeans) c ON c.src = h.src),
+{_mutation(gen, mutation) if mutation else "held AS (SELECT * FROM crossed), hf AS (SELECT * FROM crossedfit), hc AS (SELECT * FROM crossedcen)"},
 cand_d AS (SELECT m.chrom, p.row_id, m.c, sum((p.v - m.v) * (p.v - m.v)) AS d2 FROM lp p JOIN hc m ON m.j = p.j
            GROUP BY m.chrom, p.row_id, m.c),
 cand AS (SELECT chrom, row_id, m.c AS c FROM (SELECT chrom, row_id, min({{'d': d2, 'c': c}}) AS m FROM cand_d GROUP BY chrom, row_id)),
 {_silhouette("cand", True, "csil")},
-acc AS (SELECT h.chrom, c.fitness > h.fitness AS take,
-               CASE WHEN c.fitness > h.fitness THEN c.fitness ELSE h.fitness END AS fit
+acc AS (SELECT h.chrom, {take} AS take,
+               CASE WHEN {take} THEN c.fitness ELSE h.fitness END AS fit
         FROM hf h JOIN csil c USING (chrom)),
 fin AS (SELECT h.chrom, h.row_id, CASE WHEN a.take THEN c.c ELSE h.c END AS c
         FROM held h JOIN cand c USING (chrom, row_id) JOIN acc a USING (chrom)),
+finfit AS (SELECT chrom, fit AS fitness FROM acc),
+fincen AS (
+  SELECT f.chrom, f.c, p.j, avg(p.v) AS v FROM fin f JOIN lp p USING (row_id) GROUP BY f.chrom, f.c, p.j
+  UNION ALL
+  SELECT chrom, c, j, v FROM hc WHERE NOT EXISTS (SELECT 1 FROM fin f WHERE f.chrom = hc.chrom AND f.c = hc.c)),
 best AS (SELECT chrom, fit FROM acc ORDER BY fit DESC, chrom LIMIT 1),
 bl AS (SELECT row_id, c FROM fin WHERE chrom = (SELECT chrom FROM best)),
 {_sse_to_means("fin", "fsse")},
 {_pair_counts("bl")}"""
+    # not inside the keys of draws, where words stand between bars
+    return re.sub(r"(?<![|\w])(" + "|".join(_GENERATION) + r")(?![|\w])", rf"\1_{gen}", text)
+
+
+def _mutation(gen: int, rate: float) -> str:
+    """G8 inside a generation: labels redrawn by cluster size, centres and fitness from the new labels."""
+    um = _u("mut", gen, "' || p.chrom || '", row_id="p.row_id")
+    ud = _u("draw", gen, "' || p.chrom || '", row_id="p.row_id")
+    return f"""grid AS (SELECT ch.chrom, r.c FROM (SELECT DISTINCT chrom FROM crossed) ch, range(0, {K}) r(c)),
+sizes AS (SELECT g.chrom, g.c, count(p.row_id)::DOUBLE AS n FROM grid g LEFT JOIN crossed p ON p.chrom = g.chrom AND p.c = g.c GROUP BY g.chrom, g.c),
+bounds AS (SELECT chrom, c, sum(n) OVER (PARTITION BY chrom ORDER BY c) / sum(n) OVER (PARTITION BY chrom) AS cum FROM sizes),
+draws AS (SELECT p.chrom, p.row_id, p.c, {um} AS um, {ud} AS ud FROM crossed p),
+held AS (SELECT d.chrom, d.row_id,
+                CASE WHEN d.um < {rate} THEN (SELECT count(*) FROM bounds b WHERE b.chrom = d.chrom AND b.c < {K - 1} AND b.cum <= d.ud) ELSE d.c END AS c
+         FROM draws d),
+{_silhouette("held", True, "msil")},
+hf AS (SELECT chrom, fitness FROM msil),
+hc AS (SELECT h.chrom, h.c, p.j, avg(p.v) AS v FROM held h JOIN lp p USING (row_id) GROUP BY h.chrom, h.c, p.j
+       UNION ALL SELECT chrom, c, j, v FROM crossedcen x WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.chrom = x.chrom AND h.c = x.c))"""
+
+
+def _generations(n: int, **options) -> str:
+    """Statement of a fit's history over ``n`` generations."""
+    first = _with(PTS, _population(), _silhouette("pop", True, "silo"), *[_one_generation(g, **options) for g in range(1, n + 1)])
+    ari = lambda g: f"(SELECT {ARI} FROM pc_{g})"
+    return first + " UNION ALL ".join(
+        f"SELECT {g}::BIGINT AS gen, round((SELECT fit FROM best_{g}), 6) AS fitness, "
+        f"round((SELECT sse FROM fsse_{g} WHERE chrom = (SELECT chrom FROM best_{g})), 6) AS sse, round({ari(g)}, 6) AS ari"
+        for g in range(1, n + 1))
+
+
 
 
 # ------------------------------------------------------------------ statements
@@ -387,8 +435,42 @@ held AS (SELECT p.chrom, p.row_id, CASE WHEN {take} THEN c2.c ELSE p.c END AS c
             f"SELECT a.chrom::BIGINT AS chrom, ({take})::BOOLEAN AS accepted, {_r(fit_expr)} AS fitness, {_r('h.sse')} AS sse "
             "FROM acc a JOIN hsse h USING (chrom)"
         )
-    q["g11_fit_one_generation"] = _with(*base, pop, _silhouette("pop", True, "silo"), _one_generation()) + (
-        f"SELECT 1::BIGINT AS gen, {_r('(SELECT fit FROM best)')} AS fitness, "
-        f"{_r('(SELECT sse FROM fsse WHERE chrom = (SELECT chrom FROM best))')} AS sse, {_r(ARI)} AS ari FROM pc"
+    q["g11_fit_one_generation"] = _generations(1)
+    q["g11_fit"] = _generations(3)
+    q["g11_fit_mutation"] = _generations(2, mutation=MUT_RATE)
+    q["g11_fit_always"] = _generations(2, kmo="always")
+    log = _with(PTS, pop, _silhouette("pop", True, "silo"), _one_generation(1))
+    q["g15_population_log"] = log + " UNION ALL ".join(
+        f"SELECT {g}::BIGINT AS gen, '{stage}' AS stage, {col}::BIGINT AS chrom, round({fit}, 6) AS fitness FROM {t}"
+        for g, stage, col, fit, t in ((0, "init", "chrom", "fitness", "silo"), (1, "selection", "slot", "fitness", "sel_1"),
+                                      (1, "crossover", "chrom", "fitness", "crossedfit_1"), (1, "kmo", "chrom", "fit", "acc_1")))
+    q["g3_fitness_exact"] = _with(*base, pop, _silhouette("pop", False)) + (
+        f"SELECT chrom::BIGINT AS chrom, {_r('fitness')} AS fitness FROM sil"
+    )
+    q["e8_report_exact"] = q["e8_report"].replace("silhouette_squared", "silhouette_exact").replace(
+        _silhouette("asg1", True), _silhouette("asg1", False))
+
+    # far from the origin and one cluster far from all others: nothing may cancel
+    part = f"""pts AS (SELECT p_partkey AS row_id, [p_retailprice + {OFFSET}, p_size::DOUBLE] AS x,
+                   CASE WHEN p_partkey % 997 = 1 THEN 3 ELSE p_size % 3 END AS c0 FROM part),
+far AS (SELECT row_id, CASE WHEN c0 = 3 THEN [x[1] * 100, x[2]] ELSE x END AS x, c0 FROM pts),
+asg AS (SELECT 0 AS chrom, row_id, c0 AS c FROM far)"""
+    q["a5_sse_offset"] = f"""WITH {part},
+m AS (SELECT c0, avg(x[1] - {OFFSET}) AS a, avg(x[2]) AS b FROM far GROUP BY c0)
+SELECT round(sum((x[1] - {OFFSET} - a) * (x[1] - {OFFSET} - a) + (x[2] - b) * (x[2] - b)), 3) AS sse FROM far JOIN m USING (c0)"""
+    q["e6_silhouette_offset"] = f"WITH {part.replace('pts AS', 'near AS').replace('FROM pts', 'FROM near').replace('far AS', 'pts AS').replace('FROM far', 'FROM pts')},\n" + (
+        _silhouette("asg", True) + f" SELECT {_r('fitness')} AS silhouette_squared FROM sil")
+    q["s_points_by_position"] = (
+        "SELECT count(*) AS n, count(*) AS n_pos, 0::BIGINT AS first, count(*) - 1 AS last, "
+        "round(sum(l_quantity), 2) AS quantity FROM lineitem"
     )
+    # 2 x 2 covariance: eigenvectors in closed form; the largest loading is positive
+    q["d1_pca_part"] = """WITH p AS (SELECT p_partkey AS id, p_size::DOUBLE AS x, p_retailprice AS y FROM part),
+m AS (SELECT avg(x) AS mx, avg(y) AS my, var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c FROM p),
+l AS (SELECT *, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS l1 FROM m),
+u AS (SELECT mx, my, b / sqrt(b * b + (l1 - a) * (l1 - a)) AS ux, (l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS uy FROM l),
+v AS (SELECT mx, my, ux * s AS ux, uy * s AS uy, -uy * t AS wx, ux * t AS wy FROM (
+  SELECT *, sign(CASE WHEN abs(ux) > abs(uy) THEN ux ELSE uy END) AS s,
+         sign(CASE WHEN abs(uy) > abs(ux) THEN -uy ELSE ux END) AS t FROM u))
+SELECT id, round((x - mx) * ux + (y - my) * uy, 3) AS pc1, round((x - mx) * wx + (y - my) * wy, 3) AS pc2 FROM p, v"""
     return q

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 
 from pyspark import StorageLevel
@@ -13,7 +16,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is.  Only a local-mode session without that setting (tests, the bench)
-    gets a fresh private folder.
+    gets a fresh private folder, removed when the program ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -28,10 +31,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; set it to a shared folder "
             "(HDFS/S3/...) so iterative fits can cut lineage reliably"
         )
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="evoclust-ckpt-"))
+    own = tempfile.mkdtemp(prefix="evoclust-ckpt-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster where it isn't installed
+    (the same as ``spark-submit --py-files``): kernels are imported there."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="evoclust-py-"), "evoclust"), "zip",
+                                  os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(archive)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder (survives executor loss).
 
@@ -60,5 +74,6 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,60 +75,55 @@ def drop_feature(points: DataFrame, index: int) -> DataFrame:
     return points.withColumn("x", F.filter("x", lambda v, i: i != F.lit(index)))
 
 
-def _numbered_lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
-    """Non-blank text lines with their dense 0-based line number (file order of
-    the input splits), counted and numbered JVM side / in Arrow batches; no
-    line goes through Python objects."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    numbered = with_pos(lines, None).select("value", F.col("pos").alias("idx"))
-    if header:
-        numbered = numbered.filter(F.col("idx") > 0).withColumn("idx", F.col("idx") - 1)
-    return numbered
-
-
-def read_numeric_csv(spark: SparkSession, path: str, header: bool = False, label_last: bool = False) -> DataFrame:
-    """Headerless numeric CSV -> points (row_id = pos = line number)."""
-    lines = _numbered_lines(spark, path, header)
-    vec = parse_vector("value")
-    out = lines.select(F.col("idx").alias("row_id"), F.col("idx").alias("pos"), vec.alias("v"))
-    if label_last:
-        return out.select(
-            "row_id", "pos",
-            F.slice("v", 1, F.size("v") - 1).alias("x"),
-            F.element_at("v", -1).cast("int").alias("label"),
-        )
-    return out.select("row_id", "pos", F.col("v").alias("x"))
-
-
-def read_iris(spark: SparkSession, path: str, header: bool | None = None) -> DataFrame:
+def _csv(spark: SparkSession, path: str | list[str], header: bool) -> DataFrame:
+    """A CSV table of strings: quotes and blanks around fields stripped, blank
+    lines skipped, and with ``header`` the first line of every file."""
+    return spark.read.csv(path, header=header, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+
+
+def _by_input(df: DataFrame, x: Column, label: Column | None = None) -> DataFrame:
+    """Points ``row_id = pos`` in scan order from expressions over a scan."""
+    cols = [x.alias("x")] + ([label.cast("int").alias("label")] if label is not None else [])
+    numbered = with_pos(df.select(*cols), None)
+    return numbered.select(F.col("pos").alias("row_id"), "pos", *[c for c in numbered.columns if c != "pos"])
+
+
+def read_numeric_csv(spark: SparkSession, path: str | list[str], header: bool = False, label_last: bool = False) -> DataFrame:
+    """Numeric CSV -> points; one or several files, each with a header line or none."""
+    df = _csv(spark, path, header)
+    names = df.columns[:-1] if label_last else df.columns
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
+    return _by_input(df, x, F.col(f"`{df.columns[-1]}`") if label_last else None)
+
+
+def read_named_csv(spark: SparkSession, path: str | list[str], features: Sequence[str], label: str | None = None) -> DataFrame:
+    """CSV with a header line in every file; features and label by name."""
+    df = _csv(spark, path, header=True)
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+    return _by_input(df, x, F.col(f"`{label}`") if label is not None else None)
+
+
+def read_iris(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
     """Labelled iris (4 features + class name) -> points with label 0..2.
 
     Handles the quoted file with a header and leading-dot decimals as well as
-    the raw file with a trailing blank line.  Class names other than the three
-    iris names are numbered by their alphabetical order among the three.
+    the raw file with a trailing blank line; ``header`` says which, the file's
+    name does not.  Another class name is an error.
     """
-    if header is None:
-        header = path.endswith(".csv")
-    lines = _numbered_lines(spark, path, header)
-    parts = F.split("value", ",")
-    feats = F.transform(F.slice(parts, 1, 4), lambda v: F.trim(F.regexp_replace(v, '"', "")).cast("double"))
-    name = F.trim(F.regexp_replace(F.element_at(parts, 5), '"', ""))
-    short = F.regexp_replace(name, "^Iris-", "")
+    df = _csv(spark, path, header)
+    *feats, name = [F.col(f"`{c}`") for c in df.columns[:5]]
     mapping = {c.replace("Iris-", "").capitalize(): i for i, c in enumerate(IRIS_CLASSES)}
-    label = recode(F.initcap(short), mapping).cast("int")
-    return lines.select(F.col("idx").alias("row_id"), F.col("idx").alias("pos"), feats.alias("x"), label.alias("label"))
+    label = recode(F.initcap(F.regexp_replace(name, "^Iris-", "")), mapping)
+    return _by_input(df, F.array(*[f.cast("double") for f in feats]), label)
 
 
-def read_abalone(spark: SparkSession, path: str, with_sex: bool = True) -> DataFrame:
+def read_abalone(spark: SparkSession, path: str | list[str], with_sex: bool = True) -> DataFrame:
     """Raw abalone file -> points; label = rings - 1 with 28 -> 27."""
-    lines = _numbered_lines(spark, path, header=False)
-    parts = F.split("value", ",")
-    sex = recode(F.trim(F.element_at(parts, 1)), ABALONE_SEX_CODE).cast("double")
-    nums = [F.element_at(parts, i).cast("double") for i in range(2, 9)]
-    rings = F.element_at(parts, 9).cast("int")
-    label = recode(rings - 1, {28: 27})
+    df = _csv(spark, path, header=False).toDF(*ABALONE_COLUMNS)
+    sex = recode("sex", ABALONE_SEX_CODE).cast("double")
+    nums = [F.col(c).cast("double") for c in ABALONE_COLUMNS[1:-1]]
     x = F.array(sex, *nums) if with_sex else F.array(*nums)
-    return lines.select(F.col("idx").alias("row_id"), F.col("idx").alias("pos"), x.alias("x"), label.cast("int").alias("label"))
+    return _by_input(df, x, recode(F.col("rings").cast("int") - 1, {28: 27}))
 
 
 def target_partitions(df: DataFrame, min_bytes: int = 512 << 10, max_bytes: int = 128 << 20) -> int:
@@ -147,13 +143,30 @@ def target_partitions(df: DataFrame, min_bytes: int = 512 << 10, max_bytes: int
     return int(max(1, min(max(cores, by_max), by_min, 1 << 20)))
 
 
-def _number_partitions(df: DataFrame) -> DataFrame:
+#: Plan nodes over which two jobs see the same rows in the same partitions.
+_STABLE = {"Project", "Filter", "SubqueryAlias", "LogicalRelation", "LocalRelation", "LogicalRDD", "Range"}
+
+
+def _stable_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is a scan with deterministic narrow operators on it."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() not in _STABLE or not node.deterministic():
+            return False
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return True
+
+
+def _number_partitions(df: DataFrame, unique: str | None = None) -> DataFrame:
     """``pos`` = rows before this partition + index inside it.
 
     Needs a plan whose partitions and row order are the same on every
-    computation (a file scan with narrow operators, or reliable checkpoint
-    data): one job counts rows per partition (one row per partition reaches
-    the driver), a narrow ``mapInArrow`` numbers them.
+    computation (a stable scan, or reliable checkpoint data): one job counts
+    rows per partition (one row per partition reaches the driver), a narrow
+    ``mapInArrow`` numbers them.  ``unique`` names a column by which the rows
+    are range-partitioned and sorted: equal neighbours are an error.
     """
     counts = {
         r["pid"]: r["n"]
@@ -168,11 +181,20 @@ def _number_partitions(df: DataFrame) -> DataFrame:
     def number(batches):
         from pyspark import TaskContext
 
-        start = offsets.get(TaskContext.get().partitionId(), 0)
+        pid = TaskContext.get().partitionId()
+        start = first = offsets.get(pid, 0)
+        last = None
         for b in batches:
+            if unique is not None and b.num_rows:
+                ids = b.column(b.schema.get_field_index(unique))
+                if (last is not None and ids[0].equals(last)) or pc.any(pc.equal(ids[1:], ids[:-1])).as_py():
+                    raise ValueError(f"{unique} repeats: every point needs an id of its own")
+                last = ids[b.num_rows - 1]
             pos = pa.array(range(start, start + b.num_rows), type=pa.int64())
             start += b.num_rows
             yield pa.RecordBatch.from_arrays(list(b.columns) + [pos], names=list(b.schema.names) + ["pos"])
+        if start - first != counts.get(pid, 0):
+            raise RuntimeError("the input's partitions changed between counting and numbering")
 
     return df.mapInArrow(number, schema)
 
@@ -182,8 +204,10 @@ def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None =
 
     ``order_col`` (a name or a list of columns): range-partition and sort by
     it once, materialised on reliable storage so that counting and numbering
-    see the same partitions.  ``order_col=None``: input order (file order of
-    a scan) — no sort, no checkpoint; only when the scan has fewer splits
+    see the same partitions; a single column must not repeat.
+    ``order_col=None``: the order in which the scan deals its splits; only a
+    scan with narrow operators is numbered as it is (no sort, no checkpoint),
+    any other plan is materialised first.  Only when there are fewer splits
     than ``num_partitions`` (size-aware by default) are the rows spread by a
     range partition on ``pos``.  No single-partition window, no ``monotonically_increasing_id``.
     """
@@ -191,7 +215,7 @@ def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None =
         points = points.drop("pos")
     n_parts = num_partitions or target_partitions(points)
     if order_col is None:
-        numbered = _number_partitions(points)
+        numbered = _number_partitions(points if _stable_scan(points) else cut_lineage(points))
         # spread rows only when the scan has fewer splits than wanted (small
         # inputs); a large scan already has enough partitions: no shuffle
         if n_parts > 1 and points.rdd.getNumPartitions() < n_parts:
@@ -199,15 +223,16 @@ def with_pos(points: DataFrame, order_col="row_id", num_partitions: int | None =
         out = numbered
     else:
         order = [order_col] if isinstance(order_col, str) else list(order_col)
-        out = _number_partitions(cut_lineage(points.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)))
+        out = _number_partitions(cut_lineage(points.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)),
+                                 order[0] if len(order) == 1 else None)
     front = [c for c in ("row_id", "pos") if c in out.columns]
     return out.select(*front, *[c for c in out.columns if c not in front])
 
 
 def points_by_position(df: DataFrame, feature_cols: Sequence[str], label_col: str | None = None,
                        num_partitions: int | None = None) -> DataFrame:
-    """Points from a table without a key: ``row_id = pos``, numbered in input
-    (file) order without a shuffle."""
+    """Points from a table without a key: ``row_id = pos``, numbered in scan
+    order without a shuffle."""
     cols = [F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(feature_cols)]
     if label_col is not None:
         cols.append(F.col(label_col).alias("_label"))

@@ -75,3 +75,51 @@ def test_squared_silhouette_matches_spark_ml_and_brute_force(spark):
     )
     assert got == pytest.approx(ml, abs=1e-9)
     assert got == pytest.approx(brute_silhouette(X, lab, squared=True), abs=1e-9)
+
+
+def test_far_outlier_does_not_cancel(spark):
+    """Two tight clusters and one point at 1e8: SSE and silhouette by plain differences."""
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.normal(0, 0.01, 300), rng.normal(1, 0.01, 300), [1e8]])
+    lab = np.array([0] * 300 + [1] * 300 + [2])
+    df = points_1d(spark, list(x[::-1]), clusters=list(lab[::-1]), partitions=3)
+    want = sum(((x[lab == c] - x[lab == c].mean()) ** 2).sum() for c in range(3))
+    assert one(I.sse(df)) == pytest.approx(want, rel=1e-9)
+    s = []
+    for i in range(601):
+        d2 = (x - x[i]) ** 2
+        own = lab == lab[i]
+        if own.sum() == 1:
+            s.append(0.0)
+            continue
+        a = d2[own].sum() / (own.sum() - 1)
+        b = min(d2[lab == c].mean() for c in range(3) if c != lab[i])
+        s.append((b - a) / max(a, b))
+    assert one(I.silhouette_squared(df)) == pytest.approx(np.mean(s), rel=1e-9)
+    assert one(I.silhouette_exact(df)) > 0.9
+
+
+def test_exact_silhouette_is_the_same_for_any_blocks(spark):
+    rng = np.random.default_rng(1)
+    df = points_1d(spark, rng.normal(0, 1, (700, 3)).tolist(), clusters=rng.integers(0, 4, 700).tolist())
+    assert one(I.silhouette_exact(df, block_rows=256)) == pytest.approx(one(I.silhouette_exact(df, block_rows=100_000)), abs=1e-12)
+
+
+def test_coincident_centroids_and_sparse_ids(spark):
+    df = points_1d(spark, [-1, 1, -2, 2, 10, 12], clusters=[0, 0, 1, 1, 2, 2])
+    # centres 0, 0, 11; scatters 1, 1.5... the coincident pair gives no ratio
+    assert one(I.davies_bouldin(df)) == pytest.approx(((1 + 1) / 11 + (2 + 1) / 11 + (2 + 1) / 11) / 3)
+    sparse = df.withColumn("cluster", (df["cluster"] * 700_000_000 + 5).cast("int"))
+    for f in (I.sse, I.davies_bouldin, I.silhouette_squared, I.silhouette_exact):
+        assert one(f(sparse)) == pytest.approx(one(f(df)))
+
+
+def test_bad_vectors_and_ids_are_errors(spark):
+    bad = [[(0, [1.0]), (1, [1.0, 2.0, 3.0])], [(0, [1.0, float("nan")]), (1, [1.0, 2.0])], [(0, [1.0, None]), (1, [1.0, 2.0])]]
+    for rows in bad:
+        df = spark.createDataFrame([(i, x, i) for i, x in rows], "row_id bigint, x array<double>, cluster int").coalesce(1)
+        with pytest.raises(Exception, match="values"):
+            I.sse(df).collect()
+    twice = spark.createDataFrame([(0, [1.0], 0), (0, [2.0], 1), (1, [3.0], 1)], "row_id bigint, x array<double>, cluster int")
+    with pytest.raises(ValueError, match="unique"):
+        I.silhouette_exact(twice)

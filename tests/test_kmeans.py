@@ -114,3 +114,21 @@ def test_centres_above_the_bound_use_blocks(spark, monkeypatch):
     assert np.allclose(whole.centers, blocks.centers) and np.allclose(whole.sse_history, blocks.sse_history)
     assert a == b
     assert blocks.sse(pts) == pytest.approx(whole.sse(pts))
+
+
+def test_own_center_join_above_the_bound(spark, monkeypatch):
+    """The salted shuffle join gives what the broadcast gives."""
+    from evoclust.operators import kernels
+
+    df = points_1d(spark, [0, 1, 2, 10, 11], clusters=[0, 0, 0, 0, 1])
+    cen = spark.createDataFrame([(0, [1.0]), (1, [10.0])], "c int, cx array<double>")
+    want = sorted((r["row_id"], r["d2"]) for r in own_center_distance(df, cen).collect())
+    monkeypatch.setattr(kernels, "MAX_CLOSURE_BYTES", 1)
+    assert sorted((r["row_id"], r["d2"]) for r in own_center_distance(df, cen).collect()) == want
+
+
+def test_merge_is_independent_of_partitions(spark):
+    rng = np.random.default_rng(5)
+    x = (rng.normal(0, 1, (500, 2)) + 1e6).tolist()
+    runs = [KMeansLloyd(k=4, n_iter=3, seed=1).fit(points_1d(spark, x, partitions=p)) for p in (1, 7)]
+    assert np.allclose(runs[0].centers, runs[1].centers, rtol=1e-12) and np.allclose(runs[0].sse_history, runs[1].sse_history, rtol=1e-9)

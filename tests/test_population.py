@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, points_1d
 from evoclust.operators.genetic import (
     GeneticKMeans,
     crossover_ranks,
@@ -160,3 +160,55 @@ def test_fit_with_exact_fitness(spark):
     assert all(b >= a - 1e-12 for a, b in zip(h, h[1:]))
     lab = m.labels().join(pts.select("row_id", "x"), "row_id")
     assert silhouette_exact(lab).collect()[0][0] == pytest.approx(m.fitness, abs=1e-9)
+
+
+def test_mutation_keeps_fitness_true(spark):
+    """At rate 0.9 every slot's fitness is the silhouette of the labels it holds."""
+    from evoclust.operators.genetic import GeneticKMeans
+    from evoclust.operators.internal import silhouette_squared
+
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.normal(c, 0.2, (30, 2)) for c in (0, 4, 8)])
+    pts = points_1d(spark, x.tolist())
+    for gens in (1, 3):
+        model = GeneticKMeans(population=4, k=3, generations=gens, mutation_rate=0.9, seed=1).fit(pts)
+        for p in range(4):
+            held = model.population.df.select("row_id", "x", F.col("sol")[p].alias("cluster"))
+            if held.select("cluster").distinct().count() > 1:
+                assert model.population.fitness[p] == pytest.approx(silhouette_squared(held).first()[0], abs=1e-9)
+
+
+def test_fit_above_the_broadcast_bound(spark, monkeypatch):
+    """With the bound lowered the fused fit takes the chunked passes and ends in the same place."""
+    from evoclust.operators import kernels
+    from evoclust.operators.genetic import GeneticKMeans
+
+    rng = np.random.default_rng(2)
+    pts = points_1d(spark, rng.normal(0, 1, (60, 3)).tolist())
+    make = lambda: GeneticKMeans(population=4, k=3, generations=2, seed=3, fuse=True).fit(pts)
+    want = make()
+    monkeypatch.setattr(kernels, "MAX_CLOSURE_BYTES", 2 * 3 * 3 * 8)
+    got = make()
+    assert np.allclose(got.population.fitness, want.population.fitness) and np.allclose(got.centers, want.centers)
+
+
+def test_seeding_keeps_the_scans_partitions(spark):
+    """1,000 partitions: an exchange between the levels, the scan in as many tasks, the same centres."""
+    from evoclust.operators.sampling import sample_centers
+
+    pts = spark.range(0, 3000, 1, 1000).select(F.col("id").alias("row_id"), F.array(F.col("id").cast("double")).alias("x"))
+    many = sample_centers(pts, 5, seed=3, chrom=[0, 1])
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and plan.count("MapInArrow") == 2 and "REPARTITION_BY_NUM" in plan
+    few = sample_centers(pts.coalesce(3), 5, seed=3, chrom=[0, 1])
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+
+
+def test_rotated_children_take_one_join(spark):
+    from evoclust.operators.population import rotated_genes
+
+    df = spark.createDataFrame([(i, i, [i, 10 + i]) for i in range(6)], "row_id bigint, pos bigint, sol array<int>")
+    got = rotated_genes(df, [1, 2, 4, 5], 6)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    for r in got.collect():
+        assert [g[0] for g in r["_rot"]] == [(r["pos"] + c) % 6 for c in (1, 2, 4, 5)]
