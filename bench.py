@@ -4,7 +4,9 @@ Configurations mirror the reference's stored runs, on the given tables:
 k-means with k=28 and 10 iterations (the abalone setting) on lineitem's 4
 numeric columns; genetic k-means with its defaults (population 10, 10
 generations, survival 0.8, crossover 0.8) on the 64-d embeddings; the full
-quality report; the exact O(n^2) silhouette.
+quality report; the exact O(n^2) silhouette; the two shapes of the reference's
+own data (150 x 4 with k=3, 4,177 x 8 with k=28); PCA, numbering by key and the
+rotated child.
 
 Before timing, one untimed 1-iteration k-means on the smallest embeddings
 table starts the JVM code paths and Python workers; it is not in the total.
@@ -20,13 +22,17 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from evoclust.operators.genetic import GeneticKMeans  # noqa: E402
 from evoclust.operators.internal import silhouette_exact  # noqa: E402
 from evoclust.operators.kmeans import KMeansLloyd  # noqa: E402
+from evoclust.operators.population import init_population, rotated_child  # noqa: E402
+from evoclust.operators.projection import project  # noqa: E402
 from evoclust.operators.report import evaluate  # noqa: E402
 from evoclust.plans.catalog import embedding_points  # noqa: E402
 from evoclust.session import local_session  # noqa: E402
-from evoclust.sources.points import points_by_position, recode  # noqa: E402
+from evoclust.sources.points import points_by_position, recode, with_pos  # noqa: E402
 
 
 def main() -> None:
@@ -73,6 +79,27 @@ def main() -> None:
     timed("gka_lineitem_p10_k28_g3", lambda: GeneticKMeans(population=10, k=28, generations=3, seed=0,
                                                           track_ari=False).fit(pts))
 
+    # the reference's own shapes, cut from the embeddings: 150 x 4 (k=3) and 4,177 x 8 (k=28)
+    def shape(n, d):
+        wide = emb.select("x", "label").union(emb.select(F.transform("x", lambda v: v * 1.01).alias("x"), "label")).union(
+            emb.select(F.transform("x", lambda v: v * 0.99).alias("x"), "label")).limit(n)
+        rows = [(i, i, r["x"][:d], r["label"]) for i, r in enumerate(wide.collect())]
+        out = spark.createDataFrame(rows, "row_id bigint, pos bigint, x array<double>, label int").coalesce(1).persist()
+        out.count()
+        return out
+
+    for n, d, k in ((150, 4, 3), (4177, 8, 28)):
+        small = shape(n, d)
+        timed(f"kmeans_{n}x{d}_k{k}_10it", lambda: KMeansLloyd(k=k, n_iter=10, seed=0).fit(small))
+        timed(f"gka_{n}x{d}_p10_k{k}_g10", lambda: GeneticKMeans(population=10, k=k, generations=10, seed=0).fit(small))
+        if n == 150:
+            timed("gka_exact_150x4_p10_k3_g3",
+                  lambda: GeneticKMeans(population=10, k=k, generations=3, seed=0, fitness="exact").fit(small))
+    timed("pca_embeddings", lambda: project(emb).count())
+    timed("with_pos_by_key_embeddings", lambda: with_pos(emb.drop("pos")).count())
+    pop = init_population(emb, 4, 10, 0)
+    timed("rotated_child_embeddings", lambda: rotated_child(pop.df, 0, 1, pop.n // 3, pop.n).select("child").count())
+
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),

@@ -350,6 +350,13 @@ def g11_fit_always(spark, sf_dir):
     return _history(spark, sf_dir, 2, kmo="always")
 
 
+def g6_crossover_ring(spark, sf_dir):
+    pop = _population(spark, sf_dir)
+    pop = pop.take(select_survivors(pop.fitness, 0.8, SEED, 1))
+    crossed = GeneticKMeans(population=P, k=K, seed=SEED, pairing="ring").crossover_population(pop, 1)
+    return _per_chrom(spark, crossed.fitness, "fitness")
+
+
 def g15_population_log(spark, sf_dir):
     model = GeneticKMeans(population=P, k=K, generations=1, seed=SEED).fit(embedding_points(spark, sf_dir, pos=True))
     return model.population_log().select(_b("gen").alias("gen"), "stage", _b("chrom").alias("chrom"), _r("fitness").alias("fitness"))
@@ -433,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "g11_fit_one_generation": g11_fit_one_generation,
     "g11_fit_mutation": g11_fit_mutation,
     "g11_fit_always": g11_fit_always,
+    "g6_crossover_ring": g6_crossover_ring,
     "g15_population_log": g15_population_log,
     "g3_fitness_exact": g3_fitness_exact,
     "e8_report_exact": e8_report_exact,

@@ -187,21 +187,11 @@ _GENERATION = ("rk src sel slotlab slotcen ranks duo cut kid ksil ksil_pair ksil
                "cand_d cand csil csil_pair csil_per csil_pt csil_pv acc fin fincen finfit best bl fsse fsse_m ct pc").split()
 
 
-def _one_generation(gen: int = 1, kmo: str = "better", mutation: float = 0.0) -> str:
-    """G11, one generation: selection, one disjoint pair crossed at the first cut,
-    family competition, with a rate the mutation, k-means step (guarded or not).
-    The first starts from ``pop``, ``pcen`` and ``silo``, a later one from the one before."""
-    P1 = P - 1
-    fit0, pop0, cen0 = ("silo", "pop", "pcen") if gen == 1 else (f"{t}_{gen - 1}" for t in ("finfit", "fin", "fincen"))
-    take = "c.fitness > h.fitness" if kmo == "better" else "TRUE"
-    text = f"""{_select_slots(fit0, gen)},
-slotlab AS (SELECT s.slot, p.row_id, p.c FROM sel s JOIN {pop0} p ON p.chrom = s.chrom),
-slotcen AS (SELECT s.slot, c.c, c.j, c.v FROM sel s JOIN {cen0} c ON c.chrom = s.chrom),
-ranks AS (SELECT r, row_number() OVER (ORDER BY u, r) - 1 AS ord FROM (
-  SELECT r, (('0x' || substr(md5('{SEED}|rank|{gen}|' || CAST(r AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0) AS u
-  FROM range(0, {P1}) t(r))),
-duo AS (SELECT (SELECT r FROM ranks WHERE ord = 0) AS a, (SELECT r FROM ranks WHERE ord = 1) AS b),
-cut AS (SELECT {_cut(0, gen)} AS cut),
+def _cross_step(first: int, second: int, cut: int, gen: int) -> str:
+    """G7 of the pair drawn at these places: children, family competition, the slots after it
+    (``crossed``, ``crossedfit``, ``crossedcen``) from ``slotlab``, ``slotcen`` and ``sel``."""
+    return f"""duo AS (SELECT (SELECT r FROM ranks WHERE ord = {first}) AS a, (SELECT r FROM ranks WHERE ord = {second}) AS b),
+cut AS (SELECT {_cut(cut, gen)} AS cut),
 kid AS (
   SELECT 100 AS chrom, la.row_id, CASE WHEN n.pos < (SELECT cut FROM cut) THEN la.c ELSE lb.c END AS c
   FROM slotlab la JOIN slotlab lb ON lb.row_id = la.row_id JOIN posn n ON n.row_id = la.row_id
@@ -231,7 +221,23 @@ kidmeans AS (
   SELECT kk.chrom, sc.c, sc.j, sc.v FROM (SELECT DISTINCT chrom FROM kid) kk, slotcen sc
   WHERE sc.slot = (SELECT a FROM duo) AND NOT EXISTS (SELECT 1 FROM kid k2 WHERE k2.chrom = kk.chrom AND k2.c = sc.c)),
 crossedcen AS (SELECT h.slot AS chrom, c.c, c.j, c.v FROM holdsrc h JOIN
-       (SELECT slot AS src, c, j, v FROM slotcen UNION ALL SELECT src, c, j, v FROM kidmeans) c ON c.src = h.src),
+       (SELECT slot AS src, c, j, v FROM slotcen UNION ALL SELECT src, c, j, v FROM kidmeans) c ON c.src = h.src)"""
+
+
+def _one_generation(gen: int = 1, kmo: str = "better", mutation: float = 0.0) -> str:
+    """G11, one generation: selection, one disjoint pair crossed at the first cut,
+    family competition, with a rate the mutation, k-means step (guarded or not).
+    The first starts from ``pop``, ``pcen`` and ``silo``, a later one from the one before."""
+    P1 = P - 1
+    fit0, pop0, cen0 = ("silo", "pop", "pcen") if gen == 1 else (f"{t}_{gen - 1}" for t in ("finfit", "fin", "fincen"))
+    take = "c.fitness > h.fitness" if kmo == "better" else "TRUE"
+    text = f"""{_select_slots(fit0, gen)},
+slotlab AS (SELECT s.slot, p.row_id, p.c FROM sel s JOIN {pop0} p ON p.chrom = s.chrom),
+slotcen AS (SELECT s.slot, c.c, c.j, c.v FROM sel s JOIN {cen0} c ON c.chrom = s.chrom),
+ranks AS (SELECT r, row_number() OVER (ORDER BY u, r) - 1 AS ord FROM (
+  SELECT r, (('0x' || substr(md5('{SEED}|rank|{gen}|' || CAST(r AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0) AS u
+  FROM range(0, {P1}) t(r))),
+{_cross_step(0, 1, 0, gen)},
 {_mutation(gen, mutation) if mutation else "held AS (SELECT * FROM crossed), hf AS (SELECT * FROM crossedfit), hc AS (SELECT * FROM crossedcen)"},
 cand_d AS (SELECT m.chrom, p.row_id, m.c, sum((p.v - m.v) * (p.v - m.v)) AS d2 FROM lp p JOIN hc m ON m.j = p.j
            GROUP BY m.chrom, p.row_id, m.c),
@@ -251,8 +257,7 @@ best AS (SELECT chrom, fit FROM acc ORDER BY fit DESC, chrom LIMIT 1),
 bl AS (SELECT row_id, c FROM fin WHERE chrom = (SELECT chrom FROM best)),
 {_sse_to_means("fin", "fsse")},
 {_pair_counts("bl")}"""
-    # not inside the keys of draws, where words stand between bars
-    return re.sub(r"(?<![|\w])(" + "|".join(_GENERATION) + r")(?![|\w])", rf"\1_{gen}", text)
+    return _suffixed(text, gen)
 
 
 def _mutation(gen: int, rate: float) -> str:
@@ -272,6 +277,28 @@ hc AS (SELECT h.chrom, h.c, p.j, avg(p.v) AS v FROM held h JOIN lp p USING (row_
        UNION ALL SELECT chrom, c, j, v FROM crossedcen x WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.chrom = x.chrom AND h.c = x.c))"""
 
 
+def _suffixed(text: str, suffix) -> str:
+    # not inside the keys of draws, where words stand between bars
+    return re.sub(r"(?<![|\w])(" + "|".join(_GENERATION) + r")(?![|\w])", rf"\1_{suffix}", text)
+
+
+def _ring() -> str:
+    """G6 parity: selection, then neighbours on the ring of drawn ranks crossed one pair after the other."""
+    m = int(0.8 * P)
+    parts = [_one_generation(1).split("duo_1 AS (")[0].rstrip().rstrip(",")]
+    for i in range(m):
+        if i:
+            before = f"1s{i - 1}"
+            parts.append(f"slotlab_1s{i} AS (SELECT chrom AS slot, row_id, c FROM crossed_{before}), "
+                         f"slotcen_1s{i} AS (SELECT chrom AS slot, c, j, v FROM crossedcen_{before}), "
+                         f"sel_1s{i} AS (SELECT chrom AS slot, fitness FROM crossedfit_{before})")
+        else:
+            parts.append("slotlab_1s0 AS (SELECT * FROM slotlab_1), slotcen_1s0 AS (SELECT * FROM slotcen_1), sel_1s0 AS (SELECT slot, fitness FROM sel_1)")
+        parts.append(_suffixed(_cross_step(i, (i + 1) % m, i, 1), f"1s{i}").replace(f"ranks_1s{i}", "ranks_1"))
+    return _with(PTS, _population(), _silhouette("pop", True, "silo"), *parts) + (
+        f"SELECT chrom::BIGINT AS chrom, round(fitness, 6) AS fitness FROM crossedfit_1s{m - 1}")
+
+
 def _generations(n: int, **options) -> str:
     """Statement of a fit's history over ``n`` generations."""
     first = _with(PTS, _population(), _silhouette("pop", True, "silo"), *[_one_generation(g, **options) for g in range(1, n + 1)])
@@ -440,6 +467,7 @@ held AS (SELECT p.chrom, p.row_id, CASE WHEN {take} THEN c2.c ELSE p.c END AS c
     q["g11_fit_mutation"] = _generations(2, mutation=MUT_RATE)
     q["g11_fit_always"] = _generations(2, kmo="always")
     log = _with(PTS, pop, _silhouette("pop", True, "silo"), _one_generation(1))
+    q["g6_crossover_ring"] = _ring()
     q["g15_population_log"] = log + " UNION ALL ".join(
         f"SELECT {g}::BIGINT AS gen, '{stage}' AS stage, {col}::BIGINT AS chrom, round({fit}, 6) AS fitness FROM {t}"
         for g, stage, col, fit, t in ((0, "init", "chrom", "fitness", "silo"), (1, "selection", "slot", "fitness", "sel_1"),
