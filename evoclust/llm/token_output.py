@@ -55,13 +55,19 @@ from .common import shuffle_partitions, table
 MAGIC, END_ID, LEVEL = b"TKZ1", 1, 3
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 65_536
 SEGMENT_DOCS, SEGMENT_IDS = 1024, 4_000_000
-CACHE = 300_000
+CACHE = 500_000
 SEGMENTS = ("part int, segment int, first_id long, last_id long, n_docs int, n_tokens long, payload binary")
 _HEAD = struct.Struct("<4sIII32s")
 
 
-class Encoder:
-    """Text bytes -> serialized ids, with the pieces seen so far kept."""
+class Encoder(dict):
+    """Text bytes -> serialized ids; as a dict it keeps the ids of up to ``CACHE`` pieces.
+
+    A new piece goes through the tokenizer's own steps: normalizer,
+    pre-tokenizer, model.  The first two leave lower-case ASCII letters as they
+    are, and the pre-tokenizer parts a full stop or comma from the letter or
+    digit before it.  Pieces that may hold an added token are encoded whole.
+    """
 
     def __init__(self, tokenizer_json: str, end_id: int = END_ID) -> None:
         from tokenizers import Tokenizer
@@ -70,21 +76,29 @@ class Encoder:
         size = max([end_id, *self.tokenizer.get_vocab(with_added_tokens=True).values()]) + 1
         self.dtype = np.dtype("<u2" if size <= 65_536 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.pieces: dict[bytes, bytes] = {}
+        self.model, self.normal, self.split = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+
+    def _ids(self, piece: bytes) -> list[int]:
+        if b"<|" in piece:
+            return self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
+        if piece.isalpha() and piece.islower():  # of bytes: ASCII letters
+            return [t.id for t in self.model.tokenize(piece.decode())]
+        text = self.normal.normalize_str(piece.decode("utf-8", "replace"))
+        return [t.id for part, _ in self.split.pre_tokenize_str(text) for t in self.model.tokenize(part)]
+
+    def __missing__(self, piece: bytes) -> bytes:
+        if piece[-1:] in (b".", b",") and piece[-2:-1].isalnum() and b"<|" not in piece:
+            out = self[piece[:-1]] + self[piece[-1:]]
+        else:
+            out = np.array(self._ids(piece), self.dtype).tobytes()
+        if len(self) < CACHE:
+            self[piece] = out
+        return out
 
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]  # bytes: ASCII blanks alone
-        new = {p for words in split for p in words if p not in self.pieces}
-        if len(self.pieces) + len(new) > CACHE:
-            self.pieces.clear()
-            new = {p for words in split for p in words}
-        order = list(new)
-        for at in range(0, len(order), 4096):
-            some = order[at:at + 4096]
-            found = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
-            self.pieces.update((p, np.array(e.ids, self.dtype).tobytes()) for p, e in zip(some, found))
-        get = self.pieces.__getitem__
-        return [b"".join(map(get, words)) + self.end for words in split]
+        get = self.__getitem__
+        # Of bytes, lower() and split() know ASCII alone.  Added tokens are matched before lower-casing.
+        return [b"".join(map(get, (t if b"<|" in t else t.lower()).split())) + self.end for t in (x or b"" for x in texts)]
 
 
 _ENCODERS: dict[tuple[int, int], Encoder] = {}
