@@ -1,11 +1,12 @@
 """Language ID by a bidirectional gated recurrent network over bytes.
 
-Method: a text's bytes are read as the pieces between ASCII blanks (pieces of
-more than ``PIECE`` bytes are cut), each a sequence of its own.  A gated
-recurrent unit runs over the bytes from either end, and a softmax over both
-states labels every byte with a probability per language.  The document pools
-all its bytes: the mean log-probability of each language, normalised to sum
-to one.  Whole texts count; nothing is cut off.
+Method: a text's bytes are read as its words, A-Z lower-cased; ASCII bytes that
+are no letters part them (words of more than ``PIECE`` bytes are cut), and each
+is a sequence of its own.  A gated recurrent unit runs over the bytes from
+either end, and a softmax over both states labels every byte with a
+probability per language.  The document pools all of them: the mean
+log-probability of each language, normalised to sum to one.  Whole texts
+count; nothing is cut off.
 
 The network is trained here, in numpy, by backpropagation through time with
 Adam, on at most ``SAMPLE`` labelled documents of at most ``SAMPLE_BYTES``
@@ -15,8 +16,8 @@ alone, of documents whose crc32(doc_id as text) mod 5 is not 0; the prediction
 sees the text alone.
 
 Distribution: the weights (some 10,000 numbers) are broadcast; prediction is
-one narrow pass.  As pieces are sequences of their own, a worker reads each
-distinct one once and keeps its sums, up to ``CACHE`` pieces.
+one narrow pass.  As words are sequences of their own, a worker runs the network
+on each distinct one once and keeps its sums, up to ``CACHE`` words.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as
 is every text when nothing was learned; a null doc_id counts as the empty text
@@ -42,11 +43,12 @@ from .common import table
 HIDDEN, PIECE = 16, 32
 STEPS, BATCH, RATE, SEED = 300, 512, 0.01, 0
 BUCKETS, SAMPLE, SAMPLE_BYTES = 256, 8192, 65_536
-CACHE = 300_000
+CACHE, GROUP_BYTES = 400_000, 4 << 20
 UNKNOWN = "und"
-#: Documents whose pooled probability is below this are in no language that was learned.
-MIN_SCORE = 0.3
+#: Documents whose pooled probability is below this are rejected too; 0: only those that are ``und``.
+MIN_SCORE = 0.0
 _LETTER = re.compile(rb"[A-Za-z]")
+_FOLD = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256)).lower()
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -170,7 +172,7 @@ class Network:
 
 
 def pieces_of(text: bytes) -> list[bytes]:
-    words = text.split()  # bytes: ASCII blanks alone
+    words = text.translate(_FOLD).split()
     if max(map(len, words), default=0) <= PIECE:
         return words
     return [w[i:i + PIECE] for w in words for i in range(0, len(w), PIECE)]
@@ -215,36 +217,50 @@ def train(docs: DataFrame, **columns) -> Network | None:
 
 
 class Reader:
-    """Pools documents, keeping the sums of the pieces it has read."""
+    """Pools documents, keeping the sums of the words it has read."""
 
     def __init__(self, net: Network) -> None:
         self.net, self.rows = net, {}
-        self.sums = np.zeros((CACHE, len(net.classes) + 1))
-
-    def _learn(self, new: list[bytes]) -> None:
-        new.sort(key=len)
-        for at in range(0, len(new), 2048):
-            some = new[at:at + 2048]
-            start = len(self.rows)
-            self.sums[start:start + len(some)] = self.net.sums(some)
-            self.rows.update((p, start + i) for i, p in enumerate(some))
-
-    def pool(self, text: bytes) -> tuple[str, float]:
-        total = np.zeros(self.sums.shape[1])
-        every = pieces_of(text)
-        for at in range(0, len(every), CACHE // 2):
-            part = every[at:at + CACHE // 2]
-            new = [p for p in set(part) if p not in self.rows]
-            if len(self.rows) + len(new) > CACHE:
-                self.rows.clear()
-                new = list(set(part))
-            if new:
-                self._learn(new)
-            total += self.sums[np.fromiter(map(self.rows.__getitem__, part), np.int64, len(part))].sum(0)
-        mean = total[:-1] / total[-1]
-        p = np.exp(mean - mean.max())
-        best = int(p.argmax())
-        return self.net.classes[best], float(p[best] / p.sum())
+        self.sums = np.zeros((4096, len(net.classes) + 1), np.float32)
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, int]:
+        """Rows of ``sums`` for new words; those beyond ``CACHE`` hold for this group only."""
+        words.sort(key=len)
+        first = len(self.rows)
+        while len(self.sums) < first + len(words):
+            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+        for at in range(0, len(words), 2048):
+            some = words[at:at + 2048]
+            self.sums[first + at:first + at + len(some)] = self.net.sums(some)
+        room = max(0, CACHE - first)
+        self.rows.update((w, first + i) for i, w in enumerate(words[:room]))
+        return {w: first + room + i for i, w in enumerate(words[room:])}
+
+    def pool(self, texts: list[bytes]) -> list[tuple[str, float]]:
+        """(language, probability) of each text; every text has a letter."""
+        out: list[tuple[str, float]] = []
+        group: list[list[bytes]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            group.append(pieces_of(text))
+            size += len(text)
+            if size >= GROUP_BYTES or i == len(texts) - 1:
+                out += self._pool(group)
+                group, size = [], 0
+        return out
+
+    def _pool(self, group: list[list[bytes]]) -> list[tuple[str, float]]:
+        rows = self.rows
+        extra = self._learn([w for w in {w for words in group for w in words} if w not in rows])
+        at = {**rows, **extra}.__getitem__ if extra else rows.__getitem__
+        out = []
+        for words in group:
+            total = self.sums[np.fromiter(map(at, words), np.int64, len(words))].sum(0, dtype=np.float64)
+            mean = total[:-1] / total[-1]
+            p = np.exp(mean - mean.max())
+            best = int(p.argmax())
+            out.append((self.net.classes[best], float(p[best] / p.sum())))
+        return out
 
 
 def has_letter(text: bytes) -> bool:
@@ -263,10 +279,11 @@ def _predict(batches: Iterator[pa.RecordBatch], net, text: str) -> Iterator[pa.R
             _READERS[key] = Reader(net)
         reader = _READERS[key]
     for batch in batches:
-        found = []
-        for t in batch.column(text):
-            raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-            found.append(reader.pool(raw) if net is not None and has_letter(raw) else (UNKNOWN, 0.0))
+        found = [(UNKNOWN, 0.0)] * batch.num_rows
+        raw = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(text)]
+        ours = [i for i, t in enumerate(raw) if net is not None and has_letter(t)]
+        for i, answer in zip(ours, reader.pool([raw[i] for i in ours]) if ours else ()):
+            found[i] = answer
         keep = [i for i, n in enumerate(batch.schema.names) if n != text]
         yield pa.RecordBatch.from_arrays(
             [batch.column(i) for i in keep] + [pa.array([f[0] for f in found], pa.string()),
