@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,7 +12,7 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[*]")
         .appName("evoclust-tests")
@@ -21,11 +20,10 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="evoclust-test-ckpt-"))
     yield s
     s.stop()
 
