@@ -13,9 +13,10 @@ extra input columns are carried through by :func:`drop_common_lines`.
 
 Plan: the text itself is shuffled once, in the last join.  What else moves
 are rows of (document key, line positions, 128-bit line hash).  The count is
-pre-aggregated per task; the join of lines with the common hashes is a
-sort-merge or broadcast join chosen by Spark at run time, and a hash that a
-third of all documents hold is split by AQE's skew join.
+pre-aggregated per task; the join of lines with the common hashes is salted
+(each common hash goes to ``SALTS`` places, each line to one), so a line that a
+third of all documents hold is spread, and sort-merge or broadcast is Spark's
+choice at run time.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import BLANKS, ascii_lower, text_of
 
 KEY, LINES, DROPPED = "__line_key", "__lines", "__dropped"
+SALTS = 16
 
 
 def line_key(line: Column) -> Column:
@@ -61,11 +63,13 @@ def common_lines(docs: DataFrame, min_docs: int, id_col: str = "doc_id", text_co
 def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` reassembled from the lines that stay, plus ``n_lines``, ``n_dropped``."""
-    common = common_lines(docs, min_docs, id_col, text_col, min_chars).select("h")
+    common = common_lines(docs, min_docs, id_col, text_col, min_chars).select(
+        "h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     # Equal rows would each list their positions: the set keeps one of each.
     hits = (
         line_rows(docs, id_col, text_col, min_chars)
-        .join(common, "h")
+        .withColumn("salt", F.pmod(F.xxhash64("id", "tk", "pos"), F.lit(SALTS)).cast("int"))
+        .join(common, ["h", "salt"])
         .groupBy("id", "tk")
         .agg(F.collect_set("pos").alias(DROPPED))
     )
