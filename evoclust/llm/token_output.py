@@ -58,6 +58,10 @@ SEGMENT_DOCS, SEGMENT_IDS = 1024, 4_000_000
 CACHE = 500_000
 SEGMENTS = ("part int, segment int, first_id long, last_id long, n_docs int, n_tokens long, payload binary")
 _HEAD = struct.Struct("<4sIII32s")
+#: Byte-level tokenizers write a byte as a character: the printable ones of
+#: Latin-1 stand for themselves, the others take 256, 257, ... in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARACTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class Encoder(dict):
@@ -65,7 +69,7 @@ class Encoder(dict):
 
     A new piece goes through the tokenizer's own steps: normalizer,
     pre-tokenizer, model.  The first two leave lower-case ASCII letters as they
-    are, and the pre-tokenizer parts a full stop or comma from the letter or
+    are and write other letters of Latin-1 byte by byte; the pre-tokenizer parts a full stop or comma from the letter or
     digit before it.  Pieces that may hold an added token are encoded whole.
     """
 
@@ -77,13 +81,21 @@ class Encoder(dict):
         self.dtype = np.dtype("<u2" if size <= 65_536 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         self.model, self.normal, self.split = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        # The short way for Latin-1 holds where the tokenizer itself takes it.
+        self.byte_level = all(
+            [p for p, _ in self.split.pre_tokenize_str(self.normal.normalize_str(w))] == [
+                w.lower().encode().decode("latin-1").translate(_BYTE_CHARACTERS)]
+            for w in ("abc", "\xc0\xe9\xdf\xff", "\xaa\xb5\xba", "\xc3\xed\xe0x"))
 
     def _ids(self, piece: bytes) -> list[int]:
         if b"<|" in piece:
             return self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
         if piece.isalpha() and piece.islower():  # of bytes: ASCII letters
             return [t.id for t in self.model.tokenize(piece.decode())]
-        text = self.normal.normalize_str(piece.decode("utf-8", "replace"))
+        text = piece.decode("utf-8", "replace")
+        if self.byte_level and text.isalpha() and max(text) <= "\xff":  # letters of Latin-1: one word, composed already
+            return [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(_BYTE_CHARACTERS))]
+        text = self.normal.normalize_str(text)
         return [t.id for part, _ in self.split.pre_tokenize_str(text) for t in self.model.tokenize(part)]
 
     def __missing__(self, piece: bytes) -> bytes:
