@@ -31,7 +31,7 @@ from .common import table
 
 #: Shards of a tree that is laid out as regions of racks; later shards are regions of their own.
 BASE, RACKS, PER_RACK = 24, 4, 2
-CELLS = 4096
+CELLS = 1024
 DIGITS = 13  # hex digits of a draw: 52 bits, exact in a double
 
 
