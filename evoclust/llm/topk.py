@@ -86,7 +86,8 @@ class _Part:
         """(ids, scores) of the k best for one query, ties included up to k by the smaller id."""
         dims = max(len(q), len(self.v))
         if dims != len(self.v):
-            self.__init__(self.ids, _tall(self.v, dims), self.step)
+            self.v = _tall(self.v, dims)
+            self.tails = self._tails(self.v)
         q = np.r_[q, np.zeros(dims - len(q), np.int64)]
         alive = np.flatnonzero(self.ids != query)
         score = np.zeros(len(alive), np.int64)
@@ -116,7 +117,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, step: int) -> Iterator[pa
     names = ("part", "kind", "id", "v")
     ids: list[np.ndarray] = []
     vectors: list[np.ndarray] = []
-    now, part = None, None
+    now, part = None, None  # the part that is passing by; its candidates, once its queries come
     for arrow in batches:
         parts, kinds, every, column = (arrow.column(arrow.schema.get_field_index(n)) for n in names)
         parts, kinds, every = (c.to_numpy(zero_copy_only=False) for c in (parts, kinds, every))
