@@ -76,6 +76,27 @@ def test_family_equals_brute_force_for_any_batches(seed):
     assert [len(removed[i]) for i in range(len(data))] == [b[2] for b in brute_removed(data)]
 
 
+def test_texts_of_one_id_that_share_a_tag_keep_what_is_theirs(spark, monkeypatch):
+    """The first null-id text repeats a document; the second has the same tag, but no repeated byte."""
+    rng = random.Random(3)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    first, clean = say(300), say(300)
+    monkeypatch.setattr(suffix_dedup, "_tag", lambda text: 7)
+    slots = [0]
+    batch = suffix_dedup.pa.RecordBatch.from_pydict({"doc_id": [1, None, None], "raw": [first.encode(), first.encode(), clean.encode()]})
+    blocks = [r for b in (*suffix_dedup._cut_task(iter([batch]), slots), *suffix_dedup._text_task(iter([batch]), slots)) for r in b.to_pylist()]
+    gone = [r for r in blocks if r["kind"] == suffix_dedup.REMOVALS]
+    texts = [r for r in blocks if r["kind"] == suffix_dedup.TEXTS]
+    rows = [suffix_dedup._rows([0], [r["kind"]], [r["payload"]]) for r in gone + texts]
+    out = [r for b in suffix_dedup._remove_task(iter(rows), True) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["n_removed"]) for r in out] == [(1, 0), (None, 300), (None, 0)]
+
+
+def test_texts_of_one_id_are_dealt_to_many_slots():
+    doc, tag = np.full(1000, suffix_dedup.NULL_ID), np.random.default_rng(0).integers(0, 2 ** 32, 1000).astype(np.uint32)
+    assert max(len(i) for _, i in suffix_dedup._doc_deal(doc, tag, list(range(50)))) < 60
+
+
 def test_entries_survive_packing_and_pieces():
     text = np.random.default_rng(0).integers(97, 101, 4000).astype(np.uint8).tobytes()
     e = suffix_dedup.cut([(5, 1, 0, text), (2, 9, 0, b"short"), (-3, 7, 100, text[:77])])[0]
