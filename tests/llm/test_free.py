@@ -97,6 +97,61 @@ def test_texts_of_one_id_are_dealt_to_many_slots():
     assert max(len(i) for _, i in suffix_dedup._doc_deal(doc, tag, list(range(50)))) < 60
 
 
+def hot_texts():
+    """Each document holds one 16-byte string in its own surroundings; some also a passage, with and without an id."""
+    rng = random.Random(4)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared, passage = "=" * 3 + "the same string" + "=" * 3, say(120)
+    return [(None if i % 9 == 5 else i // 2 * 2, say(60) + shared + say(60) + (passage if i % 3 == 0 else "") + say(20), "en", "s", "", 0, "", "")
+            for i in range(300)]
+
+
+def test_hot_anchors_change_no_result(spark, monkeypatch):
+    docs = frame(spark, hot_texts(), 5)
+    by = lambda df: sorted((tuple(r) for r in df.collect()), key=key)
+    plain = by(suffix_dedup.remove_repeats(docs, parts=4))
+    monkeypatch.setattr(suffix_dedup, "SHARE", 1)
+    for hot in (100, 2):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        assert by(suffix_dedup.remove_repeats(docs, parts=4)) == plain
+
+
+@pytest.mark.parametrize("at_once", [50, 1_000_000])
+def test_windows_of_hot_anchors_in_small_shares(spark, monkeypatch, at_once):
+    """What is removed, window by window, with and without hot anchors; several tasks."""
+    docs = frame(spark, hot_texts()).select("doc_id", suffix_dedup.F.col("text").cast("binary").alias("raw"))
+    batches = docs.toArrow().to_batches()
+    keys = [suffix_dedup.hot_anchors(docs, n, 1) for n in (100, 2)]
+    assert 0 < len(keys[0]) < len(keys[1])
+
+    def removed(hot):
+        blocks = [r for b in batches for out in suffix_dedup._cut_task(iter([b]), [0, 1], hot=hot) for r in out.to_pylist()]
+        blocks.sort(key=lambda r: r["slot"])
+        rows = [suffix_dedup._rows([r["slot"]], [r["kind"]], [r["payload"]]) for r in blocks]
+        gone = [suffix_dedup.Removals.unpack(r["payload"]) for b in suffix_dedup._index_task(iter(rows), [0, 1]) for r in b.to_pylist()]
+        return {(d, t, p + k) for g in gone for d, t, p, n in zip(g.doc.tolist(), g.tag.tolist(), g.pos.tolist(), g.runs.tolist())
+                for k in range(n)}
+
+    plain = removed(None)
+    monkeypatch.setattr(suffix_dedup, "WINDOWS_AT_ONCE", at_once)
+    for k in keys:
+        assert plain and removed(spark.sparkContext.broadcast(k)) == plain
+
+
+def test_entries_of_a_hot_anchor_meet_in_no_slot(spark):
+    docs = frame(spark, hot_texts()).select("doc_id", suffix_dedup.F.col("text").cast("binary").alias("raw"))
+    hot = spark.sparkContext.broadcast(suffix_dedup.hot_anchors(docs, 100, 1))
+    batches = docs.toArrow().to_batches()
+    load = Counter()
+    for b in suffix_dedup._cut_task(iter(batches), list(range(20)), hot=hot):
+        for r in b.to_pylist():
+            if r["kind"] == suffix_dedup.ENTRIES:
+                assert not np.isin(suffix_dedup._anchor_key(*(e := suffix_dedup.unpack_entries(r["payload"])).suffix(e.words())), hot.value).any()
+            if r["kind"] == suffix_dedup.WINDOWS:
+                load[r["slot"]] += len(suffix_dedup.Windows.unpack(r["payload"]).doc)
+    assert len(load) == 20 and max(load.values()) < 0.1 * sum(load.values())
+
+
 def test_entries_survive_packing_and_pieces():
     text = np.random.default_rng(0).integers(97, 101, 4000).astype(np.uint8).tobytes()
     e = suffix_dedup.cut([(5, 1, 0, text), (2, 9, 0, b"short"), (-3, 7, 100, text[:77])])[0]
