@@ -1,23 +1,27 @@
 """Language ID by a bidirectional gated recurrent network over bytes.
 
-Method: a text's bytes are read as its words, A-Z lower-cased; ASCII bytes that
-are no letters part them (words of more than ``PIECE`` bytes are cut), and each
-is a sequence of its own.  A gated recurrent unit runs over the bytes from
-either end, and a softmax over both states labels every byte with a
+Method: a text is its UTF-8 bytes, A-Z lower-cased; blanks, digits and
+punctuation are read like letters.  A gated recurrent unit runs over the bytes
+from either end, and a softmax over both states labels every byte with a
 probability per language.  The document pools all of them: the mean
 log-probability of each language, normalised to sum to one.  Whole texts
 count; nothing is cut off.
 
+For speed a text is read in windows of about ``CORE`` bytes, cut between
+characters, many at a time.  Each byte is labelled once, in its own window; the
+states are warmed up on the ``WARM`` bytes before (from the end: behind) it, so
+context crosses the cuts.
+
 The network is trained here, in numpy, by backpropagation through time with
 Adam, on at most ``SAMPLE`` labelled documents of at most ``SAMPLE_BYTES``
 bytes: of each language the one with the lowest hash in each of ``BUCKETS``
-hash buckets, found with a partial aggregate.  Training uses text and lang
+hash buckets, found with a partial aggregate; it learns from ``LEARN`` runs of
+``PIECE`` bytes a language, drawn evenly over the bytes of these.  Training uses text and lang
 alone, of documents whose crc32(doc_id as text) mod 5 is not 0; the prediction
 sees the text alone.
 
 Distribution: the weights (some 10,000 numbers) are broadcast; prediction is
-one narrow pass.  As words are sequences of their own, a worker runs the network
-on each distinct one once and keeps its sums, up to ``CACHE`` words.
+one narrow pass.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as
 is every text when nothing was learned; a null doc_id counts as the empty text
@@ -28,7 +32,6 @@ rows and extra columns are kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -43,12 +46,12 @@ from .common import table
 HIDDEN, PIECE = 16, 32
 STEPS, BATCH, RATE, SEED = 300, 512, 0.01, 0
 BUCKETS, SAMPLE, SAMPLE_BYTES = 256, 8192, 65_536
-CACHE, GROUP_BYTES = 400_000, 4 << 20
+LEARN, CORE, WARM = 32_768, 512, 32
+GROUP_BYTES, ROWS = 4 << 20, 2048
 UNKNOWN = "und"
 #: Documents whose pooled probability is below this are rejected too; 0: only those that are ``und``.
 MIN_SCORE = 0.0
 _LETTER = re.compile(rb"[A-Za-z]")
-_FOLD = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256)).lower()
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -102,6 +105,7 @@ class Network:
         """Backpropagation through time of ``grad``, the loss by the states."""
         h, u = self.hidden, self.w[f"u{side}"]
         dx, du = np.zeros_like(self.w[f"x{side}"]), np.zeros_like(u)
+        steps = np.zeros((x.shape[1], len(x), 3 * h), u.dtype)
         carried = np.zeros((len(x), h), np.float32)
         for t in range(x.shape[1] - 1, -1, -1):
             state, z, r, new, g, live = tape[t]
@@ -110,11 +114,14 @@ class Network:
             dnew = here * z * (1 - new * new)
             dz = here * (new - state) * z * (1 - z)
             dr = dnew * g * r * (1 - r)
-            da = np.concatenate([dz, dr, dnew], axis=1)
+            np.concatenate([dz, dr, dnew], axis=1, out=steps[t])
             dg = np.concatenate([dz, dr, dnew * r], axis=1)
-            np.add.at(dx, x[:, t], da)
             du += state.T @ dg
             carried = np.where(live, here * (1 - z) + dg @ u.T, d)
+        read = x.T.ravel()
+        order = np.argsort(read, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(read[order]) != 0])
+        dx[read[order][starts]] = np.add.reduceat(steps.reshape(-1, 3 * h)[order], starts)
         return {f"x{side}": dx, f"u{side}": du}
 
     def _log_probabilities(self, pieces: list[bytes], keep: bool = False):
@@ -134,6 +141,89 @@ class Network:
         logp, inside, _ = self._log_probabilities(pieces)
         return np.concatenate([(logp * inside[:, :, None]).sum(1), inside.sum(1, keepdims=True)], axis=1).astype(np.float64)
 
+    def _scores(self, side: str, x: np.ndarray, before: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Unnormalised scores (classes, steps, rows) of one direction behind the warm-up.
+
+        ``x`` is (steps, rows): row i's warm-up ends at step ``before.max()``, its ``size[i]`` labelled bytes follow;
+        sizes fall.
+        """
+        h, warm, (width, n) = self.hidden, int(before.max()), x.shape
+        half = np.float32(0.5)  # the sigmoid as a hyperbolic tangent of the half
+        wz, wr, wn = (np.ascontiguousarray(self.w[f"x{side}"][:, i * h:(i + 1) * h], np.float32) for i in range(3))
+        uz, ur, un = (np.ascontiguousarray(self.w[f"u{side}"][:, i * h:(i + 1) * h], np.float32) for i in range(3))
+        wz, wr, uz, ur = wz * half, wr * half, uz * half, ur * half
+        o = np.ascontiguousarray((self.w["o"][:h] if side == "f" else self.w["o"][h:]).T, np.float32)
+        state, out = np.zeros((n, h), np.float32), np.zeros((len(o), width - warm, n), np.float32)
+        m = n
+        for t in range(width):
+            while t >= warm and size[m - 1] <= t - warm:
+                m -= 1
+            now, at = state[:m], x[t, :m]
+            z, r, new = wz.take(at, 0), wr.take(at, 0), wn.take(at, 0)
+            z += now @ uz
+            r += now @ ur
+            for gate in (z, r):
+                np.tanh(gate, out=gate)
+                gate *= half
+                gate += half
+            r *= now @ un
+            new += r
+            np.tanh(new, out=new)
+            new -= now
+            new *= z
+            now += new
+            if t < warm:
+                now *= (t >= warm - before)[:, None]
+            else:
+                np.matmul(o, now.T, out=out[:, t - warm, :m])
+        return out
+
+    def _read(self, data: np.ndarray, lo: np.ndarray, first: np.ndarray, end: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Log-probabilities, summed by language, of the bytes first .. end - 1 of each window, read from lo to hi."""
+        order = np.argsort(first - end, kind="stable")
+        lo, first, end, hi = lo[order], first[order], end[order], hi[order]
+        size = end - first
+        step = np.arange(size[0])[:, None]
+
+        def steps(before: np.ndarray, at: np.ndarray, way: int) -> np.ndarray:
+            t = np.arange(before.max() + size[0])[:, None] - before.max()
+            return data[np.clip(at + way * t, 0, len(data) - 1)]
+
+        s = self._scores("f", steps(first - lo, first, 1), first - lo, size)
+        back = self._scores("b", steps(hi - end, end - 1, -1), hi - end, size)
+        full = int((size == size[0]).sum())
+        s[:, :, :full] += back[:, ::-1, :full]
+        if full < len(size):
+            turned = np.maximum(size[full:] - 1 - step, 0)
+            s[:, :, full:] += np.take_along_axis(back[:, :, full:], turned[None], axis=1)
+        s += self.w["c"].astype(np.float32)[:, None, None]
+        s -= s.max(0)
+        s -= np.log(np.exp(s).sum(0))
+        s *= step < size
+        out = np.empty((len(size), len(s)))
+        out[order] = s.sum(1, dtype=np.float64).T
+        return out
+
+    def totals(self, texts: list[bytes]) -> np.ndarray:
+        """Log-probabilities of all bytes of each text (none is empty), summed by language; windows share context."""
+        data = np.frombuffer(b"".join(texts).lower(), np.uint8)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        start = np.cumsum(size) - size
+        count = -(-size // CORE)
+        owner = np.repeat(np.arange(len(texts)), count)
+        floor, top = start[owner], (start + size)[owner]
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        first = between(data, floor + nth * CORE, floor)
+        end = np.where(nth + 1 == count[owner], top, np.r_[first[1:], 0])
+        lo = between(data, np.maximum(first - WARM, floor), floor)
+        hi = np.maximum(between(data, np.minimum(end + WARM, top), floor, top), end)
+        out = np.zeros((len(texts), len(self.w["c"])))
+        order = np.argsort(end - first, kind="stable")
+        for a in range(0, len(order), ROWS):
+            i = order[a:a + ROWS]
+            np.add.at(out, owner[i], self._read(data, lo[i], first[i], end[i], hi[i]))
+        return out
+
     def gradients(self, pieces: list[bytes], labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross entropy over all positions and its gradients."""
         logp, inside, (x, y, size, at, both, tape_f, tape_b) = self._log_probabilities(pieces, keep=True)
@@ -171,11 +261,25 @@ class Network:
         return float(np.mean(losses[-max(1, steps // 10):])) if losses else float("nan")
 
 
-def pieces_of(text: bytes) -> list[bytes]:
-    words = text.translate(_FOLD).split()
-    if max(map(len, words), default=0) <= PIECE:
-        return words
-    return [w[i:i + PIECE] for w in words for i in range(0, len(w), PIECE)]
+def between(data: np.ndarray, at: np.ndarray, floor: np.ndarray, top: np.ndarray | None = None) -> np.ndarray:
+    """The places ``at``, moved back to the start of their UTF-8 character, not before ``floor``; ``top`` is one too."""
+    at, ended = at.copy(), at == top if top is not None else np.zeros(len(at), bool)
+    for _ in range(3):
+        inner = (data[np.minimum(at, len(data) - 1)] & 0xC0) == 0x80
+        at -= inner & ~ended & (at > floor)
+    return at
+
+
+def drawn(texts: list[bytes], n: int, seed: int) -> list[bytes]:
+    """``n`` runs of ``PIECE`` bytes from a character's start on, drawn evenly over the bytes of the texts."""
+    data = np.frombuffer(b"".join(texts).lower(), np.uint8)
+    end = np.cumsum([len(t) for t in texts])
+    at = np.sort(np.random.default_rng(seed).integers(0, len(data), n))
+    owner = np.searchsorted(end, at, "right")
+    floor, top = np.r_[0, end[:-1]][owner], end[owner]
+    first = between(data, np.maximum(np.minimum(at, top - PIECE), floor), floor)
+    last = np.maximum(between(data, np.minimum(first + PIECE, top), floor, top), first + 1)
+    return [data[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist())]
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -197,92 +301,50 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 def train(docs: DataFrame, **columns) -> Network | None:
     """The network trained on a bounded sample; None if there is nothing to learn from."""
     texts = sample(docs, **columns)
-    counts: Counter[tuple[bytes, str]] = Counter()
+    by: dict[str, list[bytes]] = {}
     for lang, text in texts:
-        counts.update((p, lang) for p in pieces_of(text))
-    if not counts:
+        if text:
+            by.setdefault(lang, []).append(text)
+    if not by:
         return None
-    classes = sorted({lang for _, lang in counts})
-    total = Counter()
-    for (_, lang), n in counts.items():
-        total[lang] += n
-    order = sorted(counts)
-    number = {lang: i for i, lang in enumerate(classes)}
+    classes = sorted(by)
     net = Network(classes)
     if len(classes) > 1:
         # Every language gets the same share of the draws.
-        net.fit([p for p, _ in order], np.array([number[x] for _, x in order]),
-                np.array([counts[o] / total[o[1]] for o in order]))
+        pieces = [drawn(by[lang], LEARN, SEED + i) for i, lang in enumerate(classes)]
+        net.fit([p for some in pieces for p in some], np.repeat(np.arange(len(classes)), LEARN), np.ones(len(classes) * LEARN))
     return net
 
 
-class Reader:
-    """Pools documents, keeping the sums of the words it has read."""
-
-    def __init__(self, net: Network) -> None:
-        self.net, self.rows = net, {}
-        self.sums = np.zeros((4096, len(net.classes) + 1), np.float32)
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, int]:
-        """Rows of ``sums`` for new words; those beyond ``CACHE`` hold for this group only."""
-        words.sort(key=len)
-        first = len(self.rows)
-        while len(self.sums) < first + len(words):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        for at in range(0, len(words), 2048):
-            some = words[at:at + 2048]
-            self.sums[first + at:first + at + len(some)] = self.net.sums(some)
-        room = max(0, CACHE - first)
-        self.rows.update((w, first + i) for i, w in enumerate(words[:room]))
-        return {w: first + room + i for i, w in enumerate(words[room:])}
-
-    def pool(self, texts: list[bytes]) -> list[tuple[str, float]]:
-        """(language, probability) of each text; every text has a letter."""
-        out: list[tuple[str, float]] = []
-        group: list[list[bytes]] = []
-        size = 0
-        for i, text in enumerate(texts):
-            group.append(pieces_of(text))
-            size += len(text)
-            if size >= GROUP_BYTES or i == len(texts) - 1:
-                out += self._pool(group)
-                group, size = [], 0
-        return out
-
-    def _pool(self, group: list[list[bytes]]) -> list[tuple[str, float]]:
-        rows = self.rows
-        extra = self._learn([w for w in {w for words in group for w in words} if w not in rows])
-        at = {**rows, **extra}.__getitem__ if extra else rows.__getitem__
-        out = []
-        for words in group:
-            total = self.sums[np.fromiter(map(at, words), np.int64, len(words))].sum(0, dtype=np.float64)
-            mean = total[:-1] / total[-1]
-            p = np.exp(mean - mean.max())
-            best = int(p.argmax())
-            out.append((self.net.classes[best], float(p[best] / p.sum())))
-        return out
+def pooled(net: Network, texts: list[bytes]) -> list[tuple[str, float]]:
+    """(language, probability) of each text; every text has a letter."""
+    out: list[tuple[str, float]] = []
+    group: list[bytes] = []
+    size = 0
+    for i, text in enumerate(texts):
+        group.append(text)
+        size += len(text)
+        if size >= GROUP_BYTES or i == len(texts) - 1:
+            mean = net.totals(group) / np.array([len(t) for t in group])[:, None]
+            p = np.exp(mean - mean.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            best = p.argmax(1)
+            out += [(net.classes[b], float(q[b])) for b, q in zip(best.tolist(), p)]
+            group, size = [], 0
+    return out
 
 
 def has_letter(text: bytes) -> bool:
     return bool(_LETTER.search(text)) or (not text.isascii() and any(c.isalpha() for c in text.decode("utf-8", "ignore")))
 
 
-_READERS: dict[bytes, Reader] = {}
-
-
 def _predict(batches: Iterator[pa.RecordBatch], net, text: str) -> Iterator[pa.RecordBatch]:
     net = net.value
-    if net is not None:
-        key = net.w["o"].tobytes()
-        if key not in _READERS:  # tasks after each other in a worker share one
-            _READERS.clear()
-            _READERS[key] = Reader(net)
-        reader = _READERS[key]
     for batch in batches:
         found = [(UNKNOWN, 0.0)] * batch.num_rows
         raw = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(text)]
         ours = [i for i, t in enumerate(raw) if net is not None and has_letter(t)]
-        for i, answer in zip(ours, reader.pool([raw[i] for i in ours]) if ours else ()):
+        for i, answer in zip(ours, pooled(net, [raw[i] for i in ours]) if ours else ()):
             found[i] = answer
         keep = [i for i, n in enumerate(batch.schema.names) if n != text]
         yield pa.RecordBatch.from_arrays(

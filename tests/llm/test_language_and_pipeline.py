@@ -43,6 +43,21 @@ def test_sums_equal_position_by_position():
     assert np.allclose(np.concatenate([net.sums([p]) for p in pieces]), sums, atol=1e-4)
 
 
+def test_every_byte_is_labelled_with_its_context(monkeypatch):
+    """Windows with a warm-up as long as the text equal one run over all bytes, digits and 3-byte characters included."""
+    net = language_id.Network(["a", "b", "c"])
+    texts = ["Ab 12, cd! " * 9, "7", "\u4e2d\u6587\u5b57" * 40, "\u00e9\u4e2d x3 " * 25, "?" * 64]
+    raw = [t.encode() for t in texts]
+    monkeypatch.setattr(language_id, "CORE", 50)
+    monkeypatch.setattr(language_id, "WARM", 1000)
+    whole = np.concatenate([net.sums([t.lower()]) for t in raw])
+    assert whole[:, -1].tolist() == [len(t) for t in raw]
+    assert np.allclose(net.totals(raw), whole[:, :-1], rtol=1e-3, atol=1e-2)
+    monkeypatch.setattr(language_id, "ROWS", 2)
+    assert np.allclose(net.totals(raw), whole[:, :-1], rtol=1e-3, atol=1e-2)
+    assert language_id.pooled(net, [b"aa 11"])[0][1] != language_id.pooled(net, [b"aa 22"])[0][1]
+
+
 def test_held_out_accuracy_and_awkward_texts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     net = language_id.train(docs)
