@@ -20,6 +20,14 @@ hash buckets, found with a partial aggregate; it learns from ``LEARN`` runs of
 alone, of documents whose crc32(doc_id as text) mod 5 is not 0; the prediction
 sees the text alone.
 
+One class more is learned from noise that is made here: characters of scripts
+that the sample does not hold, and letters of the sample in random order.  Its
+share lowers ``score``; it is never an answer.  ``known_language`` rejects
+below a score fitted on at most ``FIT`` documents of those held out of
+training: ``SLACK`` of their ``CUT`` quantile, and ``Network.kept`` is the share
+of them that passes.  Languages that resemble a learned one in its own script
+may pass.
+
 Distribution: the weights (some 10,000 numbers) are broadcast; prediction is
 one narrow pass.
 
@@ -49,8 +57,8 @@ BUCKETS, SAMPLE, SAMPLE_BYTES = 256, 8192, 65_536
 LEARN, CORE, WARM = 32_768, 512, 32
 GROUP_BYTES, ROWS = 4 << 20, 2048
 UNKNOWN = "und"
-#: Documents whose pooled probability is below this are rejected too; 0: only those that are ``und``.
-MIN_SCORE = 0.0
+#: For the score below which a document is in no learned language.
+FIT, CUT, SLACK = 512, 0.01, 0.5
 _LETTER = re.compile(rb"[A-Za-z]")
 
 
@@ -61,15 +69,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Network:
     """Byte-level bidirectional GRU with a softmax at every position."""
 
-    def __init__(self, classes: list[str], hidden: int = HIDDEN, seed: int = SEED) -> None:
+    #: Fitted by ``known_language``: the least score, and the share of held-out documents that have it.
+    min_score, kept = 0.0, 1.0
+
+    def __init__(self, classes: list[str], hidden: int = HIDDEN, seed: int = SEED, noise: bool = False) -> None:
         rng = np.random.default_rng(seed)
         self.classes, self.hidden = classes, hidden
         self.w: dict[str, np.ndarray] = {}
         for side in "fb":
             self.w[f"x{side}"] = rng.normal(0, 0.3, (256, 3 * hidden)).astype(np.float32)
             self.w[f"u{side}"] = rng.normal(0, 1 / np.sqrt(hidden), (hidden, 3 * hidden)).astype(np.float32)
-        self.w["o"] = rng.normal(0, 0.3, (2 * hidden, len(classes))).astype(np.float32)
-        self.w["c"] = np.zeros(len(classes), np.float32)
+        self.w["o"] = rng.normal(0, 0.3, (2 * hidden, len(classes) + noise)).astype(np.float32)
+        self.w["c"] = np.zeros(len(classes) + noise, np.float32)
 
     @staticmethod
     def matrix(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -286,18 +297,47 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, bytes]]:
-    """(lang, text) of at most ``SAMPLE`` training documents."""
+def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held: bool = False,
+           most: int = SAMPLE) -> list[tuple[str, bytes]]:
+    """(lang, text) of at most ``most`` training documents, or of those held out."""
+    mine = held_out(id_col) if held else ~held_out(id_col)
     key = F.xxhash64(F.col(id_col), F.col(text_col), F.col(lang_col))
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    rows = docs.where(mine & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
                       & (F.octet_length(text_col) <= SAMPLE_BYTES)).withColumn("__k", key)
     least = rows.groupBy(lang_col, F.pmod("__k", F.lit(BUCKETS)).alias("__b")).agg(F.min("__k").alias("__k"))
-    few = least.orderBy("__b", lang_col).limit(SAMPLE).select("__k")
+    few = least.orderBy("__b", lang_col).limit(most).select("__k")
     picked = rows.join(F.broadcast(few), "__k", "left_semi").select("__k", F.col(lang_col), F.col(text_col).cast("binary")
                                                                     ).dropDuplicates(["__k"]).collect()
     return [(r[1], bytes(r[2])) for r in sorted(picked, key=lambda r: (r[1], r[0]))]
 
 
+def noise(texts: list[bytes], n: int, seed: int) -> list[bytes]:
+    """``n`` runs of ``PIECE`` bytes: half in blocks of characters that no text holds, half of the texts' letters at random."""
+    rng = np.random.default_rng(seed)
+    held = set("".join(t.decode("utf-8", "ignore") for t in texts).lower())
+    letters, blocks = sorted(c for c in held if c.isalpha()), {ord(c) >> 6 for c in held}
+    # Blocks of 64 characters, those of two and of three bytes each.
+    free = [[b for b in span if b not in blocks and sum(chr(64 * b + i).isalpha() for i in range(64)) > 16]
+            for span in (range(0x80 >> 6, 0x800 >> 6), range(0x800 >> 6, 0xD800 >> 6))]
+    out = []
+    for i in range(n):
+        kind = [i % 4 // 2, None][i % 2]
+        if kind is None:
+            own = letters
+        elif free[kind]:
+            block = free[kind][rng.integers(len(free[kind]))]
+            own = [c for c in map(chr, range(64 * block, 64 * block + 64)) if c.isalpha()]
+        else:
+            continue
+        if own:
+            chars = [own[j] for j in rng.integers(0, len(own), PIECE)]
+            for at in np.cumsum(rng.integers(2, 12 if rng.random() < 0.7 else 2 * PIECE, PIECE)):
+                if at < PIECE:
+                    chars[at] = " "
+            out.append("".join(chars).lower().encode()[:PIECE])
+    return out
+
+
 def train(docs: DataFrame, **columns) -> Network | None:
     """The network trained on a bounded sample; None if there is nothing to learn from."""
     texts = sample(docs, **columns)
@@ -308,14 +348,24 @@ def train(docs: DataFrame, **columns) -> Network | None:
     if not by:
         return None
     classes = sorted(by)
-    net = Network(classes)
-    if len(classes) > 1:
-        # Every language gets the same share of the draws.
-        pieces = [drawn(by[lang], LEARN, SEED + i) for i, lang in enumerate(classes)]
-        net.fit([p for some in pieces for p in some], np.repeat(np.arange(len(classes)), LEARN), np.ones(len(classes) * LEARN))
+    net = Network(classes, noise=True)
+    # Every language gets the same share of the draws, and so does noise.
+    pieces = [drawn(by[lang], LEARN, SEED + i) for i, lang in enumerate(classes)]
+    pieces.append(noise([t for lang in classes for t in by[lang]], LEARN // 4, SEED))
+    labels = np.repeat(np.arange(len(pieces)), [len(some) for some in pieces])
+    net.fit([p for some in pieces for p in some], labels, np.concatenate([np.full(len(some), 1 / max(1, len(some))) for some in pieces]))
     return net
 
 
+def fit_rejection(net: Network, docs: DataFrame, **columns) -> None:
+    """Sets ``min_score`` and ``kept`` by labelled documents that were held out (by those of training if there are none)."""
+    texts = [t for _, t in sample(docs, held=True, most=FIT, **columns) or sample(docs, most=FIT, **columns) if has_letter(t)]
+    if texts:
+        scores = np.array([q for _, q in pooled(net, texts)])
+        net.min_score = SLACK * float(np.quantile(scores, CUT, method="lower"))
+        net.kept = float(np.mean(scores >= net.min_score))
+
+
 def pooled(net: Network, texts: list[bytes]) -> list[tuple[str, float]]:
     """(language, probability) of each text; every text has a letter."""
     out: list[tuple[str, float]] = []
@@ -328,7 +378,7 @@ def pooled(net: Network, texts: list[bytes]) -> list[tuple[str, float]]:
             mean = net.totals(group) / np.array([len(t) for t in group])[:, None]
             p = np.exp(mean - mean.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            best = p.argmax(1)
+            best = p[:, :len(net.classes)].argmax(1)
             out += [(net.classes[b], float(q[b])) for b, q in zip(best.tolist(), p)]
             group, size = [], 0
     return out
@@ -361,12 +411,16 @@ def predict(docs: DataFrame, net: Network | None, text_col: str = "text") -> Dat
     return raw.mapInArrow(partial(_predict, net=shared, text="__raw"), schema)
 
 
-def known_language(docs: DataFrame, min_score: float = MIN_SCORE, id_col: str = "doc_id", text_col: str = "text",
+def known_language(docs: DataFrame, min_score: float | None = None, id_col: str = "doc_id", text_col: str = "text",
                    lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are in a learned language; same columns."""
-    net = train(docs.select(id_col, text_col, lang_col), id_col=id_col, text_col=text_col, lang_col=lang_col)
+    """The rows of ``docs`` that are in a learned language, by a score of ``min_score`` (else a fitted one); same columns."""
+    columns = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
+    net = train(docs.select(id_col, text_col, lang_col), **columns)
+    if net is not None and min_score is None:
+        fit_rejection(net, docs.select(id_col, text_col, lang_col), **columns)
+        min_score = net.min_score
     judged = predict(docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__text")), net, "__text")
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("__row.*")
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= (min_score or 0.0))).select("__row.*")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

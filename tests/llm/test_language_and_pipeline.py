@@ -80,6 +80,24 @@ def test_nothing_to_learn_from(spark):
     assert language_id.known_language(frame(spark, [], 1)).count() == 0
 
 
+def test_documents_in_no_learned_language_go(spark):
+    """An unlearned script and letter noise go; clean documents stay."""
+    clean = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(1)
+
+    def words(letters):
+        return " ".join("".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(80))
+
+    strange = [(10 ** 6 + i, words(s), None) for i, s in enumerate(
+        ["абвгдежзиклмнопрстуя", "αβγδεζηθικλμνξοπρστ", "אבגדהוזחטיכלמנ", "कखगघचछजझटठडढ", "中文字語言學習明日本"] * 4
+        + ["abcdefghijklmnopqrstuvwxyz"] * 4)]
+    docs = clean.union(spark.createDataFrame(strange, clean.schema))
+    kept = {r["doc_id"] for r in language_id.known_language(docs).collect()}
+    ours = {r["doc_id"] for r in clean.collect()}
+    assert not kept - ours
+    assert len(kept) >= 0.99 * len(ours)
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     """Every stage over what its predecessor kept, against plain Python."""
     from tokenizers import Tokenizer
