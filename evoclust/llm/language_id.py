@@ -13,8 +13,8 @@ states are warmed up on the ``WARM`` bytes before (from the end: behind) it, so
 context crosses the cuts.
 
 The network is trained here, in numpy, by backpropagation through time with
-Adam, on at most ``SAMPLE`` labelled documents of at most ``SAMPLE_BYTES``
-bytes: of each language the one with the lowest hash in each of ``BUCKETS``
+Adam, on at most ``SAMPLE`` labelled documents, of those over ``SAMPLE_BYTES``
+bytes on ``PARTS`` parts at places chosen by hash: of each language the one with the lowest hash in each of ``BUCKETS``
 hash buckets, found with a partial aggregate; it learns from ``LEARN`` runs of
 ``PIECE`` bytes a language, drawn evenly over the bytes of these.  Training uses text and lang
 alone, of documents whose crc32(doc_id as text) mod 5 is not 0; the prediction
@@ -53,7 +53,7 @@ from .common import table
 
 HIDDEN, PIECE = 16, 32
 STEPS, BATCH, RATE, SEED = 300, 512, 0.01, 0
-BUCKETS, SAMPLE, SAMPLE_BYTES = 256, 8192, 65_536
+BUCKETS, SAMPLE, SAMPLE_BYTES, PARTS = 256, 8192, 65_536, 16
 LEARN, CORE, WARM = 32_768, 512, 32
 GROUP_BYTES, ROWS = 4 << 20, 2048
 UNKNOWN = "und"
@@ -299,15 +299,18 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held: bool = False,
            most: int = SAMPLE) -> list[tuple[str, bytes]]:
-    """(lang, text) of at most ``most`` training documents, or of those held out."""
+    """(lang, text) of at most ``most`` training documents, or of those held out; of long ones parts, joined."""
     mine = held_out(id_col) if held else ~held_out(id_col)
     key = F.xxhash64(F.col(id_col), F.col(text_col), F.col(lang_col))
     rows = docs.where(mine & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                      & (F.octet_length(text_col) <= SAMPLE_BYTES)).withColumn("__k", key)
+                      ).withColumn("__k", key)
     least = rows.groupBy(lang_col, F.pmod("__k", F.lit(BUCKETS)).alias("__b")).agg(F.min("__k").alias("__k"))
     few = least.orderBy("__b", lang_col).limit(most).select("__k")
-    picked = rows.join(F.broadcast(few), "__k", "left_semi").select("__k", F.col(lang_col), F.col(text_col).cast("binary")
-                                                                    ).dropDuplicates(["__k"]).collect()
+    raw, part = F.col(text_col).cast("binary"), SAMPLE_BYTES // PARTS
+    room = F.octet_length(raw) - part
+    parts = F.concat(*(F.substring(raw, F.pmod(F.xxhash64("__k", F.lit(i)), room).cast("int") + 1, F.lit(part)) for i in range(PARTS)))
+    picked = rows.join(F.broadcast(few), "__k", "left_semi").select(
+        "__k", F.col(lang_col), F.when(F.octet_length(raw) <= SAMPLE_BYTES, raw).otherwise(parts)).dropDuplicates(["__k"]).collect()
     return [(r[1], bytes(r[2])) for r in sorted(picked, key=lambda r: (r[1], r[0]))]
 
 

@@ -75,6 +75,21 @@ def test_held_out_accuracy_and_awkward_texts(spark):
     assert {r["lang_pred"] for r in kept} == {"und"}
 
 
+def test_long_documents_teach(spark, monkeypatch):
+    """A language whose documents are all long is sampled by parts of them."""
+    texts = [(i, "".join(f"{i}:{j}é " for j in range(20_000)) if i % 2 else "short words", "xx" if i % 2 else "en") for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    got = language_id.sample(docs)
+    assert {lang for lang, _ in got} == {"xx", "en"}
+    long = [t for lang, t in got if lang == "xx"]
+    part = language_id.SAMPLE_BYTES // language_id.PARTS
+    whole = [t.encode() for _, t, lang in texts if lang == "xx"]
+    for t in long:
+        assert len(t) == language_id.SAMPLE_BYTES
+        assert any(all(t[a:a + part] in w for a in range(0, len(t), part)) for w in whole)
+    assert got == language_id.sample(docs.repartition(7))
+
+
 def test_nothing_to_learn_from(spark):
     assert language_id.train(frame(spark, [], 1)) is None
     assert language_id.known_language(frame(spark, [], 1)).count() == 0
