@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, token_output, topk, url_filter
+from . import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_alignment,
+    token_output,
+    topk,
+    url_filter,
+    whitening,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_quality": quality.op11_quality,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
     "op2_simhash": simhash.op2_simhash,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_sharding": sharding.op4_sharding,
