@@ -37,7 +37,7 @@ def children_and_candidates_fn(P: int, m2: int, k: int, d: int, child, centres):
             for p in range(tot):
                 lab, e = K.nearest(X, centres[p])
                 acc.add(p, lab, X, e)
-        yield K.parts_batch([acc.part(), K.sil_part(s_cnt, s_sum)])
+        yield K.Parts.concat([acc.part(), K.sil_part(s_cnt, s_sum, d)]).batch()
 
     return run
 
@@ -55,7 +55,7 @@ def candidates_fn(P: int, k: int, d: int, centres, cand):
                 lab, _ = K.nearest(X, centres[p])
                 s_sum[p] += K.sil_values(X, lab, cand.n[p], cand.M[p], cand.W[p]).sum()
                 s_cnt[p] += X.shape[0]
-        yield K.parts_batch([K.sil_part(s_cnt, s_sum)])
+        yield K.sil_part(s_cnt, s_sum).batch()
 
     return run
 
@@ -79,7 +79,7 @@ def scatter_and_silhouette_fn(k: int, d: int, n, M, W):
             s_cnt += b.num_rows
         used = np.nonzero(root > 0)[0]
         m, z = len(used), np.zeros(len(used))
-        scatter = [np.full(m, K.STATS), z, used, np.full(m, -1), z, z, z, root[used]]
-        yield K.parts_batch([scatter, K.sil_part(np.array([s_cnt]), np.array([s_sum]))])
+        scatter = K.Parts(np.full(m, K.STATS), z, used, np.full(m, K.task_id()), z, z, root[used], np.zeros((m, d)))
+        yield K.Parts.concat([scatter, K.sil_part(np.array([s_cnt]), np.array([s_sum]), d)]).batch()
 
     return run

@@ -23,7 +23,7 @@ from evoclust.operators import kernels as K
 from evoclust.operators.external import ari_expr, pair_counts
 from evoclust.operators.fused import candidates_fn, children_and_candidates_fn
 from evoclust.operators.internal import DEFAULT_BLOCK_ROWS
-from evoclust.operators.kmeans import Stats, assign, relabel, run_parts, run_stats
+from evoclust.operators.kmeans import Stats, assign, relabel, run_parts, run_stats, run_sums
 from evoclust.operators.population import (
     Population,
     base_cols,
@@ -297,7 +297,7 @@ class GeneticKMeans:
 
         # pass C: candidate fitness
         cand = cand_all.take(src)
-        _, sil = run_parts(frame_c.select("row_id", "x"), candidates_fn(P, k, d, centres, cand), P, k, d)
+        sil = run_sums(frame_c.select("row_id", "x"), candidates_fn(P, k, d, centres, cand))
         cand_fit = np.array([sil[p][0] / sil[p][1] if sil.get(p, (0, 0))[1] else -1.0 for p in range(P)])
         cand_fit = np.where((cand.n > 0).sum(axis=1) >= 2, cand_fit, -1.0)
         take = cand_fit > fitness if self.kmo == "better" else np.ones(P, dtype=bool)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evoclust.operators import kernels as K
-from evoclust.operators.kmeans import Stats, run_parts, run_stats
+from evoclust.operators.kmeans import Stats, run_stats, run_sums
 
 DEFAULT_BLOCK_ROWS = 32_768
 TILE = 1024
@@ -125,7 +125,7 @@ def silhouette_squared(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     if (st.n[0] > 0).sum() < 2:
         raise ValueError("silhouette needs at least 2 non-empty clusters")
     fn = K.silhouette_partial_fn(K.KernelSpec(1, k, d, sol_col="sol"), st.n, st.M, st.W)
-    s, m = run_parts(labelled(df, cluster), fn, 1, k, d)[1][0]
+    s, m = run_sums(labelled(df, cluster), fn)[0]
     return df.sparkSession.createDataFrame([(s / m,)], "silhouette_squared double")
 
 
@@ -210,7 +210,7 @@ def _exact_partial_fn(P: int, k: int, n: np.ndarray):
                     sil = np.where((n_own > 1) & np.isfinite(bb) & (den > 0), (bb - a) / den, 0.0)
                 tot[p] += sil.sum()
                 cnt[p] += b.num_rows
-        yield K.parts_batch([K.sil_part(cnt, tot)])
+        yield K.sil_part(cnt, tot).batch()
 
     return run
 
@@ -222,7 +222,7 @@ def exact_silhouettes(pts: DataFrame, P: int, k: int, d: int, n: np.ndarray,
     if pts.select(F.col("row_id")).distinct().count() != total:
         raise ValueError("row_id must be unique: points that share one would be merged")
     sums = exact_distance_sums(pts, P, k, d, total, block_rows)
-    return run_parts(sums, _exact_partial_fn(P, k, n), P, k, d)[1]
+    return run_sums(sums, _exact_partial_fn(P, k, n))
 
 
 def silhouette_exact(df: DataFrame, cluster: str = "cluster", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:

@@ -18,11 +18,13 @@ import pyarrow as pa
 # Upper bound for centres/statistics captured in a kernel closure.
 MAX_CLOSURE_BYTES = 256 * 1024 * 1024
 
-# One row layout for every partial result.  STATS rows: j = -1 carries (n, sum of
-# squared distances to the member mean in q, sum of e) of a cluster, j >= 0 the
-# member mean of dimension j in v with its weight n.  SIL rows: count n, sum v.
-PART_SCHEMA = "kind int, chrom int, c int, j int, n bigint, v double, q double, e double"
+# One row layout for every partial result: a row for each (chrom, c) of a task.
+# STATS rows carry the count n, the sum w of squared distances to the member
+# mean, the sum e and the mean; SIL rows (c = -1, no mean) the count n and the sum w.
+PART_SCHEMA = "kind int, chrom int, c int, part int, n bigint, w double, e double, mean array<double>"
 STATS, SIL = 0, 1
+# Partial rows of a key that meet in one merge.
+FAN_IN = 64
 
 
 def check_broadcast(*arrays: np.ndarray, limit: int | None = None) -> int:
@@ -134,18 +136,93 @@ def centre_distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return D
 
 
-def parts_batch(parts: list) -> pa.RecordBatch:
-    """Column lists (kind, chrom, c, j, n, v, q, e) to one batch of ``PART_SCHEMA``."""
-    cols = [np.concatenate([np.asarray(p[i]) for p in parts]) for i in range(8)]
-    types = [np.int32] * 4 + [np.int64] + [np.float64] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, types)],
-                                      names=["kind", "chrom", "c", "j", "n", "v", "q", "e"])
+def task_id() -> int:
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    return 0 if ctx is None else ctx.partitionId()
+
+
+class Parts:
+    """Partial rows as columns; ``mean`` is a matrix, zero in SIL rows."""
+
+    def __init__(self, kind, chrom, c, part, n, w, e, mean: np.ndarray):
+        self.kind, self.chrom, self.c, self.part = (np.asarray(a, dtype=np.int32) for a in (kind, chrom, c, part))
+        self.n, self.w, self.e, self.mean = np.asarray(n, dtype=np.int64), np.asarray(w, float), np.asarray(e, float), mean
+
+    def __len__(self) -> int:
+        return len(self.n)
+
+    @staticmethod
+    def concat(parts: list["Parts"]) -> "Parts":
+        return Parts(*(np.concatenate([getattr(p, f) for p in parts])
+                       for f in ("kind", "chrom", "c", "part", "n", "w", "e", "mean")))
+
+    @staticmethod
+    def read(t: pa.RecordBatch | pa.Table, d: int) -> "Parts":
+        t = t.combine_chunks() if isinstance(t, pa.Table) else t
+        col = [t.column(i).to_numpy(zero_copy_only=False) if isinstance(t, pa.RecordBatch) else t.column(i).to_numpy() for i in range(7)]
+        mean = np.zeros((t.num_rows, d))
+        lists = t.column(7)
+        flat = pa.concat_arrays([x.flatten() for x in lists.chunks]) if isinstance(lists, pa.ChunkedArray) and t.num_rows else (
+            None if isinstance(lists, pa.ChunkedArray) else lists.flatten())
+        if flat is not None:
+            mean[col[0] == STATS] = flat.to_numpy(zero_copy_only=False).reshape(-1, d)
+        return Parts(*col, mean)
+
+    def merged(self, fan_in: int = FAN_IN) -> "Parts":
+        """One row for each (kind, chrom, c), ``part`` that of its group.  Means combine by weight, and their
+        squared distances to the combined mean are the between part of ``w``:
+        nothing is a difference of large sums.  The order is that of ``part``,
+        so the result does not depend on how rows arrive."""
+        if not len(self):
+            return self
+        order = np.lexsort((self.part, self.c, self.chrom, self.kind))
+        kind, chrom, c, n, w, e = (a[order] for a in (self.kind, self.chrom, self.c, self.n, self.w, self.e))
+        mean = self.mean[order]
+        first = np.flatnonzero(np.r_[True, (np.diff(kind) != 0) | (np.diff(chrom) != 0) | (np.diff(c) != 0)])
+        group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(n)]))
+        total = np.add.reduceat(n, first)
+        centre = np.add.reduceat(n[:, None] * mean, first, axis=0) / np.maximum(total, 1)[:, None]
+        diff = mean - centre[group]
+        between = n * np.einsum("ij,ij->i", diff, diff)
+        return Parts(kind[first], chrom[first], c[first], self.part[order][first] // fan_in, total,
+                     np.add.reduceat(w + between, first), np.add.reduceat(e, first), centre)
+
+    def batch(self) -> pa.RecordBatch:
+        stats = self.kind == STATS
+        offsets = np.r_[0, np.cumsum(np.where(stats, self.mean.shape[1], 0))].astype(np.int32)
+        cols = [pa.array(a) for a in (self.kind, self.chrom, self.c, self.part, self.n, self.w, self.e)]
+        means = pa.ListArray.from_arrays(offsets, pa.array(self.mean[stats].reshape(-1)))
+        return pa.RecordBatch.from_arrays([*cols, means], names=["kind", "chrom", "c", "part", "n", "w", "e", "mean"])
+
+
+def merge_parts_fn(d: int, fan_in: int):
+    """A level of the tree: the rows of each (kind, chrom, c) of a task become one."""
+
+    def run(batches):
+        rows = [Parts.read(b, d) for b in batches if b.num_rows]
+        if rows:
+            yield Parts.concat(rows).merged(fan_in).batch()
+
+    return run
 
 
-def sil_part(n: np.ndarray, s: np.ndarray) -> list:
+def sil_part(n: np.ndarray, s: np.ndarray, d: int = 0) -> Parts:
     """SIL rows: points and silhouette sum per slot."""
     m = len(n)
-    return [np.full(m, SIL), np.arange(m), np.full(m, -1), np.full(m, -2), n, s, np.zeros(m), np.zeros(m)]
+    return Parts(np.full(m, SIL), np.arange(m), np.full(m, -1), np.full(m, task_id()), n, s, np.zeros(m), np.zeros((m, d)))
+
+
+def batch_moments(p: int, lab: np.ndarray, X: np.ndarray, e: np.ndarray) -> Parts:
+    """STATS rows of the labels that one batch holds, whatever the number of clusters."""
+    used, at = np.unique(lab, return_inverse=True)
+    n = np.bincount(at)
+    mean = cluster_sums(at, X, len(used)) / n[:, None]
+    diff = X - mean[at]
+    m = len(used)
+    return Parts(np.full(m, STATS), np.full(m, p), used, np.full(m, task_id()), n,
+                 np.bincount(at, weights=np.einsum("ij,ij->i", diff, diff)), np.bincount(at, weights=e), mean)
 
 
 class Moments:
@@ -175,19 +252,12 @@ class Moments:
         self.n[p] += n
         self.E[p] += np.bincount(lab, weights=e, minlength=k)
 
-    def part(self) -> list:
+    def part(self) -> Parts:
         """STATS rows of the used clusters."""
         pp, cc = np.nonzero(self.n)
-        m, d = len(pp), self.d
-        z = np.zeros(m * d)
-        return [
-            np.full(m * (d + 1), STATS),
-            np.concatenate([pp, np.repeat(pp, d)]), np.concatenate([cc, np.repeat(cc, d)]),
-            np.concatenate([np.full(m, -1), np.tile(np.arange(d), m)]),
-            np.concatenate([self.n[pp, cc], np.repeat(self.n[pp, cc], d)]),
-            np.concatenate([np.zeros(m), self.M[pp, cc].reshape(-1)]),
-            np.concatenate([self.W[pp, cc], z]), np.concatenate([self.E[pp, cc], z]),
-        ]
+        m = len(pp)
+        return Parts(np.full(m, STATS), pp, cc, np.full(m, task_id()), self.n[pp, cc], self.W[pp, cc], self.E[pp, cc],
+                     self.M[pp, cc])
 
 
 @dataclass
@@ -242,7 +312,36 @@ def partial_stats_fn(spec: KernelSpec):
                 X = matrix(b, "x", spec.d)
                 for p, lab, e in _labels(spec, b, X):
                     acc.add(p, lab, X, e)
-        yield parts_batch([acc.part()])
+        yield acc.part().batch()
+
+    return run
+
+
+def sparse_stats_fn(spec: KernelSpec, held_bytes: int = 64 << 20):
+    """As :func:`partial_stats_fn` for clusters too many to keep an array of: a
+    task holds the clusters it has met and sends them on when their rows pass
+    ``held_bytes``."""
+
+    def run(batches):
+        held, rows = [], 0
+        most = max(1, held_bytes // (8 * (spec.d + 8)))
+        for b in batches:
+            if b.num_rows:
+                X = matrix(b, "x", spec.d)
+                for p, lab, e in _labels(spec, b, X):
+                    held.append(batch_moments(p, lab, X, e))
+                    rows += len(held[-1])
+            if rows > most:
+                one = Parts.concat(held).merged()
+                one.part[:] = task_id()
+                held, rows = [one], len(one)
+                if 2 * rows > most:
+                    yield one.batch()
+                    held, rows = [], 0
+        if held:
+            one = Parts.concat(held).merged()
+            one.part[:] = task_id()
+            yield one.batch()
 
     return run
 
@@ -278,7 +377,7 @@ def silhouette_partial_fn(spec: KernelSpec, n: np.ndarray, M: np.ndarray, W: np.
                 for p, lab, _ in _labels(spec, b, X):
                     tot[p] += sil_values(X, lab, n[p], M[p], W[p]).sum()
                     cnt[p] += X.shape[0]
-        yield parts_batch([sil_part(cnt, tot)])
+        yield sil_part(cnt, tot).batch()
 
     return run
 

@@ -1,10 +1,11 @@
 """Lloyd k-means as a driver loop of distributed passes.
 
 Per iteration one job: the kernel assigns every point to its nearest centre
-and pre-aggregates count, mean, squared distances to the mean and SSE per
-cluster and partition (map-side combine); one exchange on the cluster merges
-at most ``partitions x k x (d+1)`` rows and k x (d+1) reach the driver.  The point table is persisted once; centres travel in
-the task closure after a size check.
+and sends a row (count, mean vector, squared distances to the mean, SSE) for
+each cluster and task (map-side combine); a tree of exchanges of fan-in
+``FAN_IN`` merges these ``tasks x k`` rows until few enough are left for the
+driver.  The point table is persisted once; centres travel in the task closure
+after a size check.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,37 +67,64 @@ class Stats:
         return Stats(*(np.concatenate([getattr(s, f) for s in parts]) for f in ("n", "M", "W", "E")))
 
 
-def merge_parts(parts: DataFrame) -> DataFrame:
-    """Partial rows of ``K.PART_SCHEMA`` merged over partitions: one exchange.
+#: Bytes of partial rows that may reach the driver; above them the tree goes down to a row for each (chrom, c).
+DRIVER_BYTES = 16 << 20
+#: Bytes of partial rows a merging task reads.
+MERGE_BYTES = 64 << 20
 
-    Counts and sums add; means combine by weight, and their squared distances
-    to the combined mean are the between part of the squared deviations (in q).
+
+def merge_levels(tasks: int, rows: int, d: int) -> list[int]:
+    """Numbers of rows a key has after each level of the tree, for ``rows`` rows a task.
+
+    Levels of fan-in ``FAN_IN`` follow until ``FAN_IN`` rows a key are left and
+    all of them are small enough for the driver, which merges the last ones.
     """
-    keys = ["kind", "chrom", "c", "j"]
-    w = Window.partitionBy(*keys)
-    mean = F.when((F.col("kind") == K.STATS) & (F.col("j") >= 0) & (F.col("n") > 0),
-                  F.sum(F.col("n") * F.col("v")).over(w) / F.sum("n").over(w))
-    between = F.coalesce(F.col("n") * (F.col("v") - F.col("m")) * (F.col("v") - F.col("m")), F.lit(0.0))
-    return parts.withColumn("m", mean).groupBy(*keys).agg(
-        F.sum("n").alias("n"), F.coalesce(F.max("m"), F.sum("v")).alias("v"),
-        (F.sum("q") + F.sum(between)).alias("q"), F.sum("e").alias("e"))
+    out = []
+    while tasks > 1 and (tasks > K.FAN_IN or tasks * rows * 8 * (d + 6) > DRIVER_BYTES):
+        tasks = -(-tasks // K.FAN_IN)
+        out.append(tasks)
+    return out
+
+
+def merge_parts(parts: DataFrame, tasks: int, rows: int, d: int) -> DataFrame:
+    """Partial rows of ``K.PART_SCHEMA`` merged over tasks, level by level.
+
+    A level is one exchange on (kind, chrom, c, group of ``FAN_IN`` tasks), so
+    no task meets more than ``FAN_IN`` rows of a key and its rows fit ``MERGE_BYTES``.
+    """
+    for after in merge_levels(tasks, rows, d):
+        wide = -(-after * rows * K.FAN_IN * 8 * (d + 6) // MERGE_BYTES)
+        parts = parts.repartition(max(1, min(wide, after * rows)), "kind", "chrom", "c",
+                                  F.floor(F.col("part") / K.FAN_IN)).mapInArrow(K.merge_parts_fn(d, K.FAN_IN), K.PART_SCHEMA)
+    return parts
 
 
 def run_parts(df: DataFrame, fn, P: int, k: int, d: int) -> tuple[Stats, dict[int, tuple[float, int]]]:
-    """One pass: statistics and silhouette sums ``{slot: (sum, points)}``; at most
-    P*k*(d+1) merged rows reach the driver, the size of the centres themselves."""
-    tbl = merge_parts(df.mapInArrow(fn, K.PART_SCHEMA)).toArrow()
-    col = {name: tbl.column(name).to_numpy() for name in tbl.column_names}
+    """One pass: statistics and silhouette sums ``{slot: (sum, points)}``.
+
+    ``df`` is a narrow plan over a scan or a cached table.  Each task sends P*k
+    rows at most; the driver gets P*k rows, or as many from each of at most
+    ``FAN_IN`` tasks while they are under ``DRIVER_BYTES``.
+    """
+    rows = P * k + P
+    parts = merge_parts(df.mapInArrow(fn, K.PART_SCHEMA), df.rdd.getNumPartitions(), rows, d)
+    return read_parts(parts.toArrow(), P, k, d)
+
+
+def read_parts(tbl, P: int, k: int, d: int) -> tuple[Stats, dict[int, tuple[float, int]]]:
+    """The last merge, on the driver."""
+    col = K.Parts.read(tbl, d).merged()
     st = Stats.empty(P, k, d)
-    sel = col["kind"] == K.STATS
-    p, c, j = (col[x][sel] for x in ("chrom", "c", "j"))
-    head = j < 0
-    st.n[p[head], c[head]] = col["n"][sel][head]
-    st.E[p[head], c[head]] = col["e"][sel][head]
-    st.M[p[~head], c[~head], j[~head]] = col["v"][sel][~head]
-    np.add.at(st.W, (p, c), col["q"][sel])
-    sel = col["kind"] == K.SIL
-    return st, {int(a): (float(v), int(n)) for a, v, n in zip(col["chrom"][sel], col["v"][sel], col["n"][sel])}
+    sel = col.kind == K.STATS
+    p, c = col.chrom[sel], col.c[sel]
+    st.n[p, c], st.M[p, c], st.W[p, c], st.E[p, c] = col.n[sel], col.mean[sel], col.w[sel], col.e[sel]
+    return st, {int(a): (float(v), int(n)) for a, v, n in zip(col.chrom[~sel], col.w[~sel], col.n[~sel])}
+
+
+def run_sums(df: DataFrame, fn) -> dict[int, tuple[float, int]]:
+    """A pass that emits SIL rows only: ``{slot: (sum, points)}`` by Spark's own aggregate."""
+    rows = df.mapInArrow(fn, K.PART_SCHEMA).groupBy("chrom").agg(F.sum("w").alias("w"), F.sum("n").alias("n")).collect()
+    return {r["chrom"]: (r["w"], r["n"]) for r in rows}
 
 
 def _chunks(spec: K.KernelSpec, per_slot_bytes: int) -> list[tuple[int, int]]:
@@ -134,7 +164,7 @@ def run_silhouette(points: DataFrame, spec: K.KernelSpec, stats: Stats) -> np.nd
     for lo, hi in _chunks(spec, per_slot):
         pts, sub = _slice_sol(points, spec, lo, hi)
         fn = K.silhouette_partial_fn(sub, stats.n[lo:hi], stats.M[lo:hi], stats.W[lo:hi])
-        for p, (s, m) in run_parts(pts, fn, sub.P, sub.k, sub.d)[1].items():
+        for p, (s, m) in run_sums(pts, fn).items():
             if m:
                 fit[lo + p] = s / m
     used = (stats.n > 0).sum(axis=1)
@@ -178,6 +208,34 @@ def block_nearest(points: DataFrame, C: np.ndarray, keep: list[str]) -> DataFram
     return out
 
 
+def run_many_stats(labelled: DataFrame, spec: K.KernelSpec) -> Stats:
+    """Statistics of one labelling by more clusters than a task can keep an array of.
+
+    Tasks hold the clusters they meet, the tree merges rows of single clusters,
+    and the driver, which holds the k centres anyway, reads the merged rows in
+    blocks of clusters, each under the broadcast bound.
+    """
+    tasks = labelled.rdd.getNumPartitions()
+    parts = labelled.mapInArrow(K.sparse_stats_fn(spec), K.PART_SCHEMA)
+    while tasks > 1:
+        # Rows of a key by groups of tasks; the number of keys sizes the exchange.
+        tasks = -(-tasks // K.FAN_IN)
+        wide = max(1, min(tasks * spec.k, -(-tasks * spec.k * 8 * (spec.d + 6) * 2 // MERGE_BYTES)))
+        parts = parts.repartition(wide, "kind", "chrom", "c", F.floor(F.col("part") / K.FAN_IN)
+                                  ).mapInArrow(K.merge_parts_fn(spec.d, K.FAN_IN), K.PART_SCHEMA)
+    parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        st = Stats.empty(1, spec.k, spec.d)
+        step = max(1, K.MAX_CLOSURE_BYTES // (8 * (spec.d + 6)))
+        for lo in range(0, spec.k, step):
+            one = read_parts(parts.where((F.col("c") >= lo) & (F.col("c") < lo + step)).toArrow(), 1, spec.k, spec.d)[0]
+            for f in ("n", "M", "W", "E"):
+                getattr(st, f)[:, lo:lo + step] = getattr(one, f)[:, lo:lo + step]
+        return st
+    finally:
+        parts.unpersist()
+
+
 def stats_by_centres(points: DataFrame, C: np.ndarray) -> Stats:
     """A1/A5 of the nearest-centre labels of one chromosome: one pass, or
     centre blocks plus one statistics pass when the centres exceed the bound."""
@@ -186,7 +244,7 @@ def stats_by_centres(points: DataFrame, C: np.ndarray) -> Stats:
         return run_stats(points, K.KernelSpec(1, k, d, centers=C[None]))
     lab = block_nearest(points.select("row_id", "x"), C, ["row_id", "x"])
     framed = lab.select("row_id", "x", F.array("_bc").alias("sol"), "_bd")
-    return run_stats(framed, K.KernelSpec(1, k, d, sol_col="sol", e_col="_bd"))
+    return run_many_stats(framed, K.KernelSpec(1, k, d, sol_col="sol", e_col="_bd"))
 
 
 def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFrame:
@@ -223,14 +281,21 @@ def own_center_distance(assigned: DataFrame, centers: DataFrame, cluster: str =
     return joined.withColumn("d2", sq_dist("x", "cx")).drop("cx")
 
 
-def cluster_stats(df: DataFrame, cluster: str = "cluster", x: str = "x", d: int | None = None) -> DataFrame:
+def array_means(df: DataFrame, key: str, x: str = "x") -> DataFrame:
+    """``(key, n, center, sumsq)``: rows, mean vector and summed squared length of each group.
+
+    The vectors are averaged by Spark ML's array aggregate, whose partial result
+    is one vector a group and task: the plan does not grow with the dimension.
+    """
+    each = df.select(F.col(key).alias("key"), array_to_vector(x).alias("v"))
+    found = each.groupBy("key").agg(Summarizer.metrics("count", "mean", "normL2").summary(F.col("v")).alias("s"))
+    return found.select("key", F.col("s.count").alias("n"), vector_to_array("s.mean").alias("center"),
+                        F.aggregate(vector_to_array("s.normL2"), F.lit(0.0), lambda s, v: s + v * v).alias("sumsq"))
+
+
+def cluster_stats(df: DataFrame, cluster: str = "cluster", x: str = "x") -> DataFrame:
     """A1/A2/A12 with built-in aggregates: ``(c, n, center, sumsq)`` per cluster."""
-    d = d or dimension(df)
-    return df.groupBy(F.col(cluster).alias("c")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(F.col(x)[j]) for j in range(d)]).alias("center"),
-        F.sum(F.aggregate(F.transform(x, lambda v: v * v), F.lit(0.0), lambda a, b: a + b)).alias("sumsq"),
-    )
+    return array_means(df, cluster, x).withColumnRenamed("key", "c")
 
 
 def center_shift(old: DataFrame, new: DataFrame) -> DataFrame:

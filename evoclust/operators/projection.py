@@ -8,15 +8,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evoclust.operators.kmeans import dimension
+from evoclust.operators.kmeans import array_means
 
 
-def label_centers(points: DataFrame, label: str = "label", d: int | None = None) -> DataFrame:
-    """A4: mean point per true label ``(label, center)``."""
-    d = d or dimension(points)
-    return points.groupBy(F.col(label).alias("label")).agg(
-        F.array(*[F.avg(F.col("x")[j]) for j in range(d)]).alias("center")
-    )
+def label_centers(points: DataFrame, label: str = "label") -> DataFrame:
+    """A4: mean point per true label ``(label, center)``; rows without a label are one group."""
+    return array_means(points, label).select(F.col("key").alias("label"), "center")
 
 
 def project(points: DataFrame, centers=None, label_centres: DataFrame | None = None, k: int = 2,

@@ -132,3 +132,55 @@ def test_merge_is_independent_of_partitions(spark):
     x = (rng.normal(0, 1, (500, 2)) + 1e6).tolist()
     runs = [KMeansLloyd(k=4, n_iter=3, seed=1).fit(points_1d(spark, x, partitions=p)) for p in (1, 7)]
     assert np.allclose(runs[0].centers, runs[1].centers, rtol=1e-12) and np.allclose(runs[0].sse_history, runs[1].sse_history, rtol=1e-9)
+
+
+def test_array_means_plan_does_not_grow_with_the_dimension(spark):
+    from evoclust.operators.projection import label_centers
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 400)) + 1e4
+    df = spark.createDataFrame([(i, v.tolist(), i % 3 if i % 7 else None) for i, v in enumerate(x)],
+                               "row_id long, x array<double>, label int").repartition(5)
+    got = {r["label"]: r["center"] for r in label_centers(df).collect()}
+    lab = np.array([i % 3 if i % 7 else -1 for i in range(300)])
+    for key in (0, 1, 2, None):
+        assert np.allclose(got[key], x[lab == (-1 if key is None else key)].mean(0))
+    assert len(label_centers(df)._jdf.queryExecution().optimizedPlan().toString()) < 5000
+
+
+def test_parts_merge_in_a_tree_like_one_pass(spark, monkeypatch):
+    from evoclust.operators import kernels as K
+    from evoclust.operators import kmeans as M
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 3)) * 0.01 + 1e6  # far from the origin
+    pts = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id long, x array<double>").repartition(30)
+    C = x[:4]
+    want = M.run_stats(pts.coalesce(1), K.KernelSpec(1, 4, 3, centers=C[None]))
+    monkeypatch.setattr(K, "FAN_IN", 3)
+    for most in (16 << 20, 0):  # the driver merges the last level, or a level leaves a row for each cluster
+        monkeypatch.setattr(M, "DRIVER_BYTES", most)
+        assert M.merge_levels(30, 5, 3) == ([10, 4, 2] if most else [10, 4, 2, 1])
+        got = M.run_stats(pts, K.KernelSpec(1, 4, 3, centers=C[None]))
+        assert (got.n == want.n).all() and np.allclose(got.M, want.M, rtol=1e-14)
+        assert np.allclose(got.W, want.W, rtol=1e-6) and np.allclose(got.E, want.E, rtol=1e-9)
+    parts = pts.mapInArrow(K.partial_stats_fn(K.KernelSpec(1, 4, 3, centers=C[None])), K.PART_SCHEMA)
+    assert parts.count() <= 30 * 4  # a row for each task and cluster
+    merged = M.merge_parts(parts, 30, 5, 3)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and merged.count() <= 2 * 4
+
+
+def test_more_clusters_than_a_task_can_hold(spark, monkeypatch):
+    from evoclust.operators import kernels as K
+    from evoclust.operators import kmeans as M
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 2))
+    pts = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id long, x array<double>").repartition(6)
+    C = x[:200]
+    want = M.stats_by_centres(pts, C)
+    monkeypatch.setattr(K, "MAX_CLOSURE_BYTES", 60 * 2 * 8)  # four blocks of centres
+    monkeypatch.setattr(K.sparse_stats_fn, "__defaults__", (2000,))  # rows leave the task early
+    got = M.stats_by_centres(pts, C)
+    assert (got.n == want.n).all() and np.allclose(got.M, want.M) and np.allclose(got.W, want.W) and np.allclose(got.E, want.E)
