@@ -50,9 +50,9 @@ from .common import stored, table
 from .token_output import _BYTE_CHARACTERS, tokenizer_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CACHE, WORD_CHARS, GROUP_BYTES, ROWS = 400_000, 64, 1 << 20, 256
-#: Pairs a task holds before it sums them up.
-HELD = 2_000_000
+CACHE, WORD_CHARS, GROUP_BYTES, ROWS = 250_000, 64, 1 << 20, 256
+#: Pairs a task holds before it sums them up, documents whose pairs it reads at a time.
+HELD, READ = 500_000, 512
 BLANK = "▁"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary"
 
@@ -255,7 +255,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs: list[np.ndarray] = []
     times: list[np.ndarray] = []
     held = 0
-    for batch in batches:
+    for batch in (whole.slice(at, READ) for whole in batches for at in range(0, whole.num_rows, READ)):
         pair, time, _ = _read(batch.column("pairs"), batch.column("times"))
         if len(pair):
             pairs.append(pair)
@@ -272,7 +272,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _judge(batches: Iterator[pa.RecordBatch], counts) -> Iterator[pa.RecordBatch]:
     """n_best and count_sum of each document in place of its pairs."""
     pair, n, best = counts.value
-    for batch in batches:
+    for batch in (whole.slice(at, READ) for whole in batches for at in range(0, whole.num_rows, READ)):
         own, time, row = _read(batch.column("pairs"), batch.column("times"))
         at = np.searchsorted(pair, own)
         sums = np.zeros((2, batch.num_rows), np.int64)
