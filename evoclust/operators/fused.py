@@ -1,10 +1,13 @@
-"""Fused passes of one genetic generation (3 scans of the points instead of 6).
+"""Fused passes of one genetic generation.
 
-Pass A  children statistics (and, lazily, the previous generation's relabel).
 Pass B  children fitness  +  k-means candidate statistics of every slot a
         generation can end with (P parents and 2m children), computed
         speculatively so the KMO step needs no pass of its own.
-Pass C  candidate fitness of every slot.
+Pass C  candidate fitness of every slot  +  moments of its held and of its
+        candidate labels per segment of the next generation's cuts, which are
+        known before: they give the next children's statistics without a pass
+        (:mod:`evoclust.operators.segments`).
+Relabel the labels kept, written as the next version.
 
 Every pass is one ``mapInArrow`` kernel over the shared statistics of
 :mod:`evoclust.operators.kernels`, so decisions equal the unfused path.
@@ -15,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 
 from evoclust.operators import kernels as K
+from evoclust.operators.segments import segment_labels
 
 
 def children_and_candidates_fn(P: int, m2: int, k: int, d: int, child, centres):
@@ -42,20 +46,31 @@ def children_and_candidates_fn(P: int, m2: int, k: int, d: int, child, centres):
     return run
 
 
-def candidates_fn(P: int, k: int, d: int, centres, cand):
-    """Pass C: silhouette of every slot's candidate labels (nearest centre) from the candidate Stats."""
+def candidates_fn(P: int, k: int, d: int, centres, cand, bounds: list[int] | None = None):
+    """Pass C: silhouette of every slot's candidate labels (nearest centre) from the
+    candidate Stats.  With ``bounds`` also the moments per (segment, cluster) of the
+    held labels (``sol``, slots 0..P-1) and of the candidates (P..2P-1)."""
+    S = 0 if bounds is None else len(bounds) + 1
 
     def run(batches):
         s_sum, s_cnt = np.zeros(P), np.zeros(P, dtype=np.int64)
+        acc = K.Moments(2 * P if S else 0, S * k, d)
         for b in batches:
             if b.num_rows == 0:
                 continue
             X = K.matrix(b, "x", d)
+            zero = np.zeros(len(X))
+            if S:
+                sol = K.matrix(b, "sol", P, np.int64)
+                base = segment_labels(0, b.column(b.schema.get_field_index("pos")).to_numpy(), bounds, k)
             for p in range(P):
                 lab, _ = K.nearest(X, centres[p])
                 s_sum[p] += K.sil_values(X, lab, cand.n[p], cand.M[p], cand.W[p]).sum()
                 s_cnt[p] += X.shape[0]
-        yield K.sil_part(s_cnt, s_sum).batch()
+                if S:
+                    acc.add(p, base + sol[:, p], X, zero)
+                    acc.add(P + p, base + lab, X, zero)
+        yield K.Parts.concat([acc.part(), K.sil_part(s_cnt, s_sum, d)]).batch()
 
     return run
 

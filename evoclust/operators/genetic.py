@@ -1,10 +1,11 @@
 """Genetic k-means (G5-G15, R3-R7, F6, F9): the generation loop.
 
 Per generation: selection (driver decision, lazy slot permutation),
-crossover (children of all pairs evaluated in one stats pass and one fitness
-pass, ``pairing="disjoint"``; or pair by pair, ``pairing="ring"``, as the
-reference does), optional mutation, one k-means step per slot, and one
-checkpoint of the labels.  All random choices are seeded hashes (R0), so a
+crossover (one statistics pass for all pairs, as moments per segment of the
+cuts; the children's fitness in one pass, ``pairing="disjoint"``, or pair by
+pair, ``pairing="ring"``, where a later pair may hold earlier children),
+optional mutation, one k-means step per slot, and one version of the labels
+written (:mod:`evoclust.operators.store`; the points are never copied).  All random choices are seeded hashes (R0), so a
 run is reproducible whatever the partitioning and after task retries.
 """
 
@@ -29,14 +30,16 @@ from evoclust.operators.population import (
     base_cols,
     child_slot,
     fitness_of,
+    hold,
     init_population,
     kmo,
-    materialize,
     mutate,
     rotated_genes,
     rotated_slot,
 )
 from evoclust.operators.sampling import centers_array, sample_centers
+from evoclust.operators.segments import Segments, SegmentStats, segment_stats
+from evoclust.operators.store import PointStore
 from evoclust.sources.points import with_pos
 
 
@@ -107,6 +110,11 @@ class GeneticKMeansModel:
         """The labels held by the best chromosome."""
         return self.population.df.select("row_id", F.col("sol")[self.best].alias("cluster"))
 
+    def release(self) -> None:
+        """Delete the stored points and labels; :meth:`labels` can't be read any more."""
+        if self.population.store:
+            self.population.store.close()
+
     def transform(self, points: DataFrame) -> DataFrame:
         """Nearest best centre for new points."""
         return assign(points, self.centers)
@@ -153,8 +161,7 @@ class GeneticKMeans:
     elite: int = 5
     block_rows: int = DEFAULT_BLOCK_ROWS
     track_ari: bool = True
-    checkpoint_every: int = 5  # reliable checkpoint of the labels every N generations
-    fuse: bool = True  # 3 passes per generation instead of 6 (when the options allow)
+    fuse: bool = True  # 2 passes and the relabel per generation instead of 5 (when the options allow)
     _log: list = field(default_factory=list, repr=False)
 
     def _check(self):
@@ -184,18 +191,6 @@ class GeneticKMeans:
             return [(ranks[i], ranks[(i + 1) % m]) for i in range(m)]
         return [(ranks[i], ranks[i + 1]) for i in range(0, m - 1, 2)]
 
-    def _child_frame(self, pop: Population, pairs, cuts) -> tuple[DataFrame, list]:
-        """A frame and the columns on it that hold two children per pair."""
-        if self.second_child == "aligned":
-            cols = []
-            for (a, b), cut in zip(pairs, cuts):
-                cols += [child_slot(a, b, cut), child_slot(b, a, cut)]
-            return pop.df, cols
-        cols = []
-        for i, ((a, b), cut) in enumerate(zip(pairs, cuts)):
-            cols += [child_slot(a, b, cut), rotated_slot(i, a, b, cut, pop.n)]
-        return rotated_genes(pop.df, cuts, pop.n), cols
-
     def _child_centres(self, pop: Population, stats, pairs, gen: int, step: int) -> np.ndarray:
         """Means of the children's labels; an empty cluster takes the first parent's centre."""
         if self.child_centers == "means":
@@ -204,110 +199,135 @@ class GeneticKMeans:
         cen = sample_centers(pop.df, self.k, self.seed, list(range(P2)), tag=f"child{gen}.{step}")
         return centers_array(cen, P2, self.k, pop.d)
 
-    def _crossover_step(self, pop: Population, pairs, cuts, gen: int, step: int) -> Population:
-        frame, child_cols = self._child_frame(pop, pairs, cuts)
-        rotate = self.second_child == "rotate"
-        if rotate:
-            frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    @staticmethod
+    def _compete(P: int, pairs, fits) -> list[int]:
+        """Family competition: the source of each slot, children numbered from P on."""
+        src = list(range(P))
+        for i, (a, b) in enumerate(pairs):
+            cand = [a, b, P + 2 * i, P + 2 * i + 1]
+            win = family_competition([fits[c] for c in cand])
+            src[a], src[b] = cand[win[0]], cand[win[1]]
+        return src
+
+    def _aligned(self, pop: Population, pairs, cuts, gen: int) -> Population:
+        """All pairs of a generation from one statistics pass: a child, also of children,
+        is a genome over the segments of the cuts."""
+        seg = Segments(cuts)
+        moments, _ = segment_stats(pop.df, seg, pop.P, pop.k, pop.d)
+        genomes, centres, fits = seg.own(pop.P), pop.centers.copy(), np.array(pop.fitness)
+        stats = pop.stats
+        steps = [[i] for i in range(len(pairs))] if self.pairing == "ring" else [list(range(len(pairs)))]
+        for step, some in enumerate(steps):
+            mine = [pairs[i] for i in some]
+            made = [g for i in some for g in (seg.child(genomes[pairs[i][0]], genomes[pairs[i][1]], cuts[i]),
+                                              seg.child(genomes[pairs[i][1]], genomes[pairs[i][0]], cuts[i]))]
+            st = moments.merged(made)
+            children = pop.df.select("row_id", "x", F.array(*[seg.genes(g).cast("int") for g in made]).alias("sol"))
+            fit = fitness_of(children, st, K.KernelSpec(len(made), pop.k, pop.d, sol_col="sol"), self.fitness, self.block_rows)
+            now = Population(pop.df, centres, stats, fits, pop.n, pop.store)
+            own = self._child_centres(now, st, mine, gen, step)
+            every = np.concatenate([fits, fit])
+            src = self._compete(pop.P, mine, every)
+            genomes = [(genomes + made)[s] for s in src]
+            centres, fits, stats = np.concatenate([centres, own])[src], every[src], Stats.join([stats, st]).take(src)
+        df = pop.df.select(*base_cols(pop.df), F.array(*[seg.genes(g).cast("int") for g in genomes]).alias("sol"))
+        return Population(df, centres, stats, fits, pop.n, pop.store)
+
+    def _rotated(self, pop: Population, pairs, cuts, gen: int, step: int) -> Population:
+        """Q7 parity: the second child is rotated, so its genes cross the segments and it needs its own pass."""
+        cols = []
+        for i, ((a, b), cut) in enumerate(zip(pairs, cuts)):
+            cols += [child_slot(a, b, cut), rotated_slot(i, a, b, cut, pop.n)]
+        frame = rotated_genes(pop.df, cuts, pop.n).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            children = frame.select("row_id", "x", F.array(*child_cols).alias("sol"))
+            children = frame.select("row_id", "x", F.array(*cols).alias("sol"))
             st, fit = evaluate_slots_frame(children, 2 * len(pairs), self.k, pop.d, self.fitness, self.block_rows)
             centres = self._child_centres(pop, st, pairs, gen, step)
-            src = list(range(pop.P))
-            fits = list(pop.fitness) + list(fit)
-            for i, (a, b) in enumerate(pairs):
-                cand = [a, b, pop.P + 2 * i, pop.P + 2 * i + 1]
-                win = family_competition([fits[c] for c in cand])
-                src[a], src[b] = cand[win[0]], cand[win[1]]
-            cols = [F.col("sol")[p] for p in range(pop.P)] + child_cols
-            df = frame.select(*base_cols(pop.df), F.array(*[cols[c] for c in src]).alias("sol"))
-            if rotate:
-                df = materialize(df, True)  # a step adds a join: its plan must not nest in the next
+            fits = np.concatenate([pop.fitness, fit])
+            src = self._compete(pop.P, pairs, fits)
+            every = [F.col("sol")[p] for p in range(pop.P)] + cols
+            df = frame.select(*base_cols(pop.df), F.array(*[every[c] for c in src]).alias("sol"))
+            df = hold(df, pop.store)  # a step adds a join: its plan must not nest in the next
         finally:
-            if rotate:
-                frame.unpersist()
+            frame.unpersist()
         both = Stats.join([pop.stats, st])
-        return Population(df, np.concatenate([pop.centers, centres])[src], both.take(src), np.array(fits)[src], pop.n)
+        return Population(df, np.concatenate([pop.centers, centres])[src], both.take(src), fits[src], pop.n, pop.store)
+
+    def _plan(self, n: int, gen: int) -> tuple[list[tuple[int, int]], list[int]]:
+        """Pairs of slots and their cuts: known before the generation's data."""
+        pairs = self._pairs(crossover_ranks(self.population, self.crossover, self.seed, gen))
+        return pairs, [cut_point(n, self.seed, gen, i) for i in range(len(pairs))]
 
     def crossover_population(self, pop: Population, gen: int) -> Population:
         """G6/G7."""
-        ranks = crossover_ranks(pop.P, self.crossover, self.seed, gen)
-        pairs = self._pairs(ranks)
+        pairs, cuts = self._plan(pop.n, gen)
         if not pairs:
             return pop
-        cuts = [cut_point(pop.n, self.seed, gen, i) for i in range(len(pairs))]
+        if self.second_child == "aligned":
+            return self._aligned(pop, pairs, cuts, gen)
         if self.pairing == "ring":
             for i, (pair, cut) in enumerate(zip(pairs, cuts)):
-                pop = self._crossover_step(pop, [pair], [cut], gen, i)
+                pop = self._rotated(pop, [pair], [cut], gen, i)
             return pop
-        return self._crossover_step(pop, pairs, cuts, gen, 0)
+        return self._rotated(pop, pairs, cuts, gen, 0)
 
     # ------------------------------------------------------------ fused generation
 
     def _can_fuse(self, d: int) -> bool:
-        """Fused passes hold the centres and statistics of all parents and children at once."""
-        slots = self.population + 2 * (int(self.crossover * self.population) // 2)
+        """Fused passes hold the centres and statistics of all parents and children at once,
+        and the moments of every slot's two labellings in each segment."""
+        m = int(self.crossover * self.population) // 2
+        slots = self.population + 2 * m
+        most = max(2 * slots, 2 * self.population * (m + 1))
         return (self.fuse and self.pairing == "disjoint" and self.second_child == "aligned"
                 and self.child_centers == "means" and self.fitness == "squared" and self.mutation_rate == 0
-                and 2 * slots * self.k * d * 8 <= K.MAX_CLOSURE_BYTES)
+                and most * self.k * d * 8 <= K.MAX_CLOSURE_BYTES)
+
+    def _generation_fused(self, pop: Population, moments: SegmentStats, gen: int) -> tuple[Population, SegmentStats | None]:
+        """Crossover + KMO of one generation in two passes and the relabel (see ``operators.fused``).
 
-    def _generation_fused(self, pop: Population, gen: int, after_first_pass, reliable: bool):
-        """Crossover + KMO of one generation in three passes (see ``operators.fused``)."""
+        ``moments`` are those of ``pop`` in the segments of this generation's
+        cuts; the same for the next generation are returned.
+        """
         P, k, d = pop.P, pop.k, pop.d
-        ranks = crossover_ranks(P, self.crossover, self.seed, gen)
-        pairs = self._pairs(ranks)
-        cuts = [cut_point(pop.n, self.seed, gen, i) for i in range(len(pairs))]
-        child_cols = []
-        for (a, b), cut in zip(pairs, cuts):
-            child_cols += [child_slot(a, b, cut), child_slot(b, a, cut)]
-        m2 = len(child_cols)
-        parent_cols = [F.col("sol")[p] for p in range(P)]
-
-        # pass A: statistics of the children (materialises the previous relabel)
-        if m2:
-            frame_a = pop.df.select("row_id", "x", F.array(*child_cols).alias("sol"))
-            cst = run_stats(frame_a, K.KernelSpec(m2, k, d, sol_col="sol"))
-            after_first_pass()
-            all_centres = np.concatenate([pop.centers, self._child_centres(pop, cst, pairs, gen, 0)])
-        else:
-            cst, all_centres = Stats.empty(0, k, d), pop.centers
+        pairs, cuts = self._plan(pop.n, gen)
+        seg = Segments(cuts)
+        own = seg.own(P)
+        made = [g for (a, b), cut in zip(pairs, cuts) for g in (seg.child(own[a], own[b], cut), seg.child(own[b], own[a], cut))]
+        m2 = len(made)
+        cst = moments.merged(made) if m2 else Stats.empty(0, k, d)
+        all_centres = np.concatenate([pop.centers, self._child_centres(pop, cst, pairs, gen, 0)]) if m2 else pop.centers
         K.check_broadcast(all_centres, cst.M)
+        every = own + made
 
         # pass B: children fitness + candidate statistics of every possible slot content
-        frame_b = pop.df.select("row_id", "x", F.array(*parent_cols, *child_cols).alias("sol"))
+        frame_b = pop.df.select("row_id", "x", F.array(*[seg.genes(g) for g in every]).alias("sol"))
         cand_all, sil = run_parts(frame_b, children_and_candidates_fn(P, m2, k, d, cst, all_centres), P + m2, k, d)
-        if not m2:
-            after_first_pass()
         child_fit = np.array([sil[i][0] / sil[i][1] if sil.get(i, (0, 0))[1] else -1.0 for i in range(m2)])
         child_fit = np.where((cst.n > 0).sum(axis=1) >= 2, child_fit, -1.0)
 
         # family competition on the driver
-        src = list(range(P))
-        fit = list(pop.fitness) + list(child_fit)
-        for i, (a, b) in enumerate(pairs):
-            cand = [a, b, P + 2 * i, P + 2 * i + 1]
-            win = family_competition([fit[c] for c in cand])
-            src[a], src[b] = cand[win[0]], cand[win[1]]
+        fit = np.concatenate([pop.fitness, child_fit])
+        src = self._compete(P, pairs, fit)
         held = Stats.join([pop.stats, cst]).take(src)
-        fitness = np.array([fit[s] for s in src])
-        centres = all_centres[src]
+        fitness, centres = fit[src], all_centres[src]
         self._logpop(gen, "crossover", fitness)
-        slot_cols = [parent_cols[s] if s < P else child_cols[s - P] for s in src]
-        frame_c = pop.df.select(*base_cols(pop.df), F.array(*slot_cols).alias("sol"))
+        frame_c = pop.df.select("row_id", "pos", "x", F.array(*[seg.genes(every[s]) for s in src]).alias("sol"))
 
-        # pass C: candidate fitness
+        # pass C: candidate fitness, and moments for the next generation
         cand = cand_all.take(src)
-        sil = run_sums(frame_c.select("row_id", "x"), candidates_fn(P, k, d, centres, cand))
+        bounds = Segments(self._plan(pop.n, gen + 1)[1]).bounds if gen < self.generations else None
+        S = 0 if bounds is None else len(bounds) + 1
+        st, sil = run_parts(frame_c, candidates_fn(P, k, d, centres, cand, bounds), 2 * P, max(S, 1) * k, d)
         cand_fit = np.array([sil[p][0] / sil[p][1] if sil.get(p, (0, 0))[1] else -1.0 for p in range(P)])
         cand_fit = np.where((cand.n > 0).sum(axis=1) >= 2, cand_fit, -1.0)
         take = cand_fit > fitness if self.kmo == "better" else np.ones(P, dtype=bool)
         kept = Stats(np.where(take[:, None], cand.n, held.n), np.where(take[:, None, None], cand.M, held.M),
                      np.where(take[:, None], cand.W, held.W), np.zeros((P, k)))
         kept.E = kept.W.copy()
-        new_fit = np.where(take, cand_fit, fitness)
-        df = relabel(frame_c, centres, base_cols(frame_c), reassign=take)
-        df = materialize(df, True) if reliable else df.persist(StorageLevel.MEMORY_AND_DISK)
-        return Population(df, kept.means(centres), kept, new_fit, pop.n)
+        after = SegmentStats.of(st, S).take(np.where(take, P, 0) + np.arange(P)) if S else None
+        df = pop.store.commit(relabel(frame_c, centres, ["row_id"], reassign=take))
+        return Population(df, kept.means(centres), kept, np.where(take, cand_fit, fitness), pop.n, pop.store), after
 
     # ------------------------------------------------------------ fit
 
@@ -338,49 +358,30 @@ class GeneticKMeans:
         if label_col is not None and label_col != "label":
             points = points.withColumnRenamed(label_col, "label")
         track = label_col is not None and self.track_ari
-        pop = init_population(points, self.population, self.k, self.seed, self.fitness, self.block_rows,
-                              reliable=self.generations == 0)
-        self._logpop(0, "init", pop.fitness)
-        fit_h, sse_h, ari_h, cen_h = [], [], [], []
-        older = None
-        cached = pop.df if self.generations else None  # released once a later frame is computed
-        fused = self._can_fuse(pop.d)
-        for gen in range(1, self.generations + 1):
-            src = select_survivors(pop.fitness, self.survival, self.seed, gen, self.elite)
-            pop = pop.take(src)
-            self._logpop(gen, "selection", pop.fitness)
-            if fused:
-                # ``cached`` (this generation's input) is computed lazily by the
-                # first pass below from ``older``, which can go right after it
-                reliable = gen % max(self.checkpoint_every, 1) == 0 or gen == self.generations
-                release = [older] if older is not None else []
-
-                def after_first_pass(release=release):
-                    for df in release:
-                        df.unpersist()
-                    release.clear()
-
-                pop = self._generation_fused(pop, gen, after_first_pass, reliable)
-                after_first_pass()
-                if reliable:  # the new labels are on reliable storage: drop every cache
-                    if cached is not None:
-                        cached.unpersist()
-                    older, cached = None, None
+        store = PointStore(points.select(*base_cols(points)))
+        try:
+            pop = init_population(points, self.population, self.k, self.seed, self.fitness, self.block_rows, store)
+            self._logpop(0, "init", pop.fitness)
+            fit_h, sse_h, ari_h, cen_h = [], [], [], []
+            moments = None
+            if self.generations and self._can_fuse(pop.d):
+                moments, _ = segment_stats(pop.df, Segments(self._plan(pop.n, 1)[1]), pop.P, pop.k, pop.d)
+            for gen in range(1, self.generations + 1):
+                src = select_survivors(pop.fitness, self.survival, self.seed, gen, self.elite)
+                pop = pop.take(src)
+                self._logpop(gen, "selection", pop.fitness)
+                if moments is not None:
+                    pop, moments = self._generation_fused(pop, moments.take(src), gen)
                 else:
-                    older, cached = cached, pop.df
+                    pop = self.crossover_population(pop, gen)
+                    self._logpop(gen, "crossover", pop.fitness)
+                    if self.mutation_rate > 0:
+                        pop = mutate(pop, self.mutation_rate, self.seed, gen, self.fitness, self.block_rows)
+                    pop, _ = kmo(pop, self.kmo, self.fitness, self.block_rows)
                 self._record(pop, gen, track, fit_h, sse_h, ari_h, cen_h)
-                continue
-            pop = self.crossover_population(pop, gen)
-            self._logpop(gen, "crossover", pop.fitness)
-            if self.mutation_rate > 0:
-                pop = mutate(pop, self.mutation_rate, self.seed, gen, self.fitness, self.block_rows)
-            reliable = gen % max(self.checkpoint_every, 1) == 0 or gen == self.generations
-            previous = cached
-            pop, _ = kmo(pop, self.kmo, self.fitness, self.block_rows, checkpoint=reliable)
-            cached = None if reliable else pop.df
-            if previous is not None:
-                previous.unpersist()
-            self._record(pop, gen, track, fit_h, sse_h, ari_h, cen_h)
+        except BaseException:
+            store.close()
+            raise
         best = rank_order(pop.fitness)[0]
         return GeneticKMeansModel(pop, best, fit_h, sse_h, ari_h, cen_h, list(self._log))
 

@@ -281,6 +281,12 @@ class KernelSpec:
                           sol_col or self.sol_col, pick(self.reassign), self.root_e, self.e_col)
 
 
+def own_distances(X: np.ndarray, C: np.ndarray, lab: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to the centre of its label."""
+    diff = X - C[lab]
+    return np.einsum("ij,ij->i", diff, diff)
+
+
 def _labels(spec: KernelSpec, batch: pa.RecordBatch, X: np.ndarray):
     """Yield (p, labels, e) for every chromosome slot of a batch."""
     sol = matrix(batch, spec.sol_col, spec.P, np.int64) if spec.sol_col else None
@@ -291,8 +297,7 @@ def _labels(spec: KernelSpec, batch: pa.RecordBatch, X: np.ndarray):
         else:
             lab = sol[:, p].astype(np.int32)
             if spec.own_centers is not None:
-                diff = X - spec.own_centers[p][lab]
-                e = np.einsum("ij,ij->i", diff, diff)
+                e = own_distances(X, spec.own_centers[p], lab)
             elif spec.e_col is not None:
                 e = batch.column(batch.schema.get_field_index(spec.e_col)).to_numpy(zero_copy_only=False)
             else:

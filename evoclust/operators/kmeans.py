@@ -177,15 +177,15 @@ def relabel(points: DataFrame, centers: np.ndarray, keep: list[str], sol_col: st
     slots in ``reassign`` (all when None), held labels elsewhere.  Slots are
     split into chained narrow passes when the centres exceed the bound."""
     P, k, d = centers.shape
-    per_slot = k * d * 8
-    spec = K.KernelSpec(P, k, d)
+    chunks = _chunks(K.KernelSpec(P, k, d), k * d * 8)
     out = points
-    fields = [points.schema[c] for c in keep] + [T.StructField("sol", T.ArrayType(T.IntegerType()))]
-    for lo, hi in _chunks(spec, per_slot):
+    for lo, hi in chunks:
         src_sol = sol_col if lo == 0 else "sol"
-        cols = keep + ([src_sol] if src_sol and src_sol in out.columns and src_sol not in keep else [])
+        held = keep if hi == P or "x" in keep else [*keep, "x"]  # a later chunk needs x
+        cols = list(dict.fromkeys([*keep, "x"])) + ([src_sol] if src_sol and src_sol in out.columns and src_sol not in keep else [])
+        fields = [points.schema[c] for c in held] + [T.StructField("sol", T.ArrayType(T.IntegerType()))]
         out = out.select(*cols).mapInArrow(
-            K.relabel_fn(P, k, d, centers[lo:hi], lo, reassign, keep, src_sol), T.StructType(fields)
+            K.relabel_fn(P, k, d, centers[lo:hi], lo, reassign, held, src_sol), T.StructType(fields)
         )
     return out
 

@@ -22,6 +22,7 @@ from evoclust.operators import kernels as K
 from evoclust.operators.internal import DEFAULT_BLOCK_ROWS, exact_silhouettes
 from evoclust.operators.kmeans import Stats, relabel, run_silhouette, run_stats
 from evoclust.operators.sampling import centers_array, sample_centers
+from evoclust.operators.store import PointStore
 from evoclust.session import cut_lineage
 
 
@@ -37,6 +38,7 @@ class Population:
     stats: Stats  # statistics of the labels held in sol
     fitness: np.ndarray  # (P,)
     n: int
+    store: PointStore | None = None  # where the labels of df are written; None: df is cached or checkpointed whole
 
     @property
     def P(self) -> int:
@@ -58,7 +60,7 @@ class Population:
         """A population whose slot p is a copy of slot src[p] (lazy)."""
         src = [int(s) for s in src]
         df = self.df.select(*base_cols(self.df), F.array(*[F.col("sol")[s] for s in src]).alias("sol"))
-        return Population(df, self.centers[src].copy(), self.stats.take(src), self.fitness[src].copy(), self.n)
+        return Population(df, self.centers[src].copy(), self.stats.take(src), self.fitness[src].copy(), self.n, self.store)
 
 
 def slots(cols: list[Column]) -> Column:
@@ -126,21 +128,22 @@ def evaluate_slots(base: DataFrame, cols: list[Column], k: int, d: int,
 
 
 def init_population(points: DataFrame, P: int, k: int, seed: int = 0, kind: str = "squared",
-                    block_rows: int = DEFAULT_BLOCK_ROWS, reliable: bool = True) -> Population:
+                    block_rows: int = DEFAULT_BLOCK_ROWS, store: PointStore | None = None) -> Population:
     """P chromosomes, each k sampled centres (R1 with tag = chrom) and
-    nearest-centre labels, all slots filled in one pass.  ``reliable=False``
-    persists the labels lazily (the statistics pass computes them) and leaves
-    the checkpoint to the caller's schedule."""
-    base = points.select(*base_cols(points))
+    nearest-centre labels, all slots filled in one pass, written as the first
+    version of ``store`` (else the labelled points are checkpointed whole)."""
+    base = store.points if store else points.select(*base_cols(points))
     d = len(base.select("x").first()["x"])
     centres = centers_array(sample_centers(base, k, seed, list(range(P))), P, k, d)
-    labels = relabel(base, centres, base_cols(base), sol_col=None)
-    df = cut_lineage(labels) if reliable else labels.persist(StorageLevel.MEMORY_AND_DISK)
+    if store:
+        df = store.commit(relabel(base, centres, ["row_id"], sol_col=None))
+    else:
+        df = cut_lineage(relabel(base, centres, base_cols(base), sol_col=None))
     lab_spec = K.KernelSpec(P, k, d, own_centers=centres, sol_col="sol")
     st = run_stats(df, lab_spec)
     n = int(st.n[0].sum())
     fit = fitness_of(df, st, lab_spec, kind, block_rows)
-    return Population(df, centres, st, fit, n)
+    return Population(df, centres, st, fit, n, store)
 
 
 def from_labels(points: DataFrame, centers: np.ndarray, kind: str = "squared",
@@ -182,12 +185,14 @@ def mutate(pop: Population, rate: float, seed: int, gen: int, kind: str = "squar
     spec = K.KernelSpec(pop.P, pop.k, pop.d, sol_col="sol")
     st = run_stats(df, spec)
     st.E = st.W.copy()  # the centres are the means
-    return Population(df, st.means(pop.centers), st, fitness_of(df, st, spec, kind, block_rows), pop.n)
+    return Population(df, st.means(pop.centers), st, fitness_of(df, st, spec, kind, block_rows), pop.n, pop.store)
 
 
-def materialize(df: DataFrame, reliable: bool) -> DataFrame:
-    """Compute ``df`` once: a reliable checkpoint (lineage cut, survives executor
-    loss) or a persisted copy (lineage kept back to the last checkpoint)."""
+def hold(df: DataFrame, store: PointStore | None, reliable: bool = True) -> DataFrame:
+    """A frame whose labels are computed once: the next version of ``store``; without
+    one, a checkpoint of it all, or (not ``reliable``) a persisted copy."""
+    if store:
+        return store.commit(df.select("row_id", "sol"))
     if reliable:
         return cut_lineage(df)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -203,7 +208,7 @@ def kmo(pop: Population, accept: str = "better", kind: str = "squared",
     candidate statistics; pass 2 scores the candidates; the driver keeps a
     candidate when its silhouette is higher (or always); centres become the
     means of the labels held (empty clusters keep their centre); the new
-    ``sol`` is materialised once and checkpointed.
+    ``sol`` is computed once and written (:func:`hold`).
     """
     P, k, d = pop.P, pop.k, pop.d
     cand_spec = K.KernelSpec(P, k, d, centers=pop.centers)
@@ -230,8 +235,9 @@ def kmo(pop: Population, accept: str = "better", kind: str = "squared",
     fitness = np.where(take, cand_fit, pop.fitness)
     centres = held.means(pop.centers)
     held.E = held.W.copy()  # the new centres are the means of the held labels
-    df = materialize(relabel(pop.df, pop.centers, base_cols(pop.df), reassign=take), checkpoint)
-    return Population(df, centres, held, fitness, pop.n), take
+    df = hold(relabel(pop.df, pop.centers, ["row_id"] if pop.store else base_cols(pop.df), reassign=take),
+              pop.store, checkpoint)
+    return Population(df, centres, held, fitness, pop.n, pop.store), take
 
 
 def rescale_fitness(fitness: np.ndarray, c: float = 2.0) -> np.ndarray:

@@ -96,8 +96,7 @@ def test_population_and_mutation(spark):
 @pytest.mark.parametrize("pairing,second", [("disjoint", "aligned"), ("ring", "rotate")])
 def test_fit_best_fitness_never_falls(spark, pairing, second):
     pts = embedding_points(spark, SF_SMALL, pos=True)
-    ga = GeneticKMeans(population=4, k=5, generations=3, seed=1, pairing=pairing, second_child=second,
-                       checkpoint_every=2)
+    ga = GeneticKMeans(population=4, k=5, generations=3, seed=1, pairing=pairing, second_child=second)
     m = ga.fit(pts)
     h = m.fitness_history
     assert all(b >= a - 1e-12 for a, b in zip(h, h[1:]))
@@ -135,9 +134,9 @@ def test_chunked_passes_give_the_same_population(spark, monkeypatch):
 
 
 def test_fused_generations_equal_unfused(spark):
-    """The 3-pass generation takes the same decisions as the 6-pass one."""
+    """The fused generation takes the same decisions as the one with a pass for each step."""
     pts = embedding_points(spark, SF_SMALL, pos=True)
-    kw = dict(population=6, k=5, generations=3, seed=4, checkpoint_every=2)
+    kw = dict(population=6, k=5, generations=3, seed=4)
     a = GeneticKMeans(fuse=True, **kw).fit(pts)
     b = GeneticKMeans(fuse=False, **kw).fit(pts)
     assert np.allclose(a.fitness_history, b.fitness_history, atol=1e-12)
@@ -212,3 +211,93 @@ def test_rotated_children_take_one_join(spark):
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     for r in got.collect():
         assert [g[0] for g in r["_rot"]] == [(r["pos"] + c) % 6 for c in (1, 2, 4, 5)]
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_points_are_written_once_and_labels_join_without_exchange(spark):
+    from evoclust.operators.store import PointStore
+
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = PointStore(pts, buckets=4)
+        pop = init_population(pts, 3, 4, seed=5, store=store)
+        for step in range(3):
+            assert _exchanges(pop.df) == 0 and pop.df.count() == store.n
+            # The version's files hold ids and labels, and the next version comes from it without a shuffle.
+            assert spark.read.parquet(f"{store.root}/labels_{store.version}").columns == ["row_id", "sol"]
+            pop, _ = kmo(pop, "always")
+        assert len(store.tables) == 3  # the points and the last two versions
+        whole = kmo(kmo(kmo(init_population(pts, 3, 4, seed=5), "always")[0], "always")[0], "always")[0]
+        key = lambda df: sorted((r["row_id"], tuple(r["sol"])) for r in df.select("row_id", "sol").collect())
+        assert key(pop.df) == key(whole.df)
+        store.close()
+        assert not store.tables and not spark.sql("SHOW TABLES").where("tableName LIKE 'evoclust_%labels%'").where(
+            F.col("tableName").contains(store.root.rsplit("-", 1)[-1])).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    with pytest.raises(ValueError, match="unique"):
+        PointStore(pts.union(pts.limit(1)))
+
+
+def test_a_fit_keeps_no_copy_of_the_points(spark, tmp_path):
+    """Whatever the number of generations, x is in one folder of the store."""
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    m = GeneticKMeans(population=4, k=4, generations=3, seed=2).fit(pts)
+    import glob
+
+    root = m.population.store.root.removeprefix("file:")
+    folders = {f.rsplit("/", 2)[-2] for f in glob.glob(f"{root}/*/*.parquet")}
+    assert folders == {"points", "labels_2", "labels_3"}
+    assert m.labels().count() == pts.count()
+    m.release()
+    assert not glob.glob(f"{root}/*")
+
+
+def test_children_of_children_are_merged_segments(spark):
+    from evoclust.operators.population import slots
+    from evoclust.operators.segments import Segments, segment_stats
+
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    pop = init_population(pts, 4, 5, seed=3)
+    cuts = [100, 300, 100, 37]
+    seg = Segments(cuts)
+    assert seg.bounds == [37, 100, 300] and seg.S == 4
+    moments, e = segment_stats(pop.df, seg, 4, 5, pop.d, pop.centers)
+    assert np.allclose(e, pop.stats.E) and np.allclose(moments.merged(seg.own(4)).M, pop.stats.M)
+    own = seg.own(4)
+    c1 = seg.child(own[0], own[1], 100)
+    c2 = seg.child(c1, own[2], 300)  # a child of a child
+    c3 = seg.child(own[3], c2, 37)
+    assert c3 == [3, 0, 1, 2]
+    got = moments.merged([c1, c2, c3])
+    rows = sorted(pop.df.select("pos", "x", slots([seg.genes(g) for g in (c1, c2, c3)]).alias("child"), "sol").collect())
+    X = np.array([r["x"] for r in rows])
+    for i, g in enumerate((c1, c2, c3)):
+        lab = np.array([r["sol"][g[int(np.searchsorted(seg.bounds, r["pos"], "right"))]] for r in rows])
+        assert [r["child"][i] for r in rows] == lab.tolist()
+        for c in range(5):
+            part = X[lab == c]
+            assert got.n[i, c] == len(part)
+            if len(part):
+                assert np.allclose(got.M[i, c], part.mean(0)) and np.isclose(got.W[i, c], ((part - part.mean(0)) ** 2).sum())
+
+
+def test_ring_generation_has_one_statistics_job(spark, monkeypatch):
+    from evoclust.operators import genetic as G
+
+    seen = []
+    real = G.segment_stats
+    monkeypatch.setattr(G, "segment_stats", lambda *a, **k: seen.append(1) or real(*a, **k))
+    monkeypatch.setattr(G, "run_stats", lambda *a, **k: seen.append("pair"))
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    ga = GeneticKMeans(population=10, k=4, seed=3, pairing="ring")
+    pop = init_population(pts, 10, 4, seed=3)
+    out = ga.crossover_population(pop, 1)
+    assert seen == [1]
+    fresh = from_labels(out.df, out.centers)  # the statistics and fitness of what came out, computed anew
+    assert np.allclose(fresh.fitness, out.fitness, atol=1e-12) and np.allclose(fresh.stats.M, out.stats.M)
