@@ -22,9 +22,11 @@ totals of the parts (one row per part).
 
 The tokenizer drops white space and none of its tokens spans any, so a text's
 ids are those of its pieces between ASCII blanks; each worker keeps the ids of
-up to ``CACHE`` pieces.  The dictionary is trained on at most ``SAMPLE_DOCS``
-documents of at most ``SAMPLE_BYTES`` bytes (lowest hashes); with too few to
-train on there is none (an empty dictionary).
+up to ``CACHE`` pieces.  The dictionary is trained on the id arrays of at most
+``SAMPLE_DOCS`` documents of any length (the lowest hash in each hash bucket, so
+repeated rows count once), of those over ``SAMPLE_BYTES`` bytes on ``PARTS`` slices
+at places chosen by hash; where zstandard refuses to train on so little, the
+arrays themselves are the dictionary.
 
 Defined cases: a null or empty text yields the end id alone; null doc_ids come
 last; repeated rows are documents each; an empty table gives empty tables;
@@ -53,7 +55,7 @@ from evoclust.session import ensure_checkpoint_dir
 from .common import shuffle_partitions, table
 
 MAGIC, END_ID, LEVEL = b"TKZ1", 1, 3
-SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 65_536
+SAMPLE_DOCS, SAMPLE_BYTES, PARTS, DICTIONARY_BYTES = 1024, 16_384, 16, 65_536
 SEGMENT_DOCS, SEGMENT_IDS = 1024, 4_000_000
 CACHE = 500_000
 SEGMENTS = ("part int, segment int, first_id long, last_id long, n_docs int, n_tokens long, payload binary")
@@ -209,17 +211,19 @@ def _write(batches: Iterator[pa.RecordBatch], tokenizer, dictionary, end_id: int
 
 def train_dictionary(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID, id_col: str = "doc_id",
                      text_col: str = "text") -> bytes:
-    """A dictionary trained on the id arrays of a bounded sample; empty if there is too little to train on."""
-    key = F.xxhash64(F.col(id_col), F.col(text_col))
-    short = docs.where(F.octet_length(text_col) <= SAMPLE_BYTES)
-    least = short.select(key.alias("__k")).orderBy("__k").limit(SAMPLE_DOCS).distinct()
-    picked = short.withColumn("__k", key).join(F.broadcast(least), "__k", "left_semi").select(
-        F.col("__k"), F.col(text_col).cast("binary").alias("raw")).dropDuplicates(["__k"]).collect()
-    samples = Encoder(tokenizer_json, end_id).batch([bytes(r["raw"]) for r in sorted(picked, key=lambda r: r["__k"])])
+    """A dictionary from the id arrays of a bounded sample; empty only if there is no document."""
+    raw, part = F.coalesce(F.col(text_col), F.lit("")).cast("binary"), SAMPLE_BYTES // PARTS
+    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("k"), raw.alias("raw"))
+    least = rows.groupBy(F.pmod("k", F.lit(SAMPLE_DOCS))).agg(F.min("k").alias("k")).select("k")
+    room = F.octet_length("raw") - part
+    slices = F.array(*(F.substring("raw", F.pmod(F.xxhash64("k", F.lit(i)), room).cast("int") + 1, F.lit(part)) for i in range(PARTS)))
+    picked = rows.join(F.broadcast(least), "k", "left_semi").select(
+        "k", F.when(F.octet_length("raw") <= SAMPLE_BYTES, F.array("raw")).otherwise(slices).alias("some")).dropDuplicates(["k"]).collect()
+    samples = Encoder(tokenizer_json, end_id).batch([bytes(t) for r in sorted(picked, key=lambda r: r["k"]) for t in r["some"]])
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b""
+        return (b"".join(samples) * 8)[-DICTIONARY_BYTES:]  # zstandard reads no less than 8 bytes
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id",

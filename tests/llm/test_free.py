@@ -333,6 +333,28 @@ def test_a_dictionary_is_trained_where_there_is_enough(spark, tmp_path):
     assert token_output.read_tokens(spark, path, False).count() == docs.count()
 
 
+def test_long_and_few_documents_have_a_dictionary(spark, tmp_path):
+    """All documents long, or one short one: the dictionary is there, and every document is read back."""
+    rng = np.random.default_rng(0)
+    vocab = [f"w{i}" for i in range(3000)]
+    long = [(i, " ".join(rng.choice(vocab, 5000))) for i in range(30)]
+    for n, data in enumerate((long, [(1, "a")], [(1, None)], [(5, "same text")] * 50)):
+        path = str(tmp_path / f"t{n}")
+        docs = spark.createDataFrame(data, "doc_id long, text string").repartition(2)
+        token_output.write_tokens(docs, path, token_output.tokenizer_path())
+        d = bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
+        assert len(d) >= (10_000 if n == 0 else 8)
+        tok = __import__("tokenizers").Tokenizer.from_file(token_output.tokenizer_path())
+        want = Counter(tuple(tok.encode(t or "", add_special_tokens=False).ids + [1]) for _, t in data)
+        assert Counter(tuple(r["ids"]) for r in token_output.read_tokens(spark, path).collect()) == want
+    # Slices, not prefixes: what only stands at the ends of long texts is learned too.
+    tail = [(i, "x " * 30_000 + "unusual tail words here " * 2000) for i in range(4)]
+    docs = spark.createDataFrame(tail, "doc_id long, text string")
+    encoder = token_output.Encoder(open(token_output.tokenizer_path()).read())
+    assert encoder.batch([b"unusual tail words here"])[0][:-2] in token_output.train_dictionary(
+        docs, open(token_output.tokenizer_path()).read())
+
+
 def test_no_documents_no_tokens(spark):
     assert token_output.encoded(frame(spark, [], 1)).count() == 0
 
