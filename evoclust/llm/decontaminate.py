@@ -19,7 +19,8 @@ windows, a bound that is checked: more windows run in more passes.
 Defined cases: null texts have no words; an item without words has no window;
 items with the same id are one item, a null item_id counts as an item with an
 empty id; rows with equal (doc_id, text) get equal results, also for a null
-doc_id; empty tables give no hits; extra columns stay in :func:`clean`.
+doc_id; empty tables give no hits; the input's columns stay in :func:`clean`,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -112,8 +113,10 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_rows: in
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item; same columns."""
     bad = hits(docs, items, id_col=id_col, text_col=text_col, **options).select(
-        F.col("id").alias("__id"), F.col("tk").alias("__tk"))
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__tk")), "left_anti")
+        F.col("id").alias("bad_id"), F.col("tk").alias("bad_tk"))
+    # The row travels in one struct: no column of it can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"))
+    return rows.join(bad, F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("tk") == F.col("bad_tk")), "left_anti").select("row.*")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ line without blanks (space, 09-0D) at both ends and with A-Z lower-cased.
 Defined cases: a null or empty text is one empty line; keys shorter than
 ``min_chars`` are never dropped; rows with equal (doc_id, text) get equal
 results, also when ``doc_id`` is null; an empty table gives an empty result;
-extra input columns are carried through by :func:`drop_common_lines`.
+the input's columns are carried through by :func:`drop_common_lines`, whatever
+their names; those named ``n_lines`` or ``n_dropped`` are replaced.
 
 Plan: the text itself is shuffled once, in the last join.  What else moves
 are rows of (document key, line positions, 128-bit line hash).  The count is
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, ascii_lower, text_of
 
-KEY, LINES, DROPPED = "__line_key", "__lines", "__dropped"
 SALTS = 16
 
 
@@ -71,19 +71,20 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
         .withColumn("salt", F.pmod(F.xxhash64("id", "tk", "pos"), F.lit(SALTS)).cast("int"))
         .join(common, ["h", "salt"])
         .groupBy("id", "tk")
-        .agg(F.collect_set("pos").alias(DROPPED))
+        .agg(F.collect_set("pos").alias("dropped"))
     )
-    named = hits.select(F.col("id").alias("__id"), F.col("tk").alias(KEY), DROPPED)
-    left = docs.withColumn("__tk", _document_key(text_col))
-    joined = left.join(named, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__tk") == F.col(KEY)), "left")
-    lines = F.split(text_of(text_col), "\n")
-    dropped = F.coalesce(F.col(DROPPED), F.array().cast("array<int>"))
-    cut = joined.withColumn(LINES, lines).withColumn("n_lines", F.size(LINES).cast("long")).withColumn(
-        "n_dropped", F.size(dropped).cast("long"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(LINES) - 1), dropped)
-    text = F.when(F.col("n_dropped") == 0, text_of(text_col)).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.col(LINES)[i]), "\n"))
-    return cut.withColumn(text_col, text).drop(LINES, DROPPED, "__id", "__tk", KEY)
+    named = hits.select(F.col("id").alias("hit_id"), F.col("tk").alias("hit_tk"), "dropped")
+    # The row travels in one struct: no column of it can clash.
+    left = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), _document_key(text_col).alias("tk"),
+                       text_of(text_col).alias("text"))
+    joined = left.join(named, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("tk") == F.col("hit_tk")), "left")
+    cut = joined.select("row", "text", F.split("text", "\n").alias("lines"),
+                        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
+    text = F.when(F.size("dropped") == 0, F.col("text")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.col("lines")[i]), "\n"))
+    kept = [text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return cut.select(*kept, F.size("lines").cast("long").alias("n_lines"), F.size("dropped").cast("long").alias("n_dropped"))
 
 
 def op6_line_dedup(spark, sf_dir) -> DataFrame:

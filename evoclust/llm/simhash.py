@@ -20,9 +20,8 @@ Defined cases: a null text has no words; without words the fingerprint is
 zero and linked like any other; fewer words than the shingle length make one
 shingle of the whole; a null doc_id is never the smallest of a group unless
 all are null (component_id is then null); repeated rows are kept as rows;
-an empty table gives an empty result; extra columns stay in
-:func:`one_of_each`, except that names starting with two underscores are the
-operators' own.
+an empty table gives an empty result; the input's columns stay in
+:func:`one_of_each`, whatever their names.
 
 Segments: with N distinct fingerprints a segment of about log2(N) bits keeps
 buckets of unrelated fingerprints at a few entries: ``SEGMENTS`` (22, 21, 21
@@ -243,8 +242,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
     ``tk`` is xxhash64 of the text; ``root`` a fingerprint that names the group.
     """
-    rows = docs.select(id_col, F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("__text"))
-    marked = stored(fingerprints(rows, shingle, "__text").select(id_col, "tk", "fp"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("__text"))
+    marked = stored(fingerprints(rows, shingle, "__text").select(F.col("id").alias(id_col), "tk", "fp"))
     own = stored(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
     roots = components(links(own, distance, **options))
     member = own.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -257,10 +256,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     """The row of ``docs`` with the smallest id of each group, nulls last; same columns."""
     groups = near_duplicates(docs, shingle, distance, id_col, text_col, **options)
     keep = groups.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), "tk")).alias("k")
-                                      ).select(F.col("k.id").alias("__id"), F.col("k.tk").alias("__tk"))
-    rows = docs.withColumn("__key", F.xxhash64(text_col))
-    one = rows.join(keep, rows[id_col].eqNullSafe(keep["__id"]) & (rows["__key"] == keep["__tk"]), "left_semi")
-    return one.dropDuplicates([id_col, "__key"]).select(*docs.columns)
+                                      ).select(F.col("k.id").alias("keep_id"), F.col("k.tk").alias("keep_tk"))
+    # The row travels in one struct: no column of it can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"))
+    one = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("tk") == F.col("keep_tk")), "left_semi")
+    return one.dropDuplicates(["id", "tk"]).select("row.*")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,3 +183,27 @@ def test_crc_and_sha_are_the_usual_ones(spark):
     r = spark.createDataFrame([("é",)], "t string").selectExpr("crc32(cast(t as binary)) c", "sha2(cast(t as binary), 256) s").first()
     assert r["c"] == zlib.crc32("é".encode()) and r["s"] == hashlib.sha256("é".encode()).hexdigest()
     assert SCHEMA
+
+
+CLASHING = ("doc_id long, text string, __id long, __tk long, __lines int, __line_key string, row string, id int, tk int, dropped int, "
+            "lines int, hit_id int, bad_id int, items string, keep_id int, fp int, root int")
+
+
+def test_columns_of_any_name_stay(spark):
+    from evoclust.llm import simhash
+
+    rows = [(i, t) + tuple(-j if k not in (5, 6, 13) else f"v{j}" for j, k in enumerate(range(2, 17)))
+            for i, t in [(1, "shared line\none two three"), (2, "Shared line \nfour"), (3, None), (None, "shared line"), (4, "alone here")]]
+    docs = spark.createDataFrame(rows, CLASHING).repartition(2)
+    out = line_dedup.drop_common_lines(docs, min_docs=3)
+    assert out.columns == [*docs.columns, "n_lines", "n_dropped"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert got[1]["text"] == "one two three" and got[1]["n_dropped"] == 1 and got[3]["text"] == "" and got[None]["text"] == ""
+    assert all(tuple(r)[2:17] == rows[0][2:] for r in got.values())
+    again = line_dedup.drop_common_lines(out, min_docs=3)
+    assert again.columns == out.columns  # its own counts are replaced
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    clean = decontaminate.clean(docs, bench)
+    assert clean.schema == docs.schema and {r["doc_id"] for r in clean.collect()} == {2, 3, None, 4}
+    one = simhash.one_of_each(docs.unionByName(docs))
+    assert one.schema == docs.schema and one.count() == 5
