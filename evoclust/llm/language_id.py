@@ -14,8 +14,9 @@ context crosses the cuts.
 
 The network is trained here, in numpy, by backpropagation through time with
 Adam, on at most ``SAMPLE`` labelled documents, of those over ``SAMPLE_BYTES``
-bytes on ``PARTS`` parts at places chosen by hash: of each language the one with the lowest hash in each of ``BUCKETS``
-hash buckets, found with a partial aggregate; it learns from ``LEARN`` runs of
+bytes on ``PARTS`` parts at places chosen by hash (64 MB in all): of each
+language the one with the lowest hash in each of ``BUCKETS`` hash buckets,
+found with a partial aggregate; it learns from ``LEARN`` runs of
 ``PIECE`` bytes a language, drawn evenly over the bytes of these.  Training uses text and lang
 alone, of documents whose crc32(doc_id as text) mod 5 is not 0; the prediction
 sees the text alone.
@@ -53,7 +54,7 @@ from .common import table
 
 HIDDEN, PIECE = 16, 32
 STEPS, BATCH, RATE, SEED = 300, 512, 0.01, 0
-BUCKETS, SAMPLE, SAMPLE_BYTES, PARTS = 256, 8192, 65_536, 16
+BUCKETS, SAMPLE, SAMPLE_BYTES, PARTS = 256, 8192, 8192, 16
 LEARN, CORE, WARM = 32_768, 512, 32
 GROUP_BYTES, ROWS = 4 << 20, 2048
 UNKNOWN = "und"
@@ -391,15 +392,17 @@ def has_letter(text: bytes) -> bool:
     return bool(_LETTER.search(text)) or (not text.isascii() and any(c.isalpha() for c in text.decode("utf-8", "ignore")))
 
 
-def _predict(batches: Iterator[pa.RecordBatch], net, text: str) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], net, text: str, inside: str | None = None) -> Iterator[pa.RecordBatch]:
+    """``text`` is a column of its own, which goes, or a field of the struct column ``inside``."""
     net = net.value
     for batch in batches:
         found = [(UNKNOWN, 0.0)] * batch.num_rows
-        raw = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(text)]
+        texts = batch.column(inside).field(text) if inside else batch.column(text)
+        raw = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in texts]
         ours = [i for i, t in enumerate(raw) if net is not None and has_letter(t)]
         for i, answer in zip(ours, pooled(net, [raw[i] for i in ours]) if ours else ()):
             found[i] = answer
-        keep = [i for i, n in enumerate(batch.schema.names) if n != text]
+        keep = [i for i, n in enumerate(batch.schema.names) if inside or n != text]
         yield pa.RecordBatch.from_arrays(
             [batch.column(i) for i in keep] + [pa.array([f[0] for f in found], pa.string()),
                                                pa.array([f[1] for f in found], pa.float64())],
@@ -422,8 +425,11 @@ def known_language(docs: DataFrame, min_score: float | None = None, id_col: str
     if net is not None and min_score is None:
         fit_rejection(net, docs.select(id_col, text_col, lang_col), **columns)
         min_score = net.min_score
-    judged = predict(docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__text")), net, "__text")
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= (min_score or 0.0))).select("__row.*")
+    # The row travels in one struct, once: no column of it can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    schema = StructType([*rows.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
+    judged = rows.mapInArrow(partial(_predict, net=docs.sparkSession.sparkContext.broadcast(net), text=text_col, inside="row"), schema)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= (min_score or 0.0))).select("row.*")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
