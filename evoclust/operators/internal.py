@@ -2,7 +2,9 @@
 
 * ``silhouette_squared`` (E6): closed form from per-cluster statistics,
   O(n k d), two passes; equals Spark ML's ``ClusteringEvaluator``.
-* ``silhouette_exact`` (E5): Euclidean, O(n^2) by nature.  Points are hashed
+* ``silhouette_exact`` (E5): Euclidean, O(n^2) by nature.  Bounds from the
+  cluster means skip the clusters that cannot be a point's nearest
+  (:mod:`evoclust.operators.pruned`).  Where they leave half of the pairs or more, points are hashed
   into B balanced blocks of up to ``DEFAULT_BLOCK_ROWS`` rows; every unordered
   pair of blocks is one task that tiles its distances, multiplies them with
   one-hot labels and emits distance sums per point and cluster for both
@@ -20,11 +22,14 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evoclust.operators import kernels as K
 from evoclust.operators.kmeans import Stats, run_stats, run_sums
+from evoclust.operators.pruned import need_counts, pruned_silhouettes
 
 DEFAULT_BLOCK_ROWS = 32_768
 TILE = 1024
@@ -181,10 +186,10 @@ def exact_distance_sums(pts: DataFrame, P: int, k: int, d: int, n: int, block_ro
         F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"),
         F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "row_id", "x", "sol")
     sums = pairs.groupBy("bi", "bj").applyInArrow(_pair_sums_fn(P, k, d), "row_id bigint, sol array<int>, s array<double>")
-    # every copy of a point carries the same labels: max() just keeps them
-    return sums.groupBy("row_id").agg(
-        F.max("sol").alias("sol"), F.array(*[F.sum(F.col("s")[i]) for i in range(P * k)]).alias("s")
-    )
+    # every copy of a point carries the same labels: max() just keeps them; the sums are added as vectors
+    added = sums.groupBy("row_id").agg(
+        F.max("sol").alias("sol"), Summarizer.metrics("sum").summary(array_to_vector("s")).alias("s"))
+    return added.select("row_id", "sol", vector_to_array("s.sum").alias("s"))
 
 
 def _exact_partial_fn(P: int, k: int, n: np.ndarray):
@@ -215,14 +220,39 @@ def _exact_partial_fn(P: int, k: int, n: np.ndarray):
     return run
 
 
-def exact_silhouettes(pts: DataFrame, P: int, k: int, d: int, n: np.ndarray,
+def pair_shares(P: int, st: Stats, counts: np.ndarray) -> tuple[int, int]:
+    """(pairs that the bounds leave, all pairs) of a point with a member of a cluster."""
+    n = st.n.astype(object)
+    return int((counts.astype(object) * n).sum()), int((n.sum(axis=1) ** 2).sum())
+
+
+def exact_silhouettes(pts: DataFrame, P: int, k: int, d: int, st: Stats,
                       block_rows: int = DEFAULT_BLOCK_ROWS) -> dict[int, tuple[float, int]]:
-    """``{slot: (sum, points)}`` of the exact silhouette."""
-    total = int(n[0].sum())
+    """``{slot: (sum, points)}`` of the exact silhouette.
+
+    Where the bounds of :mod:`evoclust.operators.pruned` leave less than half of all
+    pairs, only those are computed; else all unordered block pairs, each of
+    which serves both sides.  The values are the same.
+    """
+    total = int(st.n[0].sum())
     if pts.select(F.col("row_id")).distinct().count() != total:
         raise ValueError("row_id must be unique: points that share one would be merged")
+    counts = need_counts(pts, P, k, d, st)
+    left, every = pair_shares(P, st, counts)
+    if 2 * left < every:
+        return pruned_silhouettes(pts, P, k, d, st, counts, block_rows)
     sums = exact_distance_sums(pts, P, k, d, total, block_rows)
-    return run_sums(sums, _exact_partial_fn(P, k, n))
+    return run_sums(sums, _exact_partial_fn(P, k, st.n))
+
+
+def silhouette_pairs(df: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """``(pairs, computed, skipped)``: all ordered pairs of points, those that the exact
+    silhouette has to compute, and the share that its bounds skip."""
+    df = dense_clusters(df, cluster)
+    st, k, d = label_stats(df, cluster)
+    left, every = pair_shares(1, st, need_counts(labelled(df, cluster), 1, k, d, st))
+    return df.sparkSession.createDataFrame([(float(every), float(left), 1 - left / every if every else 0.0)],
+                                           "pairs double, computed double, skipped double")
 
 
 def silhouette_exact(df: DataFrame, cluster: str = "cluster", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -236,5 +266,5 @@ def silhouette_exact(df: DataFrame, cluster: str = "cluster", block_rows: int =
     used = int((st.n[0] > 0).sum())
     if used < 2 or used > st.n.sum() - 1:
         raise ValueError(f"silhouette needs 2 <= distinct labels <= n-1, got {used}")
-    s, m = exact_silhouettes(labelled(df, cluster), 1, k, d, st.n, block_rows)[0]
+    s, m = exact_silhouettes(labelled(df, cluster), 1, k, d, st, block_rows)[0]
     return df.sparkSession.createDataFrame([(s / m,)], "silhouette_exact double")

@@ -107,7 +107,7 @@ def fitness_of(df: DataFrame, stats: Stats, spec: K.KernelSpec, kind: str = "squ
     if spec.sol_col is None:
         raise ValueError("exact fitness needs materialised labels")
     P, k = spec.P, spec.k
-    sums = exact_silhouettes(df.select("row_id", "x", spec.sol_col), P, k, spec.d, stats.n, block_rows)
+    sums = exact_silhouettes(df.select("row_id", "x", F.col(spec.sol_col).alias("sol")), P, k, spec.d, stats, block_rows)
     fit = np.full(P, -1.0)
     for p, (s, m) in sums.items():
         if m:

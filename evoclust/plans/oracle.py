@@ -387,6 +387,13 @@ def statements() -> dict[str, str]:
     q["e5_silhouette_exact"] = _with(*base, c0, a1, asg1, _silhouette("asg1", False)) + (
         f"SELECT {_r('fitness')} AS silhouette_exact FROM sil"
     )
+    q["e5_silhouette_pruned"] = """WITH p AS (
+  SELECT event_id AS id, value AS a, extract(minute FROM ts) / 10.0 AS b, least(CAST(floor(value / 10) AS INT), 12) AS c FROM events),
+m AS (SELECT p.id, p.c, q.c AS o, sum(sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b))) AS s, count(*) AS n
+      FROM p, p AS q GROUP BY p.id, p.c, q.c),
+v AS (SELECT id, max(CASE WHEN o = c THEN n END) AS own, max(CASE WHEN o = c AND n > 1 THEN s / (n - 1) END) AS a,
+             min(CASE WHEN o <> c THEN s / n END) AS b FROM m GROUP BY id)
+SELECT round(avg(CASE WHEN own = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_exact FROM v"""
     q["e6_silhouette_squared"] = _with(*base, c0, a1, asg1, _silhouette("asg1", True)) + (
         f"SELECT {_r('fitness')} AS silhouette_squared FROM sil"
     )

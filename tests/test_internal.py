@@ -123,3 +123,57 @@ def test_bad_vectors_and_ids_are_errors(spark):
     twice = spark.createDataFrame([(0, [1.0], 0), (0, [2.0], 1), (1, [3.0], 1)], "row_id bigint, x array<double>, cluster int")
     with pytest.raises(ValueError, match="unique"):
         I.silhouette_exact(twice)
+
+
+def _brute_silhouette(X, lab):
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(2))
+    out = []
+    for i in range(len(X)):
+        own = lab == lab[i]
+        if own.sum() == 1:
+            out.append(0.0)
+            continue
+        a = D[i, own].sum() / (own.sum() - 1)
+        b = min(D[i, lab == c].mean() for c in set(lab.tolist()) if c != lab[i])
+        out.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    return float(np.mean(out))
+
+
+def test_pruned_pairs_give_the_same_silhouette(spark, monkeypatch):
+    from evoclust.operators import internal as I
+
+    rng = np.random.default_rng(5)
+    X = np.concatenate([rng.normal(c, 1.0, (80, 3)) for c in (0, 4, 8, 40, 44)] + [np.full((3, 3), 90.0), [[70.0, 70, 70]]])
+    lab = np.concatenate([np.repeat(np.arange(5), 80), [5, 5, 5, 6]])
+    df = spark.createDataFrame([(i, X[i].tolist(), int(lab[i])) for i in range(len(X))], "row_id bigint, x array<double>, cluster int").repartition(4)
+    pairs = I.silhouette_pairs(df).first()
+    assert pairs["pairs"] == len(X) ** 2 and 0.5 < pairs["skipped"] < 1 and pairs["computed"] > 0
+    used = []
+    real = I.pruned_silhouettes
+    monkeypatch.setattr(I, "pruned_silhouettes", lambda *a: used.append(1) or real(*a))
+    want = _brute_silhouette(X, lab)
+    got = I.silhouette_exact(df).first()[0]
+    assert used and abs(got - want) < 1e-12
+    small = I.silhouette_exact(df, block_rows=256).first()[0]
+    assert abs(small - want) < 1e-12
+    # The block pairs, which serve where little can be skipped, agree.
+    monkeypatch.setattr(I, "pair_shares", lambda *a: (1, 1))
+    assert abs(I.silhouette_exact(df).first()[0] - want) < 1e-12
+
+
+def test_blocks_of_pruned_pairs(spark):
+    """Many blocks a cluster, two slots of labels in one run."""
+    from evoclust.operators import pruned as R
+    from evoclust.operators.kernels import KernelSpec
+    from evoclust.operators.kmeans import run_stats
+
+    rng = np.random.default_rng(6)
+    X = np.concatenate([rng.normal(c, 1.0, (600, 2)) for c in (0, 12)])
+    labs = np.stack([np.repeat([0, 1], 600), np.repeat([0, 1, 2, 1], 300)], 1)
+    df = spark.createDataFrame([(i, X[i].tolist(), labs[i].tolist()) for i in range(len(X))], "row_id bigint, x array<double>, sol array<int>")
+    st = run_stats(df, KernelSpec(2, 3, 2, sol_col="sol"))
+    counts = R.need_counts(df, 2, 3, 2, st)
+    got = R.pruned_silhouettes(df, 2, 3, 2, st, counts, 256)
+    for p in range(2):
+        assert abs(got[p][0] / got[p][1] - _brute_silhouette(X, labs[:, p])) < 1e-12
+    assert (counts <= len(X)).all() and counts[0, 2] == 0
