@@ -395,7 +395,7 @@ def has_letter(text: bytes) -> bool:
 def _predict(batches: Iterator[pa.RecordBatch], net, text: str, inside: str | None = None) -> Iterator[pa.RecordBatch]:
     """``text`` is a column of its own, which goes, or a field of the struct column ``inside``."""
     net = net.value
-    for batch in batches:
+    for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
         found = [(UNKNOWN, 0.0)] * batch.num_rows
         texts = batch.column(inside).field(text) if inside else batch.column(text)
         raw = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in texts]
