@@ -97,7 +97,19 @@ def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     difference sums, so the labels equal the exact computation; the returned
     distance is always the exact one.
     """
+    return _nearest(X, C)[:2]
+
+
+def nearest_two(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`nearest` and a lower bound of the distance (not squared) to every other centre."""
+    lab, e, second, error = _nearest(X, C)
+    return lab, e, np.sqrt(np.maximum(second - error, 0.0))
+
+
+def _nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(label, squared distance, the fast path's second smallest, a bound of its error)."""
     n, k = X.shape[0], C.shape[0]
+    second, error = np.full(n, np.inf), np.zeros(n)
     if k == 1 or n == 0:
         lab = np.zeros(n, dtype=np.int32)
     else:
@@ -111,12 +123,12 @@ def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         best = D[rows, lab]
         D[rows, lab] = np.inf
         second = D.min(axis=1)
-        risky = (second - best) <= 1e-8 * (x2 + c2.max()) + 1e-300
+        error = 1e-8 * (x2 + c2.max()) + 1e-300
+        risky = (second - best) <= error
         if risky.any():
             lab[risky] = np.argmin(sq_dists(X[risky], C), axis=1)
         lab = lab.astype(np.int32)
-    diff = X - C[lab]
-    return lab, np.einsum("ij,ij->i", diff, diff)
+    return lab, own_distances(X, C, lab), second, error
 
 
 def centre_distances(X: np.ndarray, C: np.ndarray) -> np.ndarray:

@@ -319,6 +319,7 @@ class KMeansModel:
     shift_history: list[float]  # A11
     center_history: list[np.ndarray] = field(default_factory=list)  # K5: 0 = initial .. T = final
     spark: SparkSession | None = None
+    distances: list[int] = field(default_factory=list)  # computed in each iteration of a fit with bounds
 
     @property
     def k(self) -> int:
@@ -350,19 +351,31 @@ class KMeansModel:
 
 @dataclass
 class KMeansLloyd:
-    """K6/K7: ``KMeansLloyd(k=3, n_iter=10, seed=0, tol=None).fit(points)``."""
+    """K6/K7: ``KMeansLloyd(k=3, n_iter=10, seed=0, tol=None).fit(points)``.
+
+    ``bounds=True`` carries triangle bounds from pass to pass
+    (:mod:`evoclust.operators.bounded`): equal results, most of the n x k
+    distances are skipped, for a table of 20 bytes a row written each pass.  It pays
+    where k x d is large; centres above the broadcast bound take full passes.
+    """
 
     k: int = 3
     n_iter: int = 10
     seed: int = 0
     tol: float | None = None
     init_centers: np.ndarray | None = None
+    bounds: bool = False
 
     def fit(self, points: DataFrame) -> KMeansModel:
         spark = points.sparkSession
         held = points.is_cached  # the caller keeps the points: no second copy
-        pts = points.select("row_id", "x")
-        if not held:
+        pts, carried = points.select("row_id", "x"), None
+        if self.bounds:
+            from evoclust.operators.bounded import BoundedLloyd
+
+            carried = BoundedLloyd(pts)
+            pts = carried.store.points
+        elif not held:
             pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             d = dimension(pts)
@@ -371,9 +384,13 @@ class KMeansLloyd:
             else:
                 C = centers_array(sample_centers(pts, self.k, self.seed), 1, self.k, d)[0]
             init = C.copy()
-            sse_hist, shift_hist, cen_hist = [], [], [C.copy()]
+            sse_hist, shift_hist, cen_hist, computed = [], [], [C.copy()], []
             for _ in range(self.n_iter):
-                st = stats_by_centres(pts, C)
+                if carried is not None and C.nbytes <= K.MAX_CLOSURE_BYTES:
+                    st, count = carried.step(C)
+                    computed.append(count)
+                else:
+                    st = stats_by_centres(pts, C)
                 new = st.means(C[None])[0]
                 moved = float(((new - C) ** 2).sum())
                 sse_hist.append(float(st.E.sum()))
@@ -382,7 +399,9 @@ class KMeansLloyd:
                 cen_hist.append(C.copy())
                 if self.tol is not None and moved <= self.tol:
                     break
-            return KMeansModel(C, init, sse_hist, shift_hist, cen_hist, spark)
+            return KMeansModel(C, init, sse_hist, shift_hist, cen_hist, spark, computed)
         finally:
-            if not held:
+            if carried is not None:
+                carried.close()
+            elif not held:
                 pts.unpersist()

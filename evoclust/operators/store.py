@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from evoclust.session import ensure_checkpoint_dir
 from evoclust.sources.points import target_partitions
@@ -39,9 +40,10 @@ class PointStore:
             self.close()
             raise ValueError("row_id must be unique and not null: labels are joined to points by it")
 
-    def _write(self, df: DataFrame, name: str) -> DataFrame:
+    def _write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         table = f"{self.root.rsplit('-', 1)[-1]}_{name}"
-        df.write.bucketBy(self.buckets, "row_id").option("path", f"{self.root}/{name}").saveAsTable(f"evoclust_{table}")
+        writer = df.write.partitionBy(by) if by else df.write
+        writer.bucketBy(self.buckets, "row_id").option("path", f"{self.root}/{name}").saveAsTable(f"evoclust_{table}")
         self.tables.append(f"evoclust_{table}")
         return self.spark.table(self.tables[-1])
 
@@ -58,6 +60,16 @@ class PointStore:
             self._drop(self.tables.pop(1))
         return self.points.join(new.hint("shuffle_hash"), "row_id")
 
+    def commit_pass(self, rows: DataFrame, kind: int, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+        """As :meth:`commit` for a pass that emits rows of several kinds: (frame of the points and
+        the ``carried`` columns of rows of this ``kind``, the table with all kinds)."""
+        self.version += 1
+        new = self._write(rows, f"labels_{self.version}", "kind")
+        while len(self.tables) > 3:
+            self._drop(self.tables.pop(1))
+        mine = new.where(F.col("kind") == kind).select("row_id", *carried)
+        return self.points.join(mine.hint("shuffle_hash"), "row_id"), new
+
     def _drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         remove(self.spark, f"{self.root}/{table.split('_', 2)[2]}")

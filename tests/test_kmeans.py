@@ -184,3 +184,43 @@ def test_more_clusters_than_a_task_can_hold(spark, monkeypatch):
     monkeypatch.setattr(K.sparse_stats_fn, "__defaults__", (2000,))  # rows leave the task early
     got = M.stats_by_centres(pts, C)
     assert (got.n == want.n).all() and np.allclose(got.M, want.M) and np.allclose(got.W, want.W) and np.allclose(got.E, want.E)
+
+
+def test_carried_bounds_equal_full_passes(spark):
+    from evoclust.operators.bounded import BoundedLloyd
+    from evoclust.operators.kmeans import stats_by_centres
+
+    rng = np.random.default_rng(3)
+    k = 12
+    x = np.concatenate([rng.normal(3 * i, 1.0, (100, 2)) for i in range(k)] + [np.zeros((20, 2))])  # repeated rows: ties
+    pts = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id long, x array<double>").repartition(4)
+    full = KMeansLloyd(k=k, n_iter=10, seed=1).fit(pts)
+    fast = KMeansLloyd(k=k, n_iter=10, seed=1, bounds=True).fit(pts)
+    assert np.allclose(fast.centers, full.centers, rtol=1e-12, atol=1e-12)
+    assert np.allclose(fast.sse_history, full.sse_history, rtol=1e-12)
+    n = len(x)
+    assert len(fast.distances) == 10 and fast.distances[0] == n * k
+    assert all(n <= c <= n * k for c in fast.distances) and fast.distances[-1] < n * k / 2
+    # labels after each step, and no exchange between points and carried columns
+    state, C = BoundedLloyd(pts), full.initial_centers
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for t in range(10):
+            st, _ = state.step(C)
+            want = {r["row_id"]: r["cluster"] for r in assign(pts, C).collect()}
+            assert {r["row_id"]: r["lab"] for r in state.frame.select("row_id", "lab").collect()} == want
+            assert "Exchange" not in state.frame._jdf.queryExecution().executedPlan().toString()
+            assert (st.n == stats_by_centres(pts, C).n).all()
+            C = st.means(C[None])[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        state.close()
+
+
+def test_bounds_with_one_cluster_and_coinciding_centres(spark):
+    pts = points_1d(spark, [0.0, 1.0, 2.0, 9.0]).select("row_id", "x")
+    for init in ([[1.0]], [[0.0], [0.0], [9.0]]):
+        a = KMeansLloyd(k=len(init), n_iter=4, init_centers=np.array(init)).fit(pts)
+        b = KMeansLloyd(k=len(init), n_iter=4, init_centers=np.array(init), bounds=True).fit(pts)
+        assert np.array_equal(a.centers, b.centers) and a.sse_history == b.sse_history
