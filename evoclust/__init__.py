@@ -35,6 +35,7 @@ from evoclust.operators.internal import (
     silhouette_squared,
     sse,
 )
+from evoclust.operators.bundle import load_model, save_model
 from evoclust.operators.genetic import GeneticKMeans, GeneticKMeansModel
 from evoclust.operators.report import evaluate, write_report
 from evoclust.operators.projection import label_centers, project
@@ -56,6 +57,7 @@ __all__ = [
     "fowlkes_mallows",
     "label_agreement",
     "label_centers",
+    "load_model",
     "pair_jaccard",
     "parse_vector",
     "points_from_columns",
@@ -67,6 +69,7 @@ __all__ = [
     "read_numeric_csv",
     "recode",
     "sample_centers",
+    "save_model",
     "silhouette_exact",
     "silhouette_squared",
     "sq_dist",

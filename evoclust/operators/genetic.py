@@ -35,7 +35,6 @@ from evoclust.operators.population import (
     kmo,
     mutate,
     rotated_genes,
-    rotated_slot,
 )
 from evoclust.operators.sampling import centers_array, sample_centers
 from evoclust.operators.segments import Segments, SegmentStats, segment_stats
@@ -237,8 +236,9 @@ class GeneticKMeans:
         """Q7 parity: the second child is rotated, so its genes cross the segments and it needs its own pass."""
         cols = []
         for i, ((a, b), cut) in enumerate(zip(pairs, cuts)):
-            cols += [child_slot(a, b, cut), rotated_slot(i, a, b, cut, pop.n)]
-        frame = rotated_genes(pop.df, cuts, pop.n).persist(StorageLevel.MEMORY_AND_DISK)
+            cols += [child_slot(a, b, cut), F.col("_rot")[i]]
+        genes = rotated_genes(pop.df, pairs, cuts, pop.n).persist(StorageLevel.MEMORY_AND_DISK)
+        frame = pop.df.join(genes, "row_id")
         try:
             children = frame.select("row_id", "x", F.array(*cols).alias("sol"))
             st, fit = evaluate_slots_frame(children, 2 * len(pairs), self.k, pop.d, self.fitness, self.block_rows)
@@ -249,7 +249,7 @@ class GeneticKMeans:
             df = frame.select(*base_cols(pop.df), F.array(*[every[c] for c in src]).alias("sol"))
             df = hold(df, pop.store)  # a step adds a join: its plan must not nest in the next
         finally:
-            frame.unpersist()
+            genes.unpersist()
         both = Stats.join([pop.stats, st])
         return Population(df, np.concatenate([pop.centers, centres])[src], both.take(src), fits[src], pop.n, pop.store)
 

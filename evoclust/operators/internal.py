@@ -9,8 +9,9 @@
   pair of blocks is one task that tiles its distances, multiplies them with
   one-hot labels and emits distance sums per point and cluster for both
   blocks, never the pairs.
-* ``davies_bouldin`` (E7): centroids and scatter per cluster, then the k x k
-  cluster-pair ratios on the driver, which holds the k centroids anyway.
+* ``davies_bouldin`` (E7): centroids and scatter per cluster, then the cluster-pair
+  ratios: all of them on the driver for few clusters, a search under ball
+  bounds dealt over tasks for many.
 * ``sse`` / ``cluster_scatter`` (A5, A10): statistics passes, no join, so a hot
   cluster never concentrates rows in one task.
 """
@@ -104,23 +105,100 @@ def cluster_scatter(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "c int, n bigint, center array<double>, scatter double")
 
 
+#: Clusters up to which the driver compares all pairs itself; rows of a block of clusters beyond it.
+FEW_CLUSTERS, RATIO_BLOCK = 2048, 256
+
+
 def davies_bouldin(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Mean over clusters of max_j (S_i + S_j) / d(c_i, c_j)."""
     st, scatter = scatter_stats(dense_clusters(df, cluster), cluster)
-    value = davies_bouldin_value(st.M[0], scatter, st.n[0])
+    value = davies_bouldin_value(st.M[0], scatter, st.n[0], df.sparkSession)
     return df.sparkSession.createDataFrame([(value,)], "davies_bouldin double")
 
 
-def davies_bouldin_value(cen: np.ndarray, scatter: np.ndarray, n: np.ndarray) -> float:
-    """E7 from centroids and scatters on the driver, one cluster against all at a
-    time.  Coincident centroids give no ratio (0), a single cluster gives 0."""
+def worst_ratios(C: np.ndarray, S: np.ndarray, D: np.ndarray, T: np.ndarray) -> np.ndarray:
+    """Per row of ``C`` the largest ``(S_i + T_j) / |C_i - D_j|``; coincident centroids give no ratio (0)."""
+    gap = np.sqrt(np.maximum(K.centre_distances(C, D), 0.0))
+    return np.where(gap > 0, (S[:, None] + T[None, :]) / np.where(gap > 0, gap, 1.0), 0.0).max(axis=1)
+
+
+def near_blocks(C: np.ndarray, rows: int) -> np.ndarray:
+    """The rows of ``C`` in an order whose runs of ``rows`` lie close together: halved at
+    the median of the widest dimension, again and again."""
+    todo, out = [np.arange(len(C))], []
+    while todo:
+        part = todo.pop()
+        if len(part) <= rows:
+            out.append(part)
+            continue
+        wide = int(np.ptp(C[part], axis=0).argmax())
+        half = -(-len(part) // (2 * rows)) * rows  # whole blocks on the one side
+        order = part[np.argpartition(C[part, wide], half - 1)]
+        todo += [order[half:], order[:half]]
+    return np.concatenate(out) if out else np.zeros(0, dtype=int)
+
+
+def _ratio_fn(C: np.ndarray, S: np.ndarray, rows: int):
+    """Rows (block) -> (block, s, computed): the sum of the worst ratios of a block of
+    centroids and the block pairs computed for it.
+
+    A block has a ball around its mean; the ratio of two blocks is at most their
+    largest scatters over the gap between their balls.  Blocks are met from the
+    largest such bound down, until it is below what every row has found.
+    """
+    cut = np.arange(0, len(C), rows)
+    size = np.diff(np.r_[cut, len(C)])
+    mid = np.add.reduceat(C, cut) / size[:, None]
+    off = C - np.repeat(mid, size, axis=0)
+    ball = np.sqrt(np.maximum.reduceat(np.einsum("ij,ij->i", off, off), cut))
+    top = np.maximum.reduceat(S, cut)
+
+    def run(batches):
+        for b in batches:
+            ids, total, computed = b.column(0).to_pylist(), [], []
+            for a in ids:
+                mine = slice(cut[a], cut[a] + size[a])
+                gap = np.sqrt(np.maximum(K.centre_distances(mid[a][None], mid)[0], 0.0)) - ball[a] - ball
+                with np.errstate(divide="ignore"):
+                    bound = np.where(gap > 0, (top[a] + top) / np.where(gap > 0, gap, 1.0), np.inf) * (1 + 1e-9)
+                best, met = np.zeros(size[a]), 0
+                for j in np.argsort(-bound, kind="stable"):
+                    if bound[j] < best.min():
+                        break
+                    met += 1
+                    other = slice(cut[j], cut[j] + size[j])
+                    best = np.maximum(best, worst_ratios(C[mine], S[mine], C[other], S[other]))
+                total.append(float(best.sum()))
+                computed.append(met)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total, pa.float64()), pa.array(computed, pa.int64())],
+                                             names=["block", "s", "computed"])
+
+    return run
+
+
+def pruned_ratios(spark, C: np.ndarray, S: np.ndarray, rows: int = RATIO_BLOCK) -> tuple[float, int, int]:
+    """(sum of the worst ratios, block pairs computed, all block pairs), blocks dealt over tasks."""
+    K.check_broadcast(C, S)
+    order = near_blocks(C, rows)
+    blocks = -(-len(C) // rows)
+    tasks = max(1, min(blocks, 4 * spark.sparkContext.defaultParallelism))
+    found = spark.range(0, blocks, 1, tasks).mapInArrow(_ratio_fn(C[order], S[order], rows), "block bigint, s double, computed bigint")
+    r = found.agg(F.sum("s").alias("s"), F.sum("computed").alias("c")).first()
+    return float(r["s"]), int(r["c"]), blocks * blocks
+
+
+def davies_bouldin_value(cen: np.ndarray, scatter: np.ndarray, n: np.ndarray, spark=None) -> float:
+    """E7 from centroids and scatters.  Up to ``FEW_CLUSTERS`` (or without a session) the
+    driver, which holds them anyway, compares blocks of clusters with all; beyond,
+    tasks search the pairs under bounds.  A single cluster gives 0."""
     used = np.nonzero(n > 0)[0]
     C, S = cen[used], scatter[used]
-    worst = []
-    for i in range(len(used)):
-        gap = np.sqrt(((C - C[i]) ** 2).sum(axis=1))
-        worst.append(np.where(gap > 0, (S + S[i]) / np.where(gap > 0, gap, 1.0), 0.0).max())
-    return float(np.mean(worst)) if worst else 0.0
+    if not len(used):
+        return 0.0
+    if spark is not None and len(used) > FEW_CLUSTERS:
+        return pruned_ratios(spark, C, S)[0] / len(used)
+    return float(np.mean(np.concatenate([worst_ratios(C[i:i + RATIO_BLOCK], S[i:i + RATIO_BLOCK], C, S)
+                                         for i in range(0, len(C), RATIO_BLOCK)])))
 
 
 def silhouette_squared(df: DataFrame, cluster: str = "cluster") -> DataFrame:

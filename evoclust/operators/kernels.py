@@ -422,68 +422,58 @@ def relabel_fn(P: int, k: int, d: int, centers: np.ndarray, lo: int, reassign: n
     return run
 
 
+KEY_SCHEMA = "chrom int, u bigint, row_id bigint"
+
+
+def _least(u: np.ndarray, row_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k smallest ``(u, row_id)``, in order."""
+    if len(u) > k:  # all that tie with the k-th smallest u stay for the sort
+        near = u <= np.partition(u, k - 1)[k - 1]
+        u, row_id = u[near], row_id[near]
+    order = np.lexsort((row_id, u))[:k]
+    return u[order], row_id[order]
+
+
+def _keys(best: dict) -> pa.RecordBatch:
+    """Rows of ``KEY_SCHEMA`` from ``{chrom: (u, row_id)}``."""
+    chrom = np.repeat(np.array(list(best), dtype=np.int32), [len(u) for u, _ in best.values()])
+    u, r = (np.concatenate([v[i] for v in best.values()]) for i in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(chrom), pa.array(u), pa.array(r)], names=["chrom", "u", "row_id"])
+
+
 def top_k_fn(P: int, k: int):
-    """R1 map side: per partition and chromosome, the k rows with the smallest
-    ``(u[p], row_id)``.  Only k candidates per chromosome are held, so memory
-    does not grow with the partition; the merge sees partitions*P*k rows."""
+    """R1 map side: per partition and chromosome, the keys of the k rows with the smallest
+    ``(u[p], row_id)``.  Only k keys per chromosome are held and sent on, no vectors."""
 
     def run(batches):
-        best = [None] * P  # per chrom: (u, row_id, x) of at most k rows
+        best: dict = {}
         for b in batches:
-            n = b.num_rows
-            if n == 0:
+            if b.num_rows == 0:
                 continue
             U = matrix(b, "u", P, np.int64)
             rid = b.column(b.schema.get_field_index("row_id")).to_numpy()
-            xcol = b.column(b.schema.get_field_index("x")).flatten().to_numpy(zero_copy_only=False)
-            X = xcol.astype(np.float64).reshape(n, -1)
             for p in range(P):
-                u, r, x = U[:, p], rid, X
-                if best[p] is not None:
-                    u = np.concatenate([best[p][0], u])
-                    r = np.concatenate([best[p][1], r])
-                    x = np.concatenate([best[p][2], x])
-                order = np.lexsort((r, u))[:k]
-                best[p] = (u[order], r[order], x[order].copy())
-        for p in range(P):
-            if best[p] is None:
-                continue
-            u, r, x = best[p]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(u), p, dtype=np.int32)), pa.array(u), pa.array(r), list_array(x, pa.float64())],
-                names=["chrom", "u", "row_id", "x"],
-            )
+                u, r = best.get(p, (U[:0, p], rid[:0]))
+                best[p] = _least(np.concatenate([u, U[:, p]]), np.concatenate([r, rid]), k)
+        if best:
+            yield _keys(best)
 
     return run
 
 
 def merge_top_k_fn(k: int):
-    """R1 merge step: rows ``(chrom, u, row_id, x)``; keeps each chromosome's k
-    smallest ``(u, row_id)`` among the partitions coalesced into this task."""
+    """R1 merge step: keeps each chromosome's k smallest ``(u, row_id)`` among the rows of a task."""
 
     def run(batches):
-        best = {}
+        best: dict = {}
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            ch = b.column(0).to_numpy()
-            u = b.column(1).to_numpy()
-            r = b.column(2).to_numpy()
-            X = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            ch, u, r = (b.column(i).to_numpy() for i in range(3))
             for c in np.unique(ch):
                 sel = ch == c
-                uu, rr, xx = u[sel], r[sel], X[sel]
-                if c in best:
-                    uu = np.concatenate([best[c][0], uu])
-                    rr = np.concatenate([best[c][1], rr])
-                    xx = np.concatenate([best[c][2], xx])
-                order = np.lexsort((rr, uu))[:k]
-                best[c] = (uu[order], rr[order], xx[order].copy())
-        for c, (uu, rr, xx) in best.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(uu), c, dtype=np.int32)), pa.array(uu), pa.array(rr), list_array(xx, pa.float64())],
-                names=["chrom", "u", "row_id", "x"],
-            )
+                v, q = best.get(c, (u[:0], r[:0]))
+                best[c] = _least(np.concatenate([v, u[sel]]), np.concatenate([q, r[sel]]), k)
+        if best:
+            yield _keys(best)
 
     return run
 

@@ -13,9 +13,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evoclust.functions.vector import uniform
 from evoclust.operators import kernels as K
@@ -72,29 +74,28 @@ def child_slot(a: int, b: int, cut: int, pos="pos") -> Column:
     return F.when(F.col(pos) < F.lit(cut), F.col("sol")[a]).otherwise(F.col("sol")[b])
 
 
-def rotated_genes(df: DataFrame, cuts: list[int], n: int, out: str = "_rot") -> DataFrame:
-    """``df`` with ``out ARRAY<ARRAY<INT>>``: for each cut the ``sol`` of the row ``cut`` positions on.
+def rotated_genes(df: DataFrame, pairs: list[tuple[int, int]], cuts: list[int], n: int, out: str = "_rot") -> DataFrame:
+    """Q7 parity: ``(row_id, out ARRAY<INT>)``, for each pair (a, b) and its cut the gene of
+    the child ``a[cut:] + b[:cut]`` by position.
 
-    Every row sends its genes once to each target position; one shuffle
-    gathers them by position, however many pairs there are.
+    The row at ``pos`` holds just one gene of the child, the one at ``pos - cut``
+    (mod n): a position and a label travel for each pair, neither x nor the
+    other slots, and partial aggregates gather the pairs.
     """
-    sent = df.select("pos", "sol").select(F.explode(F.array(*[
-        F.struct(F.pmod(F.col("pos") - F.lit(cut), F.lit(n)).alias("to"), F.lit(i).alias("i"), F.col("sol"))
-        for i, cut in enumerate(cuts)])).alias("s")).select("s.*")
-    gathered = sent.groupBy(F.col("to").alias("_to")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("i", "sol"))), lambda s: s["sol"]).alias(out))
-    return df.join(gathered, F.col("pos") == F.col("_to")).drop("_to")
-
-
-def rotated_slot(i: int, a: int, b: int, cut: int, n: int, genes: str = "_rot") -> Column:
-    """Q7 parity: child = ``a[cut:] + b[:cut]`` by position, from the genes of cut ``i``."""
-    g = F.col(genes)[i]
-    return F.when(F.col("pos") < F.lit(n - cut), g[a]).otherwise(g[b])
+    sent = df.select("pos", F.explode(F.array(*[
+        F.struct(F.pmod(F.col("pos") - F.lit(cut), F.lit(n)).alias("to"), F.lit(i).alias("i"),
+                 F.when(F.col("pos") >= F.lit(cut), F.col("sol")[a]).otherwise(F.col("sol")[b]).alias("gene"))
+        for i, ((a, b), cut) in enumerate(zip(pairs, cuts))])).alias("s")).select("s.*")
+    if len(pairs) > 1:
+        sent = sent.groupBy("to").agg(F.array(*[F.max(F.when(F.col("i") == i, F.col("gene"))) for i in range(len(pairs))]).alias(out))
+    else:
+        sent = sent.select("to", F.array("gene").alias(out))
+    return df.select("row_id", F.col("pos").alias("to")).join(sent, "to").select("row_id", out)
 
 
 def rotated_child(df: DataFrame, a: int, b: int, cut: int, n: int, out: str = "child") -> DataFrame:
     """One rotated child: the row at pos i takes the gene of pos ``(i + cut) mod n``."""
-    return rotated_genes(df, [cut], n).withColumn(out, rotated_slot(0, a, b, cut, n)).drop("_rot")
+    return df.join(rotated_genes(df, [(a, b)], [cut], n), "row_id").withColumn(out, F.col("_rot")[0]).drop("_rot")
 
 
 def fitness_of(df: DataFrame, stats: Stats, spec: K.KernelSpec, kind: str = "squared",
@@ -166,22 +167,73 @@ def cluster_sizes(pop: Population) -> DataFrame:
     return spark.createDataFrame(rows, "chrom int, c int, n bigint")
 
 
-def mutation_slot(p: int, sizes: np.ndarray, rate: float, seed: int, gen: int) -> Column:
-    """With probability ``rate`` per gene, redraw the label in proportion to
-    the cluster sizes of the chromosome (the distribution before mutation)."""
-    total = float(sizes.sum())
-    cum = np.cumsum(sizes) / total
-    bounds = F.array(*[F.lit(float(v)) for v in cum[:-1]])
-    hit = uniform(seed, "mut", gen, p) < F.lit(rate)
-    draw = F.size(F.filter(bounds, lambda t: t <= uniform(seed, "draw", gen, p)))
-    return F.when(hit, draw.cast("int")).otherwise(F.col("sol")[p])
+def alias_table(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(prob, alias) of a draw in proportion to ``sizes`` (k whole numbers).
+
+    A uniform u picks the cell ``i = floor(u * k)``; its label is i while the rest
+    of ``u * k`` is below ``prob[i]``, else ``alias[i]``.  Cells below the average
+    take the rest of their room from those above, both in order of their ids; a
+    cell above the average that is used up takes its own rest from the next one.
+    Room is counted in whole numbers, so the table is exact.
+    """
+    n = np.asarray(sizes).astype(object)
+    k, total = len(n), int(n.sum())
+    prob, alias = np.ones(k), np.arange(k)
+    if not total:
+        return prob, alias
+    room = n * k - total  # of each cell against the average, times k
+    small, large = [c for c in range(k) if room[c] < 0], [c for c in range(k) if room[c] > 0]
+    lack = np.cumsum([0] + [-room[c] for c in small])
+    spare = np.cumsum([0] + [room[c] for c in large])
+    j = 0
+    for i, c in enumerate(small):
+        while spare[j + 1] <= lack[i]:
+            j += 1
+        prob[c], alias[c] = (n[c] * k) / total, large[j]
+    i = 0
+    for j, c in enumerate(large[:-1]):
+        while lack[i] < spare[j + 1]:  # all lacks together equal all spares
+            i += 1
+        prob[c], alias[c] = 1 - (lack[i] - spare[j + 1]) / total, large[j + 1]
+    return prob, alias
+
+
+def mutate_fn(P: int, k: int, tables: list[tuple[np.ndarray, np.ndarray]], keep: list[str]):
+    """``sol`` with a drawn label where ``hit``; two array reads a gene, whatever k."""
+
+    def run(batches):
+        for b in batches:
+            sol = K.matrix(b, "sol", P, np.int32).copy()
+            hit, u = K.matrix(b, "hit", P, np.bool_), K.matrix(b, "u", P)
+            for p, (prob, alias) in enumerate(tables):
+                at = u[:, p] * k
+                cell = np.minimum(at.astype(np.int64), k - 1)
+                drawn = np.where(at - cell < prob[cell], cell, alias[cell])
+                sol[:, p] = np.where(hit[:, p], drawn, sol[:, p])
+            cols = [b.column(b.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*cols, K.list_array(sol, pa.int32())], names=[*keep, "sol"])
+
+    return run
+
+
+def mutated(pop: Population, rate: float, seed: int, gen: int) -> DataFrame:
+    """With probability ``rate`` per gene, redraw the label in proportion to the
+    cluster sizes of the chromosome (the distribution before mutation)."""
+    keep = ["row_id"] if pop.store else base_cols(pop.df)
+    slots_ = range(pop.P)
+    drawn = pop.df.select(*keep, "sol", F.array(*[uniform(seed, "mut", gen, p) < F.lit(rate) for p in slots_]).alias("hit"),
+                          F.array(*[uniform(seed, "draw", gen, p) for p in slots_]).alias("u"))
+    fields = [pop.df.schema[c] for c in keep] + [T.StructField("sol", T.ArrayType(T.IntegerType()))]
+    tables = [alias_table(pop.stats.n[p]) for p in slots_]
+    return drawn.mapInArrow(mutate_fn(pop.P, pop.k, tables, keep), T.StructType(fields))
 
 
 def mutate(pop: Population, rate: float, seed: int, gen: int, kind: str = "squared",
            block_rows: int = DEFAULT_BLOCK_ROWS) -> Population:
     """Mutate every slot, then recompute centres and fitness from the new labels."""
-    cols = [mutation_slot(p, pop.stats.n[p], rate, seed, gen) for p in range(pop.P)]
-    df = pop.df.select(*base_cols(pop.df), slots(cols).alias("sol"))
+    df = mutated(pop, rate, seed, gen)
+    if pop.store:
+        df = pop.store.commit(df)
     spec = K.KernelSpec(pop.P, pop.k, pop.d, sol_col="sol")
     st = run_stats(df, spec)
     st.E = st.W.copy()  # the centres are the means

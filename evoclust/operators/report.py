@@ -69,7 +69,7 @@ def evaluate(df: DataFrame, label: str = "label", cluster: str = "cluster", silh
         ("fowlkes_mallows", "external", float(pc[2])),
         ("pair_jaccard", "external", float(pc[3])),
         (f"silhouette_{silhouette}", "internal", float(sil)),
-        ("davies_bouldin", "internal", davies_bouldin_value(st.M[0], scatter, st.n[0])),
+        ("davies_bouldin", "internal", davies_bouldin_value(st.M[0], scatter, st.n[0], spark)),
     ]
     if with_sse:
         rows.append(("sse", "internal", float(st.sse_to_means()[0])))

@@ -6,6 +6,7 @@ every integer as BIGINT, so the two sides compare by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -27,15 +28,20 @@ from evoclust.operators.population import (
     rotated_child,
 )
 from evoclust.operators.projection import label_centers, project
-from evoclust.operators.report import evaluate
+from evoclust.operators.report import evaluate, write_report
 from evoclust.operators.sampling import centers_array, sample_centers
 from evoclust.plans.params import ITERS, K, MUT_RATE, OFFSET, P, SEED
+from evoclust.session import ensure_checkpoint_dir
 from evoclust.sources.points import (
     drop_feature,
     parse_vector,
     points_by_position,
     points_from_array,
     points_from_columns,
+    read_abalone,
+    read_iris,
+    read_named_csv,
+    read_numeric_csv,
     recode,
     with_pos,
 )
@@ -410,6 +416,83 @@ def s_points_by_position(spark, sf_dir):
                    F.max("pos").alias("last"), F.round(F.sum(F.col("x")[0]), 2).alias("quantity"))
 
 
+def g13_fit_defaults(spark, sf_dir):
+    """One generation with the default parameters: 10 chromosomes, 3 clusters, rates 0.8."""
+    model = GeneticKMeans(generations=1, seed=SEED).fit(embedding_points(spark, sf_dir, pos=True))
+    return model.history().select(_b("gen").alias("gen"), _r("fitness").alias("fitness"), _r("sse").alias("sse"), _r("ari").alias("ari"))
+
+
+def g6_crossover_ring_p10(spark, sf_dir):
+    """Eight pairs on the ring, each with what the one before left, in the default population."""
+    ga = GeneticKMeans(seed=SEED, pairing="ring")
+    pop = init_population(embedding_points(spark, sf_dir, pos=True), ga.population, ga.k, SEED)
+    pop = pop.take(select_survivors(pop.fitness, ga.survival, SEED, 1))
+    return _per_chrom(spark, ga.crossover_population(pop, 1).fitness, "fitness")
+
+
+def g11_fit_parity(spark, sf_dir):
+    """Two generations with a rotated second child and drawn child centres."""
+    return _history(spark, sf_dir, 2, second_child="rotate", child_centers="random")
+
+
+def d2_projection(spark, sf_dir):
+    """Points, final centres and label centres in one projected table."""
+    part = _table(spark, sf_dir, "part").withColumn("lab", F.col("p_size") % 3)
+    pts = points_from_columns(part, "p_partkey", ["p_size", "p_retailprice"], "lab")
+    C = [r["center"] for r in label_centers(pts.withColumn("label", (F.col("x")[0] % 4).cast("int"))).orderBy("label").collect()]
+    out = project(pts, centers=np.array(C), label_centres=label_centers(pts))
+    return out.select("kind", _b("id").alias("id"), F.round("pc1", 3).alias("pc1"), F.round("pc2", 3).alias("pc2"))
+
+
+def _written(df: DataFrame, header: bool = False) -> str:
+    """The folder of a driver table written as CSV to the checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/csv-{uuid.uuid4().hex}"
+    df.write.csv(path, header=header)
+    return path
+
+
+def s1_numeric_csv(spark, sf_dir):
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    pts = read_numeric_csv(spark, _written(part))
+    return pts.select(*(F.col("x")[i].alias(f"x{i}") for i in range(3)))
+
+
+def s2_named_csv(spark, sf_dir):
+    cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    pts = read_named_csv(spark, _written(cust, header=True), ["c_acctbal", "c_custkey"], "c_nationkey")
+    return pts.select(F.col("x")[0].alias("x0"), F.col("x")[1].alias("x1"), _b("label").alias("label"))
+
+
+def s4_iris_csv(spark, sf_dir):
+    """``part`` in the layout of the labelled flower file: four numbers and a class name."""
+    names = F.array(*(F.lit(f"Iris-{c}") for c in ("setosa", "versicolor", "virginica")))
+    part = _table(spark, sf_dir, "part").select(
+        (F.col("p_size") / 10).alias("a"), (F.col("p_partkey") % 7).alias("b"), F.col("p_retailprice").alias("c"),
+        (F.col("p_size") % 5).alias("d"), names[(F.col("p_partkey") % 3).cast("int")].alias("class"))
+    pts = read_iris(spark, _written(part))
+    return pts.select(*(F.col("x")[i].alias(f"x{i}") for i in range(4)), _b("label").alias("label"))
+
+
+def p8_abalone_csv(spark, sf_dir):
+    """``part`` in the layout of the shell file: a sex, seven numbers and 1 to 29 rings."""
+    sex = F.array(*(F.lit(c) for c in "FIM"))[(F.col("p_partkey") % 3).cast("int")]
+    part = _table(spark, sf_dir, "part").select(
+        sex.alias("sex"), "p_retailprice", *(F.lit(i).alias(f"n{i}") for i in range(5)), "p_size", (F.col("p_size") % 29 + 1).alias("rings"))
+    pts = read_abalone(spark, _written(part))
+    x = F.col("x")
+    letter = F.array(*(F.lit(c) for c in "FIM"))[x[0].cast("int")]
+    return pts.select(letter.alias("sex"), x[0].alias("x0"), x[1].alias("x1"), x[7].alias("x7"), _b("label").alias("label"))
+
+
+def s7_report_file(spark, sf_dir):
+    """The report written as text and read back, line by line."""
+    path = f"{ensure_checkpoint_dir(spark)}/report-{uuid.uuid4().hex}"
+    write_report(evaluate(_assigned(spark, sf_dir)), path)
+    line = F.split("value", ":")
+    return spark.read.text(path).where(F.col("value").contains(":")).select(
+        line[0].alias("line"), F.round(line[1].cast("double"), 6).alias("value"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s_points_from_columns": s_points_from_columns,
     "s_parse_vector_text": s_parse_vector_text,
@@ -463,4 +546,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e6_silhouette_offset": e6_silhouette_offset,
     "s_points_by_position": s_points_by_position,
     "d1_pca_part": d1_pca_part,
+    "d2_projection": d2_projection,
+    "g13_fit_defaults": g13_fit_defaults,
+    "g6_crossover_ring_p10": g6_crossover_ring_p10,
+    "g11_fit_parity": g11_fit_parity,
+    "s1_numeric_csv": s1_numeric_csv,
+    "s2_named_csv": s2_named_csv,
+    "s4_iris_csv": s4_iris_csv,
+    "s7_report_file": s7_report_file,
+    "p8_abalone_csv": p8_abalone_csv,
 }

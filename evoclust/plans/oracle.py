@@ -9,11 +9,24 @@ vectors ``lp(row_id, j, v)``, Lloyd steps unrolled as CTEs, seeded draws by
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from evoclust.functions.vector import uniform_sql
 from evoclust.plans.params import ITERS, K, MUT_RATE, OFFSET, P, SEED
 
 
+@contextmanager
+def _sizes(population: int, k: int) -> Iterator[None]:
+    """Statements built inside are for this population and number of clusters."""
+    global P, K
+    held, (P, K) = (P, K), (population, k)
+    try:
+        yield
+    finally:
+        P, K = held
+
+
 def _u(*tags, row_id="row_id") -> str:
     return uniform_sql(SEED, *tags, row_id=row_id)
 
@@ -183,13 +196,27 @@ kids AS (
 
 # tables of one generation; a later one gets a suffix of its own
 _GENERATION = ("rk src sel slotlab slotcen ranks duo cut kid ksil ksil_pair ksil_per ksil_pt ksil_pv allfit comp win holdsrc "
-               "held hf kidmeans hc crossed crossedfit crossedcen grid sizes bounds draws msil msil_pair msil_per msil_pt msil_pv "
+               "held hf kidmeans hc crossed crossedfit crossedcen grid sizes rooms less more used cells draws msil msil_pair msil_per msil_pt msil_pv "
                "cand_d cand csil csil_pair csil_per csil_pt csil_pv acc fin fincen finfit best bl fsse fsse_m ct pc").split()
 
 
-def _cross_step(first: int, second: int, cut: int, gen: int) -> str:
+def _cross_step(first: int, second: int, cut: int, gen: int, parity: bool = False) -> str:
     """G7 of the pair drawn at these places: children, family competition, the slots after it
-    (``crossed``, ``crossedfit``, ``crossedcen``) from ``slotlab``, ``slotcen`` and ``sel``."""
+    (``crossed``, ``crossedfit``, ``crossedcen``) from ``slotlab``, ``slotcen`` and ``sel``.
+    ``parity``: the second child is rotated (Q7), the children's centres are drawn (Q6)."""
+    second_child = f"""SELECT 101, t.row_id, CASE WHEN t.pos < (SELECT count(*) FROM pts) - (SELECT cut FROM cut) THEN la.c ELSE lb.c END
+  FROM posn t JOIN posn n ON n.pos = (t.pos + (SELECT cut FROM cut)) % (SELECT count(*) FROM pts)
+  JOIN slotlab la ON la.row_id = n.row_id JOIN slotlab lb ON lb.row_id = n.row_id
+  WHERE la.slot = (SELECT a FROM duo) AND lb.slot = (SELECT b FROM duo)""" if parity else """SELECT 101, la.row_id, CASE WHEN n.pos < (SELECT cut FROM cut) THEN lb.c ELSE la.c END
+  FROM slotlab la JOIN slotlab lb ON lb.row_id = la.row_id JOIN posn n ON n.row_id = la.row_id
+  WHERE la.slot = (SELECT a FROM duo) AND lb.slot = (SELECT b FROM duo)"""
+    drawn = " UNION ALL ".join(
+        f"""SELECT {100 + i} AS src, o.c, l.j, l.v FROM (SELECT row_number() OVER (ORDER BY u, row_id) - 1 AS c, row_id
+   FROM (SELECT row_id, {_u(f"child{gen}.{cut}", i)} AS u FROM pts ORDER BY u, row_id LIMIT {K})) o JOIN lp l USING (row_id)""" for i in (0, 1))
+    kid_centres = drawn if parity else """SELECT k.chrom AS src, k.c, p.j, avg(p.v) AS v FROM kid k JOIN lp p USING (row_id) GROUP BY k.chrom, k.c, p.j
+  UNION ALL
+  SELECT kk.chrom, sc.c, sc.j, sc.v FROM (SELECT DISTINCT chrom FROM kid) kk, slotcen sc
+  WHERE sc.slot = (SELECT a FROM duo) AND NOT EXISTS (SELECT 1 FROM kid k2 WHERE k2.chrom = kk.chrom AND k2.c = sc.c)"""
     return f"""duo AS (SELECT (SELECT r FROM ranks WHERE ord = {first}) AS a, (SELECT r FROM ranks WHERE ord = {second}) AS b),
 cut AS (SELECT {_cut(cut, gen)} AS cut),
 kid AS (
@@ -197,9 +224,7 @@ kid AS (
   FROM slotlab la JOIN slotlab lb ON lb.row_id = la.row_id JOIN posn n ON n.row_id = la.row_id
   WHERE la.slot = (SELECT a FROM duo) AND lb.slot = (SELECT b FROM duo)
   UNION ALL
-  SELECT 101, la.row_id, CASE WHEN n.pos < (SELECT cut FROM cut) THEN lb.c ELSE la.c END
-  FROM slotlab la JOIN slotlab lb ON lb.row_id = la.row_id JOIN posn n ON n.row_id = la.row_id
-  WHERE la.slot = (SELECT a FROM duo) AND lb.slot = (SELECT b FROM duo)),
+  {second_child}),
 {_silhouette("kid", True, "ksil")},
 allfit AS (SELECT slot AS src, fitness FROM sel UNION ALL SELECT chrom, fitness FROM ksil),
 comp AS (
@@ -215,29 +240,42 @@ holdsrc AS (
 crossed AS (SELECT h.slot AS chrom, l.row_id, l.c FROM holdsrc h JOIN
          (SELECT slot AS src, row_id, c FROM slotlab UNION ALL SELECT chrom, row_id, c FROM kid) l ON l.src = h.src),
 crossedfit AS (SELECT h.slot AS chrom, f.fitness FROM holdsrc h JOIN allfit f ON f.src = h.src),
-kidmeans AS (
-  SELECT k.chrom AS src, k.c, p.j, avg(p.v) AS v FROM kid k JOIN lp p USING (row_id) GROUP BY k.chrom, k.c, p.j
-  UNION ALL
-  SELECT kk.chrom, sc.c, sc.j, sc.v FROM (SELECT DISTINCT chrom FROM kid) kk, slotcen sc
-  WHERE sc.slot = (SELECT a FROM duo) AND NOT EXISTS (SELECT 1 FROM kid k2 WHERE k2.chrom = kk.chrom AND k2.c = sc.c)),
+kidmeans AS ({kid_centres}),
 crossedcen AS (SELECT h.slot AS chrom, c.c, c.j, c.v FROM holdsrc h JOIN
        (SELECT slot AS src, c, j, v FROM slotcen UNION ALL SELECT src, c, j, v FROM kidmeans) c ON c.src = h.src)"""
 
 
-def _one_generation(gen: int = 1, kmo: str = "better", mutation: float = 0.0) -> str:
-    """G11, one generation: selection, one disjoint pair crossed at the first cut,
+def _chain(pairs: list[tuple[int, int]], gen: int) -> str:
+    """:func:`_cross_step` of pair after pair, each on the slots that the one before left."""
+    parts = ["slotlab_{0}s0 AS (SELECT * FROM slotlab), slotcen_{0}s0 AS (SELECT * FROM slotcen), sel_{0}s0 AS (SELECT slot, fitness FROM sel)".format(gen)]
+    for i, (a, b) in enumerate(pairs):
+        if i:
+            before = f"{gen}s{i - 1}"
+            parts.append(f"slotlab_{gen}s{i} AS (SELECT chrom AS slot, row_id, c FROM crossed_{before}), "
+                         f"slotcen_{gen}s{i} AS (SELECT chrom AS slot, c, j, v FROM crossedcen_{before}), "
+                         f"sel_{gen}s{i} AS (SELECT chrom AS slot, fitness FROM crossedfit_{before})")
+        parts.append(_suffixed(_cross_step(a, b, i, gen), f"{gen}s{i}").replace(f"ranks_{gen}s{i}", "ranks"))
+    last = f"{gen}s{len(pairs) - 1}"
+    parts.append(f"crossed AS (SELECT * FROM crossed_{last}), crossedfit AS (SELECT * FROM crossedfit_{last}), crossedcen AS (SELECT * FROM crossedcen_{last})")
+    return ",\n".join(parts)
+
+
+def _one_generation(gen: int = 1, kmo: str = "better", mutation: float = 0.0, parity: bool = False) -> str:
+    """G11, one generation: selection, the disjoint pairs crossed at their cuts,
     family competition, with a rate the mutation, k-means step (guarded or not).
     The first starts from ``pop``, ``pcen`` and ``silo``, a later one from the one before."""
     P1 = P - 1
     fit0, pop0, cen0 = ("silo", "pop", "pcen") if gen == 1 else (f"{t}_{gen - 1}" for t in ("finfit", "fin", "fincen"))
     take = "c.fitness > h.fitness" if kmo == "better" else "TRUE"
+    m = int(0.8 * P) // 2
+    cross = _cross_step(0, 1, 0, gen, parity) if m == 1 else _chain([(2 * i, 2 * i + 1) for i in range(m)], gen)
     text = f"""{_select_slots(fit0, gen)},
 slotlab AS (SELECT s.slot, p.row_id, p.c FROM sel s JOIN {pop0} p ON p.chrom = s.chrom),
 slotcen AS (SELECT s.slot, c.c, c.j, c.v FROM sel s JOIN {cen0} c ON c.chrom = s.chrom),
 ranks AS (SELECT r, row_number() OVER (ORDER BY u, r) - 1 AS ord FROM (
   SELECT r, (('0x' || substr(md5('{SEED}|rank|{gen}|' || CAST(r AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0) AS u
   FROM range(0, {P1}) t(r))),
-{_cross_step(0, 1, 0, gen)},
+{cross},
 {_mutation(gen, mutation) if mutation else "held AS (SELECT * FROM crossed), hf AS (SELECT * FROM crossedfit), hc AS (SELECT * FROM crossedcen)"},
 cand_d AS (SELECT m.chrom, p.row_id, m.c, sum((p.v - m.v) * (p.v - m.v)) AS d2 FROM lp p JOIN hc m ON m.j = p.j
            GROUP BY m.chrom, p.row_id, m.c),
@@ -260,17 +298,39 @@ bl AS (SELECT row_id, c FROM fin WHERE chrom = (SELECT chrom FROM best)),
     return _suffixed(text, gen)
 
 
+def _alias(labels: str) -> str:
+    """Alias cells (chrom, c, prob, alias) by the sizes of each chromosome's clusters.
+
+    Cells below the average (``less``) draw on those above (``more``) in order of
+    their ids; running totals say which one, and where one is used up."""
+    return f"""grid AS (SELECT ch.chrom, r.c FROM (SELECT DISTINCT chrom FROM {labels}) ch, range(0, {K}) r(c)),
+sizes AS (SELECT g.chrom, g.c, count(p.row_id) AS n FROM grid g LEFT JOIN {labels} p ON p.chrom = g.chrom AND p.c = g.c GROUP BY g.chrom, g.c),
+rooms AS (SELECT chrom, c, n, sum(n) OVER (PARTITION BY chrom) AS total, n * {K} - sum(n) OVER (PARTITION BY chrom) AS room FROM sizes),
+less AS (SELECT *, sum(-room) OVER (PARTITION BY chrom ORDER BY c) AS upto FROM rooms WHERE room < 0),
+more AS (SELECT *, sum(room) OVER (PARTITION BY chrom ORDER BY c) AS upto, lead(c) OVER (PARTITION BY chrom ORDER BY c) AS nextc FROM rooms WHERE room > 0),
+used AS (SELECT m.*, (SELECT min(l.upto) FROM less l WHERE l.chrom = m.chrom AND l.upto >= m.upto) AS over_ FROM more m),
+cells AS (
+  SELECT l.chrom, l.c, (l.n * {K})::DOUBLE / l.total::DOUBLE AS prob,
+         (SELECT min(m.c) FROM more m WHERE m.chrom = l.chrom AND m.upto > l.upto + l.room) AS alias FROM less l
+  UNION ALL
+  SELECT chrom, c, CASE WHEN nextc IS NULL OR over_ IS NULL THEN 1.0 ELSE 1 - (over_ - upto)::DOUBLE / total::DOUBLE END, coalesce(nextc, c) FROM used
+  UNION ALL
+  SELECT chrom, c, 1.0, c FROM rooms WHERE room = 0)"""
+
+
+def _drawn(rate: float) -> str:
+    """The label of a row of ``draws``: kept, or the cell of the draw, or that cell's alias."""
+    return f"""SELECT d.chrom, d.row_id, CASE WHEN d.um >= {rate} THEN d.c WHEN d.ud * {K} - x.c < x.prob THEN x.c ELSE x.alias END AS c
+            FROM draws d JOIN cells x ON x.chrom = d.chrom AND x.c = floor(d.ud * {K})"""
+
+
 def _mutation(gen: int, rate: float) -> str:
     """G8 inside a generation: labels redrawn by cluster size, centres and fitness from the new labels."""
     um = _u("mut", gen, "' || p.chrom || '", row_id="p.row_id")
     ud = _u("draw", gen, "' || p.chrom || '", row_id="p.row_id")
-    return f"""grid AS (SELECT ch.chrom, r.c FROM (SELECT DISTINCT chrom FROM crossed) ch, range(0, {K}) r(c)),
-sizes AS (SELECT g.chrom, g.c, count(p.row_id)::DOUBLE AS n FROM grid g LEFT JOIN crossed p ON p.chrom = g.chrom AND p.c = g.c GROUP BY g.chrom, g.c),
-bounds AS (SELECT chrom, c, sum(n) OVER (PARTITION BY chrom ORDER BY c) / sum(n) OVER (PARTITION BY chrom) AS cum FROM sizes),
+    return f"""{_alias("crossed")},
 draws AS (SELECT p.chrom, p.row_id, p.c, {um} AS um, {ud} AS ud FROM crossed p),
-held AS (SELECT d.chrom, d.row_id,
-                CASE WHEN d.um < {rate} THEN (SELECT count(*) FROM bounds b WHERE b.chrom = d.chrom AND b.c < {K - 1} AND b.cum <= d.ud) ELSE d.c END AS c
-         FROM draws d),
+held AS ({_drawn(rate)}),
 {_silhouette("held", True, "msil")},
 hf AS (SELECT chrom, fitness FROM msil),
 hc AS (SELECT h.chrom, h.c, p.j, avg(p.v) AS v FROM held h JOIN lp p USING (row_id) GROUP BY h.chrom, h.c, p.j
@@ -285,18 +345,10 @@ def _suffixed(text: str, suffix) -> str:
 def _ring() -> str:
     """G6 parity: selection, then neighbours on the ring of drawn ranks crossed one pair after the other."""
     m = int(0.8 * P)
-    parts = [_one_generation(1).split("duo_1 AS (")[0].rstrip().rstrip(",")]
-    for i in range(m):
-        if i:
-            before = f"1s{i - 1}"
-            parts.append(f"slotlab_1s{i} AS (SELECT chrom AS slot, row_id, c FROM crossed_{before}), "
-                         f"slotcen_1s{i} AS (SELECT chrom AS slot, c, j, v FROM crossedcen_{before}), "
-                         f"sel_1s{i} AS (SELECT chrom AS slot, fitness FROM crossedfit_{before})")
-        else:
-            parts.append("slotlab_1s0 AS (SELECT * FROM slotlab_1), slotcen_1s0 AS (SELECT * FROM slotcen_1), sel_1s0 AS (SELECT slot, fitness FROM sel_1)")
-        parts.append(_suffixed(_cross_step(i, (i + 1) % m, i, 1), f"1s{i}").replace(f"ranks_1s{i}", "ranks_1"))
-    return _with(PTS, _population(), _silhouette("pop", True, "silo"), *parts) + (
-        f"SELECT chrom::BIGINT AS chrom, round(fitness, 6) AS fitness FROM crossedfit_1s{m - 1}")
+    start = _one_generation(1).split("slotlab_1s0 AS (" if m > 3 else "duo_1 AS (")[0].rstrip().rstrip(",")
+    chain = _suffixed(_chain([(i, (i + 1) % m) for i in range(m)], 1), 1)
+    return _with(PTS, _population(), _silhouette("pop", True, "silo"), start, chain) + (
+        "SELECT chrom::BIGINT AS chrom, round(fitness, 6) AS fitness FROM crossedfit_1")
 
 
 def _generations(n: int, **options) -> str:
@@ -309,8 +361,6 @@ def _generations(n: int, **options) -> str:
         for g in range(1, n + 1))
 
 
-
-
 # ------------------------------------------------------------------ statements
 
 def statements() -> dict[str, str]:
@@ -439,15 +489,10 @@ SELECT round(avg(CASE WHEN own = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / g
         f"SELECT place, candidate, fitness FROM (SELECT (row_number() OVER (ORDER BY fitness DESC, chrom) - 1)::BIGINT AS place, "
         f"chrom::BIGINT AS candidate, {_r('fitness')} AS fitness FROM sil) WHERE place < 2"
     )
-    # mutation: cumulative size bounds per chromosome, redraw where u < rate
-    mut = f"""grid AS (SELECT ch.chrom, r.c FROM (SELECT DISTINCT chrom FROM pop) ch, range(0, {K}) r(c)),
-sizes AS (SELECT g.chrom, g.c, count(p.row_id)::DOUBLE AS n FROM grid g LEFT JOIN pop p ON p.chrom = g.chrom AND p.c = g.c GROUP BY g.chrom, g.c),
-bounds AS (SELECT chrom, c, sum(n) OVER (PARTITION BY chrom ORDER BY c) / sum(n) OVER (PARTITION BY chrom) AS cum FROM sizes),
+    mut = f"""{_alias("pop")},
 draws AS (SELECT p.chrom, p.row_id, p.c, {_u('mut', 1, "' || p.chrom || '", row_id='p.row_id')} AS um,
                  {_u('draw', 1, "' || p.chrom || '", row_id='p.row_id')} AS ud FROM pop p),
-mutated AS (SELECT d.chrom, d.row_id,
-                   CASE WHEN d.um < {MUT_RATE} THEN (SELECT count(*) FROM bounds b WHERE b.chrom = d.chrom AND b.c < {K - 1} AND b.cum <= d.ud) ELSE d.c END AS c
-            FROM draws d)"""
+mutated AS ({_drawn(MUT_RATE)})"""
     q["g8_mutation"] = _with(*base, pop, mut) + "SELECT chrom::BIGINT AS chrom, row_id, c::BIGINT AS cluster FROM mutated"
 
     # KMO twice on the initial population: step 1 keeps labels (they are the
@@ -475,6 +520,10 @@ held AS (SELECT p.chrom, p.row_id, CASE WHEN {take} THEN c2.c ELSE p.c END AS c
     q["g11_fit_always"] = _generations(2, kmo="always")
     log = _with(PTS, pop, _silhouette("pop", True, "silo"), _one_generation(1))
     q["g6_crossover_ring"] = _ring()
+    with _sizes(10, 3):  # the defaults
+        q["g13_fit_defaults"] = _generations(1)
+        q["g6_crossover_ring_p10"] = _ring()
+    q["g11_fit_parity"] = _generations(2, parity=True)
     q["g15_population_log"] = log + " UNION ALL ".join(
         f"SELECT {g}::BIGINT AS gen, '{stage}' AS stage, {col}::BIGINT AS chrom, round({fit}, 6) AS fitness FROM {t}"
         for g, stage, col, fit, t in ((0, "init", "chrom", "fitness", "silo"), (1, "selection", "slot", "fitness", "sel_1"),
@@ -508,4 +557,20 @@ v AS (SELECT mx, my, ux * s AS ux, uy * s AS uy, -uy * t AS wx, ux * t AS wy FRO
   SELECT *, sign(CASE WHEN abs(ux) > abs(uy) THEN ux ELSE uy END) AS s,
          sign(CASE WHEN abs(uy) > abs(ux) THEN -uy ELSE ux END) AS t FROM u))
 SELECT id, round((x - mx) * ux + (y - my) * uy, 3) AS pc1, round((x - mx) * wx + (y - my) * wy, 3) AS pc2 FROM p, v"""
+    # the same with centre and label rows: means by two other columns, projected alike
+    q["d2_projection"] = q["d1_pca_part"].split("SELECT id, round((x - mx)")[0] + """,
+r AS (SELECT 'point' AS kind, id, x, y FROM p
+      UNION ALL SELECT 'center', p_size % 4, avg(p_size), avg(p_retailprice) FROM part GROUP BY p_size % 4
+      UNION ALL SELECT 'label_center', p_size % 3, avg(p_size), avg(p_retailprice) FROM part GROUP BY p_size % 3)
+SELECT kind, id::BIGINT AS id, round((x - mx) * ux + (y - my) * uy, 3) AS pc1, round((x - mx) * wx + (y - my) * wy, 3) AS pc2 FROM r, v"""
+    q["s1_numeric_csv"] = "SELECT p_partkey::DOUBLE AS x0, p_size::DOUBLE AS x1, p_retailprice AS x2 FROM part"
+    q["s2_named_csv"] = "SELECT c_acctbal AS x0, c_custkey::DOUBLE AS x1, c_nationkey::BIGINT AS label FROM customer"
+    q["s4_iris_csv"] = """SELECT (p_size / 10.0)::DOUBLE AS x0, (p_partkey % 7)::DOUBLE AS x1, p_retailprice AS x2, (p_size % 5)::DOUBLE AS x3,
+  (p_partkey % 3)::BIGINT AS label FROM part"""
+    q["p8_abalone_csv"] = """SELECT ['F', 'I', 'M'][p_partkey % 3 + 1] AS sex, (p_partkey % 3)::DOUBLE AS x0, p_retailprice AS x1, p_size::DOUBLE AS x7,
+  CASE WHEN p_size % 29 = 28 THEN 27 ELSE p_size % 29 END::BIGINT AS label FROM part"""
+    q["s7_report_file"] = f"""WITH r AS ({q['e8_report']})
+SELECT CASE metric WHEN 'sse' THEN 'Final SSE' WHEN 'ari' THEN 'Adjusted Rand Index' WHEN 'label_agreement' THEN 'Jaccard Index'
+  WHEN 'fowlkes_mallows' THEN 'Fowlkes Mallows Index' WHEN 'silhouette_squared' THEN 'Silhouette Index (squared)'
+  WHEN 'davies_bouldin' THEN 'Davies Bouldin Index' END AS line, value FROM r WHERE metric <> 'pair_jaccard'"""
     return q

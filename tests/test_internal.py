@@ -177,3 +177,20 @@ def test_blocks_of_pruned_pairs(spark):
     for p in range(2):
         assert abs(got[p][0] / got[p][1] - _brute_silhouette(X, labs[:, p])) < 1e-12
     assert (counts <= len(X)).all() and counts[0, 2] == 0
+
+
+def test_ratios_of_many_clusters_are_searched_under_bounds(spark):
+    """k = 100,000 centroids: dealt over tasks, most block pairs skipped; equal to all pairs on fewer."""
+    rng = np.random.default_rng(7)
+    C, S = rng.uniform(0, 100, (3000, 2)), rng.uniform(0.1, 1.0, 3000)
+    C[5] = C[6]  # coincident centroids give no ratio
+    want = I.worst_ratios(C, S, C, S)
+    got, met, every = I.pruned_ratios(spark, C, S)
+    assert abs(got - want.sum()) < 1e-9 * want.sum() and met < every / 2
+    ones = np.ones(3000, dtype=int)
+    assert abs(I.davies_bouldin_value(C, S, ones, spark) - I.davies_bouldin_value(C, S, ones)) < 1e-9
+    order = I.near_blocks(C, 256)
+    assert sorted(order.tolist()) == list(range(3000))
+    C = rng.uniform(0, 1000, (100_000, 2))
+    total, met, every = I.pruned_ratios(spark, C, rng.uniform(0.1, 1.0, 100_000))
+    assert total > 0 and met < every / 20

@@ -207,10 +207,11 @@ def test_rotated_children_take_one_join(spark):
     from evoclust.operators.population import rotated_genes
 
     df = spark.createDataFrame([(i, i, [i, 10 + i]) for i in range(6)], "row_id bigint, pos bigint, sol array<int>")
-    got = rotated_genes(df, [1, 2, 4, 5], 6)
+    cuts = [1, 2, 4, 5]
+    got = rotated_genes(df, [(0, 0)] * 4, cuts, 6)
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     for r in got.collect():
-        assert [g[0] for g in r["_rot"]] == [(r["pos"] + c) % 6 for c in (1, 2, 4, 5)]
+        assert list(r["_rot"]) == [(r["row_id"] + c) % 6 for c in cuts]
 
 
 def _exchanges(df):
@@ -301,3 +302,57 @@ def test_ring_generation_has_one_statistics_job(spark, monkeypatch):
     assert seen == [1]
     fresh = from_labels(out.df, out.centers)  # the statistics and fitness of what came out, computed anew
     assert np.allclose(fresh.fitness, out.fitness, atol=1e-12) and np.allclose(fresh.stats.M, out.stats.M)
+
+
+def test_alias_table_draws_in_proportion():
+    from evoclust.operators.population import alias_table
+
+    rng = np.random.default_rng(0)
+    tables = [[1], [5, 0, 0], [0, 0, 7], [1, 1, 1, 1], [10, 1, 1, 1, 1, 0], [3, 9, 1, 27, 2, 2], list(range(40)), [1, 1, 1, 97],
+              *rng.integers(0, 50, (200, 7)).tolist()]
+    for sizes in tables:
+        n = np.array(sizes)
+        if not n.sum():
+            continue
+        k = len(n)
+        prob, alias = alias_table(n)
+        share = np.zeros(k)
+        np.add.at(share, np.arange(k), prob / k)
+        np.add.at(share, alias, (1 - prob) / k)
+        assert ((prob >= 0) & (prob <= 1)).all() and np.allclose(share, n / n.sum(), atol=1e-12)
+
+
+def test_mutation_plan_does_not_grow_with_k(spark):
+    from evoclust.operators.population import mutated
+
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    plans = [len(mutated(init_population(pts, 2, k, seed=2), 0.3, 2, 1).select("row_id", "sol")._jdf.queryExecution().optimizedPlan().toString())
+             for k in (3, 60)]
+    assert abs(plans[0] - plans[1]) < 200
+
+
+def test_sampling_sends_keys_only(spark):
+    from evoclust.operators.sampling import sample_centers
+
+    pts = embedding_points(spark, SF_SMALL).repartition(9)
+    drawn = sample_centers(pts, 4, seed=1, chrom=[0, 1], fan_in=3)
+    plan = drawn._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    below = text[text.index("Window"):] if "Window" in text else text
+    assert "cx" not in below and " x#" not in "\n".join(line for line in below.splitlines() if "MapInArrow" in line or "Repartition" in line)
+    assert drawn.count() == 8
+
+
+def test_rotation_sends_one_gene_a_pair(spark):
+    from evoclust.operators.population import rotated_genes
+
+    pts = embedding_points(spark, SF_SMALL, pos=True)
+    pop = init_population(pts, 4, 5, seed=3)
+    n, pairs, cuts = pop.n, [(0, 1), (2, 3)], [7, 450]
+    genes = rotated_genes(pop.df, pairs, cuts, n)
+    assert genes.columns == ["row_id", "_rot"]
+    sol = {r["pos"]: r["sol"] for r in pop.df.select("pos", "sol").collect()}
+    got = {r["pos"]: r["_rot"] for r in pop.df.join(genes, "row_id").select("pos", "_rot").collect()}
+    for i, ((a, b), cut) in enumerate(zip(pairs, cuts)):
+        child = [sol[p][a] for p in range(cut, n)] + [sol[p][b] for p in range(cut)]
+        assert [got[p][i] for p in range(n)] == child
