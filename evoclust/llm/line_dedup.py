@@ -75,11 +75,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     )
     named = hits.select(F.col("id").alias("hit_id"), F.col("tk").alias("hit_tk"), "dropped")
     # The row travels in one struct: no column of it can clash.
-    left = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), _document_key(text_col).alias("tk"),
-                       text_of(text_col).alias("text"))
+    left = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), _document_key(text_col).alias("tk"))
     joined = left.join(named, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("tk") == F.col("hit_tk")), "left")
-    cut = joined.select("row", "text", F.split("text", "\n").alias("lines"),
-                        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    cut = joined.select("row", F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"), "dropped").select(
+        "row", "text", F.split("text", "\n").alias("lines"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
     text = F.when(F.size("dropped") == 0, F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.col("lines")[i]), "\n"))

@@ -34,6 +34,7 @@ QUERIES = {
     "op9_topk": topk.op9_topk,
 }
 ORACLE = {
+    "op1_suffix_dedup": suffix_dedup.OP1_SQL,
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op4_sharding": sharding.oracle(),
     "op6_line_dedup": line_dedup.OP6_SQL,

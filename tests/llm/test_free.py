@@ -387,3 +387,31 @@ def test_topk_of_empty_tables(spark):
     df = topk.whole_numbers(spark.createDataFrame([(0, [1.0])], "vec_id bigint, embedding array<double>"), "vec_id", "embedding")
     assert topk.search(df, df, 10, 2).count() == 0
     assert topk.search(df.limit(0), df, 10, 2).count() == 0
+
+
+def test_levels_are_suffix_arrays_and_merge_by_order():
+    rng = np.random.default_rng(3)
+    vocab = [bytes(rng.integers(97, 101, rng.integers(2, 9)).astype(np.uint8)) for _ in range(40)]
+    texts = [b" ".join(vocab[j] for j in rng.integers(0, 40, 400)) for _ in range(12)]
+    texts[7] = texts[2][100:900] + texts[7]
+    entries = [suffix_dedup.cut([(d, 0, 0, t)])[0] for d, t in enumerate(texts)]
+
+    def suffixes(level):
+        e = level.entries
+        return [bytes(e.content[i, e.anchor[i]:e.runs[i] + suffix_dedup.LENGTH - 1]).ljust(84, b"\0") for i in range(len(e))]
+
+    a, b = (suffix_dedup.Level.of(suffix_dedup.Entries.join(entries[i::2])) for i in (0, 1))
+    whole = suffix_dedup.Level.of(suffix_dedup.Entries.join(entries))
+    for level in (a, b, whole, a.merged(b)):
+        assert suffixes(level) == sorted(suffixes(level))
+        assert [s[:16] for s in suffixes(level)] == [x.ljust(16, b"\0") for x in level.anchor.tolist()]
+    assert suffixes(a.merged(b)) == suffixes(whole)
+    groups, rows = a.scan(b)
+    shared = set(a.anchor.tolist()) & set(b.anchor.tolist())
+    assert {a.distinct[g] for g in groups.tolist()} == shared and {b.anchor[r] for r in rows.tolist()} == shared
+    assert len(rows) == sum(x in shared for x in b.anchor.tolist())
+    family = suffix_dedup.LevelFamily()
+    for e in entries:
+        family.add(e)
+    sizes = {rank: len(level.anchor) for rank, level in family.levels.items()}
+    assert sorted(sizes) == [2, 3]  # 12 batches: levels of 4 and of 8
