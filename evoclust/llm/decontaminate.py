@@ -13,8 +13,10 @@ Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-
 
 Plan: documents are exploded to shingles inside one code-generated stage that
 probes a broadcast table, so neither texts nor shingles are shuffled; only
-verified matches are.  The broadcast table holds at most ``block_rows``
-windows, a bound that is checked: more windows run in more passes.
+matches are.  The broadcast table holds shingle, place, length and 128 bits of hash
+of at most ``block_rows`` windows, 32 bytes each, whatever their words and items:
+a bound that is checked; more windows run in more passes.  Matched words are
+compared with the window's, and windows led to their items, in salted joins.
 
 Defined cases: null texts have no words; an item without words has no window;
 items with the same id are one item, a null item_id counts as an item with an
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, stored, table, text_of
 
-WINDOW, SHINGLE, BLOCK_ROWS = 10, 3, 200_000
+WINDOW, SHINGLE, BLOCK_ROWS, SALTS = 10, 3, 200_000, 16
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -42,13 +44,17 @@ def words(text: Column) -> Column:
 
 
 def windows(items: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Distinct windows: (w, len, items): the words space-joined, their number, the ids of the items that hold it."""
+    """(item, w, len, wid): each item's distinct windows: the words space-joined, their number, 128 bits of hash."""
     w = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
                      words(text_of(text_col)).alias("words")).where(F.size("words") > 0)
     return w.select("item", F.least(F.size("words"), F.lit(window)).alias("len"), F.explode(
         F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - window + 1, F.lit(1))),
                     lambda i: F.array_join(F.slice("words", i, window), " "))).alias("w"),
-    ).groupBy("w", "len").agg(F.collect_set("item").alias("items"))
+    ).distinct().withColumn("wid", _wid("w"))
+
+
+def _wid(w) -> Column:
+    return F.unhex(F.md5(F.col(w) if isinstance(w, str) else w))
 
 
 def _shingle_hash(array: str, pos: Column, n: int) -> Column:
@@ -65,25 +71,25 @@ def _document_shingles(docs: DataFrame, lengths: list[int], id_col: str, text_co
 
 
 def _pass(docs: DataFrame, own: DataFrame, lengths: list[int], id_col: str, text_col: str) -> DataFrame:
-    """Verified matches (id, tk, start, end, items) of one block of windows."""
+    """Matches (id, tk, start, len, wid, found) of one block of distinct windows, by the hash of the words found."""
     tokens = own.withColumn("ws", F.split("w", " ")).select(
-        "w", "len", "items", F.least("len", F.lit(SHINGLE)).alias("n"), "ws",
+        "wid", "len", F.least("len", F.lit(SHINGLE)).alias("n"), "ws",
         F.explode(F.sequence(F.lit(0), F.col("len") - F.least("len", F.lit(SHINGLE)))).alias("off"))
     h = reduce(lambda out, n: F.when(F.col("n") == n, _shingle_hash("ws", F.col("off"), n)).otherwise(out), lengths,
                F.lit(None).cast("long"))
-    tokens = tokens.select("w", "len", "items", "off", h.alias("h"))
+    tokens = tokens.select("wid", "len", "off", h.alias("h"))
     probed = _document_shingles(docs, lengths, id_col, text_col)
     counts = probed.join(F.broadcast(tokens.select("h").distinct()), "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     # A token that no document holds rules its window out: the inner join on the
     # rarest one, counted 0 where it is absent, drops it.
-    prefix = tokens.join(counts, "h", "left").groupBy("w", "len").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("t"), F.first("items").alias("items")
-    ).where("t.n > 0").select(F.col("t.h").alias("h"), F.col("t.off").alias("off"), "w", "len", "items")
+    prefix = tokens.join(counts, "h", "left").groupBy("wid", "len").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("t")
+    ).where("t.n > 0").select(F.col("t.h").alias("h"), F.col("t.off").alias("off"), "wid", "len")
     start = F.col("pos") - F.col("off")
     bounds = (start >= 0) & (start + F.col("len") <= F.size("words"))
-    same = F.array_join(F.slice("words", F.greatest(start + 1, F.lit(1)), F.col("len")), " ") == F.col("w")
-    return probed.join(F.broadcast(prefix), "h").where(bounds & same).select(
-        "id", "tk", start.alias("start"), (start + F.col("len")).alias("end"), "items")
+    found = F.array_join(F.slice("words", F.greatest(start + 1, F.lit(1)), F.col("len")), " ")
+    return probed.join(F.broadcast(prefix), "h").where(bounds & (_wid(found) == F.col("wid"))).select(
+        "id", "tk", start.alias("start"), "len", "wid", found.alias("found"))
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_rows: int = BLOCK_ROWS,
@@ -93,16 +99,27 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_rows: in
     ``tk`` is xxhash64 of the text; ``items`` the sorted ids; ``spans`` the
     [start, end) word spans of the windows.
     """
-    table_ = stored(windows(items, window, item_col, item_text))
-    found = {r["n"]: r["c"] for r in table_.groupBy(F.least("len", F.lit(SHINGLE)).alias("n")).agg(
+    held = stored(windows(items, window, item_col, item_text))
+    each = stored(held.select("wid", "w", "len").distinct())
+    found = {r["n"]: r["c"] for r in each.groupBy(F.least("len", F.lit(SHINGLE)).alias("n")).agg(
         F.count(F.lit(1)).alias("c")).collect()}  # at most SHINGLE rows
     lengths = sorted(found) or [SHINGLE]
     blocks = max(1, -(-sum(found.values()) // block_rows))
-    passes = [_pass(docs, table_.where(F.pmod(F.xxhash64("w"), F.lit(blocks)) == b) if blocks > 1 else table_,
+    passes = [_pass(docs, each.where(F.pmod(F.xxhash64("w"), F.lit(blocks)) == b) if blocks > 1 else each,
                     lengths, id_col, text_col) for b in range(blocks)]
-    per_doc = reduce(DataFrame.unionByName, passes).groupBy("id", "tk").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    # Few rows from here on.  The words are compared themselves, and windows led to their
+    # items, in joins salted on the documents' side: one window may be in very many documents.
+    salt = F.pmod(F.xxhash64("id", "tk", "start"), F.lit(SALTS)).cast("int").alias("salt")
+    salted = lambda t: t.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    exact = salted(each.select("wid", F.col("w").alias("found")))
+    matched = stored(reduce(DataFrame.unionByName, passes).withColumn("salt", salt).join(exact, ["wid", "found", "salt"]).select(
+        "id", "tk", "start", "len", "wid", "salt"))
+    spans = matched.groupBy("id", "tk").agg(
+        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("spans"))
+    ids = matched.select("id", "tk", "wid", "salt").distinct().join(salted(held.select("item", "wid")), ["wid", "salt"]).groupBy(
+        "id", "tk").agg(F.sort_array(F.collect_set("item")).alias("items")).select(
+        F.col("id").alias("item_doc"), F.col("tk").alias("item_tk"), "items")
+    per_doc = spans.join(ids, F.col("id").eqNullSafe(F.col("item_doc")) & (F.col("tk") == F.col("item_tk")))
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("e")),
         lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], a["e"]))).alias("n"),
