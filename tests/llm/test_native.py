@@ -91,6 +91,26 @@ def test_url_rules(spark):
     assert url_filter.judge(pages, table.limit(0)).where("rule is null and verdict = 'allow'").count() == len(data)
 
 
+def test_many_nested_rules(spark):
+    """Hundreds of rules a host, paths inside paths, hosts inside hosts: as brute force, and no row carries them all."""
+    rng = random.Random(2)
+    hosts = ["com", "b.com", "a.b.com", "c.b.com", "net", "x.net"]
+    paths = ["".join(rng.choice(["/", "a", "b", "é", "/a"]) for _ in range(rng.randint(0, 9))) for _ in range(150)]
+    rules = [(rng.choice(hosts), rng.choice(paths), rng.choice(["allow", "block"])) for _ in range(900)]
+    data = [(i, f"http://{rng.choice(['', 'www.', 'Z.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', 'b', '/x', '?q', '#f'])}")
+            for i in range(400)] + [(7, "http://www.com/a")] * 50
+    pages = spark.createDataFrame(data, "page_id long, url string").repartition(4)
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    got = sorted(((r["page_id"], r["url"], r["rule"], r["verdict"]) for r in url_filter.judge(pages, table, lanes=5).collect()), key=key)
+    want = []
+    for i, url in data:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url)
+        want.append((i, url, *brute_rule(ascii_lower(m[1]), m[2], rules)))
+    assert got == sorted(want, key=key)
+    one = url_filter.path_breakpoints(url_filter._rules(table))
+    assert dict(one.dtypes)["rule"].startswith("struct<") and one.count() == 2 * len({r[:2] for r in rules})
+
+
 # ------------------------------------------------------------------ sharding
 
 
