@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,26 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only a local-mode session without that setting (tests, the bench)
-    gets a fresh private folder, removed when the program ends.
+    ``spark.checkpoint.dir`` names it, on a cluster a folder that driver and
+    executors share.  Only a session without that setting (tests, the bench)
+    gets a folder of its own, below the warehouse, which they share too; a
+    local one is removed when the program ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; set it to a shared folder "
-            "(HDFS/S3/...) so iterative fits can cut lineage reliably"
-        )
-    own = tempfile.mkdtemp(prefix="evoclust-ckpt-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    sc.setCheckpointDir(own)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/evoclust-{uuid.uuid4().hex}"
+        if folder.startswith(("file:", "/")):
+            atexit.register(shutil.rmtree, re.sub("^file:/*", "/", folder), ignore_errors=True)
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
