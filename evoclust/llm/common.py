@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evoclust.operators.store import remove
 from evoclust.session import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -14,6 +15,8 @@ LOWER = UPPER.lower()
 #: Space and the ASCII controls 09-0D.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Folders that :func:`stored` has written, oldest first.
+STORED: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,14 +40,23 @@ def text_of(name: str = "text") -> Column:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet to the shared checkpoint folder, and read back.
 
-    The table survives lost executors and cuts the lineage.
+    The table survives lost executors and cuts the lineage.  It stays until
+    :func:`drop_stored`, as results are read from it.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    STORED.append(path)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables that :func:`stored` wrote in this program, from number ``since`` on:
+    for a caller whose results are written elsewhere."""
+    while len(STORED) > since:
+        remove(spark, STORED.pop())
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

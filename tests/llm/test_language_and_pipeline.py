@@ -150,3 +150,66 @@ def test_pipeline_is_registered():
 
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+PIPELINE_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, __id int, row string, tk long, copies int"
+
+
+def written(spark, path, docs):
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_pipeline_run_on_awkward_tables(spark, tmp_path):
+    """Null rows, repeated rows and clashing columns; nothing but the last stage and the token files stays behind."""
+    from evoclust.llm.common import STORED
+
+    docs = [(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"], -1, "x", -2, -3)
+            for r in spark.read.parquet(f"{SF}/documents.parquet").limit(80).collect()]
+    docs += [(None, None, None, None, None, -1, "x", -2, -3), (10 ** 7, "", "en", None, 0, -1, "x", -2, -3)] + [docs[0]] * 5
+    one = written(spark, tmp_path / "one", spark.createDataFrame(docs, PIPELINE_COLUMNS).repartition(3))
+    folder, before = tmp_path / "out", len(STORED)
+    out = corpus_pipeline.run(spark, one, str(folder))
+    assert dict(out.dtypes) == {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"}
+    rows = sorted((r["start"], r["n_tokens"], r["doc_id"]) for r in out.collect())
+    assert rows and all(a[0] + a[1] == b[0] for a, b in zip(rows, rows[1:]))
+    assert {d for _, _, d in rows} <= {d[0] for d in docs if d[1]} and len(STORED) == before
+    assert [p.name.split("-")[0] for p in folder.iterdir()] == ["token_output"]
+    # the same again gives the same
+    assert rows == sorted((r["start"], r["n_tokens"], r["doc_id"]) for r in corpus_pipeline.run(spark, one).collect())
+
+
+def test_pipeline_run_on_tables_without_anything(spark, tmp_path):
+    empty = spark.createDataFrame([], PIPELINE_COLUMNS)
+    nothing = spark.createDataFrame([(None,) * 9] * 3 + [(1, "no lang at all", None, None, None, 1, "", 1, 1)], PIPELINE_COLUMNS)
+    for i, docs in enumerate((empty, nothing)):
+        path = written(spark, tmp_path / str(i), docs)
+        assert corpus_pipeline.run(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op1_suffix_dedup", "op2_simhash", "op5_mixing", "op7_token_output", "op10_language_id"])
+def test_registered_queries_return_their_contract(spark, name):
+    """The thin queries themselves: columns, types and a row for each document."""
+    from evoclust.llm.queries import QUERIES
+
+    small = "/root/testdata/sf0.001"
+    want = {
+        "op1_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+        "op2_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+        "op5_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+        "op7_token_output": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+        "op10_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double"}[name]
+    out = QUERIES[name](spark, small)
+    assert ", ".join(f"{c} {t}" for c, t in out.dtypes) == want
+    rows = {r["doc_id"]: r for r in out.collect()}
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    assert rows.keys() == docs.keys() and out.count() == len(docs)
+    if name == "op2_simhash":
+        prints = [brute_print(t) for t in docs.values()]
+        groups = groups_of(prints, 4)
+        least = {}
+        for d, g in zip(docs, groups):
+            least[g] = min(d, least.get(g, d))
+        for d, p, g in zip(docs, prints, groups):
+            assert (rows[d]["fingerprint"], rows[d]["component_id"]) == (f"{p:016x}", least[g])
