@@ -302,7 +302,8 @@ class GeneticKMeans:
 
         # pass B: children fitness + candidate statistics of every possible slot content
         frame_b = pop.df.select("row_id", "x", F.array(*[seg.genes(g) for g in every]).alias("sol"))
-        cand_all, sil = run_parts(frame_b, children_and_candidates_fn(P, m2, k, d, cst, all_centres), P + m2, k, d)
+        cand_all, sil = run_parts(frame_b, children_and_candidates_fn(P, m2, k, d, cst, all_centres), P + m2, k, d,
+                                  pop.store.buckets)
         child_fit = np.array([sil[i][0] / sil[i][1] if sil.get(i, (0, 0))[1] else -1.0 for i in range(m2)])
         child_fit = np.where((cst.n > 0).sum(axis=1) >= 2, child_fit, -1.0)
 
@@ -318,7 +319,7 @@ class GeneticKMeans:
         cand = cand_all.take(src)
         bounds = Segments(self._plan(pop.n, gen + 1)[1]).bounds if gen < self.generations else None
         S = 0 if bounds is None else len(bounds) + 1
-        st, sil = run_parts(frame_c, candidates_fn(P, k, d, centres, cand, bounds), 2 * P, max(S, 1) * k, d)
+        st, sil = run_parts(frame_c, candidates_fn(P, k, d, centres, cand, bounds), 2 * P, max(S, 1) * k, d, pop.store.buckets)
         cand_fit = np.array([sil[p][0] / sil[p][1] if sil.get(p, (0, 0))[1] else -1.0 for p in range(P)])
         cand_fit = np.where((cand.n > 0).sum(axis=1) >= 2, cand_fit, -1.0)
         take = cand_fit > fitness if self.kmo == "better" else np.ones(P, dtype=bool)

@@ -285,12 +285,13 @@ class KernelSpec:
     reassign: np.ndarray | None = None  # (P,) bool: which slots take nearest-centre labels
     root_e: bool = False  # accumulate Euclidean (not squared) distances in e
     e_col: str | None = None  # with labels from sol: e read from this column
+    tasks: int | None = None  # partitions of the pass, where the caller knows them
 
     def chunk(self, lo: int, hi: int, sol_col: str | None = None) -> "KernelSpec":
         """The same pass restricted to slots lo..hi-1 (``sol`` already sliced)."""
         pick = lambda a: None if a is None else a[lo:hi]
         return KernelSpec(hi - lo, self.k, self.d, pick(self.centers), pick(self.own_centers),
-                          sol_col or self.sol_col, pick(self.reassign), self.root_e, self.e_col)
+                          sol_col or self.sol_col, pick(self.reassign), self.root_e, self.e_col, self.tasks)
 
 
 def own_distances(X: np.ndarray, C: np.ndarray, lab: np.ndarray) -> np.ndarray:

@@ -99,15 +99,15 @@ def merge_parts(parts: DataFrame, tasks: int, rows: int, d: int) -> DataFrame:
     return parts
 
 
-def run_parts(df: DataFrame, fn, P: int, k: int, d: int) -> tuple[Stats, dict[int, tuple[float, int]]]:
+def run_parts(df: DataFrame, fn, P: int, k: int, d: int, tasks: int | None = None) -> tuple[Stats, dict[int, tuple[float, int]]]:
     """One pass: statistics and silhouette sums ``{slot: (sum, points)}``.
 
     ``df`` is a narrow plan over a scan or a cached table.  Each task sends P*k
     rows at most; the driver gets P*k rows, or as many from each of at most
-    ``FAN_IN`` tasks while they are under ``DRIVER_BYTES``.
+    ``FAN_IN`` tasks while they are under ``DRIVER_BYTES``.  ``tasks``: the
+    partitions of ``df``, where the caller knows them.
     """
-    rows = P * k + P
-    parts = merge_parts(df.mapInArrow(fn, K.PART_SCHEMA), df.rdd.getNumPartitions(), rows, d)
+    parts = merge_parts(df.mapInArrow(fn, K.PART_SCHEMA), tasks or df.rdd.getNumPartitions(), P * k + P, d)
     return read_parts(parts.toArrow(), P, k, d)
 
 
@@ -153,7 +153,7 @@ def run_stats(points: DataFrame, spec: K.KernelSpec) -> Stats:
     parts = []
     for lo, hi in _chunks(spec, per_slot):
         pts, sub = _slice_sol(points, spec, lo, hi)
-        parts.append(run_parts(pts, K.partial_stats_fn(sub), sub.P, sub.k, sub.d)[0])
+        parts.append(run_parts(pts, K.partial_stats_fn(sub), sub.P, sub.k, sub.d, spec.tasks)[0])
     return parts[0] if len(parts) == 1 else Stats.join(parts)
 
 
@@ -236,12 +236,12 @@ def run_many_stats(labelled: DataFrame, spec: K.KernelSpec) -> Stats:
         parts.unpersist()
 
 
-def stats_by_centres(points: DataFrame, C: np.ndarray) -> Stats:
+def stats_by_centres(points: DataFrame, C: np.ndarray, tasks: int | None = None) -> Stats:
     """A1/A5 of the nearest-centre labels of one chromosome: one pass, or
     centre blocks plus one statistics pass when the centres exceed the bound."""
     k, d = C.shape
     if C.nbytes <= K.MAX_CLOSURE_BYTES:
-        return run_stats(points, K.KernelSpec(1, k, d, centers=C[None]))
+        return run_stats(points, K.KernelSpec(1, k, d, centers=C[None], tasks=tasks))
     lab = block_nearest(points.select("row_id", "x"), C, ["row_id", "x"])
     framed = lab.select("row_id", "x", F.array("_bc").alias("sol"), "_bd")
     return run_many_stats(framed, K.KernelSpec(1, k, d, sol_col="sol", e_col="_bd"))
@@ -253,8 +253,8 @@ def assign(points: DataFrame, centers, keep: list[str] | None = None) -> DataFra
     ``centers`` is a ``(k, d)`` array or a ``(c, cx)`` DataFrame of k rows.
     """
     if isinstance(centers, DataFrame):
-        rows = centers.select("c", "cx").collect()
-        centers = np.array([r["cx"] for r in sorted(rows, key=lambda r: r["c"])], dtype=np.float64)
+        rows = centers.select("c", "cx").orderBy("c").toArrow()
+        centers = np.concatenate([x.flatten().to_numpy() for x in rows.column("cx").chunks]).reshape(rows.num_rows, -1)
     C = np.asarray(centers, dtype=np.float64)
     keep = keep or [c for c in points.columns if c not in ("cluster", "d2")]
     if C.nbytes > K.MAX_CLOSURE_BYTES:
@@ -385,12 +385,13 @@ class KMeansLloyd:
                 C = centers_array(sample_centers(pts, self.k, self.seed), 1, self.k, d)[0]
             init = C.copy()
             sse_hist, shift_hist, cen_hist, computed = [], [], [C.copy()], []
+            tasks = pts.rdd.getNumPartitions()
             for _ in range(self.n_iter):
                 if carried is not None and C.nbytes <= K.MAX_CLOSURE_BYTES:
                     st, count = carried.step(C)
                     computed.append(count)
                 else:
-                    st = stats_by_centres(pts, C)
+                    st = stats_by_centres(pts, C, tasks)
                 new = st.means(C[None])[0]
                 moved = float(((new - C) ** 2).sum())
                 sse_hist.append(float(st.E.sum()))
