@@ -8,12 +8,12 @@ k-th best lower bound is the mark to reach, and candidates whose upper bound
 lies below it are compacted away.  Scores are whole-number inner products, so
 the result is exact; ties go to the smaller id.
 
-Distribution: candidates are dealt over parts of about ``part_rows`` rows by a
-hash, and each part gets a copy of the queries behind its candidates, as
-blocks of ``block_rows`` queries.  A task holds its candidates and one query
-block; nothing passes through the driver and nothing is broadcast.  Each part
-yields k rows a query; a partial top-k per salt and then the last one keep any
-task's share small.
+Distribution: candidates are dealt over ``parts`` parts by a hash, in the query
+one for each ``PART_ROWS`` rows (or of less, down to ``LEAST_ROWS``, while there are
+fewer parts than shuffle partitions), and each part gets a copy of the queries behind its
+candidates.  A task holds its candidates and an Arrow batch of queries; nothing passes
+through the driver and nothing is broadcast.  Each part yields k rows a query;
+a partial top-k per salt and then the last one keep any task's share small.
 
 Components are floor(scale * x), x as double.  Defined cases: a vector that is
 null, or holds a null or a component that is not finite, and a row with a
@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shuffle_partitions, table
 
 SCALE, K = 1024, 10
-PART_ROWS, BLOCK_ROWS, DIMENSIONS = 65_536, 512, 8
+PART_ROWS, LEAST_ROWS, DIMENSIONS = 65_536, 4096, 8
 #: Above this size of a component, rounding could spoil the bounds: nothing is pruned.
 SAFE = 2.0 ** 24
 
@@ -166,7 +166,8 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: ten best of all rows for each row whose vec_id is divisible by 100."""
     rows = whole_numbers(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     n = rows.count()
-    found = search(rows, rows.where(F.col("id") % 100 == 0), K, parts=max(1, -(-n // PART_ROWS)) * 8)
+    parts = max(1, -(-n // PART_ROWS), min(shuffle_partitions(spark), -(-n // LEAST_ROWS)))
+    found = search(rows, rows.where(F.col("id") % 100 == 0), K, parts=parts)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
