@@ -451,6 +451,62 @@ def _written(df: DataFrame, header: bool = False) -> str:
     return path
 
 
+def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as points (value, minute of the hour / 10), labelled by their type in alphabetical order."""
+    types = F.array(*(F.lit(t) for t in ("click", "error", "purchase", "signup", "view")))
+    ev = _table(spark, sf_dir, "events").withColumn("minute", F.minute("ts").cast("double") / 10).withColumn(
+        "type", (F.array_position(types, F.col("event_type")) - 1).cast("int"))
+    return points_from_columns(ev, "event_id", ["value", "minute"], "type")
+
+
+def k_fit_3_iterations_events(spark, sf_dir):
+    pts = event_points(spark, sf_dir)
+    m = KMeansLloyd(k=K, n_iter=ITERS, seed=SEED).fit(pts)
+    return m.transform(pts).groupBy(_b("cluster").alias("cluster")).agg(F.count(F.lit(1)).alias("n"), _r(F.sum("d2")).alias("sse"))
+
+
+def _events_history(spark, sf_dir, **options):
+    m = KMeansLloyd(k=K, n_iter=ITERS, seed=SEED, **options).fit(event_points(spark, sf_dir))
+    return m.history().select(_b("iter").alias("iter"), _r("sse").alias("sse"))
+
+
+def k_sse_history_events(spark, sf_dir):
+    return _events_history(spark, sf_dir)
+
+
+def k_bounds_events(spark, sf_dir):
+    """The same history from a fit that carries triangle bounds."""
+    return _events_history(spark, sf_dir, bounds=True)
+
+
+def _events_assigned(spark, sf_dir) -> DataFrame:
+    pts = event_points(spark, sf_dir)
+    return assign(pts, _centres0(pts))
+
+
+def j1_assign_events(spark, sf_dir):
+    return _events_assigned(spark, sf_dir).select("row_id", _b("cluster").alias("cluster"), _r("d2").alias("d2"))
+
+
+def e2_ari_events(spark, sf_dir):
+    return X.adjusted_rand(_events_assigned(spark, sf_dir)).select(_r("ari").alias("ari"))
+
+
+def e7_davies_bouldin_events(spark, sf_dir):
+    return I.davies_bouldin(_events_assigned(spark, sf_dir)).select(_r("davies_bouldin").alias("davies_bouldin"))
+
+
+def a4_label_centers_events(spark, sf_dir):
+    lc = label_centers(event_points(spark, sf_dir))
+    return lc.select(_b("label").alias("label"), F.posexplode("center").alias("j", "v")).select(
+        "label", _b("j").alias("j"), _r("v").alias("v"))
+
+
+def r_sample_centers_events(spark, sf_dir):
+    drawn = sample_centers(event_points(spark, sf_dir), K, SEED, [0, 1, 2])
+    return drawn.select(_b("chrom").alias("chrom"), _b("c").alias("c"), "row_id")
+
+
 def s1_numeric_csv(spark, sf_dir):
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     pts = read_numeric_csv(spark, _written(part))
@@ -555,4 +611,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s4_iris_csv": s4_iris_csv,
     "s7_report_file": s7_report_file,
     "p8_abalone_csv": p8_abalone_csv,
+    "k_fit_3_iterations_events": k_fit_3_iterations_events,
+    "k_sse_history_events": k_sse_history_events,
+    "k_bounds_events": k_bounds_events,
+    "j1_assign_events": j1_assign_events,
+    "e2_ari_events": e2_ari_events,
+    "e7_davies_bouldin_events": e7_davies_bouldin_events,
+    "a4_label_centers_events": a4_label_centers_events,
+    "r_sample_centers_events": r_sample_centers_events,
 }

@@ -81,6 +81,11 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+#: ``events`` in the place of ``embeddings``: many more points, two dimensions, five labels.
+PTS_EVENTS = """pts AS (SELECT event_id AS row_id, [value, extract(minute FROM ts) / 10.0] AS x,
+  CAST(list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) - 1 AS INT) AS label FROM events),
+lp AS (SELECT row_id, unnest(generate_series(0, len(x) - 1)) AS j, unnest(x) AS v FROM pts),
+posn AS (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS pos FROM pts)"""
 R6 = "round({}, 6)"
 
 
@@ -573,4 +578,8 @@ SELECT kind, id::BIGINT AS id, round((x - mx) * ux + (y - my) * uy, 3) AS pc1, r
 SELECT CASE metric WHEN 'sse' THEN 'Final SSE' WHEN 'ari' THEN 'Adjusted Rand Index' WHEN 'label_agreement' THEN 'Jaccard Index'
   WHEN 'fowlkes_mallows' THEN 'Fowlkes Mallows Index' WHEN 'silhouette_squared' THEN 'Silhouette Index (squared)'
   WHEN 'davies_bouldin' THEN 'Davies Bouldin Index' END AS line, value FROM r WHERE metric <> 'pair_jaccard'"""
+    # the same statements over events
+    for name in ("k_fit_3_iterations", "k_sse_history", "j1_assign", "e2_ari", "e7_davies_bouldin", "a4_label_centers", "r_sample_centers"):
+        q[f"{name}_events"] = q[name].replace(PTS, PTS_EVENTS)
+    q["k_bounds_events"] = q["k_sse_history_events"]
     return q
