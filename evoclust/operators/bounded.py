@@ -10,6 +10,7 @@ those of a full pass.
 A pass reads the points joined with the carried columns (bucketed alike, no
 Exchange) and writes one table: the next carried columns and, beside them, the
 task's statistics rows.  What a pass costs besides the points is 20 bytes a row.
+``row_id`` is a whole number here.
 """
 
 from __future__ import annotations

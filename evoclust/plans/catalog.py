@@ -351,6 +351,7 @@ def d1_pca_part(spark, sf_dir):
 def _history(spark, sf_dir, generations, **options):
     pts = embedding_points(spark, sf_dir, pos=True)
     model = GeneticKMeans(population=P, k=K, generations=generations, seed=SEED, **options).fit(pts)
+    model.release()  # the history is all that is asked for
     return model.history().select(_b("gen").alias("gen"), _r("fitness").alias("fitness"), _r("sse").alias("sse"), _r("ari").alias("ari"))
 
 
@@ -379,6 +380,7 @@ def g6_crossover_ring(spark, sf_dir):
 
 def g15_population_log(spark, sf_dir):
     model = GeneticKMeans(population=P, k=K, generations=1, seed=SEED).fit(embedding_points(spark, sf_dir, pos=True))
+    model.release()
     return model.population_log().select(_b("gen").alias("gen"), "stage", _b("chrom").alias("chrom"), _r("fitness").alias("fitness"))
 
 
@@ -419,6 +421,7 @@ def s_points_by_position(spark, sf_dir):
 def g13_fit_defaults(spark, sf_dir):
     """One generation with the default parameters: 10 chromosomes, 3 clusters, rates 0.8."""
     model = GeneticKMeans(generations=1, seed=SEED).fit(embedding_points(spark, sf_dir, pos=True))
+    model.release()
     return model.history().select(_b("gen").alias("gen"), _r("fitness").alias("fitness"), _r("sse").alias("sse"), _r("ari").alias("ari"))
 
 
