@@ -16,7 +16,9 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 DEFAULT = ["s_points_from_columns", "j1_assign", "k_fit_3_iterations", "k_center_history", "e2_ari",
            "e5_silhouette_exact", "e7_davies_bouldin", "e8_report", "g5_selection", "g7_crossover_rotated",
            "g8_mutation", "g9_kmo_guarded", "g11_fit", "g11_fit_mutation", "g15_population_log", "g6_crossover_ring",
-           "a5_sse_offset", "e6_silhouette_offset", "s_points_by_position", "d1_pca_part"]
+           "a5_sse_offset", "e6_silhouette_offset", "s_points_by_position", "d1_pca_part",
+           "e5_silhouette_pruned", "g13_fit_defaults", "g11_fit_parity", "g6_crossover_ring_p10", "d2_projection", "s1_numeric_csv",
+           "s2_named_csv", "s4_iris_csv", "p8_abalone_csv", "s7_report_file", "k_bounds_events", "e7_davies_bouldin_events"]
 NAMES = sorted(set(E.oracle_sql()) & set(E.QUERIES)) if os.environ.get("EVOCLUST_FULL_ORACLE") else DEFAULT
 
 
