@@ -14,7 +14,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Space and the ASCII controls 09-0D.
 BLANKS = " \t\n\x0b\x0c\r"
-WORD = r"[^\x20\x09-\x0D]+"
 #: Folders that :func:`stored` has written, oldest first.
 STORED: list[str] = []
 
@@ -37,6 +36,11 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def word_count(text: Column, gaps: str = r"[\x20\x09-\x0D]+") -> Column:
+    """The number of words between ``gaps`` (a pattern); several times as fast as counting matches."""
+    return F.size(F.array_remove(F.split(text, gaps), "")).cast("long")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet to the shared checkpoint folder, and read back.
 

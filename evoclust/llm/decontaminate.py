@@ -13,8 +13,8 @@ Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-
 
 Plan: documents are exploded to shingles inside one code-generated stage that
 probes a broadcast table, so neither texts nor shingles are shuffled; only
-matches are.  The broadcast table holds shingle, place, length and 128 bits of hash
-of at most ``block_rows`` windows, 32 bytes each, whatever their words and items:
+matches are.  The broadcast table holds shingle, place, length and a hash
+of at most ``block_rows`` windows, 24 bytes each, whatever their words and items:
 a bound that is checked; more windows run in more passes.  Matched words are
 compared with the window's, and windows led to their items, in salted joins.
 
@@ -32,11 +32,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stored, table, text_of
+from .common import ascii_lower, stored, table, text_of, word_count
 
 WINDOW, SHINGLE, BLOCK_ROWS, SALTS = 10, 3, 200_000, 16
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: The same before A-Z are lower-cased.
+ANY_GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -71,25 +72,25 @@ def _document_shingles(docs: DataFrame, lengths: list[int], id_col: str, text_co
 
 
 def _pass(docs: DataFrame, own: DataFrame, lengths: list[int], id_col: str, text_col: str) -> DataFrame:
-    """Matches (id, tk, start, len, wid, found) of one block of distinct windows, by the hash of the words found."""
+    """Matches (id, tk, start, len, x, found) of one block of distinct windows, by the hash x of the words found."""
     tokens = own.withColumn("ws", F.split("w", " ")).select(
-        "wid", "len", F.least("len", F.lit(SHINGLE)).alias("n"), "ws",
+        F.xxhash64("w").alias("x"), "len", F.least("len", F.lit(SHINGLE)).alias("n"), "ws",
         F.explode(F.sequence(F.lit(0), F.col("len") - F.least("len", F.lit(SHINGLE)))).alias("off"))
     h = reduce(lambda out, n: F.when(F.col("n") == n, _shingle_hash("ws", F.col("off"), n)).otherwise(out), lengths,
                F.lit(None).cast("long"))
-    tokens = tokens.select("wid", "len", "off", h.alias("h"))
+    tokens = tokens.select("x", "len", "off", h.alias("h"))
     probed = _document_shingles(docs, lengths, id_col, text_col)
     counts = probed.join(F.broadcast(tokens.select("h").distinct()), "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     # A token that no document holds rules its window out: the inner join on the
     # rarest one, counted 0 where it is absent, drops it.
-    prefix = tokens.join(counts, "h", "left").groupBy("wid", "len").agg(
+    prefix = tokens.join(counts, "h", "left").groupBy("x", "len").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("t")
-    ).where("t.n > 0").select(F.col("t.h").alias("h"), F.col("t.off").alias("off"), "wid", "len")
+    ).where("t.n > 0").select(F.col("t.h").alias("h"), F.col("t.off").alias("off"), "x", "len")
     start = F.col("pos") - F.col("off")
     bounds = (start >= 0) & (start + F.col("len") <= F.size("words"))
     found = F.array_join(F.slice("words", F.greatest(start + 1, F.lit(1)), F.col("len")), " ")
-    return probed.join(F.broadcast(prefix), "h").where(bounds & (_wid(found) == F.col("wid"))).select(
-        "id", "tk", start.alias("start"), "len", "wid", found.alias("found"))
+    return probed.join(F.broadcast(prefix), "h").where(bounds & (F.xxhash64(found) == F.col("x"))).select(
+        "id", "tk", start.alias("start"), "len", "x", found.alias("found"))
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_rows: int = BLOCK_ROWS,
@@ -111,12 +112,15 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_rows: in
     # items, in joins salted on the documents' side: one window may be in very many documents.
     salt = F.pmod(F.xxhash64("id", "tk", "start"), F.lit(SALTS)).cast("int").alias("salt")
     salted = lambda t: t.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    exact = salted(each.select("wid", F.col("w").alias("found")))
-    matched = stored(reduce(DataFrame.unionByName, passes).withColumn("salt", salt).join(exact, ["wid", "found", "salt"]).select(
-        "id", "tk", "start", "len", "wid", "salt"))
+    raw = stored(reduce(DataFrame.unionByName, passes).withColumn("salt", salt))
+    # Only windows that some document holds are copied to the salts.
+    met = each.withColumn("x", F.xxhash64("w")).join(raw.select("x").distinct(), "x", "left_semi")
+    exact = salted(met.select("wid", "x", F.col("w").alias("found")))
+    matched = stored(raw.join(exact, ["x", "found", "salt"]).select("id", "tk", "start", "len", "wid", "salt"))
+    owners = held.select("item", "wid").join(matched.select("wid").distinct(), "wid", "left_semi")
     spans = matched.groupBy("id", "tk").agg(
         F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("spans"))
-    ids = matched.select("id", "tk", "wid", "salt").distinct().join(salted(held.select("item", "wid")), ["wid", "salt"]).groupBy(
+    ids = matched.select("id", "tk", "wid", "salt").distinct().join(salted(owners), ["wid", "salt"]).groupBy(
         "id", "tk").agg(F.sort_array(F.collect_set("item")).alias("items")).select(
         F.col("id").alias("item_doc"), F.col("tk").alias("item_tk"), "items")
     per_doc = spans.join(ids, F.col("id").eqNullSafe(F.col("item_doc")) & (F.col("tk") == F.col("item_tk")))
@@ -141,7 +145,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = hits(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
     every = docs.select("doc_id", F.xxhash64("text").alias("__tk"),
-                        F.regexp_count(text_of("text"), F.lit(WORDS)).cast("long").alias("n_words"))
+                        word_count(text_of("text"), ANY_GAPS).alias("n_words"))
     out = every.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("__tk") == F.col("tk")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(

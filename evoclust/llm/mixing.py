@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, shuffle_partitions, stored, table, text_of
+from .common import shuffle_partitions, stored, table, text_of, word_count
 
 WEIGHTS, SHARE, CAP, LEAF_ROWS = (5, 2, 1), 1.5, 2.0, 10_000
 _EPS = 1e-9
@@ -269,7 +269,7 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more)
 def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP,
            leaf_rows: int = LEAF_ROWS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, tk, source, size, source_size, target, copies), a row for each row of ``docs``; ``tk`` is xxhash64 of the text."""
-    size = F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size")
+    size = word_count(text_of(text_col)).alias("size")
     sized = stored(_sized(docs, id_col, text_col, source_col, size))
     out = _shared(sized.drop("size"), _totals(sized, weights, share, cap, leaf_rows))
     return out.select("id", "tk", "source", "size", "source_size", "target", F.col("copies").cast("int").alias("copies"))
@@ -278,7 +278,7 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = S
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP, leaf_rows: int = LEAF_ROWS,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; same columns."""
-    size = F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size")
+    size = word_count(text_of(text_col)).alias("size")
     totals = _totals(_sized(docs, id_col, text_col, source_col, size), weights, share, cap, leaf_rows).where("copies > 0")
     rows = _sized(docs, id_col, text_col, source_col, F.struct(*docs.columns).alias("row"))
     taken = _shared(rows, totals).where("copies > 0")

@@ -68,7 +68,7 @@ def test_repeated_rows_are_dealt_apart(spark):
     assert len(same) == n // 3 and max(same) - min(same) <= 1
     taken, target = sum(r["copies"] * r["size"] for r in out), out[0]["target"]
     assert abs(taken - target) <= 4
-    sized = mixing._sized(docs, "doc_id", "text", "source", F.regexp_count(F.col("text"), F.lit(mixing.WORD)).cast("long").alias("size"))
+    sized = mixing._sized(docs, "doc_id", "text", "source", mixing.word_count(F.col("text")).alias("size"))
     totals = {r["id"]: (r["rows"], r["copies"]) for r in mixing._totals(sized, (1,), 1.5, 2.0, leaf).collect()}
     assert totals[None] == (n // 3, sum(same))
 
