@@ -80,10 +80,11 @@ def _add_fingerprints(batches: Iterator[pa.RecordBatch], text: str, shingle: int
                                          names=[batch.schema.names[i] for i in keep] + ["fp"])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``fp``, the fingerprint as a signed long; narrow."""
-    raw = docs.drop("fp").withColumn("__raw", F.col(text_col).cast("binary"))
-    schema = StructType([f for f in raw.schema if f.name != "__raw"]).add("fp", LongType())
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with ``fp``, the fingerprint as a signed long; narrow."""
+    keep = [c for c in docs.columns if c != "fp"] if keep is None else keep
+    raw = docs.select(*keep, F.col(text_col).cast("binary").alias("__raw"))
+    schema = StructType([docs.schema[c] for c in keep]).add("fp", LongType())
     return raw.mapInArrow(partial(_add_fingerprints, text="__raw", shingle=shingle), schema)
 
 
@@ -243,7 +244,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     ``tk`` is xxhash64 of the text; ``root`` a fingerprint that names the group.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("__text"))
-    marked = stored(fingerprints(rows, shingle, "__text").select(F.col("id").alias(id_col), "tk", "fp"))
+    # Of the text one copy goes to Python, and none comes back.
+    marked = stored(fingerprints(rows, shingle, "__text", ["id", "tk"]).select(F.col("id").alias(id_col), "tk", "fp"))
     own = stored(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
     roots = components(links(own, distance, **options))
     member = own.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
