@@ -167,9 +167,13 @@ class Aligner:
         return [(links[g:h].tobytes(), b"".join(words[i:j])[:-1], m, n)
                 for g, h, i, j, m, n in zip([0, *group], group, [0, *cut], cut, n_a, n_b)]
 
-    def batch(self, texts: list[str]) -> Iterator[Alignment]:
-        """What :meth:`aligned` gives, word by word where that is the same."""
+    def batch(self, texts: list[str]) -> list[Alignment]:
+        """What :meth:`aligned` gives, word by word where that is the same.
+
+        A list, not a generator: a caller that stops at the last text would leave the words over ``CACHE`` behind.
+        """
         known, words = self.known, [t.split(" ") if self.by_word else [] for t in texts]
+        out: list[Alignment] = []
         new = list({w for some in words for w in some if w not in known})
         safe = [w for w in new if w and not w[0].isspace() and not w[-1].isspace()]
         known.update(dict.fromkeys(new))
@@ -177,14 +181,15 @@ class Aligner:
         for text, some in zip(texts, words):
             found = [known[w] for w in some]
             if not found or None in found:
-                yield self.aligned([text])[0]
+                out += self.aligned([text])
                 continue
             links, groups, n_a, n_b = zip(*found)
-            yield b"".join(links), b";".join(groups), sum(n_a), sum(n_b)
+            out.append((b"".join(links), b";".join(groups), sum(n_a), sum(n_b)))
         room = CACHE - len(known) + len(new)
         for i, w in enumerate(new):
             if i >= room or len(w) > WORD_CHARS:
                 del known[w]
+        return out
 
 
 _ALIGNERS: dict[int, Aligner] = {}

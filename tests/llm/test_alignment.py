@@ -117,6 +117,21 @@ def test_full_cache_changes_nothing(aligner, monkeypatch):
     assert len(fresh.known) <= 5
 
 
+def test_a_task_keeps_no_more_words_than_the_cache_holds(aligner, monkeypatch):
+    import pyarrow as pa
+
+    class Files:
+        value = (Path(T.tokenizer_path(T.A_FILE)).read_text(), Path(T.tokenizer_path(T.B_FILE)).read_bytes())
+
+    texts = [f"word{i} and word{i % 7} " + "long" * 30 for i in range(3 * T.ROWS)]
+    monkeypatch.setattr(T, "CACHE", 50)
+    monkeypatch.setattr(T, "_ALIGNERS", {})
+    raw = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.encode() for t in texts])], names=["doc_id", "raw"])
+    got = pa.Table.from_batches(T._align(iter([raw]), Files, False))
+    assert [len(x.known) for x in T._ALIGNERS.values()] == [50]
+    assert got.column("groups_sha256").to_pylist() == [x[-1] for x in expected(aligner, texts)]
+
+
 def test_a_pair_ends_alike():
     assert T.pair_bound([b"ab", b"c"], [b"b", b"ab", b"xc"]) == 3
     assert T.slices([1, 3, 6], [3, 4, 6]) == ([3, 6], [2, 3], [1, 3])
