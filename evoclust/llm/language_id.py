@@ -24,13 +24,15 @@ sees the text alone.
 One class more is learned from noise that is made here: characters of scripts
 that the sample does not hold, and letters of the sample in random order.  Its
 share lowers ``score``; it is never an answer.  ``known_language`` rejects
-below a score fitted on at most ``FIT`` documents of those held out of
-training: ``SLACK`` of their ``CUT`` quantile, and ``Network.kept`` is the share
+below a score fitted on all labelled documents held out of training, read
+whole: ``SLACK`` of their ``CUT`` quantile, and ``Network.kept`` is the share
 of them that passes.  Languages that resemble a learned one in its own script
 may pass.
 
 Distribution: the weights (some 10,000 numbers) are broadcast; prediction is
-one narrow pass.
+one narrow pass.  For the fitted score a pass over the held-out documents
+stores their scores; the quantile is an order statistic of them, found exactly
+by counts of ever narrower bins.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as
 is every text when nothing was learned; a null doc_id counts as the empty text
@@ -40,6 +42,7 @@ rows and extra columns are kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import partial
@@ -50,7 +53,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from .common import table
+from .common import STORED, drop_stored, stored, table
 
 HIDDEN, PIECE = 16, 32
 STEPS, BATCH, RATE, SEED = 300, 512, 0.01, 0
@@ -59,7 +62,9 @@ LEARN, CORE, WARM = 32_768, 512, 32
 GROUP_BYTES, ROWS = 4 << 20, 2048
 UNKNOWN = "und"
 #: For the score below which a document is in no learned language.
-FIT, CUT, SLACK = 512, 0.01, 0.5
+CUT, SLACK = 0.01, 0.5
+#: Bins of a round of :func:`order_statistic`.
+BINS = 4096
 _LETTER = re.compile(rb"[A-Za-z]")
 
 
@@ -298,15 +303,14 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held: bool = False,
-           most: int = SAMPLE) -> list[tuple[str, bytes]]:
-    """(lang, text) of at most ``most`` training documents, or of those held out; of long ones parts, joined."""
-    mine = held_out(id_col) if held else ~held_out(id_col)
+def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+           ) -> list[tuple[str, bytes]]:
+    """(lang, text) of at most ``SAMPLE`` training documents; of long ones parts, joined."""
     key = F.xxhash64(F.col(id_col), F.col(text_col), F.col(lang_col))
-    rows = docs.where(mine & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
                       ).withColumn("__k", key)
     least = rows.groupBy(lang_col, F.pmod("__k", F.lit(BUCKETS)).alias("__b")).agg(F.min("__k").alias("__k"))
-    few = least.orderBy("__b", lang_col).limit(most).select("__k")
+    few = least.orderBy("__b", lang_col).limit(SAMPLE).select("__k")
     raw, part = F.col(text_col).cast("binary"), SAMPLE_BYTES // PARTS
     room = F.octet_length(raw) - part
     parts = F.concat(*(F.substring(raw, F.pmod(F.xxhash64("__k", F.lit(i)), room).cast("int") + 1, F.lit(part)) for i in range(PARTS)))
@@ -361,13 +365,40 @@ def train(docs: DataFrame, **columns) -> Network | None:
     return net
 
 
-def fit_rejection(net: Network, docs: DataFrame, **columns) -> None:
-    """Sets ``min_score`` and ``kept`` by labelled documents that were held out (by those of training if there are none)."""
-    texts = [t for _, t in sample(docs, held=True, most=FIT, **columns) or sample(docs, most=FIT, **columns) if has_letter(t)]
-    if texts:
-        scores = np.array([q for _, q in pooled(net, texts)])
-        net.min_score = SLACK * float(np.quantile(scores, CUT, method="lower"))
-        net.kept = float(np.mean(scores >= net.min_score))
+def fit_rejection(net: Network, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> None:
+    """Sets ``min_score`` and ``kept`` by all labelled documents that were held out (by those of training if there are none)."""
+    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    held = labelled.where(held_out(id_col))
+    some = labelled.where(~held_out(id_col)) if held.isEmpty() else held
+    mark = len(STORED)
+    found = predict(some.select(F.col(text_col).alias("text")), net).where(~((F.col("lang_pred") == UNKNOWN) & (F.col("score") == 0)))
+    scores = stored(found.select("score"))
+    cut = order_statistic(scores, "score", CUT)
+    if cut is not None:
+        net.min_score = SLACK * cut
+        net.kept = float(scores.agg(F.avg((F.col("score") >= net.min_score).cast("double"))).first()[0])
+    drop_stored(docs.sparkSession, mark)
+
+
+def order_statistic(rows: DataFrame, column: str, share: float) -> float | None:
+    """The value at place floor((n - 1) * share) of the n sorted values, exactly; None without values.
+
+    Each round counts the values in ``BINS`` bins of the range that holds the place
+    and goes on in its bin, until that is a single value.
+    """
+    value = F.col(column).cast("double")
+    n, lo, hi = rows.agg(F.count(value), F.min(value), F.max(value)).first()
+    place = math.floor((n - 1) * share)
+    while n and lo < hi:
+        bin_of = F.floor((value - F.lit(lo)) / F.lit(hi - lo) * BINS)
+        bins = rows.where(value.between(lo, hi)).groupBy(bin_of.alias("bin")).agg(
+            F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).orderBy("bin").collect()
+        for b in bins:
+            if place < b["n"]:
+                lo, hi = b["lo"], b["hi"]
+                break
+            place -= b["n"]
+    return float(lo) if n else None
 
 
 def pooled(net: Network, texts: list[bytes]) -> list[tuple[str, float]]:

@@ -95,6 +95,34 @@ def test_nothing_to_learn_from(spark):
     assert language_id.known_language(frame(spark, [], 1)).count() == 0
 
 
+def test_rejection_is_fitted_on_all_held_out_documents(spark):
+    """The least score is that of the 1 % quantile of every held-out labelled document, not of a sample of them."""
+    docs = spark.createDataFrame([(i, "the plain words of one tongue " * 3 if i % 40 else "zq xj kv " * 3, "en" if i % 3 else "de")
+                                  for i in range(5000)], "doc_id long, text string, lang string").repartition(5)
+    net = language_id.train(docs)
+    held = [r["text"].encode() for r in docs.where(language_id.held_out()).collect()]
+    assert len(held) > 900
+    language_id.fit_rejection(net, docs)
+    scores = np.sort([s for _, s in language_id.pooled(net, held)])
+    assert net.min_score == pytest.approx(0.5 * scores[int((len(held) - 1) * 0.01)], rel=1e-6)
+    assert net.kept == pytest.approx((scores >= net.min_score).mean())
+    # Without held-out documents those of training count; without any nothing is fitted.
+    language_id.fit_rejection(net, docs.where(~language_id.held_out()))
+    assert 0 < net.min_score < 1
+    net.min_score = 0.25
+    language_id.fit_rejection(net, docs.where("text is null"))
+    assert net.min_score == 0.25
+
+
+def test_order_statistic_is_exact(spark):
+    rng = np.random.default_rng(5)
+    values = np.r_[rng.random(3000) ** 9, np.full(40, 0.3), 1e-300, np.nextafter(0.3, 1), 1.0]
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(4)
+    for share in (0.0, 0.01, 0.5, 0.73, 1.0):
+        assert language_id.order_statistic(rows, "v", share) == np.quantile(values, share, method="lower")
+    assert language_id.order_statistic(rows.where("v < 0"), "v", 0.5) is None
+
+
 def test_documents_in_no_learned_language_go(spark):
     """An unlearned script and letter noise go; clean documents stay."""
     clean = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
