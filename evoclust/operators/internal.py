@@ -4,7 +4,8 @@
   O(n k d), two passes; equals Spark ML's ``ClusteringEvaluator``.
 * ``silhouette_exact`` (E5): Euclidean, O(n^2) by nature.  Bounds from the
   cluster means skip the clusters that cannot be a point's nearest
-  (:mod:`evoclust.operators.pruned`).  Where they leave half of the pairs or more, points are hashed
+  (:mod:`evoclust.operators.pruned`); in the plane the others' sums take n log n
+  steps (:mod:`evoclust.operators.farfield`).  Where they leave half of the pairs or more, points are hashed
   into B balanced blocks of up to ``DEFAULT_BLOCK_ROWS`` rows; every unordered
   pair of blocks is one task that tiles its distances, multiplies them with
   one-hot labels and emits distance sums per point and cluster for both
@@ -30,9 +31,8 @@ from pyspark.sql import functions as F
 
 from evoclust.operators import kernels as K
 from evoclust.operators.kmeans import Stats, run_stats, run_sums
-from evoclust.operators.pruned import need_counts, pruned_silhouettes
+from evoclust.operators.pruned import DEFAULT_BLOCK_ROWS, need_counts, pruned_silhouettes
 
-DEFAULT_BLOCK_ROWS = 32_768
 TILE = 1024
 
 

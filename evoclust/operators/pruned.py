@@ -11,7 +11,9 @@ the same.
 A pass counts how many points need each cluster.  Then a cluster's members and
 the points that need it are hashed into blocks of at most ``block_rows``; every
 (member block, point block) of a cluster is one task's group, which tiles its
-distances and emits a sum per point, never the pairs.
+distances and emits a sum per point, never the pairs.  Points of one or two
+dimensions meet in larger blocks (``FLAT_BLOCK_ROWS``), whose sums
+:mod:`evoclust.operators.farfield` finds in n log n steps.
 """
 
 from __future__ import annotations
@@ -22,11 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evoclust.operators import kernels as K
+from evoclust.operators.farfield import distance_sums
 from evoclust.operators.kmeans import Stats, run_sums
 
 #: Bounds are widened by this share, far more than their rounding error.
 SLACK = 1e-9
 TILE = 1024
+DEFAULT_BLOCK_ROWS = 32_768
+#: For points of at most two dimensions: rows of a block, and the pairs from which sums are not tiled.
+FLAT_BLOCK_ROWS, FLAT_PAIRS = 524_288, 1 << 24
 
 
 def needed(X: np.ndarray, lab: np.ndarray, n: np.ndarray, M: np.ndarray, W: np.ndarray) -> np.ndarray:
@@ -113,9 +119,12 @@ def _meet_fn(d: int):
         X = K.matrix(b, "x", d)
         members, points = X[member], np.flatnonzero(~member)
         total = np.zeros(len(points))
-        for i in range(0, len(points) if len(members) else 0, TILE):
-            for j in range(0, len(members), TILE):
-                total[i:i + TILE] += np.sqrt(np.maximum(K.centre_distances(X[points[i:i + TILE]], members[j:j + TILE]), 0.0)).sum(1)
+        if d <= 2 and len(points) * len(members) >= FLAT_PAIRS and np.isfinite(X).all():
+            total = distance_sums(X[points], members)
+        else:
+            for i in range(0, len(points) if len(members) else 0, TILE):
+                for j in range(0, len(members), TILE):
+                    total[i:i + TILE] += np.sqrt(np.maximum(K.centre_distances(X[points[i:i + TILE]], members[j:j + TILE]), 0.0)).sum(1)
         t = pa.Table.from_batches([b]).take(pa.array(points))
         mean = total * t.column("w").to_numpy()
         return pa.table([t.column("row_id"), t.column("code"), t.column("own"), pa.array(mean)], names=["row_id", "code", "own", "m"])
@@ -126,7 +135,7 @@ def _meet_fn(d: int):
 def pruned_silhouettes(pts: DataFrame, P: int, k: int, d: int, st: Stats, counts: np.ndarray,
                        block_rows: int) -> dict[int, tuple[float, int]]:
     """``{slot: (sum, points)}`` of the exact silhouette of ``pts(row_id, x, sol)``; ``counts`` from :func:`need_counts`."""
-    rows = max(256, min(block_rows, (64 << 20) // (8 * (d + 8))))
+    rows = max(256, min(FLAT_BLOCK_ROWS if d <= 2 and block_rows == DEFAULT_BLOCK_ROWS else block_rows, (64 << 20) // (8 * (d + 8))))
     blocks = lambda a: -(-a // rows)
     dealt = pts.select(F.col("row_id").cast("long").alias("row_id"), "x", "sol").mapInArrow(
         _deal_fn(P, k, d, st, np.maximum(blocks(st.n), 1), blocks(counts)),

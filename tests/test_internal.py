@@ -179,6 +179,46 @@ def test_blocks_of_pruned_pairs(spark):
     assert (counts <= len(X)).all() and counts[0, 2] == 0
 
 
+@pytest.mark.parametrize("shape", ["plane", "line", "copies", "tail", "one box"])
+def test_sums_without_all_pairs(shape):
+    """Near, far, stretched and equal points: every member counts, up to a share of 1e-9."""
+    from evoclust.operators.farfield import distance_sums
+
+    rng = np.random.default_rng(8)
+    n = 20_000
+    X = {"plane": lambda: np.column_stack([rng.uniform(0, 10, n), rng.integers(0, 60, n) / 10]),
+         "line": lambda: rng.normal(0, 1, (n, 1)),
+         "copies": lambda: np.repeat(rng.uniform(0, 1, (40, 2)), n // 40, axis=0) * [1, 0],
+         "tail": lambda: rng.pareto(0.7, (n, 2)) + 1000,
+         "one box": lambda: np.full((n, 2), 3.25)}[shape]()
+    Y = np.concatenate([X[: n // 3], X[: n // 7] + 20.0])
+    some = rng.integers(0, n, 200)
+    want = np.array([np.sqrt(((x - Y) ** 2).sum(1)).sum() for x in X[some]])
+    assert np.allclose(distance_sums(X, Y)[some], want, rtol=1e-9, atol=1e-6)
+    assert np.allclose(distance_sums(X[:3], Y), [np.sqrt(((x - Y) ** 2).sum(1)).sum() for x in X[:3]], rtol=1e-9, atol=1e-6)
+    assert not distance_sums(X[:5], Y[:0]).any() and not len(distance_sums(X[:0], Y))
+
+
+def test_large_blocks_of_the_plane_are_not_tiled(monkeypatch):
+    """A group of many points takes no pass over all of its pairs."""
+    import pyarrow as pa
+
+    from evoclust.operators import pruned as R
+
+    rng = np.random.default_rng(9)
+    n = 40_000
+    X = rng.uniform(0, 5, (n, 2))
+    member = np.arange(n) % 2 == 0
+    group = pa.table({"code": pa.array(np.zeros(n, np.int32)), "member": pa.array(member), "row_id": pa.array(np.arange(n)),
+                      "own": pa.array(np.zeros(n, bool)), "w": pa.array(np.full(n, 2.0 / n)), "x": pa.array(X.tolist())})
+    monkeypatch.setattr(R.K, "centre_distances", lambda *a: pytest.fail("all pairs are computed"))
+    got = R._meet_fn(2)(group)
+    assert got.column("row_id").to_pylist() == np.flatnonzero(~member).tolist()
+    for i in range(0, n // 2, 997):
+        want = np.sqrt(((X[~member][i] - X[member]) ** 2).sum(1)).mean()
+        assert got.column("m")[i].as_py() == pytest.approx(want, rel=1e-9)
+
+
 def test_ratios_of_many_clusters_are_searched_under_bounds(spark):
     """k = 100,000 centroids: dealt over tasks, most block pairs skipped; equal to all pairs on fewer."""
     rng = np.random.default_rng(7)
