@@ -19,7 +19,9 @@ numbers), so nothing is sampled.  A score sees the text alone.
 
 Distribution: one narrow pass over the texts gives a row of ``len(STATISTICS)``
 doubles each, stored; its join with the labels is salted on the documents' side,
-the labels are distinct, so a hot doc_id is dealt over ``SALT`` tasks.  The model
+the labels are distinct, so a hot doc_id is dealt over ``SALT`` tasks.  Both sides
+are sorted and merged: the labels, each ``SALT`` times, are never collected for a
+broadcast, which a small Parquet file of them would otherwise call for.  The model
 (some 200 numbers) is broadcast and scoring is narrow.
 
 Defined cases: a null text is an empty one; labels that are null or not 0 or 1,
@@ -152,19 +154,24 @@ class Discriminant:
         return 1 / (1 + np.exp(np.clip(self.log_density(0, x) - self.log_density(1, x), -700, 700)))
 
 
-def train(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Discriminant:
-    """The discriminant of all labelled rows of :func:`measured` that are not held out."""
+def moments(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """(label, n, m0.., c0_0..): of each class the rows, means and covariances over all labelled rows that are not held out."""
     dims = range(len(STATISTICS))
     taught = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct().withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     rows = stats.select(F.col("row")[id_col].alias("id"), F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int").alias("salt"),
                         *(F.col("stats")[i].alias(f"x{i}") for i in dims))
-    found = rows.join(taught, ["id", "salt"]).groupBy("label").agg(
+    return rows.join(taught.hint("merge"), ["id", "salt"]).groupBy("label").agg(
         F.count(F.lit(1)).alias("n"), *(F.avg(f"x{i}").alias(f"m{i}") for i in dims),
-        *(F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i in dims for j in dims if i <= j)).collect()
+        *(F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i in dims for j in dims if i <= j))
+
+
+def train(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Discriminant:
+    """The discriminant of all labelled rows of :func:`measured` that are not held out."""
+    dims = range(len(STATISTICS))
     n, means, cov = np.zeros(2), np.zeros((2, len(dims))), np.zeros((2, len(dims), len(dims)))
-    for r in found:
+    for r in moments(stats, labels, id_col, label_col).collect():
         k = r["label"]
         n[k], means[k] = r["n"], [r[f"m{i}"] for i in dims]
         cov[k] = [[r[f"c{min(i, j)}_{max(i, j)}"] for j in dims] for i in dims]

@@ -56,6 +56,18 @@ def test_moments_come_from_all_labelled_rows(spark):
         assert np.allclose(a, b)
 
 
+def test_labels_are_not_sent_through_the_driver(spark):
+    """A small table of labels, which is repeated for the salts, is merged, not broadcast."""
+    docs = spark.createDataFrame([(i, "some text " * (i % 9)) for i in range(60)], "doc_id long, text string")
+    labels = Q.stored(spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"))
+    found = Q.moments(Q.stored(Q.measured(docs)), labels)
+    plans = [found._jdf.queryExecution().executedPlan().toString()]
+    n = sum(r["n"] for r in found.collect())
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert n == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(60))
+    assert all("Broadcast" not in p and "SortMergeJoin" in p for p in plans)
+
+
 def test_awkward_rows(spark):
     good = "The old house by the river was sold, and nobody asked why. " * 6
     rows = [(i, good[i % 7:] if i % 4 else f"BUY NOW!! {i} $$$ %%% ### | | " * 20, "s") for i in range(200)]
