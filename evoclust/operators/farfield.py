@@ -33,8 +33,10 @@ _POINTS = np.cos((np.arange(NODES) + 0.5) * np.pi / NODES)
 class Boxes:
     """A complete tree of ``levels`` halvings; level i has 2^i boxes, each with as many points."""
 
-    def __init__(self, X: np.ndarray, levels: int) -> None:
-        n, leaves = len(X), 1 << levels
+    def __init__(self, X: np.ndarray, weight: np.ndarray | None = None) -> None:
+        n = len(X)
+        levels = max(0, int(np.ceil(np.log2(n / LEAF))))
+        leaves = 1 << levels
         fill = -(-n // leaves) * leaves
         # Copies of the first point fill up the leaves; they weigh nothing.
         self.order = np.concatenate([np.arange(n), np.zeros(fill - n, np.int64)])
@@ -54,7 +56,8 @@ class Boxes:
                 for name in ("order", "real"):
                     setattr(self, name, np.take_along_axis(getattr(self, name).reshape(1 << level, -1), to, axis=1).ravel())
         self.Z = Z.reshape(leaves, -1, 2)
-        self.real = self.real.reshape(leaves, -1)
+        self.weight = self.real.astype(np.float64) if weight is None else np.where(self.real, weight[self.order], 0.0)
+        self.real, self.weight = self.real.reshape(leaves, -1), self.weight.reshape(leaves, -1)
         self.levels = levels
         self.inner = self._inside(self.Z, self.mid[-1], self.half[-1])
 
@@ -76,7 +79,7 @@ class Boxes:
     def gathered(self) -> list[np.ndarray]:
         """Per level the points' weight on the Chebyshev points of their boxes."""
         a, b = self.inner
-        out = [np.swapaxes(a * self.real[..., None], 1, 2) @ b]
+        out = [np.swapaxes(a * self.weight[..., None], 1, 2) @ b]
         for level in range(self.levels, 0, -1):
             a, b = self._from_parents(level)
             moved = np.swapaxes(a, 1, 2) @ out[0] @ b
@@ -96,33 +99,68 @@ class Boxes:
         return out
 
 
-def distance_sums(X: np.ndarray, Y: np.ndarray) -> np.ndarray:
-    """Per point of ``X`` (n, 1 or 2) the sum of its distances to the points of ``Y``."""
-    flat = lambda a: np.column_stack([a, np.zeros(len(a))]) if a.shape[1] == 1 else np.asarray(a, np.float64)
+def flat(a: np.ndarray) -> np.ndarray:
+    """Points of one or two dimensions as points of the plane."""
+    return np.column_stack([a, np.zeros(len(a))]) if a.shape[1] == 1 else np.asarray(a, np.float64)
+
+
+def seen_from(of: Boxes, gathered: list[np.ndarray], lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted points that stand for those of ``of`` at every place between the corners ``lo`` and ``hi``:
+    the Chebyshev points of the boxes that are far from there, the largest first, and the other leaves' own points."""
+    points, weights = [np.zeros((0, 2))], [np.zeros(0)]
+    s = np.zeros(1, np.int64)
+    for level in range(of.levels + 1):
+        mid = of.mid[level][s]
+        gap = np.hypot(*np.maximum(np.maximum(lo - mid, mid - hi), 0.0).T)
+        far = 2 * np.hypot(*of.half[level][s].T) <= FAR * gap
+        if level == of.levels and of.real.shape[1] <= NODES * NODES:
+            far[:] = False  # no fewer points by it
+        grid = of.nodes(level)[s[far]]
+        points.append(np.stack(np.broadcast_arrays(grid[:, :, None, 0], grid[:, None, :, 1]), axis=-1).reshape(-1, 2))
+        weights.append(gathered[level][s[far]].ravel())
+        s = s[~far]
+        if level < of.levels:
+            s = np.concatenate([2 * s, 2 * s + 1])
+    real = of.real[s]
+    return np.concatenate([*points, of.Z[s][real]]), np.concatenate([*weights, of.weight[s][real]])
+
+
+def distance_sums(X: np.ndarray, Y: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """Per point of ``X`` (n, 1 or 2) the sum of its distances to the points of ``Y``, of each ``weight`` times."""
     if not len(X) or not len(Y):
         return np.zeros(len(X))
-    levels = max(0, int(np.ceil(np.log2(max(len(X), len(Y)) / LEAF))))
-    to, of = Boxes(flat(X), levels), Boxes(flat(Y), levels)
-    weights = of.gathered()
-    fields = [np.zeros((1 << level, NODES, NODES)) for level in range(levels + 1)]
-    near = np.zeros(to.real.shape)
+    to, of = Boxes(flat(X)), Boxes(flat(Y), weight)
+    weights = np.concatenate(of.gathered())
+    # Box i of a level is number 2^level - 1 + i, its halves are 2 * number + 1 and + 2.
+    p, q = (np.concatenate([b.nodes(level) for level in range(b.levels + 1)]) for b in (to, of))
+    tm, sm = np.concatenate(to.mid), np.concatenate(of.mid)
+    tr, sr = (np.hypot(*np.concatenate(b.half).T) for b in (to, of))
+    field, near = np.zeros((len(p), NODES, NODES)), np.zeros(to.real.shape)
+    leaf_t, leaf_s = len(to.Z) - 1, len(of.Z) - 1
     t = s = np.zeros(1, np.int64)
-    for level in range(levels + 1):
-        size = 2 * np.maximum(np.hypot(*to.half[level].T)[t], np.hypot(*of.half[level].T)[s])
-        gap = np.hypot(*(to.mid[level][t] - of.mid[level][s]).T)
-        far = size <= FAR * gap  # copies of one point too, both 0
-        ft, fs, p, q, w = t[far], s[far], to.nodes(level), of.nodes(level), weights[level]
-        for i in range(0, len(ft), CHUNK):
-            a, b = ft[i:i + CHUNK], fs[i:i + CHUNK]
-            square = (p[a][:, :, None] - q[b][:, None, :]) ** 2
-            root = square[:, :, None, :, None, 0] + square[:, None, :, None, :, 1]
-            np.sqrt(root, out=root)
-            met = root.reshape(len(a), NODES * NODES, -1) @ w[b].reshape(len(a), -1, 1)
-            np.add.at(fields[level], a, met.reshape(-1, NODES, NODES))
+    met_t, met_s, far_t, far_s = [], [], [], []
+    while len(t):
+        far = 2 * np.maximum(tr[t], sr[s]) <= FAR * np.hypot(*(tm[t] - sm[s]).T)  # copies of one point too, both 0
+        far_t.append(t[far])
+        far_s.append(s[far])
         t, s = t[~far], s[~far]
-        if level < levels:
-            t, s = (np.concatenate([2 * t, 2 * t, 2 * t + 1, 2 * t + 1]), np.concatenate([2 * s, 2 * s + 1, 2 * s, 2 * s + 1]))
-    real = of.real.astype(np.float64)[:, :, None]
+        last = (t >= leaf_t) & (s >= leaf_s)
+        met_t.append(t[last] - leaf_t)
+        met_s.append(s[last] - leaf_s)
+        t, s = t[~last], s[~last]
+        halve = (t < leaf_t) & ((s >= leaf_s) | (tr[t] >= sr[s]))
+        a, b, c, e = t[halve], s[halve], t[~halve], s[~halve]
+        t, s = np.concatenate([2 * a + 1, 2 * a + 2, c, c]), np.concatenate([b, b, 2 * e + 1, 2 * e + 2])
+    t, s = np.concatenate(far_t), np.concatenate(far_s)
+    for i in range(0, len(t), CHUNK):
+        a, b = t[i:i + CHUNK], s[i:i + CHUNK]
+        square = (p[a][:, :, None] - q[b][:, None, :]) ** 2
+        root = square[:, :, None, :, None, 0] + square[:, None, :, None, :, 1]
+        np.sqrt(root, out=root)
+        met = root.reshape(len(a), NODES * NODES, -1) @ weights[b].reshape(len(a), -1, 1)
+        np.add.at(field, a, met.reshape(-1, NODES, NODES))
+    t, s = np.concatenate(met_t), np.concatenate(met_s)
+    by = of.weight[:, :, None]
     for i in range(0, len(t), CHUNK):
         a, b = t[i:i + CHUNK], s[i:i + CHUNK]
         P, Q = to.Z[a], of.Z[b]
@@ -132,5 +170,5 @@ def distance_sums(X: np.ndarray, Y: np.ndarray) -> np.ndarray:
         side *= side
         root += side
         np.sqrt(root, out=root)
-        np.add.at(near, a, (root @ real[b])[:, :, 0])
-    return to.spread(fields, near)
+        np.add.at(near, a, (root @ by[b])[:, :, 0])
+    return to.spread([field[(1 << level) - 1:(2 << level) - 1] for level in range(to.levels + 1)], near)

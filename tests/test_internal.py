@@ -219,6 +219,44 @@ def test_large_blocks_of_the_plane_are_not_tiled(monkeypatch):
         assert got.column("m")[i].as_py() == pytest.approx(want, rel=1e-9)
 
 
+def test_members_as_seen_from_afar():
+    """Some weighted points stand for the members of a far box, their own points for those that are near."""
+    from evoclust.operators import farfield as A
+
+    rng = np.random.default_rng(10)
+    n = 20_000
+    Y = np.column_stack([rng.uniform(0, 10, n), rng.integers(0, 60, n) / 10])
+    tree = A.Boxes(Y)
+    gathered = tree.gathered()
+    for shift, most in (((0, 0), n + 1024), ((10, 0), n // 2), ((-10, 6), n // 4), ((40, 0), 1024), ((1e6, 1e6), 64)):
+        X = Y[:500] + shift
+        seen, weight = A.seen_from(tree, gathered, X.min(0), X.max(0))
+        assert len(seen) <= most and weight.sum() == pytest.approx(n, rel=1e-12)
+        want = [np.sqrt(((x - Y) ** 2).sum(1)).sum() for x in X[::25]]
+        assert np.allclose([(np.sqrt(((x - seen) ** 2).sum(1)) * weight).sum() for x in X[::25]], want, rtol=1e-9)
+        assert np.allclose(A.distance_sums(X, seen, weight)[::25], want, rtol=1e-9)
+
+
+@pytest.mark.parametrize("d", [1, 2])
+def test_cells_of_the_plane_give_the_same_silhouette(spark, monkeypatch, d):
+    """Clusters of many cells, one of them copies of few points; blocks of a cluster do not all meet in full."""
+    from evoclust.operators import pruned as R
+    from evoclust.operators.kernels import KernelSpec
+    from evoclust.operators.kmeans import run_stats
+
+    rng = np.random.default_rng(11)
+    X = np.concatenate([rng.normal(c, 1.0, (1500, d)) for c in (0, 12)] + [np.repeat(rng.uniform(30, 31, (3, d)), 500, axis=0), np.full((1, d), 60.0)])
+    labs = np.stack([np.r_[np.repeat([0, 1, 2], 1500), 3], np.r_[np.repeat([0, 2, 1, 2, 4, 4], 750), 4]], 1)
+    df = spark.createDataFrame([(i, X[i].tolist(), labs[i].tolist()) for i in range(len(X))], "row_id bigint, x array<double>, sol array<int>").repartition(3)
+    st = run_stats(df, KernelSpec(2, 5, d, sol_col="sol"))
+    counts = R.need_counts(df, 2, 5, d, st)
+    monkeypatch.setattr(R, "FLAT_BLOCK_ROWS", 256)
+    monkeypatch.setattr(R, "_block_sums", lambda *a: pytest.fail("hashed blocks"))
+    got = R.pruned_silhouettes(df, 2, 5, d, st, counts, R.DEFAULT_BLOCK_ROWS)
+    for p in range(2):
+        assert got[p][1] == len(X) and abs(got[p][0] / got[p][1] - _brute_silhouette(X, labs[:, p])) < 1e-9
+
+
 def test_ratios_of_many_clusters_are_searched_under_bounds(spark):
     """k = 100,000 centroids: dealt over tasks, most block pairs skipped; equal to all pairs on fewer."""
     rng = np.random.default_rng(7)
